@@ -22,9 +22,10 @@ ORACLES: dict[str, str] = {}
 def expand_r6(sql: str) -> str:
     """``R6(x)`` in oracle text -> Spark's ``round(x, 6)`` semantics in DuckDB.
 
-    Spark rounds the shortest decimal form of a double HALF_UP; DuckDB rounds the
-    binary value.  Going through DECIMAL(38,12) first makes exact ties (e.g.
-    1.0653125) round the same way on both sides.
+    Spark rounds the shortest decimal text of a double HALF_UP (so
+    0.7453124999999999 -> 0.745312), while DuckDB's ROUND scales the binary
+    value first.  Rounding DuckDB's (also shortest) text as a DECIMAL gives
+    Spark's answer.
     """
     out, i = [], 0
     while True:
@@ -42,7 +43,7 @@ def expand_r6(sql: str) -> str:
             depth += {"(": 1, ")": -1}.get(sql[k], 0)
             k += 1
         inner = expand_r6(sql[j + 3 : k - 1])
-        out.append(f"CAST(ROUND(CAST(({inner}) AS DECIMAL(38,12)), 6) AS DOUBLE)")
+        out.append(f"CAST(ROUND(TRY_CAST(CAST(({inner}) AS VARCHAR) AS DECIMAL(38,17)), 6) AS DOUBLE)")
         i = k
 
 
