@@ -1 +1,161 @@
-"""Registered queries."""
+"""Streaming queries (speed layer, restart, windows, incremental cycle).
+
+Each run writes to fresh folders under the shared work folder; the returned
+DataFrame reads what the sinks committed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, PROJECT_SQL
+from streetflow.plans.sqlparts import POINTS, SHAPES, TRAFFIC, with_
+from streetflow.registry import query
+from streetflow.schema import ARCHIVE, SEQ
+from streetflow.session import work_dir
+from streetflow.sources.keyed import KeyedTable
+from streetflow.sources.lake import read_lake, write_lake
+from streetflow.sources.standins import archive_from_events, messages_from_archive, traffic_archive
+from streetflow.streaming.jobs import (
+    file_sink,
+    incremental_mapping,
+    run_to_end,
+    speed_layer,
+    tumbling_stream,
+)
+
+REALTIME_COLS = [
+    "date_time", "denomination", "avg_speed", "travel_time", "traffic_status",
+    "hierarchie", "hierarchie_dv", "max_speed", "date_partition", SEQ,
+]
+
+
+def _events_stream(spark: SparkSession, root: str, path: str | None = None) -> DataFrame:
+    """The events table read as a file stream (stand-in for the message topic)."""
+    schema = spark.read.parquet(f"{root}/events.parquet").schema
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
+    if path is None:
+        return r.option("pathGlobFilter", "events.parquet").parquet(root)
+    return r.parquet(path)
+
+
+def _messages_stream(spark: SparkSession, root: str, path: str | None = None) -> DataFrame:
+    return messages_from_archive(archive_from_events(_events_stream(spark, root, path)))
+
+
+def _realtime_table(spark: SparkSession) -> KeyedTable:
+    return KeyedTable(
+        work_dir(spark, "traffic_realtime"), ["denomination"], ["date_time"], descending=["date_time"], order=[SEQ]
+    )
+
+
+def _run_speed_layer(spark: SparkSession, root: str):
+    lake = work_dir(spark, "lake")
+    table = _realtime_table(spark)
+    ckpt = work_dir(spark, "checkpoints")
+    run_to_end(speed_layer(_messages_stream(spark, root), lake, table, ckpt))
+    return lake, table
+
+
+@query("stream_ingest_lake", PROJECT_SQL)
+def q_stream_ingest_lake(spark: SparkSession, root: str) -> DataFrame:
+    """S1/S5 + K1 + K4 + T1: messages stream into the day-partitioned lake."""
+    lake, _ = _run_speed_layer(spark, root)
+    return read_lake(spark, lake).select(*ARCHIVE_COLS)
+
+
+REALTIME_SQL = with_(TRAFFIC) + """
+SELECT ts AS date_time, denomination, avg_speed, travel_time, traffic_status, hierarchie, hierarchie_dv,
+       CAST(max_speed AS DOUBLE) AS max_speed, date_partition, seq
+FROM traffic WHERE seq % 97 <> 0
+QUALIFY row_number() OVER (PARTITION BY denomination, ts ORDER BY seq DESC) = 1
+"""
+
+
+@query("stream_realtime_table", REALTIME_SQL)
+def q_stream_realtime_table(spark: SparkSession, root: str) -> DataFrame:
+    """K2: the same stream upserted per micro-batch into the realtime keyed table."""
+    _, table = _run_speed_layer(spark, root)
+    schema = StructType(
+        [f for f in _realtime_schema(spark).fields]
+    )
+    return table.read(spark, schema).select(*REALTIME_COLS)
+
+
+def _realtime_schema(spark: SparkSession) -> StructType:
+    from streetflow.streaming.jobs import realtime_rows
+
+    empty = spark.createDataFrame([], ARCHIVE)
+    return realtime_rows(empty).schema
+
+
+@query("stream_restart", PROJECT_SQL)
+def q_stream_restart(spark: SparkSession, root: str) -> DataFrame:
+    """Run, land more data, run again from the same checkpoint -> each row exactly once."""
+    ev = spark.read.parquet(f"{root}/events.parquet")
+    landing = work_dir(spark, "landing")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    lake = work_dir(spark, "lake")
+    table = _realtime_table(spark)
+    ckpt = work_dir(spark, "checkpoints")
+    # first landed snapshot, then a later one; together they hold every event once
+    ev.where(F.col("ts") < cut).write.parquet(f"{landing}/b1")
+    run_to_end(speed_layer(_messages_stream(spark, root, f"{landing}/*"), lake, table, ckpt))
+    ev.where(~(F.col("ts") < cut) | F.col("ts").isNull()).write.parquet(f"{landing}/b2")
+    run_to_end(speed_layer(_messages_stream(spark, root, f"{landing}/*"), lake, table, ckpt))
+    return read_lake(spark, lake).select(*ARCHIVE_COLS)
+
+
+TUMBLING_STREAM_SQL = with_(TRAFFIC) + """
+, w AS (
+  SELECT make_timestamp(CAST(floor(epoch_us(ts) / 540000000) AS BIGINT) * 540000000) AS window_start,
+         make_timestamp(CAST(floor(epoch_us(ts) / 540000000) AS BIGINT) * 540000000 + 540000000) AS window_end,
+         denomination, avg_speed
+  FROM traffic WHERE seq % 97 <> 0
+)
+SELECT window_start, window_end, denomination, R6(AVG(avg_speed)) AS avg_speed, COUNT(*) AS n_records
+FROM w
+WHERE window_end <= (SELECT MAX(ts) FROM traffic WHERE seq % 97 <> 0) - INTERVAL 9 MINUTE
+GROUP BY 1, 2, 3
+"""
+
+
+@query("stream_tumbling", TUMBLING_STREAM_SQL)
+def q_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
+    """W1 streaming: 9-minute windows per street with a 9-minute watermark (closed windows)."""
+    rows = _parse_only(_messages_stream(spark, root)).where(F.col("date_time").isNotNull())
+    rows = rows.withColumn("ts", F.try_to_timestamp("date_time"))
+    agg = tumbling_stream(rows, "ts", ["denomination"], "9 minutes", "9 minutes")
+    out = work_dir(spark, "tumbling")
+    run_to_end([file_sink(agg, out, work_dir(spark, "checkpoints"))])
+    return spark.read.parquet(out).withColumn("avg_speed", F.round("avg_speed", 6)).select(
+        "window_start", "window_end", "denomination", "avg_speed", "n_records"
+    )
+
+
+def _parse_only(messages: DataFrame) -> DataFrame:
+    from streetflow.streaming.jobs import parse_stream
+
+    return parse_stream(messages)
+
+
+@query(
+    "incremental_mapping",
+    with_(TRAFFIC, SHAPES, POINTS)
+    + "SELECT date_time, denomination, traffic_status, point_order, latitude, longitude, hierarchie, seq FROM points",
+)
+def q_incremental_mapping(spark: SparkSession, root: str) -> DataFrame:
+    """T4: two batch cycles; the second explodes only the lake files added since the first."""
+    a = traffic_archive(spark, root, with_shape=True).drop("ts")
+    lake = work_dir(spark, "lake")
+    out = work_dir(spark, "mapping")
+    ckpt = work_dir(spark, "checkpoints")
+    early = F.col("date_partition") < "2024-01-16"
+    write_lake(a.where(early), lake)
+    run_to_end([incremental_mapping(spark, lake, out, ckpt)])
+    write_lake(a.where(~early | F.col("date_partition").isNull()), lake)
+    run_to_end([incremental_mapping(spark, lake, out, ckpt)])
+    cols = [c for c in MAPPING_COLS]
+    return spark.read.parquet(out).select(*cols)

@@ -55,26 +55,33 @@ def shape_of(coords: Column) -> Column:
     ).cast(GEO_SHAPE)
 
 
-def _events_with_shape(spark: SparkSession, root: str, with_shape: bool) -> DataFrame:
-    ev = read_table(spark, root, "events")
-    if not with_shape:
+def with_shapes(ev: DataFrame, embeddings: DataFrame | None) -> DataFrame:
+    """Attach a line geometry to each event whose id has an embedding (left join)."""
+    if embeddings is None:
         return ev.withColumn("geo_shape", F.lit(None).cast(GEO_SHAPE))
-    emb = read_table(spark, root, "embeddings").select(
+    emb = embeddings.select(
         F.col("vec_id").alias("event_id"),
         shape_of(coordinates_of(F.col("embedding"), F.col("label"))).alias("geo_shape"),
     )
     # Equi-join on the id; AQE turns it into a broadcast only if the shape side
-    # measures under the broadcast threshold at run time.
+    # measures under the broadcast threshold at run time.  Works for a streaming
+    # ``ev`` too (stream-static left outer join).
     return ev.join(emb, "event_id", "left")
 
 
 def traffic_archive(spark: SparkSession, root: str, with_shape: bool = False) -> DataFrame:
-    """Events as parsed archive rows (the schema of ``streetflow.schema.ARCHIVE``) plus ``ts``.
+    """Events as parsed archive rows (the schema of ``streetflow.schema.ARCHIVE``) plus ``ts``."""
+    ev = read_table(spark, root, "events")
+    emb = read_table(spark, root, "embeddings") if with_shape else None
+    return archive_from_events(with_shapes(ev, emb))
 
-    denomination <- user_id, hierarchie <- event_type, avg_speed <- value,
+
+def archive_from_events(ev: DataFrame) -> DataFrame:
+    """denomination <- user_id, hierarchie <- event_type, avg_speed <- value,
     max_speed <- $.k of props, date_time <- ts (ISO text), seq <- event_id.
-    """
-    ev = _events_with_shape(spark, root, with_shape)
+    Batch or streaming input."""
+    if "geo_shape" not in ev.columns:
+        ev = with_shapes(ev, None)
     k = max_speed_of(F.col("props"))
     return ev.select(
         F.date_format("ts", ISO_FORMAT).alias("date_time"),
