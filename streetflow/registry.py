@@ -7,6 +7,7 @@ Domain modules add entries with ``@query(name, oracle=SQL)``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ ORACLES: dict[str, str] = {}
 
 
 def expand_r6(sql: str) -> str:
-    """``R6(x)`` in oracle text -> Spark's ``round(x, 6)`` semantics in DuckDB.
+    """``R<n>(x)`` in oracle text -> Spark's ``round(x, n)`` semantics in DuckDB.
 
     Spark rounds the shortest decimal text of a double HALF_UP (so
     0.7453124999999999 -> 0.745312), while DuckDB's ROUND scales the binary
@@ -29,24 +30,24 @@ def expand_r6(sql: str) -> str:
     """
     out, i = [], 0
     while True:
-        j = sql.find("R6(", i)
-        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                return "".join(out)
-            out.append(sql[i : j + 3])
-            i = j + 3
-            continue
-        out.append(sql[i:j])
-        depth, k = 1, j + 3
+        m = _RN.search(sql, i)
+        if m is None:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i : m.start()])
+        depth, k = 1, m.end()
         while depth:
             depth += {"(": 1, ")": -1}.get(sql[k], 0)
             k += 1
-        inner = expand_r6(sql[j + 3 : k - 1])
-        out.append(f"CAST(ROUND(TRY_CAST(CAST(({inner}) AS VARCHAR) AS DECIMAL(38,17)), 6) AS DOUBLE)")
+        inner = expand_r6(sql[m.end() : k - 1])
+        n = m.group(1)
+        out.append(f"CAST(ROUND(TRY_CAST(CAST(({inner}) AS VARCHAR) AS DECIMAL(38,17)), {n}) AS DOUBLE)")
         i = k
 
 
+_RN = re.compile(r"(?<![A-Za-z0-9_])R([0-9])\(")
+
+
 def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, root: str) -> DataFrame:
