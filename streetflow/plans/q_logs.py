@@ -1 +1,274 @@
-"""Registered queries."""
+"""Log queries (Tier 3, L1-L12).
+
+Stand-ins: structured log lines = events (level = event_type, label user_id,
+line = props JSON, time = ts); unstructured log lines = every line of every
+document (level = lang, label source; documents carry no time, so the ingest
+block ``doc_id div 100`` is the time axis).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from streetflow.functions.timeutil import bucket_start
+from streetflow.operators.logs import (
+    LOGFMT_PAIR,
+    bytes_volume,
+    field_profile,
+    label_volumes,
+    line_filter,
+    line_format,
+    outer_join_series,
+    parsed_fields,
+    patterns,
+    rank_series,
+    series_stats,
+    split_lines,
+    unwrap_avg,
+    volume,
+)
+from streetflow.registry import query
+from streetflow.sources.tables import read_table
+
+HOUR_US = 3_600_000_000
+
+
+def event_logs(spark: SparkSession, root: str) -> DataFrame:
+    ev = read_table(spark, root, "events")
+    return ev.select("event_id", "ts", F.col("event_type").alias("level"), "user_id", F.col("props").alias("line"))
+
+
+def doc_lines(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select(
+        "doc_id", F.col("lang").alias("level"), "source", F.expr("doc_id div 100").alias("block"), "text"
+    )
+    return split_lines(docs, "text", ["doc_id", "level", "source", "block"])
+
+
+DL = """
+dl AS (
+  SELECT doc_id, level, source, block, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no,
+         unnest(parts) AS line
+  FROM (SELECT doc_id, lang AS level, source, doc_id // 100 AS block, string_split(text, chr(10)) AS parts
+        FROM documents WHERE text IS NOT NULL)
+)"""
+HOUR_SQL = f"make_timestamp((epoch_us(ts) // {HOUR_US}) * {HOUR_US})"
+
+
+@query(
+    "log_volume",
+    f"SELECT {HOUR_SQL} AS bucket, event_type AS level, COUNT(*) AS volume FROM events GROUP BY 1, 2",
+)
+def q_log_volume(spark: SparkSession, root: str) -> DataFrame:
+    """L1: lines per hour and level."""
+    el = event_logs(spark, root)
+    return volume(el, [bucket_start(F.col("ts"), 3600).alias("bucket"), "level"])
+
+
+@query(
+    "label_volume_topk",
+    """
+SELECT * FROM (
+  SELECT 'level' AS label, event_type AS value, COUNT(*) AS volume FROM events GROUP BY 2
+  UNION ALL
+  SELECT 'user_id', CAST(user_id AS VARCHAR), COUNT(*) FROM events GROUP BY 2
+) ORDER BY volume DESC, label, value LIMIT 5000
+""",
+)
+def q_label_volume_topk(spark: SparkSession, root: str) -> DataFrame:
+    """L2: total volume per label value, largest 5000."""
+    return label_volumes(event_logs(spark, root), ["level", "user_id"], limit=5000)
+
+
+def _all_fields(spark: SparkSession, root: str) -> DataFrame:
+    el = event_logs(spark, root).withColumn("line_id", F.col("event_id").cast("string"))
+    dl = doc_lines(spark, root).withColumn("line_id", F.concat_ws(":", "doc_id", "line_no"))
+    a = parsed_fields(el.withColumn("stream", F.lit("events")), ["stream", "line_id"])
+    b = parsed_fields(dl.withColumn("stream", F.lit("documents")), ["stream", "line_id"])
+    return a.unionByName(b)
+
+
+FIELDS_SQL = DL + f""",
+ef AS (
+  SELECT 'events' AS stream, CAST(event_id AS VARCHAR) AS line_id, 'json' AS parser, key,
+         json_extract_string(props, '$."' || key || '"') AS value
+  FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)
+),
+dp AS (SELECT doc_id || ':' || line_no AS line_id, regexp_extract_all(line, '{LOGFMT_PAIR}') AS pairs FROM dl),
+df AS (
+  SELECT 'documents' AS stream, line_id, CAST(NULL AS VARCHAR) AS parser, CAST(NULL AS VARCHAR) AS key,
+         CAST(NULL AS VARCHAR) AS value FROM dp WHERE len(pairs) = 0
+  UNION ALL
+  SELECT 'documents', line_id, 'logfmt', split_part(p, '=', 1),
+         regexp_replace(substr(p, strlen(split_part(p, '=', 1)) + 2), '^"|"$', '', 'g')
+  FROM (SELECT line_id, unnest(pairs) AS p FROM dp WHERE len(pairs) > 0)
+),
+fields AS (SELECT * FROM ef UNION ALL SELECT * FROM df)"""
+
+
+@query("json_fields", "WITH " + FIELDS_SQL + "\nSELECT * FROM fields")
+def q_json_fields(spark: SparkSession, root: str) -> DataFrame:
+    """L3: JSON then logfmt fields of every line; lines without fields kept once."""
+    return _all_fields(spark, root)
+
+
+@query(
+    "field_avg",
+    f"""
+SELECT {HOUR_SQL} AS bucket, event_type AS level, R6(AVG(v)) AS avg_value, COUNT(*) AS n
+FROM (SELECT ts, event_type, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS v FROM events)
+WHERE v IS NOT NULL GROUP BY 1, 2
+""",
+)
+def q_field_avg(spark: SparkSession, root: str) -> DataFrame:
+    """L4: unwrap the numeric field ``k`` and average it per hour and level."""
+    el = event_logs(spark, root)
+    out = unwrap_avg(el, [bucket_start(F.col("ts"), 3600).alias("bucket"), "level"], F.get_json_object("line", "$.k"))
+    return out.withColumn("avg_value", F.round("avg_value", 6))
+
+
+@query(
+    "log_patterns",
+    "WITH "
+    + DL
+    + """
+SELECT pattern, COUNT(*) AS total, COUNT(DISTINCT block) AS n_buckets,
+       array_to_string(list_sort(list_distinct(list(level))), ',') AS levels
+FROM (SELECT *, regexp_replace(regexp_replace(line, '[0-9a-fA-F]{16,}', '<hex>', 'g'), '[0-9]+', '<num>', 'g') AS pattern
+      FROM dl)
+GROUP BY pattern ORDER BY total DESC, pattern LIMIT 500
+""",
+)
+def q_log_patterns(spark: SparkSession, root: str) -> DataFrame:
+    """The 500 largest line patterns with their levels."""
+    return patterns(doc_lines(spark, root), "line", "block", "level", limit=500)
+
+
+@query(
+    "series_sort",
+    "WITH "
+    + DL
+    + """,
+c AS (SELECT source, block, COUNT(*) AS n FROM dl GROUP BY 1, 2),
+s AS (SELECT source, STDDEV_POP(n) AS sd, SUM(n) AS s, MAX(n) AS mx, MIN(n) AS mn,
+             quantile_cont(n, 0.5) AS p50, quantile_cont(n, 0.9) AS p90 FROM c GROUP BY 1)
+SELECT source, R6(sd) AS stddev, CAST(s AS BIGINT) AS "sum", mx AS "max", mn AS "min", R6(p50) AS p50, R6(p90) AS p90,
+       CAST(row_number() OVER (ORDER BY sd DESC NULLS LAST, source) AS INTEGER) AS rank
+FROM s
+""",
+)
+def q_series_sort(spark: SparkSession, root: str) -> DataFrame:
+    """Per-source line-count series ordered by standard deviation (desc), then name."""
+    c = doc_lines(spark, root).groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"))
+    ranked = rank_series(series_stats(c, "source", "n"), "stddev", "source")
+    return ranked.withColumns({k: F.round(k, 6) for k in ["stddev", "p50", "p90"]})
+
+
+@query(
+    "series_outer_join",
+    "WITH "
+    + DL
+    + """,
+a AS (SELECT block, COUNT(*) AS n FROM dl WHERE level = 'de' GROUP BY 1),
+b AS (SELECT block, COUNT(*) AS n FROM dl WHERE level = 'es' GROUP BY 1)
+SELECT COALESCE(a.block, b.block) AS block, a.n AS de, b.n AS es FROM a FULL OUTER JOIN b ON a.block = b.block
+""",
+)
+def q_series_outer_join(spark: SparkSession, root: str) -> DataFrame:
+    """Two line-count series joined on the union of their time points."""
+    dl = doc_lines(spark, root)
+    frames = {
+        lang: dl.where(F.col("level") == lang).groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+        for lang in ("de", "es")
+    }
+    return outer_join_series(frames, "block", "n")
+
+
+@query(
+    "line_filter",
+    "WITH "
+    + DL
+    + r"""
+SELECT doc_id, line_no, coalesce(level, '') || ' ' || coalesce(source, '') || ': ' || coalesce(line, '') AS formatted
+FROM dl WHERE contains(line, '@') AND NOT regexp_matches(line, 'example\.org')
+""",
+)
+def q_line_filter(spark: SparkSession, root: str) -> DataFrame:
+    """Lines with an '@' but no 'example.org' match, rewritten by a template."""
+    dl = line_filter(doc_lines(spark, root), contains=["@"], not_regex=[r"example\.org"])
+    return dl.select("doc_id", "line_no", line_format("{{.level}} {{.source}}: {{.line}}").alias("formatted"))
+
+
+@query(
+    "log_bytes",
+    "WITH " + DL + "\nSELECT block, level, CAST(SUM(strlen(line)) AS BIGINT) AS bytes FROM dl GROUP BY 1, 2",
+)
+def q_log_bytes(spark: SparkSession, root: str) -> DataFrame:
+    """UTF-8 bytes of the lines per block and level."""
+    return bytes_volume(doc_lines(spark, root), ["block", "level"])
+
+
+PROFILE_SQL = "WITH " + FIELDS_SQL + """,
+labels AS (
+  SELECT 'label' AS parser, 'level' AS key, event_type AS value, CAST(event_id AS VARCHAR) AS line_id, 'events' AS stream FROM events
+  UNION ALL SELECT 'label', 'user_id', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), 'events' FROM events
+  UNION ALL SELECT 'label', 'level', level, doc_id || ':' || line_no, 'documents' FROM dl
+  UNION ALL SELECT 'label', 'source', source, doc_id || ':' || line_no, 'documents' FROM dl
+),
+allf AS (SELECT stream, line_id, parser, key, value FROM fields WHERE key IS NOT NULL
+         UNION ALL SELECT stream, line_id, parser, key, value FROM labels),
+tot AS (SELECT (SELECT COUNT(*) FROM events) + (SELECT COUNT(*) FROM dl) AS total)
+SELECT key, COUNT(DISTINCT value) AS n_values,
+       CASE WHEN bool_and(TRY_CAST(value AS BIGINT) IS NOT NULL) THEN 'int'
+            WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'float' ELSE 'string' END AS type,
+       array_to_string(list_sort(list_distinct(list(parser))), ',') AS parsers,
+       COUNT(DISTINCT stream || '|' || line_id) AS n_lines,
+       R6(COUNT(DISTINCT stream || '|' || line_id) * 100.0 / (SELECT total FROM tot)) AS pct_lines
+FROM allf GROUP BY key
+"""
+
+
+@query("field_profile", PROFILE_SQL)
+def q_field_profile(spark: SparkSession, root: str) -> DataFrame:
+    """L10 + L11: detected labels and fields: distinct values, type, parsers, line share."""
+    el = event_logs(spark, root)
+    dl = doc_lines(spark, root)
+    fields = _all_fields(spark, root)
+    lab_e = el.select(
+        F.lit("events").alias("stream"), F.col("event_id").cast("string").alias("line_id"),
+        F.explode(F.array(
+            F.struct(F.lit("level").alias("key"), F.col("level").alias("value")),
+            F.struct(F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value")),
+        )).alias("kv"),
+    )
+    lab_d = dl.select(
+        F.lit("documents").alias("stream"), F.concat_ws(":", "doc_id", "line_no").alias("line_id"),
+        F.explode(F.array(
+            F.struct(F.lit("level").alias("key"), F.col("level").alias("value")),
+            F.struct(F.lit("source").alias("key"), F.col("source").alias("value")),
+        )).alias("kv"),
+    )
+    labels = lab_e.unionByName(lab_d).select(
+        "stream", "line_id", F.lit("label").alias("parser"), "kv.key", "kv.value"
+    )
+    allf = fields.where(F.col("key").isNotNull()).unionByName(labels).withColumn(
+        "line", F.concat_ws("|", "stream", "line_id")
+    )
+    total = el.select(F.lit(1).alias("o")).unionByName(dl.select(F.lit(1).alias("o"))).agg(F.count(F.lit(1)))
+    return field_profile(allf, ["line"], total)
+
+
+@query(
+    "log_volume_rollup",
+    f"""
+SELECT {HOUR_SQL} AS bucket, event_type AS level,
+       CAST(SUM(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS volume
+FROM events GROUP BY 1, 2
+""",
+)
+def q_log_volume_rollup(spark: SparkSession, root: str) -> DataFrame:
+    """Rows carry a pre-aggregated count (``k``); roll up 10-minute sums to hours."""
+    el = event_logs(spark, root).withColumn("count", F.get_json_object("line", "$.k").try_cast("int"))
+    fine = el.groupBy(bucket_start(F.col("ts"), 600).alias("b10"), "level").agg(F.sum("count").alias("c"))
+    return fine.groupBy(bucket_start(F.col("b10"), 3600).alias("bucket"), "level").agg(F.sum("c").alias("volume"))
