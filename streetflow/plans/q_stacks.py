@@ -1 +1,98 @@
-"""Registered queries."""
+"""Stack-sample queries (Tier 3, Y1-Y5).
+
+Stand-in (FIXTURES §5): a conversation is one stack sample, its roles in turn
+order are the frames (root = first turn, leaf = last turn), weight 1.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from streetflow.operators.stacks import flame_diff, flame_table, profile_totals, stack_summary
+from streetflow.registry import query
+from streetflow.sources.tables import read_table
+
+SHORT_DEPTH = 4  # stacks of at most this many frames form the "short" selection
+FUNCTION = "system"
+
+LEAF_SQL = """
+s AS (SELECT conv_id, arg_max(role, turn) AS leaf, COUNT(*) AS depth, bool_or(role = 'system') AS has_fn
+      FROM conversations GROUP BY conv_id)"""
+
+
+def frames(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, root, "conversations").select("conv_id", "turn", "role")
+
+
+@query(
+    "flame_table",
+    "WITH " + LEAF_SQL + """,
+self AS (SELECT leaf AS function, COUNT(*) AS self FROM s GROUP BY 1),
+tot AS (SELECT role AS function, COUNT(*) AS total FROM (SELECT DISTINCT conv_id, role FROM conversations) GROUP BY 1)
+SELECT coalesce(tot.function, self.function) AS function, CAST(coalesce(self, 0) AS BIGINT) AS self,
+       CAST(coalesce(total, 0) AS BIGINT) AS total
+FROM tot FULL OUTER JOIN self ON tot.function = self.function
+ORDER BY total DESC, self DESC, function LIMIT 1024
+""",
+)
+def q_flame_table(spark: SparkSession, root: str) -> DataFrame:
+    """Self and total per function, top 1024 nodes."""
+    return flame_table(frames(spark, root), "conv_id", "turn", "role", max_nodes=1024)
+
+
+@query(
+    "flame_diff",
+    "WITH " + LEAF_SQL + f""",
+t AS (SELECT DISTINCT c.conv_id, c.role, CASE WHEN s.depth <= {SHORT_DEPTH} THEN 'left' ELSE 'right' END AS side
+      FROM conversations c JOIN s USING (conv_id)),
+n AS (SELECT COUNT(*) FILTER (WHERE depth <= {SHORT_DEPTH}) AS nl, COUNT(*) FILTER (WHERE depth > {SHORT_DEPTH}) AS nr FROM s),
+f AS (SELECT role AS function, COUNT(*) FILTER (WHERE side = 'left') AS "left",
+             COUNT(*) FILTER (WHERE side = 'right') AS "right" FROM t GROUP BY 1)
+SELECT function, "left", "right", R6("left" / (SELECT nl FROM n)) AS left_share,
+       R6("right" / (SELECT nr FROM n)) AS right_share,
+       R6("right" / (SELECT nr FROM n) - "left" / (SELECT nl FROM n)) AS diff
+FROM f
+""",
+)
+def q_flame_diff(spark: SparkSession, root: str) -> DataFrame:
+    """Functions in short stacks (left) vs long stacks (right): shares and difference."""
+    fr = frames(spark, root)
+    depth = stack_summary(fr, "conv_id", "turn", "role").select("conv_id", "depth")
+    tagged = fr.join(depth, "conv_id")
+    side = F.when(F.col("depth") <= SHORT_DEPTH, F.lit("left")).otherwise(F.lit("right"))
+    out = flame_diff(tagged, "conv_id", "role", side)
+    return out.withColumns({c: F.round(c, 6) for c in ["left_share", "right_share", "diff"]})
+
+
+@query(
+    "profile_totals",
+    "WITH " + LEAF_SQL + f"""
+SELECT CASE WHEN depth <= {SHORT_DEPTH} THEN 'short' ELSE 'long' END AS size, leaf,
+       CAST(COUNT(*) AS BIGINT) AS samples, CAST(COUNT(*) FILTER (WHERE has_fn) AS BIGINT) AS samples_fn,
+       R6(AVG(depth)) AS depth, R6(AVG(depth) FILTER (WHERE has_fn)) AS depth_fn
+FROM s GROUP BY 1, 2 ORDER BY samples DESC, size, leaf LIMIT 10
+""",
+)
+def q_profile_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Y1 + Y2 + Y5: per label set (stack size, leaf): sample total (cumulative) and
+    mean depth (instant), for all functions and for stacks containing 'system'; top 10."""
+    fr = frames(spark, root)
+    s = fr.groupBy("conv_id").agg(
+        F.max_by("role", "turn").alias("leaf"),
+        F.count(F.lit(1)).alias("depth"),
+        F.max(F.col("role") == FUNCTION).alias("has_fn"),
+    ).withColumns(
+        {"size": F.when(F.col("depth") <= SHORT_DEPTH, "short").otherwise("long"), "w": F.lit(1).cast("bigint")}
+    )
+    out = profile_totals(
+        s, ["size", "leaf"], {"samples": ("w", "cumulative"), "depth": ("depth", "instant")}, fn_hit=F.col("has_fn")
+    )
+    out = out.withColumns(
+        {
+            "samples_fn": F.coalesce("samples_fn", F.lit(0).cast("bigint")),
+            "depth": F.round("depth", 6),
+            "depth_fn": F.round("depth_fn", 6),
+        }
+    )
+    return out.orderBy(F.col("samples").desc(), "size", "leaf").limit(10)
