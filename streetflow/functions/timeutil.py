@@ -1,16 +1,17 @@
-"""Time helpers that do not depend on the session zone for TIMESTAMP_NTZ input."""
+"""Time helpers for TIMESTAMP_NTZ input (epoch-aligned buckets, epoch offsets)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (zone-free)."""
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts)
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ."""
+    return F.timestamp_diff("MICROSECOND", epoch_ntz(), ts)
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -26,7 +27,7 @@ def bucket_start(ts: Column, seconds: int) -> Column:
     """
     width = seconds * 1_000_000
     start = F.floor(epoch_micros(ts) / F.lit(width)) * F.lit(width)
-    return F.timestamp_add("MICROSECOND", start, EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", start, epoch_ntz())
 
 
 def day_of(ts: Column) -> Column:

@@ -21,7 +21,7 @@ def read_lake(spark: SparkSession, base: str, schema=ARCHIVE) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(base)
     except AnalysisException as e:  # only a missing path is tolerated
-        if "PATH_NOT_FOUND" in (e.getErrorClass() or "") or "PATH_NOT_FOUND" in str(e):
+        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], schema)
         raise
 
