@@ -197,4 +197,4 @@ def field_profile(fields: DataFrame, line_id: list[str], n_lines: DataFrame) ->
         F.array_join(F.array_sort(F.collect_set("parser")), ",").alias("parsers"),
         F.count_distinct(*[F.col(c) for c in line_id]).alias("n_lines"),
     )
-    return prof.withColumn("pct_lines", F.round(F.try_divide(F.col("n_lines") * 100.0, n_lines.scalar()), 6))
+    return prof.withColumn("pct_lines", F.try_divide(F.col("n_lines") * 100.0, n_lines.scalar()))

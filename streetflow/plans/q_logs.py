@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.logs import (
     LOGFMT_PAIR,
@@ -125,7 +126,7 @@ def q_field_avg(spark: SparkSession, root: str) -> DataFrame:
     """L4: unwrap the numeric field ``k`` and average it per hour and level."""
     el = event_logs(spark, root)
     out = unwrap_avg(el, [bucket_start(F.col("ts"), 3600).alias("bucket"), "level"], F.get_json_object("line", "$.k"))
-    return out.withColumn("avg_value", F.round("avg_value", 6))
+    return out.withColumn("avg_value", rnd("avg_value"))
 
 
 @query(
@@ -162,7 +163,7 @@ def q_series_sort(spark: SparkSession, root: str) -> DataFrame:
     """Per-source line-count series ordered by standard deviation (desc), then name."""
     c = doc_lines(spark, root).groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"))
     ranked = rank_series(series_stats(c, "source", "n"), "stddev", "source")
-    return ranked.withColumns({k: F.round(k, 6) for k in ["stddev", "p50", "p90"]})
+    return ranked.withColumns({k: rnd(k) for k in ["stddev", "p50", "p90"]})
 
 
 @query(
@@ -256,7 +257,7 @@ def q_field_profile(spark: SparkSession, root: str) -> DataFrame:
         "line", F.concat_ws("|", "stream", "line_id")
     )
     total = el.select(F.lit(1).alias("o")).unionByName(dl.select(F.lit(1).alias("o"))).agg(F.count(F.lit(1)))
-    return field_profile(allf, ["line"], total)
+    return field_profile(allf, ["line"], total).withColumn("pct_lines", rnd("pct_lines"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.rounding import nudge_sql, rnd
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.latest import latest_per_key
 from streetflow.operators.panels import (
@@ -145,7 +146,7 @@ def q_long_to_wide(spark: SparkSession, root: str) -> DataFrame:
     wide = long_to_wide(
         t.withColumn("hierarchie", F.col("labels")["hierarchie"]), "bucket", "hierarchie", "avg_speed", HIERARCHIES
     )
-    return wide.select("bucket", *[F.round(h, 6).alias(h) for h in HIERARCHIES])
+    return wide.select("bucket", *[rnd(h).alias(h) for h in HIERARCHIES])
 
 
 @query(
@@ -157,9 +158,9 @@ def q_variable_values(spark: SparkSession, root: str) -> DataFrame:
     return variable_values(_traffic(spark, root), "denomination", {"hierarchie": "purchase"})
 
 
-PANEL_SQL_TEXT = """
-SELECT denomination AS id, COUNT(*) AS n, ROUND(AVG(avg_speed), 6) AS avg_speed, MAX(ts) AS last_seen
-FROM {t} WHERE hierarchie = :h GROUP BY denomination
+PANEL_SQL_TEXT = f"""
+SELECT denomination AS id, COUNT(*) AS n, ROUND({nudge_sql("AVG(avg_speed)")}, 6) AS avg_speed, MAX(ts) AS last_seen
+FROM {{t}} WHERE hierarchie = :h GROUP BY denomination
 """
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start, day_of, epoch_micros
 from streetflow.operators.samples import (
     aggregate,
@@ -64,7 +65,11 @@ def counters(spark: SparkSession, root: str) -> DataFrame:
 
 
 def r6(c):
-    return F.round(c, 6)
+    return rnd(c)
+
+
+def r6_moment(name: str):
+    return rnd(name)
 
 
 ALL_OPS = ["sum", "min", "max", "avg", "count", "stddev", "stdvar", "group"]
@@ -74,8 +79,8 @@ ALL_OPS = ["sum", "min", "max", "avg", "count", "stddev", "stdvar", "group"]
     "series_aggregates",
     f"""
 SELECT {DAY_SQL} AS day, event_type, R6(SUM(value)) AS "sum", MIN(value) AS "min", MAX(value) AS "max",
-       R6(AVG(value)) AS "avg", COUNT(value) AS "count", R4(STDDEV_POP(value)) AS "stddev",
-       R3(VAR_POP(value)) AS "stdvar", 1 AS "group"
+       R6(AVG(value)) AS "avg", COUNT(value) AS "count", R6(STDDEV_POP(value)) AS "stddev",
+       R6(VAR_POP(value)) AS "stdvar", 1 AS "group"
 FROM events GROUP BY 1, 2
 """,
 )
@@ -83,9 +88,8 @@ def q_series_aggregates(spark: SparkSession, root: str) -> DataFrame:
     """M2: sum/min/max/avg/count/stddev/stdvar/group by (day, event_type)."""
     g = gauges(spark, root).withColumn("day", day_of(F.col("ts")))
     out = aggregate(g, ["day", "event_type"], "value", ALL_OPS)
-    # second moments differ between engines in the 10th digit: compare fewer decimals
     return out.withColumns(
-        {"sum": r6(F.col("sum")), "avg": r6(F.col("avg")), "stddev": F.round("stddev", 4), "stdvar": F.round("stdvar", 3)}
+        {"sum": r6(F.col("sum")), "avg": r6(F.col("avg")), "stddev": r6_moment("stddev"), "stdvar": r6_moment("stdvar")}
     )
 
 
@@ -164,8 +168,8 @@ def q_counter_increase(spark: SparkSession, root: str) -> DataFrame:
 WITH x AS (SELECT e.*, (epoch_us(ts) // {HOUR_US} - r.i) * {HOUR_US} AS ws FROM events e, range(6) r(i))
 SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {6 * HOUR_US}) AS window_end, event_type,
        R6(AVG(value)) AS "avg", COUNT(value) AS "count", last(value ORDER BY ts, event_id) AS "last",
-       MAX(value) AS "max", MIN(value) AS "min", 1 AS present, R4(STDDEV_POP(value)) AS stddev,
-       R3(VAR_POP(value)) AS stdvar, R6(SUM(value)) AS "sum", R6(quantile_cont(value, 0.5)) AS median
+       MAX(value) AS "max", MIN(value) AS "min", 1 AS present, R6(STDDEV_POP(value)) AS stddev,
+       R6(VAR_POP(value)) AS stdvar, R6(SUM(value)) AS "sum", R6(quantile_cont(value, 0.5)) AS median
 FROM x GROUP BY 1, 2, 3
 """,
 )
@@ -175,7 +179,7 @@ def q_over_time_sliding(spark: SparkSession, root: str) -> DataFrame:
     return out.withColumns(
         {
             "avg": r6(F.col("avg")), "sum": r6(F.col("sum")), "median": r6(F.col("median")),
-            "stddev": F.round("stddev", 4), "stdvar": F.round("stdvar", 3),
+            "stddev": r6_moment("stddev"), "stdvar": r6_moment("stdvar"),
         }
     )
 

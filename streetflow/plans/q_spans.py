@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.spans import (
     compare,
@@ -66,7 +67,7 @@ def q_red_metrics(spark: SparkSession, root: str) -> DataFrame:
     """Weekly rate, error rate and p50/p90 duration per service."""
     out = red(spans(spark, root), "service", WEEK_S)
     return out.withColumns(
-        {"rate": F.round("rate", 9), "error_rate": F.round("error_rate", 9), "p50": F.round("p50", 6), "p90": F.round("p90", 6)}
+        {"rate": rnd("rate", 9), "error_rate": rnd("error_rate", 9), "p50": rnd("p50"), "p90": rnd("p90")}
     )
 
 
@@ -84,7 +85,7 @@ def q_slow_services(spark: SparkSession, root: str) -> DataFrame:
     return r.groupBy("service").agg(
         F.count(F.lit(1)).alias("n_roots"),
         F.count_if(F.col("status") == "error").alias("n_errored"),
-        F.round(F.percentile(F.col("duration"), 0.9), 6).alias("p90"),
+        rnd(F.percentile(F.col("duration"), 0.9)).alias("p90"),
     )
 
 
@@ -125,7 +126,7 @@ FROM m
 def q_baseline_compare(spark: SparkSession, root: str) -> DataFrame:
     """Error spans vs the rest: share difference per attribute value, attributes ranked."""
     out = compare(spans(spark, root), F.col("status") == "error", ["service", "name"])
-    return out.withColumns({c: F.round(c, 6) for c in ["sel_share", "base_share", "diff", "max_abs_diff"]})
+    return out.withColumns({c: rnd(c) for c in ["sel_share", "base_share", "diff", "max_abs_diff"]})
 
 
 @query(

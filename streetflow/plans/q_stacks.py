@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.rounding import rnd
 from streetflow.operators.stacks import flame_diff, flame_table, profile_totals, stack_summary
 from streetflow.registry import query
 from streetflow.sources.tables import read_table
@@ -62,7 +63,7 @@ def q_flame_diff(spark: SparkSession, root: str) -> DataFrame:
     tagged = fr.join(depth, "conv_id")
     side = F.when(F.col("depth") <= SHORT_DEPTH, F.lit("left")).otherwise(F.lit("right"))
     out = flame_diff(tagged, "conv_id", "role", side)
-    return out.withColumns({c: F.round(c, 6) for c in ["left_share", "right_share", "diff"]})
+    return out.withColumns({c: rnd(c) for c in ["left_share", "right_share", "diff"]})
 
 
 @query(
@@ -91,8 +92,8 @@ def q_profile_totals(spark: SparkSession, root: str) -> DataFrame:
     out = out.withColumns(
         {
             "samples_fn": F.coalesce("samples_fn", F.lit(0).cast("bigint")),
-            "depth": F.round("depth", 6),
-            "depth_fn": F.round("depth_fn", 6),
+            "depth": rnd("depth"),
+            "depth_fn": rnd("depth_fn"),
         }
     )
     return out.orderBy(F.col("samples").desc(), "size", "leaf").limit(10)

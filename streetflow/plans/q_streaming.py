@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from streetflow.functions.rounding import rnd
 from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, PROJECT_SQL
 from streetflow.plans.sqlparts import POINTS, SHAPES, TRAFFIC, with_
 from streetflow.registry import query
@@ -130,7 +131,7 @@ def q_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
     agg = tumbling_stream(rows, "ts", ["denomination"], "9 minutes", "9 minutes")
     out = work_dir(spark, "tumbling")
     run_to_end([file_sink(agg, out, work_dir(spark, "checkpoints"))])
-    return spark.read.parquet(out).withColumn("avg_speed", F.round("avg_speed", 6)).select(
+    return spark.read.parquet(out).withColumn("avg_speed", rnd("avg_speed")).select(
         "window_start", "window_end", "denomination", "avg_speed", "n_records"
     )
 

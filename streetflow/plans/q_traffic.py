@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.rounding import rnd
 from streetflow.functions.parse import expand, is_rejected, project_archive, store_row
 from streetflow.functions.status import status_colour
 from streetflow.operators.analysis import (
@@ -26,7 +27,7 @@ from streetflow.sources.tables import read_table
 
 
 def r6(c):
-    return F.round(c, 6)
+    return rnd(c)
 
 
 def archive_day(a: DataFrame, day: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streetflow.functions.rounding import nudge_sql
 from streetflow.session import ensure_utc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +24,9 @@ ORACLES: dict[str, str] = {}
 def expand_r6(sql: str) -> str:
     """``R<n>(x)`` in oracle text -> Spark's ``round(x, n)`` semantics in DuckDB.
 
-    Spark rounds the shortest decimal text of a double HALF_UP (so
-    0.7453124999999999 -> 0.745312), while DuckDB's ROUND scales the binary
-    value first.  Rounding DuckDB's (also shortest) text as a DECIMAL gives
-    Spark's answer.
+    Both sides first add the bounded nudge of ``functions.rounding`` (exact
+    midpoints would otherwise round by last-bit noise), then round HALF_UP on
+    the decimal text of the double, which is what Spark's ``round`` does.
     """
     out, i = [], 0
     while True:
@@ -40,8 +40,9 @@ def expand_r6(sql: str) -> str:
             depth += {"(": 1, ")": -1}.get(sql[k], 0)
             k += 1
         inner = expand_r6(sql[m.end() : k - 1])
-        n = m.group(1)
-        out.append(f"CAST(ROUND(TRY_CAST(CAST(({inner}) AS VARCHAR) AS DECIMAL(38,17)), {n}) AS DOUBLE)")
+        n = int(m.group(1))
+        v = nudge_sql(inner, n)
+        out.append(f"CAST(ROUND(TRY_CAST(CAST({v} AS VARCHAR) AS DECIMAL(38,17)), {n}) AS DOUBLE)")
         i = k
 
 
