@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streetflow.sources.tables import balanced
+
 # --- fixed values: our pattern rule and the logfmt pair shape -------------------
 HEX_RUN = r"[0-9a-fA-F]{16,}"
 DIGIT_RUN = r"[0-9]+"
@@ -59,6 +61,7 @@ def parsed_fields(df: DataFrame, ids: list[str], line: str = "line") -> DataFram
     A line with no field (or that fails to parse) is kept once with nulls --
     the parse error is not turned into a label.
     """
+    df = balanced(df)
     j = json_map(F.col(line))
     pairs = F.transform(
         logfmt_pairs(F.col(line)),
@@ -97,7 +100,7 @@ def patterns(df: DataFrame, line: str, bucket: str, level: str, limit: int = 500
     """Pattern roll-up: total, buckets seen, set of levels; the ``limit``
     largest patterns (ties by pattern text).  One aggregation: counts combine
     map-side and the level set per pattern is bounded by the number of levels."""
-    p = df.withColumn("pattern", mask_pattern(F.col(line)))
+    p = balanced(df).withColumn("pattern", mask_pattern(F.col(line)))
     out = p.groupBy("pattern").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_distinct(bucket).alias("n_buckets"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
+from streetflow.session import checkpoint_root
 
 
 def red(spans: DataFrame, attribute: str, bucket_s: int, qs=(0.5, 0.9)) -> DataFrame:
@@ -83,8 +84,10 @@ def ancestors(spans: DataFrame, max_depth: int = 64) -> DataFrame:
     Each step is one equi-join on ``(trace_id, span_id)`` -- linear in the number
     of spans -- and the walk stops when no span has a further parent, so the
     work is spans x depth and no pair of unrelated spans is ever formed.
-    Lineage is cut with a reliable checkpoint every few steps.
+    The frontier is checkpointed (into the shared ``spark.checkpoint.dir``) every
+    few steps, so a deep tree never carries a growing lineage.
     """
+    checkpoint_root(spans.sparkSession)
     nodes = spans.select("trace_id", "span_id", "parent_id")
     step = nodes.where(F.col("parent_id") >= 0).select(
         "trace_id", "span_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("distance")

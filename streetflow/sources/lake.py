@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.schema import ARCHIVE, SEQ
+from streetflow.schema import ARCHIVE
 
 PARTITION = "date_partition"
 
@@ -31,17 +31,18 @@ def read_day(spark: SparkSession, base: str, day: str, schema=ARCHIVE) -> DataFr
     return read_lake(spark, base, schema).where(F.col(PARTITION) == F.lit(day))
 
 
-def write_lake(df: DataFrame, base: str, files_per_day: int = 4, mode: str = "append") -> None:
+def write_lake(df: DataFrame, base: str, mode: str = "append", max_records_per_file: int = 5_000_000) -> None:
     """K1 (batch form): append rows partitioned by day.
 
-    Rows are spread over ``files_per_day`` tasks per day by a hash of the
-    arrival order, so one hot day is written by several tasks instead of one,
-    while the number of files per day stays bounded.
+    ``rebalance`` on the day column lets AQE size the write tasks from the
+    measured shuffle: a hot day is split into several advisory-size tasks and
+    small days are merged, so files stay near the target size whatever the
+    skew, and no task holds a whole day.
     """
-    salt = F.pmod(F.xxhash64(F.col(SEQ)), F.lit(files_per_day)) if SEQ in df.columns else F.rand(7)
     (
-        df.repartition(F.col(PARTITION), salt)
+        df.hint("rebalance", PARTITION)
         .write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(PARTITION)
         .parquet(base)
     )

@@ -11,3 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work (regex, JSON)
+    when the input has fewer partitions than there are cores -- e.g. a table
+    stored as one large row group.  A large input already arrives in thousands
+    of splits and is returned unchanged (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

@@ -46,9 +46,31 @@ def landing_source(spark: SparkSession, path: str, fmt: str = "text", max_files:
 
 
 def parse_stream(messages: DataFrame, seq_col: str = SEQ) -> DataFrame:
-    """P1-P4 on a stream: value -> archive rows (seq = arrival order column)."""
-    seq = F.col(seq_col) if seq_col in messages.columns else F.lit(None)
-    return project_archive(expand(messages, keep=[seq_col] if seq_col in messages.columns else []), seq=seq)
+    """P1-P4 on a stream: value -> archive rows.
+
+    The arrival order is the source's own column when it has one (a Kafka
+    offset, a position), else the record's location reference as written by
+    the sender (null for a message that does not parse).
+    """
+    if seq_col in messages.columns:
+        return project_archive(expand(messages, keep=[seq_col]), seq=F.col(seq_col))
+    parsed = expand(messages)
+    return project_archive(parsed, seq=F.col("predefinedlocationreference").try_cast("bigint"))
+
+
+def kafka_sink(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Publish ``value`` (and ``key``, null here) to a topic.  Needs the Kafka
+    package on the classpath, which this environment does not have (untested)."""
+    w = (
+        messages.select("key", "value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def lake_sink(
@@ -98,6 +120,16 @@ def realtime_rows(archive_rows: DataFrame) -> DataFrame:
     return s.withColumn("date_time", F.col("date_time").cast("timestamp_ntz"))
 
 
+def await_any(spark: SparkSession) -> None:
+    """T3 for long-running jobs: block until any query ends; on interrupt or failure
+    stop every active query of the session."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for q in spark.streams.active:
+            q.stop()
+
+
 def run_to_end(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for every query; on failure or interrupt stop all and re-raise."""
     try:
