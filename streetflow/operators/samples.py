@@ -242,10 +242,12 @@ def outlier_runs(df: DataFrame, series: str, bucket: str, value: str, k: float =
     Two grouped passes (each a small per-bucket table joined back on the bucket
     key) and one lag per series; no pairwise comparison of series.
     """
+    # med / mad hold one row per bucket: their size is bounded by the time range
+    # over the bucket width, not by the data, so they are broadcast explicitly.
     med = df.groupBy(bucket).agg(F.percentile(F.col(value), 0.5).alias("med"))
-    d = df.join(med, bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
+    d = df.join(F.broadcast(med), bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
     mad = d.groupBy(bucket).agg(F.percentile(F.col("dev"), 0.5).alias("mad"))
-    flagged = d.join(mad, bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
+    flagged = d.join(F.broadcast(mad), bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
     prev = F.lag("outlier").over(Window.partitionBy(series).orderBy(bucket))
     starts = flagged.withColumn("run_start", F.col("outlier") & F.coalesce(~prev, F.lit(True)))
     return starts.groupBy(series).agg(
