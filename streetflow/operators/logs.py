@@ -110,7 +110,10 @@ def patterns(df: DataFrame, line: str, bucket: str, level: str, limit: int = 500
 
 
 def series_stats(df: DataFrame, series: str, value: str) -> DataFrame:
-    """One number per series for ordering: stdDev, sum, max, min, p50, p90."""
+    """One number per series for ordering: stdDev, sum, max, min, p50, p90.
+
+    The input is one value per (series, bucket), so a series holds at most the
+    number of buckets in the range; the plain ``percentile`` map stays bounded."""
     return df.groupBy(series).agg(
         F.stddev_pop(value).alias("stddev"),
         F.sum(value).alias("sum"),

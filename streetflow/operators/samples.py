@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
+from streetflow.operators.quantiles import exact_quantiles, qname
 
 # --- fixed values: metric-type rules by name ------------------------------------
 COUNTER_SUFFIX = r"_(count|total|sum)$"
@@ -63,12 +64,13 @@ def count_values(df: DataFrame, by: list[str], value: str, label: str) -> DataFr
 
 
 def quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], exact: bool = True) -> DataFrame:
-    """M3: quantiles with linear interpolation; ``exact=False`` switches to the
-    bounded-memory ``percentile_approx`` sketch for very large groups."""
-    def one(q: float) -> Column:
-        return F.percentile(F.col(value), q) if exact else F.percentile_approx(F.col(value), q, 10000)
-
-    return df.groupBy(*by).agg(*[one(q).alias(f"q{int(round(q * 100))}") for q in qs])
+    """M3: quantiles with linear interpolation, exact and skew-safe
+    (``operators.quantiles``); ``exact=False`` uses the ``percentile_approx`` sketch."""
+    if exact:
+        return exact_quantiles(df, by, value, qs)
+    return df.groupBy(*by).agg(
+        *[F.percentile_approx(F.col(value), q, 10000).alias(qname(q)) for q in qs]
+    )
 
 
 def topk(df: DataFrame, bucket: list[str], value: str, name: str, k: int, bottom: bool = False) -> DataFrame:
@@ -102,9 +104,14 @@ def over_time(
 ) -> DataFrame:
     """M6: ``*_over_time`` folds per series over sliding windows of ``range_`` every ``step``."""
     last_key = F.struct(F.col(ts), *[F.col(c) for c in (order or [])])
-    return (
-        df.groupBy(F.window(ts, range_, step).alias("w"), *series)
-        .agg(
+    windowed = df.select(F.window(ts, range_, step).alias("w"), *series, value, ts, *(order or []))
+    out = exact_quantiles(
+        windowed,
+        ["w", *series],
+        value,
+        [0.5],
+        names=["median"],
+        others=[
             F.avg(value).alias("avg"),
             F.count(value).alias("count"),
             F.max_by(value, last_key).alias("last"),
@@ -114,11 +121,9 @@ def over_time(
             F.stddev_pop(value).alias("stddev"),
             F.var_pop(value).alias("stdvar"),
             F.sum(value).alias("sum"),
-            F.percentile(F.col(value), 0.5).alias("median"),
-        )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
-        .drop("w")
+        ],
     )
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
 
 
 def offset(df: DataFrame, series: list[str], bucket: str, value: str, seconds: int) -> DataFrame:
@@ -244,9 +249,9 @@ def outlier_runs(df: DataFrame, series: str, bucket: str, value: str, k: float =
     """
     # med / mad hold one row per bucket: their size is bounded by the time range
     # over the bucket width, not by the data, so they are broadcast explicitly.
-    med = df.groupBy(bucket).agg(F.percentile(F.col(value), 0.5).alias("med"))
+    med = exact_quantiles(df, [bucket], value, [0.5], names=["med"])
     d = df.join(F.broadcast(med), bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
-    mad = d.groupBy(bucket).agg(F.percentile(F.col("dev"), 0.5).alias("mad"))
+    mad = exact_quantiles(d, [bucket], "dev", [0.5], names=["mad"])
     flagged = d.join(F.broadcast(mad), bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
     prev = F.lag("outlier").over(Window.partitionBy(series).orderBy(bucket))
     starts = flagged.withColumn("run_start", F.col("outlier") & F.coalesce(~prev, F.lit(True)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
+from streetflow.operators.quantiles import exact_quantiles
 from streetflow.session import checkpoint_root
 
 
@@ -20,11 +21,17 @@ def red(spans: DataFrame, attribute: str, bucket_s: int, qs=(0.5, 0.9)) -> DataF
     """Rate, error rate and duration quantiles per time bucket and attribute value;
     spans without the attribute are left out."""
     s = spans.where(F.col(attribute).isNotNull()).withColumn("bucket", bucket_start(F.col("start_ts"), bucket_s))
-    return s.groupBy("bucket", attribute).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count(F.lit(1)) / F.lit(float(bucket_s))).alias("rate"),
-        (F.count_if(F.col("status") == "error") / F.lit(float(bucket_s))).alias("error_rate"),
-        *[F.percentile(F.col("duration"), q).alias(f"p{int(q * 100)}") for q in qs],
+    return exact_quantiles(
+        s,
+        ["bucket", attribute],
+        "duration",
+        list(qs),
+        names=[f"p{int(q * 100)}" for q in qs],
+        others=[
+            F.count(F.lit(1)).alias("n"),
+            (F.count(F.lit(1)) / F.lit(float(bucket_s))).alias("rate"),
+            (F.count_if(F.col("status") == "error") / F.lit(float(bucket_s))).alias("error_rate"),
+        ],
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start
+from streetflow.operators.quantiles import exact_quantiles
 from streetflow.operators.spans import (
     compare,
     duration_histogram,
@@ -82,11 +83,11 @@ FROM spans WHERE parent_id < 0 GROUP BY 1
 def q_slow_services(spark: SparkSession, root: str) -> DataFrame:
     """Root spans per service: count, errored count and p90 duration."""
     r = roots(spans(spark, root))
-    return r.groupBy("service").agg(
-        F.count(F.lit(1)).alias("n_roots"),
-        F.count_if(F.col("status") == "error").alias("n_errored"),
-        rnd(F.percentile(F.col("duration"), 0.9)).alias("p90"),
+    out = exact_quantiles(
+        r, ["service"], "duration", [0.9], names=["p90"],
+        others=[F.count(F.lit(1)).alias("n_roots"), F.count_if(F.col("status") == "error").alias("n_errored")],
     )
+    return out.withColumn("p90", rnd("p90"))
 
 
 @query(
