@@ -87,16 +87,16 @@ def _refined(v: DataFrame, keys: list[str], qs: list[float], names: list[str], s
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("qi"), (F.lit(q) * (F.col("_n") - 1)).alias("pos"))
+                    F.struct(F.lit(i).alias("_qi"), (F.lit(q) * (F.col("_n") - 1)).alias("_pos"))
                     for i, q in enumerate(qs)
                 ]
             )
-        ).alias("w"),
-    ).select(*keys, "_lo", "_hi", "_n", "w.qi", "w.pos")
+        ).alias("_w"),
+    ).select(*keys, "_lo", "_hi", "_n", "_w._qi", "_w._pos")
     wants = wants.withColumns(
-        {"r_lo": F.floor("pos").cast("bigint"), "r_hi": F.ceil("pos").cast("bigint"), "frac": F.col("pos") - F.floor("pos")}
+        {"_rlo": F.floor("_pos").cast("bigint"), "_rhi": F.ceil("_pos").cast("bigint"), "_frac": F.col("_pos") - F.floor("_pos")}
     )
-    ranks = wants.select(*keys, "_lo", "_hi", F.explode(F.array("r_lo", "r_hi")).alias("_r")).distinct()
+    ranks = wants.select(*keys, "_lo", "_hi", F.explode(F.array("_rlo", "_rhi")).alias("_r")).distinct()
     # a cell: value range [_lo, _hi] of a group, the rank sought, ranks below _lo (_off), values inside (_cnt)
     cells = _join(ranks, stats.select(*keys, "_n"), keys).select(
         *keys, "_lo", "_hi", "_r", F.lit(0).cast("bigint").alias("_off"), F.col("_n").alias("_cnt")
@@ -151,14 +151,14 @@ def _pick(v: DataFrame, keys: list[str], cells: DataFrame) -> DataFrame:
 
 
 def _interpolate(wants: DataFrame, vals: DataFrame, keys: list[str], qs: list[float], names: list[str]) -> DataFrame:
-    lo = vals.select(*keys, F.col("_r").alias("r_lo"), F.col("_val").alias("v_lo"))
-    hi = vals.select(*keys, F.col("_r").alias("r_hi"), F.col("_val").alias("v_hi"))
-    w = _join(_join(wants, lo, [*keys, "r_lo"]), hi, [*keys, "r_hi"])
+    lo = vals.select(*keys, F.col("_r").alias("_rlo"), F.col("_val").alias("_vlo"))
+    hi = vals.select(*keys, F.col("_r").alias("_rhi"), F.col("_val").alias("_vhi"))
+    w = _join(_join(wants, lo, [*keys, "_rlo"]), hi, [*keys, "_rhi"])
     # same arithmetic as Spark's percentile
-    val = F.when(F.col("r_hi") == F.col("r_lo"), F.col("v_lo")).otherwise(
-        (F.col("r_hi") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.col("r_lo")) * F.col("v_hi")
+    val = F.when(F.col("_rhi") == F.col("_rlo"), F.col("_vlo")).otherwise(
+        (F.col("_rhi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_rlo")) * F.col("_vhi")
     )
-    long = w.select(*keys, "qi", val.alias("_q"))
+    long = w.select(*keys, "_qi", val.alias("_q"))
     return long.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
+        *[F.max(F.when(F.col("_qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
