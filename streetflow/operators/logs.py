@@ -188,6 +188,24 @@ def infer_type(value: Column) -> tuple[Column, Column]:
     return value.try_cast("bigint").isNotNull(), value.try_cast("double").isNotNull()
 
 
+def _type_of(is_int: Column, is_num: Column) -> Column:
+    return F.when(F.every(is_int), F.lit("int")).when(F.every(is_num), F.lit("float")).otherwise(F.lit("string"))
+
+
+def label_profile(labels: DataFrame, n_lines: DataFrame) -> DataFrame:
+    """L10 + L11 for stream labels: ``labels`` = ``(key, value, weight)`` with one
+    row per labelled unit (an event, a document) and ``weight`` = its lines.
+    Every line of a unit carries the unit's labels, so lines = sum of weights."""
+    is_int, is_num = infer_type(F.col("value"))
+    prof = labels.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.count_distinct("value").alias("n_values"),
+        _type_of(is_int, is_num).alias("type"),
+        F.lit("label").alias("parsers"),
+        F.sum("weight").cast("bigint").alias("n_lines"),
+    )
+    return prof.withColumn("pct_lines", F.try_divide(F.col("n_lines") * 100.0, n_lines.scalar()))
+
+
 def field_profile(fields: DataFrame, line_id: list[str], n_lines: DataFrame) -> DataFrame:
     """L10 + L11: per field name: distinct values, inferred type, parsers that found it,
     lines carrying it and their share of all lines.
@@ -199,7 +217,7 @@ def field_profile(fields: DataFrame, line_id: list[str], n_lines: DataFrame) ->
     f = fields.where(F.col("key").isNotNull()).withColumns({"_i": is_int, "_n": is_num})
     prof = f.groupBy("key").agg(
         F.count_distinct("value").alias("n_values"),
-        F.when(F.every("_i"), F.lit("int")).when(F.every("_n"), F.lit("float")).otherwise(F.lit("string")).alias("type"),
+        _type_of(F.col("_i"), F.col("_n")).alias("type"),
         F.array_join(F.array_sort(F.collect_set("parser")), ",").alias("parsers"),
         F.count_distinct(*[F.col(c) for c in line_id]).alias("n_lines"),
     )

@@ -17,6 +17,7 @@ from streetflow.operators.logs import (
     LOGFMT_PAIR,
     bytes_volume,
     field_profile,
+    label_profile,
     label_volumes,
     line_filter,
     line_format,
@@ -211,53 +212,55 @@ def q_log_bytes(spark: SparkSession, root: str) -> DataFrame:
 
 
 PROFILE_SQL = "WITH " + FIELDS_SQL + """,
+nl AS (SELECT doc_id, lang, source, len(string_split(text, chr(10))) AS w FROM documents WHERE text IS NOT NULL),
 labels AS (
-  SELECT 'label' AS parser, 'level' AS key, event_type AS value, CAST(event_id AS VARCHAR) AS line_id, 'events' AS stream FROM events
-  UNION ALL SELECT 'label', 'user_id', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), 'events' FROM events
-  UNION ALL SELECT 'label', 'level', level, doc_id || ':' || line_no, 'documents' FROM dl
-  UNION ALL SELECT 'label', 'source', source, doc_id || ':' || line_no, 'documents' FROM dl
+  SELECT 'level' AS key, event_type AS value, 1 AS w FROM events
+  UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), 1 FROM events
+  UNION ALL SELECT 'level', lang, w FROM nl
+  UNION ALL SELECT 'source', source, w FROM nl
 ),
-allf AS (SELECT stream, line_id, parser, key, value FROM fields WHERE key IS NOT NULL
-         UNION ALL SELECT stream, line_id, parser, key, value FROM labels),
-tot AS (SELECT (SELECT COUNT(*) FROM events) + (SELECT COUNT(*) FROM dl) AS total)
-SELECT key, COUNT(DISTINCT value) AS n_values,
-       CASE WHEN bool_and(TRY_CAST(value AS BIGINT) IS NOT NULL) THEN 'int'
-            WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'float' ELSE 'string' END AS type,
-       array_to_string(list_sort(list_distinct(list(parser))), ',') AS parsers,
-       COUNT(DISTINCT stream || '|' || line_id) AS n_lines,
-       R6(COUNT(DISTINCT stream || '|' || line_id) * 100.0 / (SELECT total FROM tot)) AS pct_lines
-FROM allf GROUP BY key
+tot AS (SELECT (SELECT COUNT(*) FROM events) + (SELECT SUM(w) FROM nl) AS total),
+lp AS (
+  SELECT 'label' AS kind, key, COUNT(DISTINCT value) AS n_values,
+         CASE WHEN bool_and(TRY_CAST(value AS BIGINT) IS NOT NULL) THEN 'int'
+              WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'float' ELSE 'string' END AS type,
+         'label' AS parsers, CAST(SUM(w) AS BIGINT) AS n_lines
+  FROM labels WHERE key IS NOT NULL GROUP BY key
+),
+fp AS (
+  SELECT 'field' AS kind, key, COUNT(DISTINCT value) AS n_values,
+         CASE WHEN bool_and(TRY_CAST(value AS BIGINT) IS NOT NULL) THEN 'int'
+              WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'float' ELSE 'string' END AS type,
+         array_to_string(list_sort(list_distinct(list(parser))), ',') AS parsers,
+         COUNT(DISTINCT stream || '|' || line_id) AS n_lines
+  FROM fields WHERE key IS NOT NULL GROUP BY key
+)
+SELECT kind, key, n_values, type, parsers, n_lines, R6(n_lines * 100.0 / (SELECT total FROM tot)) AS pct_lines
+FROM (SELECT * FROM lp UNION ALL SELECT * FROM fp)
 """
 
 
 @query("field_profile", PROFILE_SQL)
 def q_field_profile(spark: SparkSession, root: str) -> DataFrame:
-    """L10 + L11: detected labels and fields: distinct values, type, parsers, line share."""
-    el = event_logs(spark, root)
-    dl = doc_lines(spark, root)
-    fields = _all_fields(spark, root)
-    lab_e = el.select(
-        F.lit("events").alias("stream"), F.col("event_id").cast("string").alias("line_id"),
-        F.explode(F.array(
-            F.struct(F.lit("level").alias("key"), F.col("level").alias("value")),
-            F.struct(F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value")),
-        )).alias("kv"),
-    )
-    lab_d = dl.select(
-        F.lit("documents").alias("stream"), F.concat_ws(":", "doc_id", "line_no").alias("line_id"),
-        F.explode(F.array(
-            F.struct(F.lit("level").alias("key"), F.col("level").alias("value")),
-            F.struct(F.lit("source").alias("key"), F.col("source").alias("value")),
-        )).alias("kv"),
+    """L10 + L11: detected labels (per labelled unit, weighted by its lines) and
+    detected fields (per parsed line): distinct values, type, parsers, line share."""
+    ev = read_table(spark, root, "events")
+    docs = read_table(spark, root, "documents").where(F.col("text").isNotNull()).select(
+        "lang", "source", F.size(F.split("text", "\n", -1)).alias("w")
     )
-    labels = lab_e.unionByName(lab_d).select(
-        "stream", "line_id", F.lit("label").alias("parser"), "kv.key", "kv.value"
+    one = F.lit(1).cast("bigint")
+    labels = (
+        ev.select(F.lit("level").alias("key"), F.col("event_type").alias("value"), one.alias("weight"))
+        .unionByName(ev.select(F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value"), one.alias("weight")))
+        .unionByName(docs.select(F.lit("level").alias("key"), F.col("lang").alias("value"), F.col("w").cast("bigint").alias("weight")))
+        .unionByName(docs.select(F.lit("source").alias("key"), F.col("source").alias("value"), F.col("w").cast("bigint").alias("weight")))
     )
-    allf = fields.where(F.col("key").isNotNull()).unionByName(labels).withColumn(
-        "line", F.concat_ws("|", "stream", "line_id")
+    total = ev.select(one.alias("w")).unionByName(docs.select(F.col("w").cast("bigint"))).agg(F.sum("w"))
+    fields = _all_fields(spark, root).withColumn("line", F.concat_ws("|", "stream", "line_id"))
+    out = label_profile(labels, total).withColumn("kind", F.lit("label")).unionByName(
+        field_profile(fields, ["line"], total).withColumn("kind", F.lit("field"))
     )
-    total = el.select(F.lit(1).alias("o")).unionByName(dl.select(F.lit(1).alias("o"))).agg(F.count(F.lit(1)))
-    return field_profile(allf, ["line"], total).withColumn("pct_lines", rnd("pct_lines"))
+    return out.select("kind", "key", "n_values", "type", "parsers", "n_lines", rnd("pct_lines").alias("pct_lines"))
 
 
 @query(

@@ -164,8 +164,9 @@ def spans(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_extendedprice").alias("duration"),
         F.col("l_shipdate").alias("start_ts"),
     ).withColumns({"lft": F.col("span_id") * 2 - 1, "rgt": F.col("span_id") * 2})
-    per_order = kids.groupBy("trace_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col("status") == "error").alias("any_error")
+    # per-trace size and error flag straight from lineitem (an aggregate, no window)
+    per_order = li.groupBy(F.col("l_orderkey").alias("trace_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("l_returnflag") == "R").alias("any_error")
     )
     roots = (
         o.join(per_order, o.o_orderkey == per_order.trace_id, "left")
