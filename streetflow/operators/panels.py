@@ -71,6 +71,32 @@ def unix_epoch(ts: str | datetime) -> int:
     return int((d - datetime(1970, 1, 1)).total_seconds())
 
 
+def macro_values(time_from: str, time_to: str) -> dict[str, str]:
+    """Q2: SQL literals of the time-range macros for a UTC range.
+
+    ``$__timeFrom/$__timeTo`` are timestamps, ``$__unixEpochFrom/To`` epoch
+    seconds, ``$__from/$__to`` epoch milliseconds.
+    """
+    f, t = datetime.fromisoformat(time_from), datetime.fromisoformat(time_to)
+    ms = lambda d: int((d - datetime(1970, 1, 1)).total_seconds() * 1000)
+    return {
+        "$__timeFrom": f"TIMESTAMP_NTZ '{f.isoformat(sep=' ')}'",
+        "$__timeTo": f"TIMESTAMP_NTZ '{t.isoformat(sep=' ')}'",
+        "$__unixEpochFrom": str(ms(f) // 1000),
+        "$__unixEpochTo": str(ms(t) // 1000),
+        "$__from": str(ms(f)),
+        "$__to": str(ms(t)),
+    }
+
+
+def expand_macros(text: str, time_from: str, time_to: str) -> str:
+    """Substitute the time-range macros in a panel's query text (longest names first)."""
+    vals = macro_values(time_from, time_to)
+    for name in sorted(vals, key=len, reverse=True):
+        text = text.replace(name, vals[name])
+    return text
+
+
 def instant(df: DataFrame, time_col: str, value_col: str, id_col: str, order: list[str] | None = None) -> DataFrame:
     """Q3: the newest row of each id (PER PARTITION LIMIT 1 on a time-DESC table)."""
     cols = [id_col, time_col, value_col] + [c for c in (order or []) if c not in (id_col, time_col, value_col)]
@@ -124,9 +150,18 @@ def variable_values(df: DataFrame, col: str, where: dict[str, str] | None = None
     return out.select(F.col(col).alias("value")).distinct()
 
 
-def panel_sql(spark: SparkSession, text: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
+def panel_sql(
+    spark: SparkSession,
+    text: str,
+    args: dict | None = None,
+    between: tuple[str, str] | None = None,
+    **frames: DataFrame,
+) -> DataFrame:
     """Q8: the user's own SQL over named DataFrames (``{name}``) with bound
-    parameters (``:name``); no session-wide temp views are created."""
+    parameters (``:name``) and the time-range macros; no session-wide temp
+    views are created."""
+    if between:
+        text = expand_macros(text, *between)
     return spark.sql(text, args=args, **frames)
 
 

@@ -160,21 +160,26 @@ def q_variable_values(spark: SparkSession, root: str) -> DataFrame:
 
 PANEL_SQL_TEXT = f"""
 SELECT denomination AS id, COUNT(*) AS n, ROUND({nudge_sql("AVG(avg_speed)")}, 6) AS avg_speed, MAX(ts) AS last_seen
-FROM {{t}} WHERE hierarchie = :h GROUP BY denomination
+FROM {{t}} WHERE hierarchie = :h AND ts > $__timeFrom AND ts < $__timeTo
+  AND unix_millis(CAST(ts AS TIMESTAMP)) >= $__from
+GROUP BY denomination
 """
 
 
 @query(
     "panel_sql",
     with_(TRAFFIC)
-    + """
+    + f"""
 SELECT denomination AS id, COUNT(*) AS n, R6(AVG(avg_speed)) AS avg_speed, MAX(ts) AS last_seen
-FROM traffic WHERE hierarchie = 'error' GROUP BY denomination
+FROM traffic WHERE hierarchie = 'error' AND ts > TIMESTAMP '{RANGE_FROM}' AND ts < TIMESTAMP '{RANGE_TO}'
+GROUP BY denomination
 """,
 )
 def q_panel_sql(spark: SparkSession, root: str) -> DataFrame:
-    """Q8: free query text with a bound parameter over a named DataFrame."""
-    return panel_sql(spark, PANEL_SQL_TEXT, args={"h": "error"}, t=_traffic(spark, root))
+    """Q8 + Q2: free query text with a bound parameter and time-range macros over a named DataFrame."""
+    return panel_sql(
+        spark, PANEL_SQL_TEXT, args={"h": "error"}, between=(RANGE_FROM, RANGE_TO), t=_traffic(spark, root)
+    )
 
 
 ALERT_BOUND = 250.0

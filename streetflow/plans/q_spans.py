@@ -13,7 +13,6 @@ from streetflow.operators.spans import (
     duration_histogram,
     error_groups,
     path_rollup,
-    pow2_ceiling,
     recent,
     red,
     roots,
@@ -205,5 +204,3 @@ def q_recent_errors(spark: SparkSession, root: str) -> DataFrame:
         20,
     )
 
-
-__all__ = ["pow2_ceiling"]

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from streetflow.functions.rounding import rnd
 from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, PROJECT_SQL
@@ -21,8 +20,10 @@ from streetflow.sources.lake import read_lake, write_lake
 from streetflow.sources.standins import archive_from_events, messages_from_archive, traffic_archive
 from streetflow.streaming.jobs import (
     file_sink,
-    landing_source,
     incremental_mapping,
+    landing_source,
+    parse_stream,
+    realtime_rows,
     run_to_end,
     speed_layer,
     tumbling_stream,
@@ -80,19 +81,10 @@ QUALIFY row_number() OVER (PARTITION BY denomination, ts ORDER BY seq DESC) = 1
 def q_stream_realtime_table(spark: SparkSession, root: str) -> DataFrame:
     """K2: the same stream upserted per micro-batch into the realtime keyed table."""
     _, table = _run_speed_layer(spark, root)
-    schema = StructType(
-        [f for f in _realtime_schema(spark).fields]
-    )
+    schema = realtime_rows(spark.createDataFrame([], ARCHIVE)).schema
     return table.read(spark, schema).select(*REALTIME_COLS)
 
 
-def _realtime_schema(spark: SparkSession) -> StructType:
-    from streetflow.streaming.jobs import realtime_rows
-
-    empty = spark.createDataFrame([], ARCHIVE)
-    return realtime_rows(empty).schema
-
-
 RESTART_SQL = with_(TRAFFIC) + """
 SELECT CASE WHEN bad THEN NULL ELSE date_time END AS date_time,
   CASE WHEN bad THEN NULL ELSE denomination END AS denomination,
@@ -152,7 +144,7 @@ GROUP BY 1, 2, 3
 @query("stream_tumbling", TUMBLING_STREAM_SQL)
 def q_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
     """W1 streaming: 9-minute windows per street with a 9-minute watermark (closed windows)."""
-    rows = _parse_only(_messages_stream(spark, root)).where(F.col("date_time").isNotNull())
+    rows = parse_stream(_messages_stream(spark, root)).where(F.col("date_time").isNotNull())
     rows = rows.withColumn("ts", F.try_to_timestamp("date_time"))
     agg = tumbling_stream(rows, "ts", ["denomination"], "9 minutes", "9 minutes")
     out = work_dir(spark, "tumbling")
@@ -162,12 +154,6 @@ def q_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _parse_only(messages: DataFrame) -> DataFrame:
-    from streetflow.streaming.jobs import parse_stream
-
-    return parse_stream(messages)
-
-
 @query(
     "incremental_mapping",
     with_(TRAFFIC, SHAPES, POINTS)
@@ -184,5 +170,4 @@ def q_incremental_mapping(spark: SparkSession, root: str) -> DataFrame:
     run_to_end([incremental_mapping(spark, lake, out, ckpt)])
     write_lake(a.where(~early | F.col("date_partition").isNull()), lake)
     run_to_end([incremental_mapping(spark, lake, out, ckpt)])
-    cols = [c for c in MAPPING_COLS]
-    return spark.read.parquet(out).select(*cols)
+    return spark.read.parquet(out).select(*MAPPING_COLS)
