@@ -20,10 +20,13 @@ def parse_value(value: Column, schema=WIRE) -> Column:
     return F.from_json(value.cast("string"), schema)
 
 
-def expand(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """P1+P2: parse the message column and expand the struct (``data.*``)."""
+def expand(df: DataFrame, value_col: str = "value", keep: list[str] | None = None, schema=WIRE) -> DataFrame:
+    """P1+P2: parse the message column and expand the struct (``data.*``).
+
+    Pass ``KEPT_WIRE`` when only the archive fields are needed: the JSON parser
+    then materialises 10 fields instead of 17."""
     keep = keep or []
-    return df.select(*keep, parse_value(F.col(value_col)).alias("data")).select(*keep, "data.*")
+    return df.select(*keep, parse_value(F.col(value_col), schema).alias("data")).select(*keep, "data.*")
 
 
 def to_timestamp_safe(c: Column) -> Column:

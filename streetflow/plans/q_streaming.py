@@ -21,6 +21,7 @@ from streetflow.sources.standins import archive_from_events, messages_from_archi
 from streetflow.streaming.jobs import (
     file_sink,
     incremental_mapping,
+    keyed_sink,
     landing_source,
     parse_stream,
     realtime_rows,
@@ -62,6 +63,13 @@ def _run_speed_layer(spark: SparkSession, root: str):
     return lake, table
 
 
+def _run_realtime_only(spark: SparkSession, root: str) -> KeyedTable:
+    table = _realtime_table(spark)
+    rows = parse_stream(_messages_stream(spark, root))
+    run_to_end([keyed_sink(rows, table, work_dir(spark, "checkpoints"), prepare=realtime_rows)])
+    return table
+
+
 @query("stream_ingest_lake", PROJECT_SQL)
 def q_stream_ingest_lake(spark: SparkSession, root: str) -> DataFrame:
     """S1/S5 + K1 + K4 + T1: messages stream into the day-partitioned lake."""
@@ -79,8 +87,8 @@ QUALIFY row_number() OVER (PARTITION BY denomination, ts ORDER BY seq DESC) = 1
 
 @query("stream_realtime_table", REALTIME_SQL)
 def q_stream_realtime_table(spark: SparkSession, root: str) -> DataFrame:
-    """K2: the same stream upserted per micro-batch into the realtime keyed table."""
-    _, table = _run_speed_layer(spark, root)
+    """K2: the message stream upserted per micro-batch into the realtime keyed table."""
+    table = _run_realtime_only(spark, root)
     schema = realtime_rows(spark.createDataFrame([], ARCHIVE)).schema
     return table.read(spark, schema).select(*REALTIME_COLS)
 

@@ -18,7 +18,7 @@ from streetflow.operators.analysis import (
 from streetflow.operators.latest import latest_per_key, null_key_counts
 from streetflow.plans.sqlparts import AS_OF_DAY, POINTS, SHAPES, TRAFFIC, with_
 from streetflow.registry import query
-from streetflow.schema import SEQ
+from streetflow.schema import KEPT_WIRE, SEQ
 from streetflow.session import work_dir
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import read_day, write_lake
@@ -159,7 +159,7 @@ FROM (SELECT *, seq % 97 = 0 AS bad FROM traffic)
 
 def _parsed_archive(spark: SparkSession, root: str, with_shape: bool = False) -> DataFrame:
     msgs = traffic_messages(spark, root, with_shape=with_shape)
-    return project_archive(expand(msgs, keep=[SEQ]), seq=F.col(SEQ))
+    return project_archive(expand(msgs, keep=[SEQ], schema=KEPT_WIRE), seq=F.col(SEQ))
 
 
 @query("project_rename", PROJECT_SQL)
@@ -210,7 +210,7 @@ def q_json_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """S6 then P1-P4: encode archive rows as wire JSON and parse them back."""
     a = traffic_archive(spark, root, with_shape=True)
     msgs = messages_from_archive(a, corrupt_every=None)
-    back = project_archive(expand(msgs, keep=[SEQ]), seq=F.col(SEQ))
+    back = project_archive(expand(msgs, keep=[SEQ], schema=KEPT_WIRE), seq=F.col(SEQ))
     return back.select(
         SEQ, "date_time", "denomination", "avg_speed", "traffic_status", "hierarchie", "max_speed",
         "date_partition",

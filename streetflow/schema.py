@@ -75,6 +75,12 @@ RENAMES = [
     ("vitesse_maxi", "max_speed"),
 ]
 
+# The wire fields the archive keeps (plus the location reference, which carries
+# the sender's record id); parsing only these is cheaper than the full record.
+KEPT_WIRE = StructType(
+    [f for f in WIRE.fields if f.name in {src for src, _ in RENAMES} | {"predefinedlocationreference"}]
+)
+
 # Arrival order is not part of the source record; we carry it so "last write
 # wins" has a total order.
 SEQ = "seq"

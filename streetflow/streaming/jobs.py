@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streetflow.functions.parse import expand, project_archive, store_row
 from streetflow.operators.analysis import flatten_points, tumbling_average
 from streetflow.operators.latest import latest_per_key
-from streetflow.schema import ARCHIVE, SEQ
+from streetflow.schema import ARCHIVE, KEPT_WIRE, SEQ
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import PARTITION
 
@@ -53,8 +53,8 @@ def parse_stream(messages: DataFrame, seq_col: str = SEQ) -> DataFrame:
     the sender (null for a message that does not parse).
     """
     if seq_col in messages.columns:
-        return project_archive(expand(messages, keep=[seq_col]), seq=F.col(seq_col))
-    parsed = expand(messages)
+        return project_archive(expand(messages, keep=[seq_col], schema=KEPT_WIRE), seq=F.col(seq_col))
+    parsed = expand(messages, schema=KEPT_WIRE)
     return project_archive(parsed, seq=F.col("predefinedlocationreference").try_cast("bigint"))
 
 
