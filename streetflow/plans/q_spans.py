@@ -19,6 +19,7 @@ from streetflow.operators.spans import (
     structural_match,
 )
 from streetflow.registry import query
+from streetflow.session import checkpoint_root
 from streetflow.sources.standins import spans
 from streetflow.sources.tables import read_table
 
@@ -50,6 +51,13 @@ spans AS (
 )"""
 
 
+def _stored_spans(spark: SparkSession, root: str) -> DataFrame:
+    """The span stand-in written once into the shared checkpoint folder: the tree
+    walks read it several times, as they would read a stored span table."""
+    checkpoint_root(spark)
+    return spans(spark, root).checkpoint()
+
+
 def W(body: str) -> str:
     return "WITH " + SPANS_SQL + "\n" + body
 
@@ -139,7 +147,7 @@ WHERE a.name = '1-URGENT' AND d.status = 'error'
 )
 def q_structural_join(spark: SparkSession, root: str) -> DataFrame:
     """Error spans below an urgent root span (ancestor-descendant match)."""
-    m = structural_match(spans(spark, root), F.col("name") == "1-URGENT", F.col("status") == "error")
+    m = structural_match(_stored_spans(spark, root), F.col("name") == "1-URGENT", F.col("status") == "error")
     return m.select("trace_id", "ancestor_id", "span_id", "name", "duration")
 
 
@@ -158,7 +166,7 @@ SELECT path, depth, COUNT(*) AS n_spans, COUNT(DISTINCT trace_id) AS n_traces FR
 )
 def q_path_rollup(spark: SparkSession, root: str) -> DataFrame:
     """Span trees of all traces merged by the path of names from the root."""
-    return path_rollup(spans(spark, root))
+    return path_rollup(_stored_spans(spark, root))
 
 
 @query(
