@@ -15,6 +15,7 @@ from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start, day_of, epoch_micros
 from streetflow.operators.samples import (
     aggregate,
+    aggregate_without,
     count_values,
     cumulative_buckets,
     finite,
@@ -145,6 +146,35 @@ c AS (SELECT event_type, user_id, hour,
       FROM h)"""
 
 
+@query(
+    "bottomk_per_bucket",
+    f"""
+WITH t AS (SELECT {DAY_SQL} AS day, user_id, SUM(value) AS total FROM events GROUP BY 1, 2)
+SELECT day, user_id, R6(total) AS total, CAST(row_number() OVER (PARTITION BY day ORDER BY total ASC, user_id) AS INTEGER) AS rank
+FROM t QUALIFY rank <= 3
+""",
+)
+def q_bottomk_per_bucket(spark: SparkSession, root: str) -> DataFrame:
+    """M4 bottomk: the 3 users with the smallest daily total per day, ties by user."""
+    g = gauges(spark, root).withColumn("day", day_of(F.col("ts")))
+    totals = g.groupBy("day", "user_id").agg(F.sum("value").alias("total"))
+    return topk(totals, ["day"], "total", "user_id", 3, bottom=True).withColumn("total", r6(F.col("total")))
+
+
+@query(
+    "sum_without",
+    f"""
+SELECT {DAY_SQL} AS day, event_type, R6(SUM(value)) AS "sum", COUNT(value) AS "count", 1 AS "group"
+FROM events GROUP BY 1, 2
+""",
+)
+def q_sum_without(spark: SparkSession, root: str) -> DataFrame:
+    """M2 ``without``: sum/count/group over the samples dropping the user label."""
+    g = gauges(spark, root).withColumn("day", day_of(F.col("ts")))
+    out = aggregate_without(g, ["day", "event_type", "user_id"], ["user_id"], "value", ["sum", "count", "group"])
+    return out.withColumn("sum", r6(F.col("sum")))
+
+
 @query(
     "counter_increase",
     "WITH " + COUNTER_SQL + f""",
@@ -425,6 +455,38 @@ def q_prefix_groups(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query(
+    "metric_catalog",
+    f"""
+WITH m AS (SELECT 'events_' || event_type || '_total' AS name, ts, user_id FROM events)
+SELECT name, split_part(name, '_', 1) AS prefix,
+       CASE WHEN regexp_matches(name, '_(count|total|sum)$') THEN 'counter' ELSE 'other' END AS metric_type,
+       MIN(ts) AS first_seen, R6(({AS_OF_EPOCH * 1_000_000} - MIN(epoch_us(ts))) / 1e6) AS age_s,
+       COUNT(DISTINCT user_id) AS n_label_values, COUNT(*) AS n_samples
+FROM m GROUP BY name
+""",
+)
+def q_metric_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """M14 + M1 + M9: metrics (one counter per event type) with prefix, type,
+    first-seen time and age at a given instant, and label-value counts."""
+    g = gauges(spark, root).withColumn("name", F.concat(F.lit("events_"), F.col("event_type"), F.lit("_total")))
+    out = g.groupBy("name").agg(
+        F.min("ts").alias("first_seen"),
+        F.count_distinct("user_id").alias("n_label_values"),
+        F.count(F.lit(1)).alias("n_samples"),
+    )
+    kind = metric_type(F.col("name"))
+    return out.select(
+        "name",
+        name_prefix(F.col("name")).alias("prefix"),
+        F.when(kind == "counter", kind).otherwise(F.lit("other")).alias("metric_type"),
+        "first_seen",
+        r6((F.lit(AS_OF_EPOCH * 1_000_000) - epoch_micros(F.col("first_seen"))) / 1e6).alias("age_s"),
+        "n_label_values",
+        "n_samples",
+    )
+
+
 MAD_K = 3.0 * 1.4826
 
 

@@ -26,9 +26,18 @@ def test_entry_runs(spark):
     assert df.columns == ["denomination", "hierarchie", "avg_speed_today", "max_speed_today", "speed_ratio_today"]
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SMOKE).toPandas()
+    sdf = QUERIES[name](spark, SMOKE)
+    types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    assert types == {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLES[name]).fetchall()}
+    got = sdf.toPandas()
     want = con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
