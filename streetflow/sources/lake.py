@@ -46,3 +46,15 @@ def write_lake(df: DataFrame, base: str, mode: str = "append", max_records_per_f
         .partitionBy(PARTITION)
         .parquet(base)
     )
+
+
+def compact_lake(spark: SparkSession, base: str, new_base: str, schema=ARCHIVE) -> str:
+    """Rewrite the lake (small files from many micro-batches) into ``new_base``.
+
+    The read goes through the base path, so only files committed by the
+    streaming sink are taken; the write is rebalanced per day into
+    advisory-size files.  The folder being read is never overwritten -- readers
+    switch to ``new_base`` once this returns.
+    """
+    write_lake(read_lake(spark, base, schema), new_base, mode="errorifexists")
+    return new_base

@@ -149,3 +149,21 @@ def test_absent_archive_is_empty_with_schema(spark):
 @pytest.mark.parametrize("bad", ["corrupt", "{", "[]"])
 def test_garbage_never_raises(spark, bad):
     assert parse(spark, [bad]).count() == 1
+
+
+def test_lake_compaction_keeps_rows_and_reduces_files(spark):
+    import glob
+
+    from streetflow.sources.lake import compact_lake, write_lake
+    from streetflow.sources.standins import traffic_archive
+    from tests.conftest import SMOKE
+
+    base = work_dir(spark, "lake-small")
+    rows = traffic_archive(spark, SMOKE).drop("ts")
+    for part in range(4):  # four "micro-batches"
+        write_lake(rows.where(F.pmod(F.col(SEQ), F.lit(4)) == part), base)
+    new = compact_lake(spark, base, work_dir(spark, "lake-compact"))
+    before, after = read_lake(spark, base), read_lake(spark, new)
+    assert sorted(map(tuple, before.collect())) == sorted(map(tuple, after.collect()))
+    local = lambda p: p.replace("file:", "")
+    assert len(glob.glob(f"{local(new)}/*/*.parquet")) < len(glob.glob(f"{local(base)}/*/*.parquet"))
