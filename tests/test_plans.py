@@ -2,7 +2,6 @@
 the scan, no unpartitioned windows, top-k and latest-per-key stay partial."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from streetflow.plans.inspect import (
