@@ -73,7 +73,7 @@ FROM spans WHERE service IS NOT NULL GROUP BY 1, 2
 )
 def q_red_metrics(spark: SparkSession, root: str) -> DataFrame:
     """Weekly rate, error rate and p50/p90 duration per service."""
-    out = red(spans(spark, root), "service", WEEK_S)
+    out = red(_stored_spans(spark, root), "service", WEEK_S)
     return out.withColumns(
         {"rate": rnd("rate", 9), "error_rate": rnd("error_rate", 9), "p50": rnd("p50"), "p90": rnd("p90")}
     )
