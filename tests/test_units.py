@@ -63,3 +63,24 @@ def test_keyed_compaction_keeps_state(spark):
     assert before == [("a", 1, 11.0, 2), ("b", 1, 6.0, 9)]
     c = t.compact(spark, rows.schema, work_dir(spark, "kt-compact"))
     assert sorted(map(tuple, c.read(spark, rows.schema).collect())) == before
+
+
+def test_parsed_fields_json_then_logfmt(spark):
+    from streetflow.operators.logs import mask_pattern, parsed_fields
+
+    lines = [
+        (1, '{"k": 69, "msg": "hello"}'),
+        (2, 'level=info user=42 msg="disk full" path=/var/x'),
+        (3, "no fields here"),
+        (4, None),
+    ]
+    df = spark.createDataFrame(lines, "id int, line string")
+    got = sorted((r.id, r.parser, r.key, r.value) for r in parsed_fields(df, ["id"]).collect())
+    assert got == sorted([
+        (1, "json", "k", "69"), (1, "json", "msg", "hello"),
+        (2, "logfmt", "level", "info"), (2, "logfmt", "user", "42"), (2, "logfmt", "msg", "disk full"),
+        (2, "logfmt", "path", "/var/x"),
+        (3, None, None, None), (4, None, None, None),
+    ], key=lambda t: tuple("" if x is None else str(x) for x in t))
+    masked = spark.createDataFrame([("id 12 token 1eb9c654e721b4f812088970",)], "l string")
+    assert masked.select(mask_pattern(F.col("l"))).first()[0] == "id <num> token <hex>"
