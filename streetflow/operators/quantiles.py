@@ -63,6 +63,8 @@ def exact_quantiles(
     the aggregate columns ``others`` (computed in the same grouping)."""
     names = names or [qname(q) for q in qs]
     others = others or []
+    if df.isStreaming:  # stateful aggregate; its groups are bounded by the watermark
+        return df.groupBy(*keys).agg(*others, *quantile_columns(value, qs, names))
     largest = df.groupBy(*keys).agg(F.count(value).alias("_n")).agg(F.max("_n")).first()[0]
     if largest is None or largest <= small:
         return df.groupBy(*keys).agg(*others, *quantile_columns(value, qs, names))

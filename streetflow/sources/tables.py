@@ -18,6 +18,8 @@ def balanced(df: DataFrame) -> DataFrame:
     when the input has fewer partitions than there are cores -- e.g. a table
     stored as one large row group.  A large input already arrives in thousands
     of splits and is returned unchanged (no extra shuffle)."""
+    if df.isStreaming:  # a micro-batch is planned per trigger; nothing to rebalance here
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

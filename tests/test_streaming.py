@@ -36,3 +36,20 @@ def test_late_rows_behind_the_watermark_are_dropped(spark):
     assert got["2024-01-01 10:39:00"] == (1, 30.0)
     # the newest window is still open (append mode emits closed windows only)
     assert all(not k.startswith("2024-01-01 11:2") for k in got)
+
+
+def test_log_fields_and_quantiles_on_a_stream(spark):
+    from streetflow.operators.logs import parsed_fields
+    from streetflow.operators.quantiles import exact_quantiles
+
+    landing, out, ckpt = work_dir(spark, "logs"), work_dir(spark, "fields"), work_dir(spark, "ck")
+    spark.createDataFrame([('{"k": 1}',), ("a=1 b=2",), ("plain",)], "value string").coalesce(1).write.text(f"{landing}/b1")
+    lines = landing_source(spark, f"{landing}/*", "text").withColumnRenamed("value", "line")
+    run_to_end([file_sink(parsed_fields(lines, ["line"]), out, ckpt)])
+    got = sorted((r.key or "", r.value or "") for r in spark.read.parquet(out).collect())
+    assert got == [("", ""), ("a", "1"), ("b", "2"), ("k", "1")]
+
+    nums = landing_source(spark, f"{landing}/*", "text").select(F.length("value").cast("double").alias("v"),
+                                                                  F.lit("g").alias("g"))
+    q = exact_quantiles(nums, ["g"], "v", [0.5])
+    assert q.isStreaming
