@@ -1,15 +1,19 @@
 """Keyed tables with last-write-wins upsert semantics (K2, K3, K5), on Parquet.
 
 A keyed store's append is an upsert.  Without a store we keep every write as
-an immutable *version* directory (``version=<n>``) and define the table as the
-latest row per key over all versions (R1), ordered by version, then the given
-order columns, then every other column.
+an immutable *version* folder (``batches/version=<n>``) and define the table as
+the latest row per key over the versions (R1), ordered by version, then the
+given order columns, then every other column.
 
 * Replay-safe: writing batch ``n`` again overwrites ``version=<n>`` only, so a
   re-run micro-batch or a re-run batch cycle cannot duplicate or reorder rows.
-* Rows with a null key part are not storable (P10); ``upsert`` drops them and
-  returns how many it dropped.
-* ``compact`` writes the current state into a *new* folder; the folder being
+* Bounded reads: ``compact_through(n)`` writes the table state through version
+  ``n`` as ``snapshots/through=<n>`` (one row per key, deterministic, so a
+  replay rewrites the same snapshot).  A read takes the newest snapshot plus
+  only the versions after it -- both partition-pruned -- so its cost is bounded
+  by the number of keys plus the writes since the snapshot, not by history.
+* Rows with a null key part are not storable (P10); ``upsert`` leaves them out.
+* ``compact`` copies the current state into a *new* folder; the folder being
   read is never overwritten.
 """
 
@@ -25,6 +29,16 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from streetflow.operators.latest import latest_per_key, split_null_keys
 
 VERSION = "version"
+THROUGH = "through"
+
+
+def _read_or_none(spark: SparkSession, schema: StructType, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
 
 
 @dataclass
@@ -39,6 +53,14 @@ class KeyedTable:
     def key(self) -> list[str]:
         return self.partition_key + self.clustering_key
 
+    @property
+    def batches(self) -> str:
+        return f"{self.path}/batches"
+
+    @property
+    def snapshots(self) -> str:
+        return f"{self.path}/snapshots"
+
     def _clustered(self, df: DataFrame) -> DataFrame:
         """K5: rows of a partition key together, clustering order inside (no shuffle)."""
         sort = [F.col(c) for c in self.partition_key] + [
@@ -53,22 +75,60 @@ class KeyedTable:
         is not done here so a batch is scanned once.
         """
         ok, _ = split_null_keys(df, self.key)
-        self._clustered(ok).write.mode("overwrite").parquet(f"{self.path}/{VERSION}={int(version)}")
-
-    def read_versions(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        self._clustered(ok).write.mode("overwrite").parquet(f"{self.batches}/{VERSION}={int(version)}")
+
+    def latest_snapshot(self, spark: SparkSession, schema: StructType) -> int | None:
+        """Id of the newest snapshot (an aggregate over the partition column)."""
+        snaps = _read_or_none(spark, StructType(list(schema.fields) + [StructField(THROUGH, IntegerType())]),
+                              self.snapshots)
+        if snaps is None:
+            return None
+        return snaps.agg(F.max(THROUGH)).first()[0]
+
+    def read_versions(self, spark: SparkSession, schema: StructType, through: int | None = None) -> DataFrame:
+        """The newest snapshot (as version ``n``) plus the batch versions after it."""
         full = StructType(list(schema.fields) + [StructField(VERSION, IntegerType())])
-        try:
-            return spark.read.schema(full).parquet(self.path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return spark.createDataFrame([], full)
-            raise
-
-    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
-        """Current table state: one row per key (shuffle by key, partial aggregation first)."""
-        v = self.read_versions(spark, schema)
+        snap_id = self.latest_snapshot(spark, schema)
+        if snap_id is not None and through is not None and snap_id > through:
+            snap_id = None  # an older state was asked for; rebuild it from the batches
+        parts = []
+        if snap_id is not None:
+            snaps = StructType(list(schema.fields) + [StructField(THROUGH, IntegerType())])
+            snap = spark.read.schema(snaps).parquet(self.snapshots).where(F.col(THROUGH) == snap_id)
+            parts.append(snap.withColumn(VERSION, F.col(THROUGH)).drop(THROUGH))
+        batches = _read_or_none(spark, full, self.batches)
+        if batches is not None:
+            if snap_id is not None:
+                batches = batches.where(F.col(VERSION) > snap_id)
+            if through is not None:
+                batches = batches.where(F.col(VERSION) <= through)
+            parts.append(batches)
+        if not parts:
+            return spark.createDataFrame([], full)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def read(self, spark: SparkSession, schema: StructType, through: int | None = None) -> DataFrame:
+        """Current table state (or the state through version ``through``): one row
+        per key, by a shuffle on the key with partial aggregation first."""
+        v = self.read_versions(spark, schema, through)
         return latest_per_key(v, self.key, [VERSION] + self.order).drop(VERSION)
 
+    def compact_through(self, spark: SparkSession, schema: StructType, version: int) -> None:
+        """Write the state through ``version`` as a snapshot; later reads start there.
+
+        Idempotent: a snapshot that already exists is the same state and is kept
+        (never read and overwritten in one job)."""
+        if self.latest_snapshot(spark, schema) == version:
+            return
+        state = self.read(spark, schema, through=version)
+        self._clustered(state).write.mode("overwrite").parquet(f"{self.snapshots}/{THROUGH}={int(version)}")
+
     def compact(self, spark: SparkSession, schema: StructType, new_path: str) -> KeyedTable:
-        self._clustered(self.read(spark, schema)).write.mode("errorifexists").parquet(f"{new_path}/{VERSION}=0")
+        """Copy the current state into a new table folder (as its version 0)."""
+        self._clustered(self.read(spark, schema)).write.mode("errorifexists").parquet(
+            f"{new_path}/batches/{VERSION}=0"
+        )
         return KeyedTable(new_path, self.partition_key, self.clustering_key, self.descending, self.order)

@@ -84,3 +84,23 @@ def test_parsed_fields_json_then_logfmt(spark):
     ], key=lambda t: tuple("" if x is None else str(x) for x in t))
     masked = spark.createDataFrame([("id 12 token 1eb9c654e721b4f812088970",)], "l string")
     assert masked.select(mask_pattern(F.col("l"))).first()[0] == "id <num> token <hex>"
+
+
+def test_keyed_snapshots_bound_reads_and_keep_state(spark):
+    schema = "k string, v double, seq long"
+    t = KeyedTable(work_dir(spark, "kt-snap"), ["k"], order=["seq"])
+    states = []
+    for version in range(6):
+        rows = spark.createDataFrame([("a", float(version), version), (f"k{version}", 1.0, version)], schema)
+        t.upsert(rows, version)
+        if version == 3:
+            t.compact_through(spark, rows.schema, 3)
+            t.compact_through(spark, rows.schema, 3)  # idempotent
+        states.append(sorted(map(tuple, t.read(spark, rows.schema).collect())))
+    assert t.latest_snapshot(spark, rows.schema) == 3
+    assert states[-1] == sorted([("a", 5.0, 5)] + [(f"k{i}", 1.0, i) for i in range(6)])
+    # a read after the snapshot touches only the snapshot and versions 4..5
+    plan = t.read_versions(spark, rows.schema)._jdf.queryExecution().optimizedPlan().toString()
+    assert "version" in plan and "> 3" in plan
+    # an older state is rebuilt from the batches
+    assert sorted(map(tuple, t.read(spark, rows.schema, through=2).collect())) == states[2]
