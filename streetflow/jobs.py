@@ -34,9 +34,18 @@ def daily_table(path: str) -> KeyedTable:
     return KeyedTable(path, part, clus)
 
 
-def run_speed_layer(messages: DataFrame, lake: str, realtime: str, checkpoints: str, available_now: bool = False):
+def run_speed_layer(
+    messages: DataFrame,
+    lake: str,
+    realtime: str,
+    checkpoints: str,
+    available_now: bool = False,
+    compact_every: int | None = 100,
+):
     """Start both sinks of the speed layer; block until any query ends."""
-    queries = speed_layer(messages, lake, realtime_table(realtime), checkpoints, available_now=available_now)
+    queries = speed_layer(
+        messages, lake, realtime_table(realtime), checkpoints, available_now=available_now, compact_every=compact_every
+    )
     if available_now:
         for q in queries:
             q.awaitTermination()
@@ -57,9 +66,15 @@ def batch_outputs(spark: SparkSession, lake: str, as_of: str) -> dict[str, DataF
     return {"traffic_mapping": points, "traffic_daily_analysis": stats}
 
 
-def batch_cycle(spark: SparkSession, lake: str, mapping: str, daily: str, as_of: str, cycle: int) -> None:
+def batch_cycle(
+    spark: SparkSession, lake: str, mapping: str, daily: str, as_of: str, cycle: int, compact_every: int | None = 10
+) -> None:
     """One cycle: both keyed tables upserted as version ``cycle``.  A failed write
-    raises (the source swallowed it); re-running the same cycle is idempotent."""
+    raises (the source swallowed it); re-running the same cycle is idempotent.
+    Every ``compact_every`` cycles both tables are snapshotted (bounded reads)."""
     out = batch_outputs(spark, lake, as_of)
-    mapping_table(mapping).upsert(out["traffic_mapping"], cycle)
-    daily_table(daily).upsert(out["traffic_daily_analysis"], cycle)
+    tables = [(mapping_table(mapping), out["traffic_mapping"]), (daily_table(daily), out["traffic_daily_analysis"])]
+    for table, rows in tables:
+        table.upsert(rows, cycle)
+        if compact_every and (cycle + 1) % compact_every == 0:
+            table.compact_through(spark, rows.schema, cycle)

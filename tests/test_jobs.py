@@ -30,7 +30,8 @@ def test_speed_then_batch_cycle(spark):
     first = sorted(map(tuple, daily_table(dl).read(spark, schema).collect()))
     assert len(first) == expected > 0
     main(args + ["--cycle", "1"])  # the same cycle again
-    main(args + ["--cycle", "2"])  # the next cycle over unchanged data
+    main(args + ["--cycle", "2", "--compact-every", "3"])  # next cycle over unchanged data, snapshotted
+    assert daily_table(dl).latest_snapshot(spark, schema) == 2
     assert sorted(map(tuple, daily_table(dl).read(spark, schema).collect())) == first
     pts = mapping_table(mp).read(spark, out["traffic_mapping"].schema)
     assert pts.where("point_order IS NULL").count() == 0
