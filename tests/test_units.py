@@ -104,3 +104,14 @@ def test_keyed_snapshots_bound_reads_and_keep_state(spark):
     assert "version" in plan and "> 3" in plan
     # an older state is rebuilt from the batches
     assert sorted(map(tuple, t.read(spark, rows.schema, through=2).collect())) == states[2]
+
+
+def test_balanced_spreads_single_split_scans_only(spark):
+    from streetflow.sources.tables import balanced, read_table
+    from tests.conftest import SMOKE
+
+    ev = read_table(spark, SMOKE, "events")
+    assert ev.rdd.getNumPartitions() == 1
+    assert balanced(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    agg = ev.groupBy("event_type").count()
+    assert balanced(agg) is agg  # shuffled input: left alone, nothing executed early
