@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.functions.rounding import rnd
+from streetflow.operators.samples import matchers
 from streetflow.operators.stacks import flame_diff, flame_table, profile_totals, stack_summary
 from streetflow.registry import query
 from streetflow.sources.tables import read_table
 
 SHORT_DEPTH = 4  # stacks of at most this many frames form the "short" selection
 FUNCTION = "system"
+SELECTOR = [("leaf", "=~", "user|assistant")]  # Y1 label selector
 
 LEAF_SQL = """
 s AS (SELECT conv_id, arg_max(role, turn) AS leaf, COUNT(*) AS depth, bool_or(role = 'system') AS has_fn
@@ -72,12 +74,14 @@ def q_flame_diff(spark: SparkSession, root: str) -> DataFrame:
 SELECT CASE WHEN depth <= {SHORT_DEPTH} THEN 'short' ELSE 'long' END AS size, leaf,
        CAST(COUNT(*) AS BIGINT) AS samples, CAST(COUNT(*) FILTER (WHERE has_fn) AS BIGINT) AS samples_fn,
        R6(AVG(depth)) AS depth, R6(AVG(depth) FILTER (WHERE has_fn)) AS depth_fn
-FROM s GROUP BY 1, 2 ORDER BY samples DESC, size, leaf LIMIT 10
+FROM s WHERE regexp_full_match(coalesce(leaf, ''), 'user|assistant')
+GROUP BY 1, 2 ORDER BY samples DESC, size, leaf LIMIT 10
 """,
 )
 def q_profile_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Y1 + Y2 + Y5: per label set (stack size, leaf): sample total (cumulative) and
-    mean depth (instant), for all functions and for stacks containing 'system'; top 10."""
+    """Y1 + Y2 + Y5: stacks matched by the label selector ``leaf =~ "user|assistant"``;
+    per label set (stack size, leaf): sample total (cumulative) and mean depth
+    (instant), for all functions and for stacks containing 'system'; top 10."""
     fr = frames(spark, root)
     s = fr.groupBy("conv_id").agg(
         F.max_by("role", "turn").alias("leaf"),
@@ -85,7 +89,7 @@ def q_profile_totals(spark: SparkSession, root: str) -> DataFrame:
         F.max(F.col("role") == FUNCTION).alias("has_fn"),
     ).withColumns(
         {"size": F.when(F.col("depth") <= SHORT_DEPTH, "short").otherwise("long"), "w": F.lit(1).cast("bigint")}
-    )
+    ).where(matchers(SELECTOR))
     out = profile_totals(
         s, ["size", "leaf"], {"samples": ("w", "cumulative"), "depth": ("depth", "instant")}, fn_hit=F.col("has_fn")
     )
