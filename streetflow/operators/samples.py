@@ -161,7 +161,7 @@ def histogram_quantile(q: float, les: list[float]) -> Column:
         if le == float("inf"):
             val = F.lit(float(les[i - 1])) if i > 0 else F.lit(None).cast("double")
         else:
-            val = prev_le + (F.lit(float(le)) - prev_le) * (rank - prev_c) / (c - prev_c)
+            val = prev_le + F.try_divide((F.lit(float(le)) - prev_le) * (rank - prev_c), c - prev_c)
         expr = F.when(c >= rank, val) if expr is None else expr.when(c >= rank, val)
         prev_le, prev_c = F.lit(float(le)), c
     return F.when(total > 0, expr.otherwise(F.lit(None)))
