@@ -9,16 +9,21 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.operators.analysis import daily_analysis, flatten_points
 from streetflow.schema import DAILY_KEY, MAPPING_KEY, REALTIME_KEY, SEQ
 from streetflow.sources.keyed import KeyedTable
-from streetflow.sources.lake import read_day, read_lake
+from streetflow.sources.lake import lake_exists, read_day, read_lake
 from streetflow.streaming.jobs import await_any, speed_layer
 
 
+log = logging.getLogger(__name__)
+
+
 def realtime_table(path: str) -> KeyedTable:
     part, clus = REALTIME_KEY
     return KeyedTable(path, part, clus, descending=["date_time"], order=[SEQ])
@@ -68,13 +73,21 @@ def batch_outputs(spark: SparkSession, lake: str, as_of: str) -> dict[str, DataF
 
 def batch_cycle(
     spark: SparkSession, lake: str, mapping: str, daily: str, as_of: str, cycle: int, compact_every: int | None = 10
-) -> None:
+) -> bool:
     """One cycle: both keyed tables upserted as version ``cycle``.  A failed write
     raises (the source swallowed it); re-running the same cycle is idempotent.
-    Every ``compact_every`` cycles both tables are snapshotted (bounded reads)."""
+    Every ``compact_every`` cycles both tables are snapshotted (bounded reads).
+
+    S4: while the archive does not exist yet the cycle is skipped with a warning
+    and ``False`` is returned; the scheduler simply runs the next cycle.
+    """
+    if not lake_exists(spark, lake):
+        log.warning("archive %s does not exist yet; cycle %s skipped", lake, cycle)
+        return False
     out = batch_outputs(spark, lake, as_of)
     tables = [(mapping_table(mapping), out["traffic_mapping"]), (daily_table(daily), out["traffic_daily_analysis"])]
     for table, rows in tables:
         table.upsert(rows, cycle)
         if compact_every and (cycle + 1) % compact_every == 0:
             table.compact_through(spark, rows.schema, cycle)
+    return True

@@ -26,6 +26,17 @@ def read_lake(spark: SparkSession, base: str, schema=ARCHIVE) -> DataFrame:
         raise
 
 
+def lake_exists(spark: SparkSession, base: str) -> bool:
+    """Whether the archive folder exists yet (a cheap listing through a read)."""
+    try:
+        spark.read.schema(ARCHIVE).parquet(base)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+
+
 def read_day(spark: SparkSession, base: str, day: str, schema=ARCHIVE) -> DataFrame:
     """S3 + F1: one day, pruned to a single partition directory."""
     return read_lake(spark, base, schema).where(F.col(PARTITION) == F.lit(day))

@@ -35,3 +35,10 @@ def test_speed_then_batch_cycle(spark):
     assert sorted(map(tuple, daily_table(dl).read(spark, schema).collect())) == first
     pts = mapping_table(mp).read(spark, out["traffic_mapping"].schema)
     assert pts.where("point_order IS NULL").count() == 0
+
+
+def test_batch_cycle_waits_for_the_archive(spark):
+    from streetflow.jobs import batch_cycle
+
+    missing = work_dir(spark, "no-lake")
+    assert batch_cycle(spark, missing, work_dir(spark, "m"), work_dir(spark, "d"), "2024-01-15", 0) is False
