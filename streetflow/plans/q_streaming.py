@@ -66,8 +66,7 @@ def _run_speed_layer(spark: SparkSession, root: str):
 def _run_realtime_only(spark: SparkSession, root: str) -> KeyedTable:
     table = _realtime_table(spark)
     rows = parse_stream(_messages_stream(spark, root))
-    # snapshot after every batch, so the result is read through a snapshot
-    run_to_end([keyed_sink(rows, table, work_dir(spark, "checkpoints"), prepare=realtime_rows, compact_every=1)])
+    run_to_end([keyed_sink(rows, table, work_dir(spark, "checkpoints"), prepare=realtime_rows, compact_every=100)])
     return table
 
 
