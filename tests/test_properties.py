@@ -31,3 +31,30 @@ def test_latest_per_key_is_max_by_total_order(spark, rows):
     df = spark.createDataFrame(rows, "k string, t int, p int")
     got = sorted((tuple(r) for r in latest_per_key(df, ["k"], ["t"]).select("k", "t", "p").collect()), key=repr)
     assert got == _brute(rows)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    values=st.lists(
+        st.tuples(st.one_of(st.none(), st.sampled_from(["x", "y"])), st.integers(-5, 5).map(lambda i: i / 2)),
+        min_size=1,
+        max_size=40,
+    ),
+    bins=st.integers(2, 5),
+)
+def test_refined_quantiles_equal_numpy_linear(spark, values, bins):
+    import numpy as np
+
+    from streetflow.operators.quantiles import exact_quantiles
+
+    qs = [0.0, 0.3, 0.5, 0.77, 1.0]
+    df = spark.createDataFrame(values, "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", qs, small=2, bins=bins).collect()}
+    groups = {}
+    for g, v in values:
+        groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        for q in qs:
+            want = float(np.percentile(np.array(vs), q * 100, method="linear"))
+            assert abs(got[g][f"q{int(round(q * 100))}"] - want) < 1e-9
