@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.functions.rounding import rnd
-from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, PROJECT_SQL
+from streetflow.operators.analysis import flatten_points
+from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, MAPPING_TABLE_SQL, PROJECT_SQL
+from streetflow.streaming.jobs import mapping_rows
 from streetflow.plans.sqlparts import POINTS, SHAPES, TRAFFIC, with_
 from streetflow.registry import query
 from streetflow.schema import ARCHIVE, SEQ
@@ -21,6 +23,7 @@ from streetflow.sources.standins import archive_from_events, messages_from_archi
 from streetflow.streaming.jobs import (
     file_sink,
     incremental_mapping,
+    incremental_mapping_table,
     keyed_sink,
     landing_source,
     parse_stream,
@@ -179,3 +182,22 @@ def q_incremental_mapping(spark: SparkSession, root: str) -> DataFrame:
     write_lake(a.where(~early | F.col("date_partition").isNull()), lake)
     run_to_end([incremental_mapping(spark, lake, out, ckpt)])
     return spark.read.parquet(out).select(*MAPPING_COLS)
+
+
+@query("incremental_mapping_table", MAPPING_TABLE_SQL)
+def q_incremental_mapping_table(spark: SparkSession, root: str) -> DataFrame:
+    """T4 + K3: two cycles over a growing lake; only new files are exploded and
+    their points upserted into the keyed mapping table."""
+    from streetflow.jobs import mapping_table
+
+    a = traffic_archive(spark, root, with_shape=True).drop("ts")
+    lake = work_dir(spark, "lake")
+    table = mapping_table(work_dir(spark, "traffic_mapping"))
+    ckpt = work_dir(spark, "checkpoints")
+    early = F.col("date_partition") < "2024-01-16"
+    write_lake(a.where(early), lake)
+    run_to_end([incremental_mapping_table(spark, lake, table, ckpt)])
+    write_lake(a.where(~early | F.col("date_partition").isNull()), lake)
+    run_to_end([incremental_mapping_table(spark, lake, table, ckpt)])
+    schema = mapping_rows(flatten_points(spark.createDataFrame([], ARCHIVE))).schema
+    return table.read(spark, schema).select(*MAPPING_COLS)

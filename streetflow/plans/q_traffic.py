@@ -370,17 +370,18 @@ def q_rebuild_line(spark: SparkSession, root: str) -> DataFrame:
 MAPPING_COLS = ["date_time", "denomination", "traffic_status", "point_order", "latitude", "longitude", "hierarchie", "seq"]
 
 
-@query(
-    "mapping_table",
-    with_(TRAFFIC, SHAPES, POINTS)
-    + """
+MAPPING_TABLE_SQL = with_(TRAFFIC, SHAPES, POINTS) + (
+    """
 SELECT ts AS date_time, denomination, traffic_status, point_order, latitude, longitude, hierarchie, seq
 FROM points
 WHERE denomination IS NOT NULL AND hierarchie IS NOT NULL AND ts IS NOT NULL AND point_order IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY denomination, hierarchie, ts, point_order
                            ORDER BY seq DESC, traffic_status DESC, latitude DESC, longitude DESC) = 1
-""",
+"""
 )
+
+
+@query("mapping_table", MAPPING_TABLE_SQL)
 def q_mapping_table(spark: SparkSession, root: str) -> DataFrame:
     """K3 + K5: flattened points upserted into the keyed mapping table, cycle replayed."""
     pts = flatten_points(traffic_archive(spark, root, with_shape=True)).withColumn(

@@ -191,3 +191,17 @@ def incremental_mapping(spark: SparkSession, lake_path: str, out_path: str, chec
     """T4: explode only lake files not seen by the previous cycle into mapping rows."""
     lake = spark.readStream.schema(ARCHIVE).parquet(lake_path)
     return file_sink(flatten_points(lake), out_path, checkpoint)
+
+
+def mapping_rows(points: DataFrame) -> DataFrame:
+    """Store casts for the mapping table (date_time text -> timestamp)."""
+    return points.withColumn("date_time", F.try_to_timestamp("date_time").cast("timestamp_ntz"))
+
+
+def incremental_mapping_table(
+    spark: SparkSession, lake_path: str, table: KeyedTable, checkpoint: str, compact_every: int | None = 10
+) -> StreamingQuery:
+    """T4 + K3: each cycle explodes only the new lake files and upserts their
+    points into the keyed mapping table (version = micro-batch id)."""
+    lake = spark.readStream.schema(ARCHIVE).parquet(lake_path)
+    return keyed_sink(flatten_points(lake), table, checkpoint, prepare=mapping_rows, compact_every=compact_every)

@@ -21,7 +21,7 @@ QUERIES = entry.queries()
 # queries that run sinks (streams, lake or keyed-table writes) when called
 SIDE_EFFECTS = {
     "stream_ingest_lake", "stream_realtime_table", "stream_restart", "stream_tumbling",
-    "incremental_mapping", "day_slice", "mapping_table", "daily_analysis_table",
+    "incremental_mapping", "incremental_mapping_table", "day_slice", "mapping_table", "daily_analysis_table",
 }
 # results that are global on purpose: top-N / ordered reports, ungrouped totals,
 # ranks over per-series tables, scalar subqueries
