@@ -176,3 +176,30 @@ def annotations(df: DataFrame, time_col: str, text: Column, title: Column, time_
     return df.where(time_range(F.col(time_col), time_from, time_to)).select(
         F.col(time_col).alias("time"), title.alias("title"), text.alias("text")
     )
+
+
+def panel_query(
+    tables: dict[str, DataFrame], spec: dict, time_from: str | None = None, time_to: str | None = None
+) -> DataFrame:
+    """One configured panel, as the dashboard sends it: ``table``, ``columnTime``,
+    ``columnValue``, ``columnId``, optional ``valueId`` (list, csv or a DataFrame
+    of ids from a chained variable), ``instant`` and ``alias`` (template).
+
+    Returns ``(id | alias, value, time)`` rows: the series in the range, or the
+    newest row of each series for an instant panel.
+    """
+    df = tables[spec["table"]]
+    t, v, i = spec["columnTime"], spec["columnValue"], spec["columnId"]
+    ids = spec.get("valueId")
+    if isinstance(ids, DataFrame):
+        df = df.join(ids.select(F.col(ids.columns[0]).alias(i)), i, "left_semi")
+    elif ids is not None:
+        df = df.where(F.col(i).isin(parse_ids(ids)))
+    order = spec.get("order", [])
+    if spec.get("instant"):
+        carry = [c for c in df.columns if c not in (i, t, v)]
+        df = latest_per_key(df.select(i, t, v, *carry), [i], [t, *order])
+    else:
+        df = df.where(time_range(F.col(t), time_from, time_to))
+    label = alias_column(spec["alias"]).alias("alias") if spec.get("alias") else F.col(i).alias("id")
+    return df.select(label, F.col(v).alias("value"), F.col(t).alias("time"))

@@ -10,6 +10,7 @@ from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.latest import latest_per_key
 from streetflow.operators.panels import (
     alert_states,
+    panel_query,
     alias_column,
     annotations,
     instant,
@@ -201,3 +202,31 @@ def q_alert_eval(spark: SparkSession, root: str) -> DataFrame:
                                      F.col("avg_speed").alias("value"))
     latest = latest_per_key(t, ["denomination", "hierarchie"], ["time", SEQ]).drop(SEQ)
     return alert_states(latest, ALERT_BOUND)
+
+
+PANEL_SPEC = {
+    "table": "traffic_realtime",
+    "columnTime": "ts",
+    "columnValue": "avg_speed",
+    "columnId": "denomination",
+    "instant": True,
+    "alias": "{{ hierarchie }}:{{ denomination }}",
+    "order": [SEQ],
+}
+
+
+@query(
+    "panel_query",
+    with_(TRAFFIC)
+    + """
+SELECT coalesce(hierarchie, '') || ':' || coalesce(denomination, '') AS alias, avg_speed AS value, ts AS time
+FROM traffic
+QUALIFY row_number() OVER (PARTITION BY denomination ORDER BY ts DESC NULLS LAST, seq DESC NULLS LAST,
+                           avg_speed DESC NULLS LAST, date_time DESC NULLS LAST, travel_time DESC NULLS LAST,
+                           traffic_status DESC NULLS LAST, hierarchie DESC NULLS LAST) = 1
+""",
+)
+def q_panel_query(spark: SparkSession, root: str) -> DataFrame:
+    """Q1 + Q3 + Q4 through one configured panel object (instant, aliased)."""
+    t = _traffic(spark, root).drop("geo_shape")
+    return panel_query({"traffic_realtime": t}, PANEL_SPEC)
