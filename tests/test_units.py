@@ -115,3 +115,23 @@ def test_balanced_spreads_single_split_scans_only(spark):
     assert balanced(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     agg = ev.groupBy("event_type").count()
     assert balanced(agg) is agg  # shuffled input: left alone, nothing executed early
+
+
+def test_pow2_ceiling_exact_at_powers_of_two(spark):
+    from streetflow.operators.spans import pow2_ceiling
+
+    vals = [0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 1023.0, 1024.0, 1025.0, 2.0**40, 2.0**40 + 1, 0.0, -3.0]
+    df = spark.createDataFrame([(v,) for v in vals], "d double")
+    got = [r[0] for r in df.select(pow2_ceiling(F.col("d"))).collect()]
+    want = [0.5, 1.0, 2.0, 2.0, 4.0, 4.0, 1024.0, 1024.0, 2048.0, 2.0**40, 2.0**41, None, None]
+    assert got == want
+
+
+def test_bucket_start_matches_window_alignment(spark):
+    from streetflow.functions.timeutil import bucket_start
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = ev.select(
+        bucket_start(F.col("ts"), 540).alias("b"), F.window("ts", "9 minutes").start.alias("w")
+    ).where(F.col("b") != F.col("w")).count()
+    assert rows == 0
