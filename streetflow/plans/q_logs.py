@@ -249,11 +249,17 @@ def q_field_profile(spark: SparkSession, root: str) -> DataFrame:
         "lang", "source", F.size(F.split("text", "\n", -1)).alias("w")
     )
     one = F.lit(1).cast("bigint")
+
+    def kv(pairs: list[tuple[str, str]], weight):
+        # one scan per table, one output row per label
+        return F.explode(
+            F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).cast("string").alias("value")) for k, c in pairs])
+        ).alias("kv"), weight.alias("weight")
+
     labels = (
-        ev.select(F.lit("level").alias("key"), F.col("event_type").alias("value"), one.alias("weight"))
-        .unionByName(ev.select(F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value"), one.alias("weight")))
-        .unionByName(docs.select(F.lit("level").alias("key"), F.col("lang").alias("value"), F.col("w").cast("bigint").alias("weight")))
-        .unionByName(docs.select(F.lit("source").alias("key"), F.col("source").alias("value"), F.col("w").cast("bigint").alias("weight")))
+        ev.select(*kv([("level", "event_type"), ("user_id", "user_id")], one))
+        .unionByName(docs.select(*kv([("level", "lang"), ("source", "source")], F.col("w").cast("bigint"))))
+        .select("kv.key", "kv.value", "weight")
     )
     total = ev.select(one.alias("w")).unionByName(docs.select(F.col("w").cast("bigint"))).agg(F.sum("w"))
     fields = _all_fields(spark, root).withColumn("line", F.concat_ws("|", "stream", "line_id"))
