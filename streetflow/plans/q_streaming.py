@@ -21,6 +21,7 @@ from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import read_lake, write_lake
 from streetflow.sources.standins import archive_from_events, messages_from_archive, traffic_archive
 from streetflow.streaming.jobs import (
+    alert_stream,
     file_sink,
     incremental_mapping,
     incremental_mapping_table,
@@ -201,3 +202,26 @@ def q_incremental_mapping_table(spark: SparkSession, root: str) -> DataFrame:
     run_to_end([incremental_mapping_table(spark, lake, table, ckpt)])
     schema = mapping_rows(flatten_points(spark.createDataFrame([], ARCHIVE))).schema
     return table.read(spark, schema).select(*MAPPING_COLS)
+
+
+ALERTS_SQL = with_(TRAFFIC) + """
+SELECT denomination, hierarchie, ts AS time, avg_speed AS value,
+       CASE WHEN avg_speed > 250.0 THEN 'alerting' ELSE 'ok' END AS state
+FROM traffic WHERE seq % 97 <> 0
+QUALIFY row_number() OVER (PARTITION BY denomination, hierarchie ORDER BY ts DESC NULLS LAST, seq DESC NULLS LAST) = 1
+"""
+
+
+@query("stream_alerts", ALERTS_SQL)
+def q_stream_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """Q9 live: last value per (street, hierarchy) from the message stream against
+    the threshold, as streaming state upserted into a keyed alerts table."""
+    from streetflow.plans.q_panels import ALERT_BOUND
+
+    rows = parse_stream(_messages_stream(spark, root)).where(F.col("date_time").isNotNull())
+    rows = rows.withColumn("ts", F.try_to_timestamp("date_time").cast("timestamp_ntz"))
+    table = KeyedTable(work_dir(spark, "alerts"), ["denomination", "hierarchie"])
+    run_to_end([alert_stream(rows, ["denomination", "hierarchie"], "ts", "avg_speed", ALERT_BOUND, table,
+                             work_dir(spark, "checkpoints"), order=[SEQ])])
+    schema = "denomination string, hierarchie string, time timestamp_ntz, value double, state string"
+    return table.read(spark, spark.createDataFrame([], schema).schema)

@@ -205,3 +205,30 @@ def incremental_mapping_table(
     points into the keyed mapping table (version = micro-batch id)."""
     lake = spark.readStream.schema(ARCHIVE).parquet(lake_path)
     return keyed_sink(flatten_points(lake), table, checkpoint, prepare=mapping_rows, compact_every=compact_every)
+
+
+def alert_stream(
+    rows: DataFrame,
+    series: list[str],
+    ts: str,
+    value: str,
+    bound: float,
+    table: KeyedTable,
+    checkpoint: str,
+    order: list[str] | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Q9 live: the last value of every series against a threshold, kept as
+    streaming state (one row per series, update mode) and upserted per
+    micro-batch into a keyed alerts table (version = batch id)."""
+    last = F.max_by(F.struct(F.col(ts).alias("time"), F.col(value).alias("value")), F.struct(ts, *(order or [])))
+    states = rows.groupBy(*series).agg(last.alias("_last")).select(*series, "_last.time", "_last.value")
+    states = states.withColumn(
+        "state", F.when(F.col("value") > F.lit(bound), F.lit("alerting")).otherwise(F.lit("ok"))
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id)
+
+    w = states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()

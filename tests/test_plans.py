@@ -20,7 +20,7 @@ from tests.conftest import SMOKE
 QUERIES = entry.queries()
 # queries that run sinks (streams, lake or keyed-table writes) when called
 SIDE_EFFECTS = {
-    "stream_ingest_lake", "stream_realtime_table", "stream_restart", "stream_tumbling",
+    "stream_ingest_lake", "stream_realtime_table", "stream_restart", "stream_tumbling", "stream_alerts",
     "incremental_mapping", "incremental_mapping_table", "day_slice", "mapping_table", "daily_analysis_table",
 }
 # results that are global on purpose: top-N / ordered reports, ungrouped totals,
