@@ -143,7 +143,8 @@ def name_paths(spans: DataFrame, max_depth: int = 64) -> DataFrame:
     return s.withColumns(
         {
             "path": F.array_join(F.concat(prefix, F.array(F.col("name"))), "/"),
-            "depth": F.coalesce(F.size("chain"), F.lit(0)),
+            # explicit null check: size(NULL) is -1, not NULL, when ANSI mode is off
+            "depth": F.when(F.col("chain").isNull(), F.lit(0)).otherwise(F.size("chain")),
         }
     )
 

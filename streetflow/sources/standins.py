@@ -34,7 +34,7 @@ def coordinates_of(vec: Column, label: Column) -> Column:
     label % 3 = 0 -> null coordinates (a MultiLineString in the wire data),
     label % 3 = 1 -> empty line, otherwise the pairs.
     """
-    n = F.floor(F.size(vec) / 2).cast("int")
+    n = F.when(vec.isNull(), F.lit(0)).otherwise(F.floor(F.size(vec) / 2)).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.array(F.get(vec, i * 2).cast("double"), F.get(vec, i * 2 + 1).cast("double")),
