@@ -42,3 +42,17 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert rows(got) == rows(want)
+
+
+ANSI_SENSITIVE = ["daily_analysis", "geo_flatten", "json_parse", "store_row", "path_rollup", "counter_increase"]
+
+
+@pytest.mark.parametrize("name", ANSI_SENSITIVE)
+def test_matches_with_ansi_off(spark, con, name):
+    """The null-on-error forms keep results identical when a session disables ANSI."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = QUERIES[name](spark, SMOKE).toPandas()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert rows(got) == rows(con.execute(ORACLES[name]).df())
