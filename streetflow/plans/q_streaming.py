@@ -1,4 +1,5 @@
-"""Streaming queries (speed layer, restart, windows, incremental cycle).
+"""Streaming queries (speed layer, restart, windows, live alerts, incremental
+cycles into files and into the keyed mapping table).
 
 Each run writes to fresh folders under the shared work folder; the returned
 DataFrame reads what the sinks committed.
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from streetflow.functions.rounding import rnd
 from streetflow.operators.analysis import flatten_points
 from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, MAPPING_TABLE_SQL, PROJECT_SQL
-from streetflow.streaming.jobs import mapping_rows
 from streetflow.plans.sqlparts import POINTS, SHAPES, TRAFFIC, with_
 from streetflow.registry import query
 from streetflow.schema import ARCHIVE, SEQ
@@ -27,6 +27,7 @@ from streetflow.streaming.jobs import (
     incremental_mapping_table,
     keyed_sink,
     landing_source,
+    mapping_rows,
     parse_stream,
     realtime_rows,
     run_to_end,
