@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, packing, token_counts
+from streetflow.llm import bpe, bpe_trie, jaccard, packing, token_counts
 from streetflow.llm.common import table
 from streetflow.session import ensure_utc
 
@@ -32,6 +32,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under ``word_bpe_49k``, by the two-tier lookup."""
