@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, jaccard, packing, token_counts
-from streetflow.llm.common import table
+from streetflow.llm import bpe, bpe_trie, jaccard, langid, packing, token_counts, toxicity
+from streetflow.llm.common import crc32_mod, table
 from streetflow.session import ensure_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,12 +32,30 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by compression against per-language dictionaries."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.dictionaries(docs))
+    return found.select("doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by FTRL-proximal logistic regression."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    held_out = (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under ``word_bpe_49k``, by the two-tier lookup."""

@@ -56,9 +56,9 @@ def _places(n: int) -> np.ndarray:
     return _PLACE
 
 
-def _window_words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first byte) of each word; ``begins``: offsets at which a document begins."""
-    inside = ~_SPACE[data]
+def _window_words(data: np.ndarray, begins: np.ndarray, parts: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of each word, or of its first ``most`` bytes; ``begins``: where documents begin."""
+    inside = ~parts[data]
     if not inside.any():
         return np.zeros(0, U), np.zeros(0, np.int64)
     first = inside.copy()
@@ -71,29 +71,33 @@ def _window_words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.
     place = np.arange(int(sizes.sum())) - np.repeat(at, sizes)
     with np.errstate(over="ignore"):
         value = _BYTE[data[inside]] * _places(int(sizes.max()))[place]
+        if most is not None:
+            value[place >= most] = 0
         return mix(np.add.reduceat(value, at)), starts
 
 
-def _window_end(data: np.ndarray, offsets: np.ndarray, lo: int) -> int:
-    """Where a window from ``lo`` ends: after white space or at a document's end, so no word is cut."""
+def _window_end(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray, lo: int) -> int:
+    """Where a window from ``lo`` ends: after a parting byte or at a document's end, so no word is cut."""
     hi = lo + WINDOW_BYTES
     if hi >= len(data):
         return len(data)
-    space = np.flatnonzero(_SPACE[data[lo:hi]])
+    space = np.flatnonzero(parts[data[lo:hi]])
     edge = int(offsets[np.searchsorted(offsets, hi, side="right") - 1])  # the last document begun by then
     if space.size or edge > lo:
         return max(edge, lo + int(space[-1]) + 1 if space.size else 0)
     stop = int(offsets[np.searchsorted(offsets, lo, side="right")])  # one word fills the window
-    space = np.flatnonzero(_SPACE[data[hi:stop]])
+    space = np.flatnonzero(parts[data[hi:stop]])
     return hi + int(space[0]) + 1 if space.size else stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each document the index of its first word (n + 1 values)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = _SPACE, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and for each document the index of its first word (n + 1 values).
+
+    ``parts``: for each byte, whether it parts words; ``most``: bytes of a word that count."""
     hashes, starts, lo = [np.zeros(0, U)], [np.zeros(0, np.int64)], 0
     while lo < len(data):
-        hi = _window_end(data, offsets, lo)
-        h, s = _window_words(data[lo:hi], offsets - lo)
+        hi = _window_end(data, offsets, parts, lo)
+        h, s = _window_words(data[lo:hi], offsets - lo, parts, most)
         hashes.append(h)
         starts.append(s + lo)
         lo = hi
