@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, jaccard, langid, packing, token_counts, toxicity
+from streetflow.llm import bpe, bpe_trie, jaccard, langid, merkle, packing, pii, token_counts, toxicity
 from streetflow.llm.common import crc32_mod, table
 from streetflow.session import ensure_utc
 
@@ -22,6 +22,11 @@ ORACLES: dict[str, str] = {}
 TOKEN_LIMIT = 2048
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The key of the pseudonyms: a secret of the deployment; the default serves tests only."""
+    return spark.conf.get("spark.streetflow.pii.key", "a key for tests").encode()
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
@@ -56,6 +61,21 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edit, with their likeness."""
+    made = merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        merkle.compare(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.compare(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under ``word_bpe_49k``, by the two-tier lookup."""
@@ -63,6 +83,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with personal values replaced by pseudonyms."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, pii_key(spark))
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids, by concatenating and cutting."""
