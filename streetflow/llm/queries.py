@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, jaccard, langid, merkle, packing, pii, token_counts, toxicity
+from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, merkle, packing, pii, token_counts, toxicity
 from streetflow.llm.common import crc32_mod, table
 from streetflow.session import ensure_utc
 
@@ -90,6 +90,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, pii_key(spark))
 
 
+@query
+def op8_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of 0.95 or more, by E8 lattice hashing."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids, by concatenating and cutting."""
