@@ -62,6 +62,14 @@ def latin1(text: str) -> bool:
     return True
 
 
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable bytes
+    stand for themselves, the others for the code points from 256 on, in order."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class _Pieces(dict):
     """piece -> ids as little-endian uint16 bytes, filled on a miss."""
 
@@ -85,12 +93,24 @@ class Encoder:
         if self.tok.get_vocab_size() > 65_536:
             raise ValueError("ids are kept as 16-bit numbers")
         self.marks = tuple(specials(path))
-        self.words = _Pieces(self._library, entries)
+        self.model = self.tok.model
+        self.spelling = byte_letters()
+        self.words = _Pieces(self._word, entries)
         self.pieces = _Pieces(self._split, entries)
 
     def _library(self, text: str) -> bytes:
         return array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def spell(self, word: str) -> str:
+        """The word in byte letters, as the vocabulary has it."""
+        if word.isascii() and word.isprintable() and " " not in word:
+            return word
+        return "".join(map(self.spelling.__getitem__, word.encode()))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word that the file's normalizer and split leave as it is: merging alone is left to do."""
+        return array("H", [t.id for t in self.model.tokenize(self.spell(word))]).tobytes()
+
     def _split(self, piece: str) -> bytes:
         raise NotImplementedError
 
@@ -118,7 +138,10 @@ class WordEncoder(Encoder):
         return text.split()
 
     def _split(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self._words.findall(piece.lower())))
+        piece = piece.lower()
+        if piece.isalpha():
+            return self.words[piece]
+        return b"".join(map(self.words.__getitem__, self._words.findall(piece)))
 
 
 class ByteEncoder(Encoder):
@@ -141,6 +164,8 @@ class ByteEncoder(Encoder):
         return [first, *map(" ".__add__, rest)] if first else [*map(" ".__add__, rest)]
 
     def _split(self, piece: str) -> bytes:
+        if piece[1:].isalpha() and piece[0] == " ":
+            return self.words[piece]
         return b"".join(map(self.words.__getitem__, self._words.findall(piece)))
 
 

@@ -36,14 +36,6 @@ WALK_BYTES, WORDS, PAIRS = 8 << 20, 400_000, 500_000
 SHORT = [2, 1]
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: printable bytes
-    stand for themselves, the others for the code points from 256 on, in order."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in shown]
-    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
-
-
 class TrieCoder:
     """Encodes sets of words of one vocabulary file; words are in byte letters."""
 
@@ -152,13 +144,9 @@ class Coder:
         self.words = WordEncoder(path, 1)
         self.trie = TrieCoder(path)
         self.special = specials(path)
-        self.byte_letter = byte_letters()
         #: piece of text -> (ids as uint32 bytes, token strings)
         self.known: dict[str, tuple[bytes, str]] = {}
 
-    def spell(self, word: str) -> str:
-        return word if word.isascii() and word.isprintable() else "".join(map(self.byte_letter.__getitem__, word.encode()))
-
     def units(self, text: str) -> tuple[list[str], bool]:
         """The text's pieces; False if they are words as the library's own stages spell them."""
         cut = self.words.cut(text)
@@ -177,7 +165,7 @@ class Coder:
     def learn(self, pieces: set[str], plain: bool) -> None:
         """Encode the distinct pieces that are not known yet by one walk."""
         split = self.words._words.findall
-        words = {p: [p] if not plain else [self.spell(w) for w in split(p.lower())] for p in pieces}
+        words = {p: [p] if not plain else [self.words.spell(w) for w in split(p.lower())] for p in pieces}
         marks = {} if plain else {m: self.trie.packed[i] for m, i in self.special.items()}
         walked = self.trie.encode({w for ws in words.values() for w in ws} - marks.keys()) | marks
         for p, ws in words.items():
