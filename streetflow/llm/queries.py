@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, merkle, packing, pii, token_counts, toxicity
+from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, merkle, packing, pii, token_counts, token_store, toxicity
 from streetflow.llm.common import crc32_mod, table
-from streetflow.session import ensure_utc
+from streetflow.session import ensure_utc, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +51,14 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as range-coded files and read back."""
+    path = work_dir(spark, "token-files")
+    token_store.write(table(spark, sf_dir, "documents"), path, bpe.public_path(bpe.BYTE_BPE), end_id=2)
+    return token_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document by FTRL-proximal logistic regression."""
