@@ -40,7 +40,7 @@ ROUNDS = 8
 #: Two letters, two check digits and the account; groups of four may be spaced.
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 PATTERN = re.compile(
-    r"(?P<assigned>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\s*[=:]\s*[\"']?(?P<value>[^\s\"']{6,}))"
+    r"(?P<assigned>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\s*[=:]\s*[\"']?(?P<value>[^\s\"']{5,}[^\s\"',.;:!?)]))"
     r"|(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"
     r"|\b(?P<akey>A(?:KIA|SIA)[A-Z0-9]{16})\b"
     r"|\b(?P<iban>" + IBAN + r")\b"

@@ -192,7 +192,7 @@ def _decode(words: np.ndarray, begin: np.ndarray, steps: int, zero: Zero) -> np.
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     words = np.append(words, np.zeros(2, "<u4")).astype(U)
     code = (words[begin] << U(32)) | words[begin + 1]
-    at = begin + 2
+    at, end = begin + 2, len(words) - 1
     grid = np.zeros((steps, lanes), np.int32)
     last = U((1 << TOTAL_BITS) - 1)
     with np.errstate(over="ignore"):
@@ -214,7 +214,7 @@ def _decode(words: np.ndarray, begin: np.ndarray, steps: int, zero: Zero) -> np.
             if len(out):
                 low[out] <<= U(32)
                 span[out] <<= U(32)
-                code[out] = (code[out] << U(32)) | words[at[out]]
+                code[out] = (code[out] << U(32)) | words[np.minimum(at[out], end)]  # damage may lead past it
                 at[out] += 1
             model.learn(x, hit2, x == model.id1)
             grid[t] = x
