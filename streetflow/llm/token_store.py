@@ -3,7 +3,7 @@
 Documents are put in ascending id order by a range partition, encoded, and cut into
 segments of whole documents; a table of segments is the file format.  A segment's ids
 are coded in blocks of ``BLOCK`` ids.  Each block starts from an empty model and has
-its own checksum, so blocks decode alone, and all blocks of a segment are coded side by
+checksums of its code and of its ids, so blocks decode alone, and all blocks of a segment are coded side by
 side, one array element each.
 
 The model predicts an id from the last two ids (order 2) and the last one (order 1) of
@@ -152,13 +152,11 @@ def encode_segment(ids: np.ndarray) -> bytes:
     words[lane, sent] = low >> U(32)
     words[lane, sent + 1] = low & U(0xFFFFFFFF)
     sent += 2
-    raw = ids.astype("<u2")
-    sums = [zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK].tobytes()) for i in range(lanes)]
-    table = zero.packed()
+    raw, table = ids.astype("<u2"), zero.packed()
+    coded = [words[i, : sent[i]].tobytes() for i in range(lanes)]
+    index = [(sent[i], zlib.crc32(coded[i]), zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK].tobytes())) for i in range(lanes)]
     head = MAGIC + struct.pack("<QIII", n, BLOCK, len(zero.symbols), len(table))
-    index = np.stack([sent, np.array(sums)], 1).astype("<u4").tobytes()
-    body = words[np.arange(steps + 2)[None, :] < sent[:, None]].tobytes()
-    return head + table + index + body
+    return head + table + np.array(index, "<u4").tobytes() + b"".join(coded)
 
 
 def decode_segment(data: bytes, blocks: slice = slice(None)) -> np.ndarray:
@@ -170,18 +168,21 @@ def decode_segment(data: bytes, blocks: slice = slice(None)) -> np.ndarray:
     zero = Zero.unpacked(data[at : at + n_table], n_symbols)
     at += n_table
     lanes = -(-n // block)
-    index = np.frombuffer(data, "<u4", 2 * lanes, at).reshape(lanes, 2).astype(np.int64)
-    words = np.frombuffer(data, "<u4", offset=at + 8 * lanes)
+    index = np.frombuffer(data, "<u4", 3 * lanes, at).reshape(lanes, 3).astype(np.int64)
+    words = np.frombuffer(data, "<u4", offset=at + 12 * lanes)
     if index[:, 0].sum() != len(words):
         raise ValueError("a segment of token ids is cut short")
-    steps = min(block, n)
-    begin = (np.cumsum(index[:, 0]) - index[:, 0])[blocks]
-    grid = _decode(words, begin, steps, zero)
+    begin = np.cumsum(index[:, 0]) - index[:, 0]
+    chosen = np.arange(lanes)[blocks]
+    for lane in chosen:
+        if zlib.crc32(words[begin[lane] : begin[lane] + index[lane, 0]].tobytes()) != index[lane, 1]:
+            raise ValueError(f"block {lane} of a segment of token ids is damaged")
+    grid = _decode(words, begin[blocks], min(block, n), zero)
     out = []
-    for row, lane in zip(grid.T, np.arange(lanes)[blocks], strict=True):
+    for row, lane in zip(grid.T, chosen, strict=True):
         ids = row[: min(block, n - lane * block)].astype("<u2")
-        if zlib.crc32(ids.tobytes()) != index[lane, 1]:
-            raise ValueError(f"block {lane} of a segment of token ids is damaged")
+        if zlib.crc32(ids.tobytes()) != index[lane, 2]:
+            raise ValueError(f"block {lane} of a segment of token ids was not decoded rightly")
         out.append(ids)
     return np.concatenate(out) if out else np.zeros(0, "<u2")
 
@@ -192,7 +193,7 @@ def _decode(words: np.ndarray, begin: np.ndarray, steps: int, zero: Zero) -> np.
     low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
     words = np.append(words, np.zeros(2, "<u4")).astype(U)
     code = (words[begin] << U(32)) | words[begin + 1]
-    at, end = begin + 2, len(words) - 1
+    at = begin + 2
     grid = np.zeros((steps, lanes), np.int32)
     last = U((1 << TOTAL_BITS) - 1)
     with np.errstate(over="ignore"):
@@ -214,7 +215,7 @@ def _decode(words: np.ndarray, begin: np.ndarray, steps: int, zero: Zero) -> np.
             if len(out):
                 low[out] <<= U(32)
                 span[out] <<= U(32)
-                code[out] = (code[out] << U(32)) | words[np.minimum(at[out], end)]  # damage may lead past it
+                code[out] = (code[out] << U(32)) | words[at[out]]
                 at[out] += 1
             model.learn(x, hit2, x == model.id1)
             grid[t] = x
