@@ -19,9 +19,10 @@ Jaccard similarity of their sets is at least 0.75.  Steps, each over all documen
    entry.  (Class counts follow the size level of the sets; a document also takes part
    in the level above if a partner may lie there.)  A set too small to extend that far
    is indexed in a second family by the usual single-token prefix, for others like it.
-4. *Verification by leaders.*  In every index group, one member (then 8, then 64, ...)
-   is compared exactly with the members of other components, until the group is one
-   component or all its members have led.  Groups of near copies thus take links in
+4. *Verification by leaders.*  In every index group, one member (then 4, then 16, ...) is
+   compared exactly with those members of other components that the sizes and the
+   numbers of shared tokens allow, until the group is one component or all its members
+   have led.  Groups of near copies thus take links in
    proportion to their size, not its square, and no connection is lost.
 
 The result is exact up to 64-bit hashing of shingles.
@@ -205,14 +206,18 @@ def _key(kind: int, level: int, *tokens: int) -> int:
 SINGLE, PAIR, FALLBACK = 1, 2, 3
 
 
-def index_entries(n: int, ranked: list[tuple[int, int]]) -> list[int]:
+def index_entries(n: int, ranked: list[tuple[int, int]]) -> dict[int, int]:
     """Index entries of one set of ``n`` tokens, of which ``ranked`` are those that other
-    sets have too, as (documents, token) in the global order; the others come before them."""
+    sets have too, as (documents, token) in the global order; the others come before them.
+
+    With each entry comes the most tokens that the set can share with one that it meets
+    there only: all of ``ranked`` for a single token; the frequent ones for the rest, as
+    sets that share a rare token meet in its own entry too."""
     need = may_miss(n) - (n - len(ranked)) + 1
     if need <= 0:
-        return []  # more tokens of its own than a partner may lack
+        return {}  # more tokens of its own than a partner may lack
     rare = next((i for i, (f, _) in enumerate(ranked) if f > FREQUENT), len(ranked))
-    keys = [_key(SINGLE, 0, t) for _, t in ranked[: min(need, rare)]]
+    keys = {_key(SINGLE, 0, t): len(ranked) for _, t in ranked[: min(need, rare)]}
     if need <= rare:
         return keys
     need, often = need - rare, [t for _, t in ranked[rare:]]
@@ -227,36 +232,38 @@ def index_entries(n: int, ranked: list[tuple[int, int]]) -> list[int]:
             if not left:
                 break
         for mine in members.values():
-            keys += [_key(PAIR, at, *p) for p in combinations(mine, 2)]
+            keys |= {_key(PAIR, at, *p): len(often) for p in combinations(mine, 2)}
         if left:
-            keys += [_key(FALLBACK, 0, t) for t in often[:need]]
+            keys |= {_key(FALLBACK, 0, t): len(often) for t in often[:need]}
     return keys
 
 
 def index(lists: DataFrame) -> DataFrame:
-    """``(entry, key, n)``: the index entries of all sets in ``lists``."""
+    """``(entry, key, n, s)``: the index entries of all sets in ``lists``; ``s``: tokens that a set met there may share."""
     tokens = lists.select("key", F.explode("tokens").alias("t"))
     shared = tokens.groupBy("t").agg(F.count("*").alias("f")).filter("f > 1")
     ranked = (
         tokens.join(shared, "t")
         .groupBy("key")  # a group is one document's own tokens
-        .agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("f", "t")))).alias("ranked"))
+        .agg(F.collect_list(F.struct("f", "t")).alias("ranked"))
     )
     sized = ranked.join(lists.select("key", "n"), "key").select("key", "n", "ranked.f", "ranked.t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, size, out = [], [], []
+            owner, size, shared, out = [], [], [], []
             for key, n, fs, ts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                entries = set(index_entries(n, list(zip(fs, ts, strict=True))))
-                out += entries
+                entries = index_entries(n, sorted(set(zip(fs, ts, strict=True))))
+                out += entries.keys()
+                shared += entries.values()
                 owner += [key] * len(entries)
                 size += [n] * len(entries)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), pa.array(owner, pa.int64()), pa.array(size, pa.int32())], names=["entry", "key", "n"]
+                [pa.array(out, pa.int64()), pa.array(owner, pa.int64()), pa.array(size, pa.int32()), pa.array(shared, pa.int32())],
+                names=["entry", "key", "n", "s"],
             )
 
-    return sized.mapInArrow(run, "entry long, key long, n int")
+    return sized.mapInArrow(run, "entry long, key long, n int, s int")
 
 
 def linked(pairs: DataFrame, lists: DataFrame) -> DataFrame:
@@ -268,14 +275,21 @@ def linked(pairs: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, count: int, turn: int) -> DataFrame:
-    """``count`` members of each index group, drawn by a hash of their keys."""
+    """``count`` members of each index group: at first the one with the fewest tokens of its
+    own, then those of the components with the fewest members there, by a hash of their keys."""
     drawn = F.xxhash64("key", F.lit(turn))
-    if count == 1:
-        one = members.groupBy("entry").agg(F.min_by(F.struct("key", "n", "c"), drawn).alias("l")).select("entry", "l.*")
+    if turn == 0:
+        central = F.struct((F.col("n") - F.col("s")).alias("own"), drawn.alias("drawn"))
+        one = members.groupBy("entry").agg(F.min_by(F.struct("key", "n", "s", "c"), central).alias("l")).select("entry", "l.*")
     else:
-        rank = F.row_number().over(Window.partitionBy("entry").orderBy(drawn, "key"))
-        one = members.withColumn("rank", rank).filter(F.col("rank") <= count).drop("rank")
-    return one.select("entry", F.col("key").alias("lead"), F.col("n").alias("lead_n"), F.col("c").alias("lead_c"))
+        sizes = members.groupBy("entry", "c").agg(F.count("*").alias("size"))
+        rank = F.row_number().over(Window.partitionBy("entry").orderBy("size", drawn, "key"))
+        one = members.join(sizes, ["entry", "c"]).withColumn("rank", rank).filter(F.col("rank") <= count)
+    return one.select("entry", *(F.col(c).alias(f"lead_{c}") for c in ("key", "n", "s", "c")))
+
+
+#: Sets that can share s and s' tokens share the lesser number at most; 0.75 needs 3/7 of both sizes.
+MAY_LINK = "c <> lead_c AND 175 * least(s, lead_s) >= 75 * (n + lead_n)"
 
 
 def components_by_leaders(entries: DataFrame, lists: DataFrame) -> DataFrame:
@@ -284,6 +298,7 @@ def components_by_leaders(entries: DataFrame, lists: DataFrame) -> DataFrame:
     A member that has led was compared with all the others of its group and leaves it;
     a group whose members lie in one component is done.
     """
+    entries = keep(entries, "jaccard-entries")
     several = entries.groupBy("entry").agg(F.count("*").alias("size")).filter("size > 1").select("entry")
     members = keep(entries.join(several, "entry").withColumn("c", F.col("key")), "jaccard-groups")
     found = members.sparkSession.createDataFrame([], "v long, m long")
@@ -292,20 +307,20 @@ def components_by_leaders(entries: DataFrame, lists: DataFrame) -> DataFrame:
         lead = keep(_leaders(members, count, turn), "jaccard-leaders")
         pairs = (
             members.join(lead, "entry")
-            .filter("c <> lead_c AND 100 * least(n, lead_n) >= 75 * greatest(n, lead_n)")
-            .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
+            .filter(MAY_LINK)
+            .select(F.least("key", "lead_key").alias("a"), F.greatest("key", "lead_key").alias("b"))
             .distinct()
         )
         found = components(linked(pairs, lists).union(found), "jaccard")
-        led = lead.select("entry", F.col("lead").alias("key"))
+        led = lead.select("entry", F.col("lead_key").alias("key"))
         members = (
             members.join(led, ["entry", "key"], "left_anti")
             .join(found, F.col("key") == F.col("v"), "left")
-            .select("entry", "key", "n", F.coalesce("m", "key").alias("c"))
+            .select("entry", "key", "n", "s", F.coalesce("m", "key").alias("c"))
         )
         undone = members.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
         members = keep(members.join(undone.select("entry"), "entry"), "jaccard-groups")
-        count, turn = count * 8, turn + 1
+        count, turn = count * 4, turn + 1
     return found
 
 
