@@ -54,8 +54,11 @@ def dictionaries(
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
     share = {r["lang"]: r["n"] for r in counts.collect()}  # one row a language
-    near = rows.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "id", unit.alias("u")).join(counts, "lang")
-    near = near.filter(F.col("u") * F.col("n") < 4 * SAMPLE_DOCS)  # about four times what is kept
+    if not share:
+        return {}
+    size = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))[F.col("lang")]
+    near = rows.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "id", unit.alias("u"))
+    near = near.filter(F.col("u") * size < 4 * SAMPLE_DOCS)  # about four times what is kept
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "id", "text"))
     kept = near.withColumn("r", rank).filter(F.col("r") <= SAMPLE_DOCS).orderBy("lang", "r").select("lang", "text").collect()
     out: dict[str, list[str]] = {}
