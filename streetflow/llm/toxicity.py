@@ -90,9 +90,10 @@ def _train(table: pa.Table) -> pa.Table:
     """One shard: its rows in a fixed order, ``EPOCHS`` times."""
     table = table.sort_by([("u", "ascending"), ("text", "ascending")])
     labels = table.column("label").to_pylist()
-    texts = table.column("text").combine_chunks()
-    sets = feature_sets(texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks))
-    sets = [np.append(s, np.int32(1 << BITS)) for s in sets]
+    sets = []
+    for batch in table.select(["text"]).to_batches():
+        for part in slices(batch, "text", SLICE_BYTES):
+            sets += [np.append(x, np.int32(1 << BITS)) for x in feature_sets(part.column(0))]
     model = Ftrl()
     for epoch in range(EPOCHS):
         for i in np.random.default_rng(epoch).permutation(len(sets)):
