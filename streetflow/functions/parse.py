@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetflow.schema import RENAMES, SEQ, WIRE
-from streetflow.sources.tables import balanced
 
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -27,7 +26,6 @@ def expand(df: DataFrame, value_col: str = "value", keep: list[str] | None = Non
     Pass ``KEPT_WIRE`` when only the archive fields are needed: the JSON parser
     then materialises 10 fields instead of 17."""
     keep = keep or []
-    df = balanced(df)  # JSON parsing is the CPU-heavy step; spread single-split inputs first
     return df.select(*keep, parse_value(F.col(value_col), schema).alias("data")).select(*keep, "data.*")
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streetflow.sources.tables import balanced
+from streetflow.session import written
+
 
 # --- fixed values: our pattern rule and the logfmt pair shape -------------------
 HEX_RUN = r"[0-9a-fA-F]{16,}"
@@ -32,8 +33,8 @@ def volume(df: DataFrame, keys: list[Column | str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("volume"))
 
 
-def label_volumes(df: DataFrame, labels: list[str], limit: int | None = 5000) -> DataFrame:
-    """L2: total volume per (label, value) across several labels, largest first."""
+def label_volumes(df: DataFrame, labels: list[str], limit: int | None = None) -> DataFrame:
+    """L2: total volume per (label, value) across several labels, largest first; all of them unless ``limit`` is given."""
     stacked = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(lb).alias("label"), F.col(lb).cast("string").alias("value")) for lb in labels])
@@ -61,7 +62,6 @@ def parsed_fields(df: DataFrame, ids: list[str], line: str = "line") -> DataFram
     A line with no field (or that fails to parse) is kept once with nulls --
     the parse error is not turned into a label.
     """
-    df = balanced(df)
     j = json_map(F.col(line))
     pairs = F.transform(
         logfmt_pairs(F.col(line)),
@@ -96,17 +96,18 @@ def mask_pattern(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(line, HEX_RUN, "<hex>"), DIGIT_RUN, "<num>")
 
 
-def patterns(df: DataFrame, line: str, bucket: str, level: str, limit: int = 500) -> DataFrame:
-    """Pattern roll-up: total, buckets seen, set of levels; the ``limit``
-    largest patterns (ties by pattern text).  One aggregation: counts combine
+def patterns(df: DataFrame, line: str, bucket: str, level: str, limit: int | None = None) -> DataFrame:
+    """Pattern roll-up: total, buckets seen, set of levels; with ``limit`` only
+    the largest patterns (ties by pattern text).  One aggregation: counts combine
     map-side and the level set per pattern is bounded by the number of levels."""
-    p = balanced(df).withColumn("pattern", mask_pattern(F.col(line)))
+    p = df.withColumn("pattern", mask_pattern(F.col(line)))
     out = p.groupBy("pattern").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_distinct(bucket).alias("n_buckets"),
         F.array_join(F.array_sort(F.collect_set(level)), ",").alias("levels"),
     )
-    return out.orderBy(F.col("total").desc(), "pattern").limit(limit)
+    out = out.orderBy(F.col("total").desc(), "pattern")
+    return out.limit(limit) if limit else out
 
 
 def series_stats(df: DataFrame, series: str, value: str) -> DataFrame:
@@ -125,10 +126,20 @@ def series_stats(df: DataFrame, series: str, value: str) -> DataFrame:
 
 
 def rank_series(stats: DataFrame, by: str, name: str, descending: bool = True) -> DataFrame:
-    """L6 ordering (desc by default, ties by name).  Runs on the per-series table,
-    one row per series, so a single ordered partition is fine here."""
+    """L6 ordering (desc by default, ties by name), without putting all series into one
+    task: the series are range-partitioned in that order and written; a rank is the
+    row number in its partition plus the sizes of the partitions before (one number
+    each)."""
     order = [F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last(), F.col(name)]
-    return stats.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    ranged = written(stats.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked-series")
+    sizes, before = [], 0
+    for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():
+        sizes.append((r["_part"], before))
+        before += r["n"]
+    offsets = F.broadcast(stats.sparkSession.createDataFrame(sizes, "_part int, _before long"))  # a row per partition
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    ranked = ranged.withColumn("rank", inside).join(offsets, "_part")
+    return ranked.withColumn("rank", (F.col("rank") + F.col("_before")).cast("int")).drop("_part", "_before")
 
 
 def outer_join_series(frames: dict[str, DataFrame], time_col: str, value: str) -> DataFrame:

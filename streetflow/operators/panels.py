@@ -138,8 +138,12 @@ def long_to_wide(
     df: DataFrame, time_col: str, id_col: str, value_col: str, ids: list[str], agg: str = "avg"
 ) -> DataFrame:
     """Q6 wide form: one column per id, one row per time; ids given up front so
-    the pivot needs no extra distinct job."""
-    return df.groupBy(time_col).pivot(id_col, ids).agg(getattr(F, agg)(value_col))
+    the pivot needs no extra distinct job.  A row of another id is an error when the
+    result is computed, never left out silently; filter the input to leave ids out."""
+    known = F.col(id_col).isin(ids)
+    message = F.concat(F.lit("long_to_wide: id not listed: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    listed = df.withColumn(id_col, F.when(known, F.col(id_col)).otherwise(F.raise_error(message)))
+    return listed.groupBy(time_col).pivot(id_col, ids).agg(getattr(F, agg)(value_col))
 
 
 def variable_values(df: DataFrame, col: str, where: dict[str, str] | None = None) -> DataFrame:

@@ -3,23 +3,17 @@ that never hold a whole group in one task.
 
 Spark's ``percentile`` keeps, per group, a map of every distinct value and
 merges it in one task; for a key holding a third of the rows that map is
-unbounded.  Here the ranks that a quantile needs are located by histogram
-refinement instead:
-
-1. per group: count, min, max (partial aggregate);
-2. target ranks ``floor(q (n-1))`` and ``ceil(q (n-1))`` per (group, q);
-3. each round counts the values of every unresolved cell (a value range of one
-   group) in ``bins`` equal-width buckets -- a partial aggregate bounded by
-   ``bins`` rows per cell -- and narrows the cell to the bucket holding its rank
-   (new bounds are the bucket's actual min and max, so membership is exact);
-4. a cell is resolved when its range is a single value or holds at most
-   ``small`` values; those few values are ranked with a window whose partition
-   is one cell.
-
-When every group has at most ``small`` values (checked with one aggregate),
-the plain ``percentile`` aggregate is used, since its per-group map is bounded.
-Intermediate cell tables (a few rows per group) are checkpointed into the
-shared checkpoint folder between rounds.
+unbounded.  Here every group, large or small, takes one path, all of it lazy:
+
+1. equal values of a group are counted (partial aggregate);
+2. the counts are summed into cells by the value's sign, binary exponent and
+   ``2 ** CELL_BITS`` steps of its mantissa, an order-preserving grid that needs no
+   look at the data and bounds the cells of a group;
+3. a running sum over a group's cells finds those that hold the ranks
+   ``floor(q (n-1))`` and ``ceil(q (n-1))``;
+4. only the values of those cells are ranked, each cell a window of its own.
+
+The table of step 1 feeds steps 2 and 4 through one reused shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streetflow.session import checkpoint_root
+CELL_BITS = 14
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -48,6 +42,25 @@ def quantile_columns(value: str, qs: list[float], names: list[str] | None = None
     return [F.percentile(F.col(value), q).alias(n) for q, n in zip(qs, names)]
 
 
+def cell(v: Column) -> Column:
+    """Number of the grid cell of a double; larger values never get a smaller number."""
+    steps = 1 << CELL_BITS
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    step = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * steps)
+    step = F.greatest(F.lit(0), F.least(F.lit(steps - 1), step))
+    code = ((exponent + 1100) * steps + step).cast("bigint")
+    ends = F.lit(5000 * steps)
+    return (
+        F.when(F.isnan(v) | (v == float("inf")), ends + F.isnan(v).cast("bigint"))
+        .when(v == float("-inf"), -ends)
+        .when(v == 0, F.lit(0))
+        .when(v > 0, code)
+        .otherwise(-code)
+        .cast("bigint")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -55,9 +68,6 @@ def exact_quantiles(
     qs: list[float],
     names: list[str] | None = None,
     others: list[Column] | None = None,
-    small: int = 1_000_000,
-    bins: int = 4096,
-    max_rounds: int = 8,
 ) -> DataFrame:
     """One row per group of ``keys`` with one column per quantile in ``qs``, plus
     the aggregate columns ``others`` (computed in the same grouping)."""
@@ -65,102 +75,34 @@ def exact_quantiles(
     others = others or []
     if df.isStreaming:  # stateful aggregate; its groups are bounded by the watermark
         return df.groupBy(*keys).agg(*others, *quantile_columns(value, qs, names))
-    largest = df.groupBy(*keys).agg(F.count(value).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is None or largest <= small:
-        return df.groupBy(*keys).agg(*others, *quantile_columns(value, qs, names))
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    q = _refined(v, keys, qs, names, small, bins, max_rounds)
-    if not others:
-        return _join(df.select(*keys).distinct(), q, keys, "left")
-    return _join(df.groupBy(*keys).agg(*others), q, keys, "left")
-
+    counted = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_cell", cell(F.col("_v")))
 
-def _refined(v: DataFrame, keys: list[str], qs: list[float], names: list[str], small: int, bins: int, rounds: int):
-    checkpoint_root(v.sparkSession)
-    stats = v.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    group = Window.partitionBy(*keys)
+    cells = counted.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"))
+    cells = cells.withColumns(
+        {"_n": F.sum("_c").over(group), "_before": F.sum("_c").over(group.orderBy("_cell")) - F.col("_c")}
     )
-    # wanted ranks: (group, quantile index, floor/ceil rank, interpolation weight)
-    wants = stats.select(
-        *keys,
-        "_lo",
-        "_hi",
-        "_n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_qi"), (F.lit(q) * (F.col("_n") - 1)).alias("_pos"))
-                    for i, q in enumerate(qs)
-                ]
-            )
-        ).alias("_w"),
-    ).select(*keys, "_lo", "_hi", "_n", "_w._qi", "_w._pos")
-    wants = wants.withColumns(
-        {"_rlo": F.floor("_pos").cast("bigint"), "_rhi": F.ceil("_pos").cast("bigint"), "_frac": F.col("_pos") - F.floor("_pos")}
-    )
-    ranks = wants.select(*keys, "_lo", "_hi", F.explode(F.array("_rlo", "_rhi")).alias("_r")).distinct()
-    # a cell: value range [_lo, _hi] of a group, the rank sought, ranks below _lo (_off), values inside (_cnt)
-    cells = _join(ranks, stats.select(*keys, "_n"), keys).select(
-        *keys, "_lo", "_hi", "_r", F.lit(0).cast("bigint").alias("_off"), F.col("_n").alias("_cnt")
-    ).checkpoint()
-    done = None
-    for _ in range(rounds):
-        open_ = cells.where((F.col("_cnt") > small) & (F.col("_lo") < F.col("_hi")))
-        closed = cells.where(~((F.col("_cnt") > small) & (F.col("_lo") < F.col("_hi"))))
-        done = closed if done is None else done.unionByName(closed)
-        if open_.isEmpty():
-            cells = None
-            break
-        ranges = open_.select(*keys, "_lo", "_hi").distinct()
-        inside = _join(v, ranges, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-        bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1))
-        hist = inside.groupBy(*keys, "_lo", "_hi", bucket.alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")
-        )
-        per_range = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_b")
-        hist = hist.withColumn("_before", F.sum("_c").over(per_range) - F.col("_c"))
-        step = _join(open_, hist, [*keys, "_lo", "_hi"]).where(
-            (F.col("_r") >= F.col("_off") + F.col("_before"))
-            & (F.col("_r") < F.col("_off") + F.col("_before") + F.col("_c"))
-        )
-        cells = step.select(
-            *keys,
-            F.col("_blo").alias("_lo"),
-            F.col("_bhi").alias("_hi"),
-            "_r",
-            (F.col("_off") + F.col("_before")).alias("_off"),
-            F.col("_c").alias("_cnt"),
-        ).checkpoint()
-    if cells is not None:  # rounds exhausted: rank what is left (still exact)
-        done = done.unionByName(cells) if done is not None else cells
-    resolved = _pick(v, keys, done)
-    return _interpolate(wants, resolved, keys, qs, names)
-
-
-def _pick(v: DataFrame, keys: list[str], cells: DataFrame) -> DataFrame:
-    """Value at rank ``_r`` of each resolved cell."""
-    single = cells.where(F.col("_lo") == F.col("_hi")).select(*keys, "_r", F.col("_lo").alias("_val"))
-    multi = cells.where(F.col("_lo") < F.col("_hi"))
-    ranges = multi.select(*keys, "_lo", "_hi", "_off").distinct()
-    inside = _join(v, ranges, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    w = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_v")
-    ranked = inside.withColumn("_k", F.row_number().over(w) - 1 + F.col("_off"))
-    found = _join(ranked, multi.select(*keys, "_lo", "_hi", "_r"), [*keys, "_lo", "_hi"]).where(
-        F.col("_k") == F.col("_r")
-    )
-    return single.unionByName(found.select(*keys, "_r", F.col("_v").alias("_val")))
+    position = [F.lit(q) * (F.col("_n") - 1) for q in qs]
+    ranks = F.array(*[f(p).cast("bigint") for p in position for f in (F.floor, F.ceil)])
+    inside = (F.col("_before"), F.col("_before") + F.col("_c"))
+    wanted = cells.where(F.exists(ranks, lambda r: (r >= inside[0]) & (r < inside[1]))).drop("_c")
 
+    values = _join(counted, wanted, [*keys, "_cell"])
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_v")
+    values = values.withColumn("_before", F.col("_before") + F.sum("_c").over(in_cell) - F.col("_c"))
 
-def _interpolate(wants: DataFrame, vals: DataFrame, keys: list[str], qs: list[float], names: list[str]) -> DataFrame:
-    lo = vals.select(*keys, F.col("_r").alias("_rlo"), F.col("_val").alias("_vlo"))
-    hi = vals.select(*keys, F.col("_r").alias("_rhi"), F.col("_val").alias("_vhi"))
-    w = _join(_join(wants, lo, [*keys, "_rlo"]), hi, [*keys, "_rhi"])
-    # same arithmetic as Spark's percentile
-    val = F.when(F.col("_rhi") == F.col("_rlo"), F.col("_vlo")).otherwise(
-        (F.col("_rhi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_rlo")) * F.col("_vhi")
-    )
-    long = w.select(*keys, "_qi", val.alias("_q"))
-    return long.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
-    )
+    def at(rank: Column) -> Column:
+        here = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c"))
+        return F.max(F.when(here, F.col("_v")))
+
+    bounds = [c for i, p in enumerate(position) for c in (at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}"))]
+    found = values.groupBy(*keys).agg(F.max("_n").alias("_n"), *bounds)
+
+    def between(i: int, p: Column) -> Column:  # the same arithmetic as Spark's percentile
+        lo, hi = F.floor(p), F.ceil(p)
+        mixed = (hi - p) * F.col(f"_lo{i}") + (p - lo) * F.col(f"_hi{i}")
+        return F.when(lo == hi, F.col(f"_lo{i}")).otherwise(mixed)
+
+    q = found.select(*keys, *[between(i, p).alias(n) for i, (p, n) in enumerate(zip(position, names, strict=True))])
+    return _join(df.groupBy(*keys).agg(*(others or [F.count(F.lit(1)).alias("_rows")])), q, keys, "left").drop("_rows")

@@ -100,17 +100,19 @@ def increase(df: DataFrame, series: list[str], by: list[str], ts: str, value: st
 
 
 def over_time(
-    df: DataFrame, series: list[str], ts: str, value: str, range_: str, step: str, order: list[str] | None = None
+    df: DataFrame, series: list[str], ts: str, value: str, range_: str, step: str, order: list[str] | None = None,
+    qs: tuple[float, ...] = (0.5,), names: tuple[str, ...] | None = ("median",)
 ) -> DataFrame:
-    """M6: ``*_over_time`` folds per series over sliding windows of ``range_`` every ``step``."""
+    """M6: ``*_over_time`` folds per series over sliding windows of ``range_`` every ``step``;
+    ``qs`` are the quantiles of ``quantile_over_time``, ``names`` their columns."""
     last_key = F.struct(F.col(ts), *[F.col(c) for c in (order or [])])
     windowed = df.select(F.window(ts, range_, step).alias("w"), *series, value, ts, *(order or []))
     out = exact_quantiles(
         windowed,
         ["w", *series],
         value,
-        [0.5],
-        names=["median"],
+        list(qs),
+        names=list(names) if names else None,
         others=[
             F.avg(value).alias("avg"),
             F.count(value).alias("count"),
@@ -247,12 +249,12 @@ def outlier_runs(df: DataFrame, series: str, bucket: str, value: str, k: float =
     Two grouped passes (each a small per-bucket table joined back on the bucket
     key) and one lag per series; no pairwise comparison of series.
     """
-    # med / mad hold one row per bucket: their size is bounded by the time range
-    # over the bucket width, not by the data, so they are broadcast explicitly.
+    # med / mad hold one row per bucket; whether that is small enough to broadcast
+    # is for the optimizer to see at run time
     med = exact_quantiles(df, [bucket], value, [0.5], names=["med"])
-    d = df.join(F.broadcast(med), bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
+    d = df.join(med, bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
     mad = exact_quantiles(d, [bucket], "dev", [0.5], names=["mad"])
-    flagged = d.join(F.broadcast(mad), bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
+    flagged = d.join(mad, bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
     prev = F.lag("outlier").over(Window.partitionBy(series).orderBy(bucket))
     starts = flagged.withColumn("run_start", F.col("outlier") & F.coalesce(~prev, F.lit(True)))
     return starts.groupBy(series).agg(

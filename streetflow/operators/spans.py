@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.quantiles import exact_quantiles
-from streetflow.session import checkpoint_root
+from streetflow.session import work_dir, written
 
 
 def red(spans: DataFrame, attribute: str, bucket_s: int, qs=(0.5, 0.9)) -> DataFrame:
@@ -62,8 +62,10 @@ def compare(spans: DataFrame, selection: Column, attributes: list[str]) -> DataF
     """For each attribute value, its share among selected spans minus its share
     among the rest (baseline); attributes ranked by their largest absolute difference.
 
-    One aggregate over (attribute, value); group totals come from windows over
-    that small aggregated table (partitioned by attribute).
+    One aggregate over (attribute, value); totals and largest differences are
+    aggregates by attribute joined back, so no task holds all values of one
+    attribute.  Only the table of attributes (one row for each name in
+    ``attributes``) is ranked as a whole.
     """
     kv = F.explode(
         F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in attributes])
@@ -72,86 +74,91 @@ def compare(spans: DataFrame, selection: Column, attributes: list[str]) -> DataF
     counts = s.groupBy("attribute", "value").agg(
         F.count_if(F.col("_sel")).alias("selection"), F.count_if(~F.col("_sel")).alias("baseline")
     )
-    by_attr = Window.partitionBy("attribute")
-    shares = counts.withColumns(
+    totals = counts.groupBy("attribute").agg(F.sum("selection").alias("_s"), F.sum("baseline").alias("_b"))
+    shares = counts.join(totals, "attribute").withColumns(
         {
-            "sel_share": F.try_divide(F.col("selection"), F.sum("selection").over(by_attr)),
-            "base_share": F.try_divide(F.col("baseline"), F.sum("baseline").over(by_attr)),
+            "sel_share": F.try_divide(F.col("selection"), F.col("_s")),
+            "base_share": F.try_divide(F.col("baseline"), F.col("_b")),
         }
-    ).withColumn("diff", F.col("sel_share") - F.col("base_share"))
-    shares = shares.withColumn("max_abs_diff", F.max(F.abs("diff")).over(by_attr))
-    # one row per attribute value; ranking the handful of attributes is global on purpose
-    rank = F.dense_rank().over(Window.orderBy(F.col("max_abs_diff").desc_nulls_last(), F.col("attribute")))
-    return shares.withColumn("attr_rank", rank)
-
-
-def ancestors(spans: DataFrame, max_depth: int = 64) -> DataFrame:
-    """All (span, ancestor, distance) rows of every trace, by walking parent pointers.
-
-    Each step is one equi-join on ``(trace_id, span_id)`` -- linear in the number
-    of spans -- and the walk stops when no span has a further parent, so the
-    work is spans x depth and no pair of unrelated spans is ever formed.
-    The frontier is checkpointed (into the shared ``spark.checkpoint.dir``) every
-    few steps, so a deep tree never carries a growing lineage.
-    """
-    checkpoint_root(spans.sparkSession)
-    nodes = spans.select("trace_id", "span_id", "parent_id")
-    step = nodes.where(F.col("parent_id") >= 0).select(
-        "trace_id", "span_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("distance")
     )
-    out = step
-    for depth in range(2, max_depth + 1):
-        up = step.alias("s").join(
-            nodes.alias("n"),
-            (F.col("s.trace_id") == F.col("n.trace_id")) & (F.col("s.ancestor_id") == F.col("n.span_id")),
-        ).where(F.col("n.parent_id") >= 0)
-        step = up.select(
-            F.col("s.trace_id").alias("trace_id"),
-            F.col("s.span_id").alias("span_id"),
-            F.col("n.parent_id").alias("ancestor_id"),
-            F.lit(depth).alias("distance"),
-        )
-        if depth % 4 == 0:
-            step = step.checkpoint()
-        if step.isEmpty():
-            break
-        out = out.unionByName(step)
-    return out
+    shares = shares.drop("_s", "_b").withColumn("diff", F.col("sel_share") - F.col("base_share"))
+    largest = shares.groupBy("attribute").agg(F.max(F.abs("diff")).alias("max_abs_diff"))
+    rank = F.dense_rank().over(Window.orderBy(F.col("max_abs_diff").desc_nulls_last(), F.col("attribute")))
+    return shares.join(largest.withColumn("attr_rank", rank), "attribute")
 
 
-def structural_match(spans: DataFrame, ancestor: Column, descendant: Column, max_depth: int = 64) -> DataFrame:
-    """X5 (``A &>> B``): descendant spans matching B under an ancestor matching A."""
-    rel = ancestors(spans, max_depth)
-    a = spans.where(ancestor).select("trace_id", F.col("span_id").alias("ancestor_id"))
-    d = spans.where(descendant)
-    return rel.join(a, ["trace_id", "ancestor_id"]).join(d, ["trace_id", "span_id"])
+def _largest_trace(spans: DataFrame) -> int:
+    """Spans of the largest trace: more steps up than that mean a cycle of parents."""
+    return spans.groupBy("trace_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
-def name_paths(spans: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Root-to-span path of names for every span.
+def structural_match(spans: DataFrame, ancestor: Column, descendant: Column) -> DataFrame:
+    """X5 (``A &>> B``): descendant spans matching B under an ancestor matching A,
+    one row for each such pair (``ancestor_id`` and the descendant's columns).
 
-    The ancestors of one span (bounded by the tree depth) are gathered per span
-    and ordered by distance; roots keep their own name.
+    Starts from the spans that match B and walks up the parents of those alone, one
+    equi-join per level, until none has a further parent; only steps that land on
+    a match of A are kept.  Each level is written to the shared folder, so a deep
+    tree never carries a growing lineage.  Raises on a cycle of parents.
     """
-    rel = ancestors(spans, max_depth)
-    names = spans.select("trace_id", F.col("span_id").alias("ancestor_id"), F.col("name").alias("aname"))
-    up = rel.join(names, ["trace_id", "ancestor_id"]).groupBy("trace_id", "span_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("distance"), F.col("aname"))), asc=False).alias("chain")
-    )
-    s = spans.join(up, ["trace_id", "span_id"], "left")
-    prefix = F.coalesce(F.transform("chain", lambda x: x["aname"]), F.array().cast("array<string>"))
-    return s.withColumns(
-        {
-            "path": F.array_join(F.concat(prefix, F.array(F.col("name"))), "/"),
-            # explicit null check: size(NULL) is -1, not NULL, when ANSI mode is off
-            "depth": F.when(F.col("chain").isNull(), F.lit(0)).otherwise(F.size("chain")),
-        }
-    )
+    spark = spans.sparkSession
+    nodes = spans.select("trace_id", F.col("span_id").alias("at"), F.col("parent_id").alias("up"), ancestor.alias("hit"))
+    start = spans.where(descendant).where(F.col("parent_id") >= 0)
+    walk = written(start.select("trace_id", "span_id", F.col("parent_id").alias("at")), "walk")
+    most, folder, level = _largest_trace(spans), work_dir(spark, "matches"), 0
+    schema = None
+    while not walk.isEmpty():
+        level += 1
+        if level > most:
+            raise ValueError("spans have a cycle of parents")
+        step = written(walk.join(nodes, ["trace_id", "at"]), "walk")
+        found = step.where("hit").select("trace_id", F.col("at").alias("ancestor_id"), "span_id")
+        found.write.parquet(f"{folder}/level={level}")
+        schema = found.schema
+        walk = step.where(F.col("up") >= 0).select("trace_id", "span_id", F.col("up").alias("at"))
+    if schema is None:
+        pairs = spans.where(F.lit(False)).select("trace_id", F.col("span_id").alias("ancestor_id"), "span_id")
+    else:
+        pairs = spark.read.schema(schema).parquet(f"{folder}/level=*")
+    return pairs.join(spans.where(descendant), ["trace_id", "span_id"])
+
+
+def name_paths(spans: DataFrame) -> DataFrame:
+    """Root-to-span path of names for every span, and its number of ancestors.
+
+    By doubling: each span holds the path from below some ancestor down to itself,
+    and a round puts the ancestor's own path in front and takes over its ancestor,
+    so the rounds grow with the logarithm of the depth, whatever the depth.  A span
+    whose parent is missing begins a path.  Raises on a cycle of parents.
+    """
+    up = F.when(F.col("parent_id") >= 0, F.col("parent_id"))
+    paths = spans.select("trace_id", "span_id", up.alias("up"), F.col("name").alias("path"), F.lit(0).alias("depth"))
+    most = _largest_trace(spans).bit_length() + 1
+    for _ in range(most + 1):
+        above = paths.select(
+            "trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"),
+            F.col("depth").alias("_depth"),
+        )
+        found = F.col("_depth").isNotNull()
+        joined = paths.join(above, ["trace_id", "up"], "left")
+        paths = written(
+            joined.select(
+                "trace_id",
+                "span_id",
+                F.col("_up").alias("up"),
+                F.when(found, F.concat_ws("/", "_path", "path")).otherwise(F.col("path")).alias("path"),
+                F.when(found, F.col("depth") + F.col("_depth") + 1).otherwise(F.col("depth")).alias("depth"),
+            ),
+            "paths",
+        )
+        if paths.where("up IS NOT NULL").isEmpty():
+            return spans.join(paths.select("trace_id", "span_id", F.coalesce("path", F.lit("")).alias("path"), "depth"), ["trace_id", "span_id"])
+    raise ValueError("spans have a cycle of parents")
 
 
-def path_rollup(spans: DataFrame, max_depth: int = 64) -> DataFrame:
+def path_rollup(spans: DataFrame) -> DataFrame:
     """Merge span trees across traces by name path: spans and traces per path."""
-    p = name_paths(spans, max_depth)
+    p = name_paths(spans)
     return p.groupBy("path", "depth").agg(
         F.count(F.lit(1)).alias("n_spans"), F.count_distinct("trace_id").alias("n_traces")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start
@@ -19,7 +20,7 @@ from streetflow.operators.spans import (
     structural_match,
 )
 from streetflow.registry import query
-from streetflow.session import checkpoint_root
+from streetflow.session import written
 from streetflow.sources.standins import spans
 from streetflow.sources.tables import read_table
 
@@ -54,8 +55,7 @@ spans AS (
 def _stored_spans(spark: SparkSession, root: str) -> DataFrame:
     """The span stand-in written once into the shared checkpoint folder: the tree
     walks read it several times, as they would read a stored span table."""
-    checkpoint_root(spark)
-    return spans(spark, root).checkpoint()
+    return written(spans(spark, root), "spans")
 
 
 def W(body: str) -> str:
@@ -73,7 +73,7 @@ FROM spans WHERE service IS NOT NULL GROUP BY 1, 2
 )
 def q_red_metrics(spark: SparkSession, root: str) -> DataFrame:
     """Weekly rate, error rate and p50/p90 duration per service."""
-    out = red(_stored_spans(spark, root), "service", WEEK_S)
+    out = red(spans(spark, root), "service", WEEK_S)
     return out.withColumns(
         {"rate": rnd("rate", 9), "error_rate": rnd("error_rate", 9), "p50": rnd("p50"), "p90": rnd("p90")}
     )
@@ -140,9 +140,10 @@ def q_baseline_compare(spark: SparkSession, root: str) -> DataFrame:
 @query(
     "structural_join",
     W("""
+, a AS MATERIALIZED (SELECT trace_id, span_id, lft, rgt FROM spans WHERE name = '1-URGENT'),
+d AS MATERIALIZED (SELECT trace_id, span_id, name, duration, lft, rgt FROM spans WHERE status = 'error')
 SELECT d.trace_id, a.span_id AS ancestor_id, d.span_id, d.name, d.duration
-FROM spans a JOIN spans d ON a.trace_id = d.trace_id AND d.lft > a.lft AND d.rgt < a.rgt
-WHERE a.name = '1-URGENT' AND d.status = 'error'
+FROM d JOIN a ON a.trace_id = d.trace_id WHERE d.lft > a.lft AND d.rgt < a.rgt
 """),
 )
 def q_structural_join(spark: SparkSession, root: str) -> DataFrame:
@@ -212,3 +213,59 @@ def q_recent_errors(spark: SparkSession, root: str) -> DataFrame:
         20,
     )
 
+
+CHAIN_SQL = """
+WITH chain AS (
+  SELECT o_custkey AS trace_id,
+         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS BIGINT)
+           AS span_id,
+         o_orderpriority AS priority, coalesce(o_orderstatus, '') AS name
+  FROM orders WHERE o_custkey IS NOT NULL
+)
+"""
+
+
+def _order_chains(spark: SparkSession, root: str) -> DataFrame:
+    """Deep traces: a customer's orders in time, each the parent of the next."""
+    o = read_table(spark, root, "orders").where(F.col("o_custkey").isNotNull())
+    rank = F.row_number().over(
+        Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").asc_nulls_first(), F.col("o_orderkey").asc_nulls_first())
+    )
+    chain = o.select(
+        F.col("o_custkey").alias("trace_id"),
+        rank.cast("bigint").alias("span_id"),
+        F.coalesce("o_orderstatus", F.lit("")).alias("name"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    return chain.withColumn("parent_id", F.when(F.col("span_id") == 1, F.lit(-1)).otherwise(F.col("span_id") - 1).cast("bigint"))
+
+
+@query(
+    "deep_path_rollup",
+    CHAIN_SQL
+    + """
+, p AS (SELECT trace_id, CAST(span_id - 1 AS INTEGER) AS depth,
+               string_agg(name, '/') OVER (PARTITION BY trace_id ORDER BY span_id) AS path FROM chain)
+SELECT path, depth, COUNT(*) AS n_spans, COUNT(DISTINCT trace_id) AS n_traces FROM p GROUP BY 1, 2
+""",
+)
+def q_deep_path_rollup(spark: SparkSession, root: str) -> DataFrame:
+    """X6 on deep traces (as many levels as a customer has orders)."""
+    return path_rollup(written(_order_chains(spark, root), "chains"))
+
+
+@query(
+    "deep_structural_join",
+    CHAIN_SQL
+    + """
+SELECT d.trace_id, a.span_id AS ancestor_id, d.span_id
+FROM (SELECT * FROM chain WHERE name = 'P') d JOIN (SELECT * FROM chain WHERE priority = '1-URGENT') a
+  ON a.trace_id = d.trace_id WHERE a.span_id < d.span_id
+""",
+)
+def q_deep_structural_join(spark: SparkSession, root: str) -> DataFrame:
+    """X5 on deep traces: pending orders below an urgent one."""
+    chains = written(_order_chains(spark, root), "chains")
+    return structural_match(chains, F.col("priority") == "1-URGENT", F.col("name") == "P").select(
+        "trace_id", "ancestor_id", "span_id"
+    )

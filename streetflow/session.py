@@ -2,16 +2,18 @@
 
 Jobs that must write intermediate results (stream sinks, keyed tables, lake
 snapshots, lineage cuts) write under the cluster's shared checkpoint folder,
-read from the session (``spark.checkpoint.dir``).  A private folder is only
-created when that setting is absent, which is the case in unit tests.
+read from the session (``spark.checkpoint.dir``).  Without that setting a cluster
+session raises; only a single-process ``local[n]`` session, as in tests, gets a
+private folder, since there all tasks share the machine.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -57,18 +59,16 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only when the session has none (local tests) do we create one, and we
-    register it as the context's checkpoint folder so ``DataFrame.checkpoint``
-    works too.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, also registered as the
+    context's checkpoint folder.  Unset, it is an error unless driver and tasks are
+    one process (``local[n]``)."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="streetflow-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -76,3 +76,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder for one run of one job."""
     return f"{checkpoint_root(spark)}/streetflow/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back: a lineage cut that
+    survives lost executors, with attributes of its own."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,8 @@ given order columns, then every other column.
 
 * Replay-safe: writing batch ``n`` again overwrites ``version=<n>`` only, so a
   re-run micro-batch or a re-run batch cycle cannot duplicate or reorder rows.
+* Torn snapshots don't count: a snapshot is used only once its writer's commit
+  marker is there.
 * Bounded reads: ``compact_through(n)`` writes the table state through version
   ``n`` as ``snapshots/through=<n>`` (one row per key, deterministic, so a
   replay rewrites the same snapshot).  A read takes the newest snapshot plus
@@ -62,11 +64,14 @@ class KeyedTable:
         return f"{self.path}/snapshots"
 
     def _clustered(self, df: DataFrame) -> DataFrame:
-        """K5: rows of a partition key together, clustering order inside (no shuffle)."""
+        """K5: rows of a partition key in one file, in clustering order inside.
+
+        A rebalance by the partition key: small keys share a task, and a key too
+        large for one is split by the adaptive plan."""
         sort = [F.col(c) for c in self.partition_key] + [
             F.col(c).desc() if c in self.descending else F.col(c).asc() for c in self.clustering_key
         ]
-        return df.sortWithinPartitions(*sort)
+        return df.hint("rebalance", *self.partition_key).sortWithinPartitions(*sort)
 
     def upsert(self, df: DataFrame, version: int) -> None:
         """Write one batch as version ``version`` (null-key rows are left out, P10).
@@ -77,13 +82,23 @@ class KeyedTable:
         ok, _ = split_null_keys(df, self.key)
         self._clustered(ok).write.mode("overwrite").parquet(f"{self.batches}/{VERSION}={int(version)}")
 
-    def latest_snapshot(self, spark: SparkSession, schema: StructType) -> int | None:
-        """Id of the newest snapshot (an aggregate over the partition column)."""
-        snaps = _read_or_none(spark, StructType(list(schema.fields) + [StructField(THROUGH, IntegerType())]),
-                              self.snapshots)
-        if snaps is None:
-            return None
-        return snaps.agg(F.max(THROUGH)).first()[0]
+    def snapshot_ids(self, spark: SparkSession) -> list[int]:
+        """Ids of the committed snapshots, by a listing of their folder.
+
+        A folder without the writer's ``_SUCCESS`` marker is torn (a crash, or a
+        write still going on) and doesn't count."""
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        base = hadoop.Path(self.snapshots)
+        fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(base):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(base)]
+        ids = [int(n.removeprefix(f"{THROUGH}=")) for n in names if n.startswith(f"{THROUGH}=")]
+        return sorted(i for i in ids if fs.exists(hadoop.Path(f"{self.snapshots}/{THROUGH}={i}/_SUCCESS")))
+
+    def latest_snapshot(self, spark: SparkSession, schema: StructType | None = None) -> int | None:
+        """Id of the newest committed snapshot."""
+        return max(self.snapshot_ids(spark), default=None)
 
     def read_versions(self, spark: SparkSession, schema: StructType, through: int | None = None) -> DataFrame:
         """The newest snapshot (as version ``n``) plus the batch versions after it."""
@@ -93,9 +108,8 @@ class KeyedTable:
             snap_id = None  # an older state was asked for; rebuild it from the batches
         parts = []
         if snap_id is not None:
-            snaps = StructType(list(schema.fields) + [StructField(THROUGH, IntegerType())])
-            snap = spark.read.schema(snaps).parquet(self.snapshots).where(F.col(THROUGH) == snap_id)
-            parts.append(snap.withColumn(VERSION, F.col(THROUGH)).drop(THROUGH))
+            snap = spark.read.schema(schema).parquet(f"{self.snapshots}/{THROUGH}={snap_id}")
+            parts.append(snap.withColumn(VERSION, F.lit(snap_id)))
         batches = _read_or_none(spark, full, self.batches)
         if batches is not None:
             if snap_id is not None:
@@ -119,9 +133,9 @@ class KeyedTable:
     def compact_through(self, spark: SparkSession, schema: StructType, version: int) -> None:
         """Write the state through ``version`` as a snapshot; later reads start there.
 
-        Idempotent: a snapshot that already exists is the same state and is kept
-        (never read and overwritten in one job)."""
-        if self.latest_snapshot(spark, schema) == version:
+        Idempotent: a committed snapshot is the same state and is kept (never read
+        and overwritten in one job); a torn one is written anew."""
+        if version in self.snapshot_ids(spark):
             return
         state = self.read(spark, schema, through=version)
         self._clustered(state).write.mode("overwrite").parquet(f"{self.snapshots}/{THROUGH}={int(version)}")

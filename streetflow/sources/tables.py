@@ -8,26 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetflow.plans.inspect import plan_text
-
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread rows over the cluster before CPU-heavy per-row work (regex, JSON)
-    when the input has fewer partitions than there are cores -- e.g. a table
-    stored as one large row group.  A large input already arrives in thousands
-    of splits and is returned unchanged (no extra shuffle)."""
-    if df.isStreaming:  # a micro-batch is planned per trigger; nothing to rebalance here
-        return df
-    # Only a plan without a shuffle is inspected: asking an adaptive plan with
-    # exchanges for its partitions would run those stages early, and a shuffled
-    # input is spread over the shuffle partitions already.
-    if "Exchange" in plan_text(df, "simple"):
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

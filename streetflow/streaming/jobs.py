@@ -11,9 +11,10 @@ ends and a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,13 +46,25 @@ def landing_source(spark: SparkSession, path: str, fmt: str = "text", max_files:
     return r.load(path)
 
 
+def kafka_order() -> Column:
+    """Arrival order of Kafka rows as one number: the broker's time in milliseconds,
+    then the offset, then the partition.  Offsets count per partition, so time comes
+    first; within one millisecond the low 14 bits of the offset and 6 bits of the
+    partition decide (until the year 2248)."""
+    millis = F.unix_millis("timestamp")
+    low = F.col("offset").bitwiseAND(F.lit((1 << 14) - 1)) * 64 + F.col("partition").bitwiseAND(F.lit(63))
+    return (millis * (1 << 20) + low).cast("bigint")
+
+
 def parse_stream(messages: DataFrame, seq_col: str = SEQ) -> DataFrame:
     """P1-P4 on a stream: value -> archive rows.
 
-    The arrival order is the source's own column when it has one (a Kafka
-    offset, a position), else the record's location reference as written by
-    the sender (null for a message that does not parse).
+    The arrival order is the source's own column when it has one, Kafka's time,
+    partition and offset when those are there, else the record's location reference
+    as written by the sender (null for a message that does not parse).
     """
+    if seq_col not in messages.columns and {"timestamp", "partition", "offset"} <= set(messages.columns):
+        messages = messages.withColumn(seq_col, kafka_order())
     if seq_col in messages.columns:
         return project_archive(expand(messages, keep=[seq_col], schema=KEPT_WIRE), seq=F.col(seq_col))
     parsed = expand(messages, schema=KEPT_WIRE)
@@ -138,8 +151,12 @@ def await_any(spark: SparkSession) -> None:
 def run_to_end(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for every query; on failure or interrupt stop all and re-raise."""
     try:
-        for q in queries:
-            q.awaitTermination(timeout_s)
+        end = None if timeout_s is None else time.monotonic() + timeout_s
+        while any(q.isActive for q in queries):
+            for q in queries:  # in turns, so a failure of any is seen at once
+                q.awaitTermination(0.2)
+            if end is not None and time.monotonic() > end:
+                raise TimeoutError(f"streaming queries still run after {timeout_s} seconds")
         for q in queries:
             if q.exception():
                 raise q.exception()

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from streetflow import registry
 from tests.compare import duck, rows
 from tests.conftest import SMOKE
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = dict(registry.QUERIES), dict(registry.ORACLES)  # the optional subpackage has its own tests
 
 
 @pytest.fixture(scope="module")

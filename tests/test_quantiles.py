@@ -1,5 +1,4 @@
-"""Exact quantiles by histogram refinement equal Spark's percentile (and DuckDB's
-quantile_cont), with the refinement path forced by tiny thresholds."""
+"""Exact quantiles by grid cells equal Spark's percentile (and DuckDB's quantile_cont)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,31 +18,51 @@ def _cmp(a, b, keys):
             assert ra[k][c] == pytest.approx(rb[k][c], rel=1e-12, abs=1e-9), (k, c)
 
 
-@pytest.mark.parametrize("small,bins", [(1, 2), (5, 3), (50, 16)])
-def test_refined_equals_percentile(spark, small, bins):
+@pytest.mark.parametrize("bits", [1, 14])
+def test_refined_equals_percentile(spark, monkeypatch, bits):
+    monkeypatch.setattr("streetflow.operators.quantiles.CELL_BITS", bits)
     li = spark.read.parquet(f"{SMALL}/lineitem.parquet").withColumn("flag", F.col("l_returnflag"))
     # null keys, duplicate-heavy values and a hot group all present
     li = li.withColumn("flag", F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("flag")))
     want = li.groupBy("flag").agg(*[F.percentile("l_quantity", q).alias(f"q{int(round(q * 100))}") for q in QS])
-    got = exact_quantiles(li, ["flag"], "l_quantity", QS, small=small, bins=bins)
+    got = exact_quantiles(li, ["flag"], "l_quantity", QS)
     _cmp(got, want, ["flag"])
-    got2 = exact_quantiles(li, ["flag"], "l_extendedprice", QS, small=small, bins=bins)
+    got2 = exact_quantiles(li, ["flag"], "l_extendedprice", QS)
     want2 = li.groupBy("flag").agg(*[F.percentile("l_extendedprice", q).alias(f"q{int(round(q * 100))}") for q in QS])
     _cmp(got2, want2, ["flag"])
 
 
-def test_small_groups_use_plain_aggregate(spark):
+def test_no_job_runs_while_the_plan_is_built(spark):
     ev = spark.read.parquet(f"{SMALL}/events.parquet")
-    got = exact_quantiles(ev, ["event_type"], "value", [0.5])
-    assert "Window" not in got._jdf.queryExecution().toString()
+    sc = spark.sparkContext
+    sc.setJobGroup("quantile-plan", "quantile-plan")
+    try:
+        got = exact_quantiles(ev, ["event_type"], "value", [0.5])
+        assert list(sc.statusTracker().getJobIdsForGroup("quantile-plan")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
     assert got.count() == 5
 
 
+def test_values_of_every_sign_and_size(spark):
+    vals = [0.0, -0.0, 1.0, -1.0, 2.0**60, -(2.0**60), 1e-300, -1e-300, 5e-324, 1.7e308, -1.7e308, 0.1, 0.1000001, 3.0, None, float("inf"), float("-inf")]
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", None), ("c", 7.0)], "g string, v double")
+    n = len([v for v in vals if v is not None])
+    qs = [i / (n - 1) for i in range(n)]
+    names = [f"r{i}" for i in range(n)]
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", qs, names=names).collect()}
+    want = df.where("g = 'a'").agg(*[F.percentile("v", q).alias(x) for q, x in zip(qs, names)]).first()
+    for x in names:
+        a, b = got["a"][x], want[x]
+        assert a == pytest.approx(b, rel=1e-9) or (a != a and b != b), (x, a, b)
+    assert got["b"]["r0"] is None and got["c"]["r0"] == got["c"][names[-1]] == 7.0
+
+
 def test_refined_with_struct_window_key(spark):
     ev = spark.read.parquet(f"{SMALL}/events.parquet")
     w = ev.select(F.window("ts", "1 day", "12 hours").alias("w"), "event_type", "value")
     want = w.groupBy("w", "event_type").agg(F.percentile("value", 0.5).alias("q50"))
-    got = exact_quantiles(w, ["w", "event_type"], "value", [0.5], small=20, bins=8)
+    got = exact_quantiles(w, ["w", "event_type"], "value", [0.5])
     a = {(r.w.start, r.event_type): r.q50 for r in got.collect()}
     b = {(r.w.start, r.event_type): r.q50 for r in want.collect()}
     assert a.keys() == b.keys()

@@ -3,6 +3,7 @@ metric types, histogram quantile, rounding nudge."""
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from streetflow.functions.rounding import rnd
@@ -106,17 +107,6 @@ def test_keyed_snapshots_bound_reads_and_keep_state(spark):
     assert sorted(map(tuple, t.read(spark, rows.schema, through=2).collect())) == states[2]
 
 
-def test_balanced_spreads_single_split_scans_only(spark):
-    from streetflow.sources.tables import balanced, read_table
-    from tests.conftest import SMOKE
-
-    ev = read_table(spark, SMOKE, "events")
-    assert ev.rdd.getNumPartitions() == 1
-    assert balanced(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    agg = ev.groupBy("event_type").count()
-    assert balanced(agg) is agg  # shuffled input: left alone, nothing executed early
-
-
 def test_pow2_ceiling_exact_at_powers_of_two(spark):
     from streetflow.operators.spans import pow2_ceiling
 
@@ -135,3 +125,121 @@ def test_bucket_start_matches_window_alignment(spark):
         bucket_start(F.col("ts"), 540).alias("b"), F.window("ts", "9 minutes").start.alias("w")
     ).where(F.col("b") != F.col("w")).count()
     assert rows == 0
+
+
+def _trees(rng, n_traces, sizes):
+    """Random trees as rows, with each span's names from the root by brute force."""
+    rows, paths = [], {}
+    for t in range(n_traces):
+        up = {}
+        for s in range(rng.choice(sizes)):
+            up[s] = -1 if s == 0 else rng.randrange(max(0, s - 3), s)
+            rows.append((t, s, up[s], f"n{rng.randrange(3)}", rng.random()))
+        names = {r[1]: r[3] for r in rows if r[0] == t}
+        for s in up:
+            chain, at = [], s
+            while at >= 0:
+                chain.append(at)
+                at = up[at]
+            paths[t, s] = ("/".join(names[c] for c in reversed(chain)), chain[1:])
+    return rows, paths
+
+
+@pytest.mark.parametrize("sizes", [[1, 2, 9, 10, 12, 20], [70, 100]])
+def test_tree_walks_of_any_depth(spark, sizes):
+    import random
+
+    from streetflow.operators.spans import name_paths, structural_match
+
+    rows, paths = _trees(random.Random(len(sizes)), 6, sizes)
+    spans = spark.createDataFrame(rows, "trace_id int, span_id long, parent_id long, name string, v double")
+    got = {(r.trace_id, r.span_id): (r.path, r.depth) for r in name_paths(spans).collect()}
+    assert got == {k: (p, len(up)) for k, (p, up) in paths.items()}
+    name = {(r[0], r[1]): r[3] for r in rows}
+    pairs = structural_match(spans, F.col("name") == "n1", F.col("v") < 0.3).collect()
+    want = [(t, a, s) for t, s, _, _, v in rows if v < 0.3 for a in paths[t, s][1] if name[t, a] == "n1"]
+    assert sorted((r.trace_id, r.ancestor_id, r.span_id) for r in pairs) == sorted(want)
+
+
+def test_a_chain_of_a_hundred_spans_and_cycles(spark):
+    from streetflow.operators.spans import name_paths, path_rollup, structural_match
+
+    chain = spark.createDataFrame([(0, s, s - 1, "x") for s in range(100)], "trace_id int, span_id long, parent_id long, name string")
+    assert {r.depth: r.path for r in name_paths(chain).collect()} == {d: "/".join("x" * (d + 1)) for d in range(100)}
+    assert path_rollup(chain).count() == 100
+    assert structural_match(chain, F.lit(True), F.lit(True)).count() == 4950
+    cycle = spark.createDataFrame([(0, 0, 1, "a"), (0, 1, 0, "b"), (1, 0, -1, "c")], chain.schema)
+    with pytest.raises(ValueError, match="cycle"):
+        name_paths(cycle)
+    with pytest.raises(ValueError, match="cycle"):
+        structural_match(cycle, F.lit(True), F.lit(True))
+    orphan = spark.createDataFrame([(0, 5, 3, "a"), (0, 6, 5, "b")], chain.schema)
+    assert sorted((r.span_id, r.path, r.depth) for r in name_paths(orphan).collect()) == [(5, "a", 0), (6, "a/b", 1)]
+
+
+def test_kafka_rows_keep_arrival_order(spark):
+    """A Kafka-shaped frame: last write wins by broker time, then offset, then partition."""
+    import datetime as dt
+
+    from streetflow.streaming.jobs import kafka_order
+
+    t = dt.datetime(2024, 1, 15, 10, 0, 0)
+    ms = dt.timedelta(milliseconds=1)
+    rows = [(0, 900, t), (1, 5, t + ms), (0, 901, t + ms), (0, 902, t + 2 * ms), (1, 6, t + 2 * ms)]
+    df = spark.createDataFrame([(p, o, at, i) for i, (p, o, at) in enumerate(rows)], "partition int, offset long, timestamp timestamp, i int")
+    got = [r.i for r in df.orderBy(kafka_order()).collect()]
+    assert got == [0, 1, 2, 4, 3]
+    assert df.select(kafka_order().alias("k")).distinct().count() == len(rows)
+
+
+def test_a_torn_snapshot_is_ignored_and_rebuilt(spark, tmp_path):
+    import os
+
+    from streetflow.sources.keyed import KeyedTable
+
+    t = KeyedTable(str(tmp_path / "t"), ["k"])
+    rows = spark.createDataFrame([(f"k{i}", i) for i in range(10)], "k string, v int")
+    t.upsert(rows, 0)
+    rows.limit(3).write.parquet(f"{t.snapshots}/through=0")
+    os.remove(f"{t.snapshots}/through=0/_SUCCESS")
+    assert t.latest_snapshot(spark) is None
+    assert t.read(spark, rows.schema).count() == 10
+    t.compact_through(spark, rows.schema, 0)
+    assert t.latest_snapshot(spark) == 0 and t.read(spark, rows.schema).count() == 10
+
+
+def test_a_key_lies_in_one_file(spark, tmp_path):
+    from streetflow.sources.keyed import KeyedTable
+
+    t = KeyedTable(str(tmp_path / "t"), ["k"], ["n"])
+    rows = spark.range(4000).select((F.col("id") % 40).cast("string").alias("k"), F.col("id").alias("n")).repartition(8)
+    t.upsert(rows, 0)
+    files = spark.read.parquet(t.batches).select("k", F.input_file_name().alias("f")).distinct()
+    assert files.count() == 40
+
+
+def test_wide_form_refuses_unlisted_ids(spark):
+    from streetflow.operators.panels import long_to_wide
+
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "new", 2.0)], "t int, id string, v double")
+    with pytest.raises(Exception, match="id not listed: new"):
+        long_to_wide(df, "t", "id", "v", ["a"]).collect()
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import streetflow.session as session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
