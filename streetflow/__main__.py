@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     bp.add_argument("--daily", required=True)
     bp.add_argument("--as-of", required=True)
     bp.add_argument("--cycle", type=int, required=True)
+    bp.add_argument("--checkpoints", required=True, help="folder that remembers which lake files earlier cycles have read")
     bp.add_argument("--compact-every", type=int, default=10, help="snapshot the keyed tables every N cycles")
     args = ap.parse_args(argv)
 
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from streetflow.jobs import batch_cycle
 
-        batch_cycle(spark, args.lake, args.mapping, args.daily, args.as_of, args.cycle, args.compact_every)
+        batch_cycle(spark, args.lake, args.mapping, args.daily, args.as_of, args.cycle, args.compact_every, args.checkpoints)
 
 
 if __name__ == "__main__":

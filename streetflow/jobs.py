@@ -18,7 +18,7 @@ from streetflow.operators.analysis import daily_analysis, flatten_points
 from streetflow.schema import DAILY_KEY, MAPPING_KEY, REALTIME_KEY, SEQ
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import lake_exists, read_day, read_lake
-from streetflow.streaming.jobs import await_any, speed_layer
+from streetflow.streaming.jobs import await_any, incremental_mapping_table, run_to_end, speed_layer
 
 
 log = logging.getLogger(__name__)
@@ -72,10 +72,22 @@ def batch_outputs(spark: SparkSession, lake: str, as_of: str) -> dict[str, DataF
 
 
 def batch_cycle(
-    spark: SparkSession, lake: str, mapping: str, daily: str, as_of: str, cycle: int, compact_every: int | None = 10
+    spark: SparkSession,
+    lake: str,
+    mapping: str,
+    daily: str,
+    as_of: str,
+    cycle: int,
+    compact_every: int | None = 10,
+    checkpoints: str | None = None,
 ) -> bool:
-    """One cycle: both keyed tables upserted as version ``cycle``.  A failed write
-    raises (the source swallowed it); re-running the same cycle is idempotent.
+    """One cycle: both keyed tables upserted.  A failed write raises (the source
+    swallowed it); re-running the same cycle is idempotent.
+
+    T4: with a ``checkpoints`` folder the mapping table takes only lake files that no
+    earlier cycle has read (versions are micro-batches), so a cycle over unchanged data
+    writes nothing there; without one every cycle explodes the whole lake anew, as
+    version ``cycle``.
     Every ``compact_every`` cycles both tables are snapshotted (bounded reads).
 
     S4: while the archive does not exist yet the cycle is skipped with a warning
@@ -85,8 +97,12 @@ def batch_cycle(
         log.warning("archive %s does not exist yet; cycle %s skipped", lake, cycle)
         return False
     out = batch_outputs(spark, lake, as_of)
-    tables = [(mapping_table(mapping), out["traffic_mapping"]), (daily_table(daily), out["traffic_daily_analysis"])]
-    for table, rows in tables:
+    if checkpoints:
+        run_to_end([incremental_mapping_table(spark, lake, mapping_table(mapping), f"{checkpoints}/mapping", compact_every)])
+        del out["traffic_mapping"]
+    tables = {"traffic_mapping": mapping_table(mapping), "traffic_daily_analysis": daily_table(daily)}
+    for name, rows in out.items():
+        table = tables[name]
         table.upsert(rows, cycle)
         if compact_every and (cycle + 1) % compact_every == 0:
             table.compact_through(spark, rows.schema, cycle)

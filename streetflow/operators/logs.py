@@ -110,6 +110,11 @@ def patterns(df: DataFrame, line: str, bucket: str, level: str, limit: int | Non
     return out.limit(limit) if limit else out
 
 
+def pattern_samples(df: DataFrame, line: str, bucket: str) -> DataFrame:
+    """L5 over time: samples of every pattern per bucket, ``(pattern, bucket, n)``."""
+    return df.withColumn("pattern", mask_pattern(F.col(line))).groupBy("pattern", bucket).agg(F.count(F.lit(1)).alias("n"))
+
+
 def series_stats(df: DataFrame, series: str, value: str) -> DataFrame:
     """One number per series for ordering: stdDev, sum, max, min, p50, p90.
 

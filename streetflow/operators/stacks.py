@@ -12,47 +12,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stack_summary(frames: DataFrame, sample: str, pos: str, frame: str) -> DataFrame:
-    """Per sample: leaf frame and depth."""
+def stack_summary(frames: DataFrame, sample: str, pos: str, frame: str, weight: Column | None = None) -> DataFrame:
+    """Per sample: leaf frame, depth and weight (a sample's own value, the same in all
+    its rows; 1 unless given)."""
     return frames.groupBy(sample).agg(
-        F.max_by(frame, pos).alias("leaf"), F.count(F.lit(1)).alias("depth")
+        F.max_by(frame, pos).alias("leaf"), F.count(F.lit(1)).alias("depth"), _weight(weight).alias("weight")
     )
 
 
-def frames_in_stack(frames: DataFrame, sample: str, frame: str) -> DataFrame:
-    """Distinct (sample, frame) pairs: "total" counts a function once per stack."""
-    return frames.select(sample, frame).distinct()
+def _weight(weight: Column | None) -> Column:
+    return F.max(weight) if weight is not None else F.lit(1).cast("bigint")
+
+
+def frames_in_stack(frames: DataFrame, sample: str, frame: str, weight: Column | None = None) -> DataFrame:
+    """Distinct (sample, frame) pairs with the sample's weight: "total" counts a function once per stack."""
+    return frames.groupBy(sample, frame).agg(_weight(weight).alias("weight"))
 
 
 def flame_table(
     frames: DataFrame, sample: str, pos: str, frame: str, weight: Column | None = None, max_nodes: int | None = None
 ) -> DataFrame:
-    """Self (leaf) and total (in stack) weight per function, largest first."""
-    w = weight if weight is not None else F.lit(1)
-    leaf = stack_summary(frames, sample, pos, frame).groupBy(F.col("leaf").alias("function")).agg(
-        F.sum(w).alias("self")
+    """Self (leaf) and total (in stack) weight per function, largest first; the sums
+    keep the weight's own type (whole or floating)."""
+    leaf = stack_summary(frames, sample, pos, frame, weight).groupBy(F.col("leaf").alias("function")).agg(
+        F.sum("weight").alias("self")
     )
-    total = frames_in_stack(frames, sample, frame).groupBy(F.col(frame).alias("function")).agg(
-        F.sum(w).alias("total")
+    total = frames_in_stack(frames, sample, frame, weight).groupBy(F.col(frame).alias("function")).agg(
+        F.sum("weight").alias("total")
     )
     out = total.join(leaf, "function", "full").select(
-        "function", F.coalesce("self", F.lit(0)).cast("bigint").alias("self"),
-        F.coalesce("total", F.lit(0)).cast("bigint").alias("total"),
+        "function", F.coalesce("self", F.lit(0)).alias("self"), F.coalesce("total", F.lit(0)).alias("total")
     )
     out = out.orderBy(F.col("total").desc(), F.col("self").desc(), "function")
     return out.limit(max_nodes) if max_nodes else out
 
 
-def flame_diff(frames: DataFrame, sample: str, frame: str, side: Column) -> DataFrame:
-    """Per function, stacks containing it on the left and right selection,
-    their shares of each side's stacks and the difference (right - left)."""
-    tagged = frames.select(sample, frame, side.alias("_side")).distinct()
-    per_fn = tagged.groupBy(F.col(frame).alias("function")).agg(
-        F.count_if(F.col("_side") == "left").alias("left"), F.count_if(F.col("_side") == "right").alias("right")
-    )
-    sides = frames.select(sample, side.alias("_side")).distinct().agg(
-        F.count_if(F.col("_side") == "left").alias("nl"), F.count_if(F.col("_side") == "right").alias("nr")
-    )
+def flame_diff(frames: DataFrame, sample: str, frame: str, side: Column, weight: Column | None = None) -> DataFrame:
+    """Per function, the weight of stacks containing it on the left and right
+    selection, their shares of each side's weight and the difference (right - left)."""
+
+    def of(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_side") == name, F.col("weight"))), F.lit(0))
+
+    tagged = frames.withColumn("_side", side)
+    per_fn = tagged.groupBy(sample, frame, "_side").agg(_weight(weight).alias("weight"))
+    per_fn = per_fn.groupBy(F.col(frame).alias("function")).agg(of("left").alias("left"), of("right").alias("right"))
+    sides = tagged.groupBy(sample, "_side").agg(_weight(weight).alias("weight"))
+    sides = sides.agg(of("left").alias("nl"), of("right").alias("nr"))
     nl = sides.select("nl").scalar()
     nr = sides.select("nr").scalar()
     return per_fn.withColumns(

@@ -23,6 +23,7 @@ from streetflow.operators.logs import (
     line_format,
     outer_join_series,
     parsed_fields,
+    pattern_samples,
     patterns,
     rank_series,
     series_stats,
@@ -147,6 +148,21 @@ def q_log_patterns(spark: SparkSession, root: str) -> DataFrame:
     return patterns(doc_lines(spark, root), "line", "block", "level", limit=500)
 
 
+@query(
+    "log_pattern_samples",
+    "WITH "
+    + DL
+    + """
+SELECT regexp_replace(regexp_replace(line, '[0-9a-fA-F]{16,}', '<hex>', 'g'), '[0-9]+', '<num>', 'g') AS pattern,
+       block, COUNT(*) AS n
+FROM dl GROUP BY 1, 2
+""",
+)
+def q_log_pattern_samples(spark: SparkSession, root: str) -> DataFrame:
+    """L5 over time: lines of every pattern per time block."""
+    return pattern_samples(doc_lines(spark, root), "line", "block")
+
+
 @query(
     "series_sort",
     "WITH "
@@ -171,18 +187,18 @@ def q_series_sort(spark: SparkSession, root: str) -> DataFrame:
     "series_outer_join",
     "WITH "
     + DL
-    + """,
-a AS (SELECT block, COUNT(*) AS n FROM dl WHERE level = 'de' GROUP BY 1),
-b AS (SELECT block, COUNT(*) AS n FROM dl WHERE level = 'es' GROUP BY 1)
-SELECT COALESCE(a.block, b.block) AS block, a.n AS de, b.n AS es FROM a FULL OUTER JOIN b ON a.block = b.block
+    + """
+SELECT block, NULLIF(COUNT(*) FILTER (WHERE level = 'de'), 0) AS de, NULLIF(COUNT(*) FILTER (WHERE level = 'en'), 0) AS en,
+       NULLIF(COUNT(*) FILTER (WHERE level = 'es'), 0) AS es, NULLIF(COUNT(*) FILTER (WHERE level = 'fr'), 0) AS fr
+FROM dl WHERE level IN ('de', 'en', 'es', 'fr') GROUP BY 1
 """,
 )
 def q_series_outer_join(spark: SparkSession, root: str) -> DataFrame:
-    """Two line-count series joined on the union of their time points."""
+    """The line-count series of all languages joined on the union of their time points."""
     dl = doc_lines(spark, root)
     frames = {
         lang: dl.where(F.col("level") == lang).groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-        for lang in ("de", "es")
+        for lang in ("de", "en", "es", "fr")
     }
     return outer_join_series(frames, "block", "n")
 

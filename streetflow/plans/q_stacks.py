@@ -101,3 +101,52 @@ def q_profile_totals(spark: SparkSession, root: str) -> DataFrame:
         }
     )
     return out.orderBy(F.col("samples").desc(), "size", "leaf").limit(10)
+
+
+WEIGHT_SQL = "w AS (SELECT conv_id, CAST(SUM(coalesce(length(text), 0)) AS BIGINT) AS weight FROM conversations GROUP BY 1)"
+
+
+def _weighted_frames(spark: SparkSession, root: str) -> DataFrame:
+    """Frames with their conversation's weight: the length of all its texts."""
+    c = read_table(spark, root, "conversations")
+    weights = c.groupBy("conv_id").agg(
+        F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).alias("weight"), F.count(F.lit(1)).alias("depth")
+    )
+    return c.select("conv_id", "turn", "role").join(weights, "conv_id")
+
+
+@query(
+    "flame_table_weighted",
+    "WITH " + LEAF_SQL + ", " + WEIGHT_SQL + """,
+self AS (SELECT leaf AS function, CAST(SUM(weight) AS BIGINT) AS self FROM s JOIN w USING (conv_id) GROUP BY 1),
+tot AS (SELECT role AS function, CAST(SUM(weight) AS BIGINT) AS total
+        FROM (SELECT DISTINCT conv_id, role FROM conversations) JOIN w USING (conv_id) GROUP BY 1)
+SELECT coalesce(tot.function, self.function) AS function, coalesce(self, 0) AS self, coalesce(total, 0) AS total
+FROM tot FULL OUTER JOIN self ON tot.function = self.function
+""",
+)
+def q_flame_table_weighted(spark: SparkSession, root: str) -> DataFrame:
+    """Y3 with weights: self and total text length per function."""
+    return flame_table(_weighted_frames(spark, root), "conv_id", "turn", "role", weight=F.col("weight"))
+
+
+@query(
+    "flame_diff_weighted",
+    "WITH " + LEAF_SQL + ", " + WEIGHT_SQL + f""",
+t AS (SELECT DISTINCT c.conv_id, c.role, weight, CASE WHEN s.depth <= {SHORT_DEPTH} THEN 'left' ELSE 'right' END AS side
+      FROM conversations c JOIN s USING (conv_id) JOIN w USING (conv_id)),
+n AS (SELECT SUM(weight) FILTER (WHERE depth <= {SHORT_DEPTH}) AS nl, SUM(weight) FILTER (WHERE depth > {SHORT_DEPTH}) AS nr
+      FROM s JOIN w USING (conv_id)),
+f AS (SELECT role AS function, CAST(coalesce(SUM(weight) FILTER (WHERE side = 'left'), 0) AS BIGINT) AS "left",
+             CAST(coalesce(SUM(weight) FILTER (WHERE side = 'right'), 0) AS BIGINT) AS "right" FROM t GROUP BY 1)
+SELECT function, "left", "right", R6("left" / (SELECT nl FROM n)) AS left_share,
+       R6("right" / (SELECT nr FROM n)) AS right_share,
+       R6("right" / (SELECT nr FROM n) - "left" / (SELECT nl FROM n)) AS diff
+FROM f
+""",
+)
+def q_flame_diff_weighted(spark: SparkSession, root: str) -> DataFrame:
+    """Y4 with weights: text length of short vs long stacks per function."""
+    side = F.when(F.col("depth") <= SHORT_DEPTH, F.lit("left")).otherwise(F.lit("right"))
+    out = flame_diff(_weighted_frames(spark, root), "conv_id", "role", side, weight=F.col("weight"))
+    return out.withColumns({c: rnd(c) for c in ["left_share", "right_share", "diff"]})

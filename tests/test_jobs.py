@@ -22,7 +22,8 @@ def test_speed_then_batch_cycle(spark):
     assert read_lake(spark, lake).count() == n
 
     mp, dl = work_dir(spark, "mapping"), work_dir(spark, "daily")
-    args = ["batch", "--lake", lake, "--mapping", mp, "--daily", dl, "--as-of", "2024-01-15"]
+    args = ["batch", "--lake", lake, "--mapping", mp, "--daily", dl, "--as-of", "2024-01-15",
+            "--checkpoints", work_dir(spark, "batch-ck")]
     main(args + ["--cycle", "1"])
     out = batch_outputs(spark, lake, "2024-01-15")
     expected = out["traffic_daily_analysis"].where("denomination IS NOT NULL AND hierarchie IS NOT NULL").count()
@@ -42,3 +43,21 @@ def test_batch_cycle_waits_for_the_archive(spark):
 
     missing = work_dir(spark, "no-lake")
     assert batch_cycle(spark, missing, work_dir(spark, "m"), work_dir(spark, "d"), "2024-01-15", 0) is False
+
+
+def test_a_second_cycle_over_unchanged_data_writes_no_mapping_rows(spark):
+    import os
+
+    from streetflow.jobs import batch_cycle, mapping_table
+    from streetflow.sources.lake import write_lake
+    from streetflow.sources.standins import traffic_archive
+
+    lake, mapping, daily, ck = (work_dir(spark, n) for n in ("t4-lake", "t4-map", "t4-daily", "t4-ck"))
+    write_lake(traffic_archive(spark, SMOKE, with_shape=True).drop("ts"), lake)
+    versions = lambda: sorted(os.listdir(f"{mapping}/batches"))
+    assert batch_cycle(spark, lake, mapping, daily, "2024-01-15", 0, checkpoints=ck)
+    first = versions()
+    n = spark.read.parquet(mapping_table(mapping).batches).count()
+    assert n > 0
+    assert batch_cycle(spark, lake, mapping, daily, "2024-01-15", 1, checkpoints=ck)
+    assert versions() == first and spark.read.parquet(mapping_table(mapping).batches).count() == n
