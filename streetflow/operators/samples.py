@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
-from streetflow.operators.quantiles import exact_quantiles, qname
+from streetflow.operators.quantiles import _join, exact_quantiles, qname
 
 # --- fixed values: metric-type rules by name ------------------------------------
 COUNTER_SUFFIX = r"_(count|total|sum)$"
@@ -84,10 +84,21 @@ def topk(df: DataFrame, bucket: list[str], value: str, name: str, k: int, bottom
 
 def counter_deltas(df: DataFrame, series: list[str], ts: str, value: str) -> DataFrame:
     """M5: reset-aware difference to the previous sample of the same series
-    (a drop means the counter restarted, so the new value is the increase)."""
-    prev = F.lag(value).over(Window.partitionBy(*series).orderBy(ts))
+    (a drop means the counter restarted, so the new value is the increase).
+
+    A series is cut by day, so no task holds its whole history: the first sample of a
+    day looks back at the last one of the series' previous day, from a table of one
+    row per series and day."""
+    df = df.withColumn("_day", F.to_date(ts))
+    lasts = df.groupBy(*series, "_day").agg(F.max_by(F.struct(F.col(value).alias("v")), ts).alias("_l"))
+    before = F.lag("_l").over(Window.partitionBy(*series).orderBy("_day"))
+    df = _join(df, lasts.select(*series, "_day", before.alias("_carry")), [*series, "_day"])
+    in_day = Window.partitionBy(*series, "_day").orderBy(ts)
+    prev = F.when(F.row_number().over(in_day) == 1, F.col("_carry.v")).otherwise(F.lag(value).over(in_day))
+    df = df.withColumn("_prev", prev)
+    prev = F.col("_prev")
     delta = F.when(prev.isNull(), F.lit(None)).when(F.col(value) >= prev, F.col(value) - prev).otherwise(F.col(value))
-    return df.withColumn("delta", delta)
+    return df.withColumn("delta", delta).drop("_day", "_carry", "_prev")
 
 
 def increase(df: DataFrame, series: list[str], by: list[str], ts: str, value: str, bucket_s: int) -> DataFrame:
@@ -151,6 +162,20 @@ def cumulative_buckets(df: DataFrame, by: list[str], value: str, les: list[float
     return df.groupBy(*by).agg(*aggs)
 
 
+def counter_buckets(
+    df: DataFrame, by: list[str], le: str, ts: str, value: str, bucket_s: int, les: list[float]
+) -> DataFrame:
+    """M8 from stored counters: ``(labels, le, ts, counter)`` samples, one series per bound
+    label, -> per time bucket and labels the increase of each bound as ``c_<le>``, ready
+    for ``histogram_quantile``.  Counter restarts are those of M5."""
+    inc = increase(df, [*by, le], [*by, le], ts, value, bucket_s)
+    counts = [
+        F.coalesce(F.sum(F.when(F.col(le) == le_label(x), F.col("increase"))), F.lit(0)).alias(f"c_{le_label(x)}")
+        for x in les
+    ]
+    return inc.groupBy("bucket", *by).agg(*counts)
+
+
 def histogram_quantile(q: float, les: list[float]) -> Column:
     """M8: quantile from cumulative bucket counts with linear interpolation inside the
     first bucket reaching the rank; the +Inf bucket answers with the last finite bound."""

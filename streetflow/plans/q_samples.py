@@ -17,6 +17,7 @@ from streetflow.operators.samples import (
     aggregate,
     aggregate_without,
     count_values,
+    counter_buckets,
     cumulative_buckets,
     finite,
     histogram_quantile,
@@ -277,6 +278,69 @@ def q_histogram_quantile(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+RATE_LES = [50.0, 100.0, 200.0, float("inf")]
+
+
+def _rate_counters(spark: SparkSession, root: str) -> DataFrame:
+    """Hourly samples of one counter per (event type, bound), restarting each day:
+    events so far that day with a value up to the bound."""
+    ev = read_table(spark, root, "events").where(F.col("value").isNotNull() & F.col("ts").isNotNull())
+    hourly = cumulative_buckets(
+        ev.withColumn("hour", bucket_start(F.col("ts"), 3600)), ["event_type", "hour"], "value", RATE_LES
+    )
+    pairs = F.array(*[F.struct(F.lit(le_label(x)).alias("le"), F.col(f"`c_{le_label(x)}`").alias("n")) for x in RATE_LES])
+    long = hourly.select("event_type", "hour", F.explode(pairs).alias("p")).select("event_type", "hour", "p.le", "p.n")
+    w = Window.partitionBy("event_type", "le", F.to_date("hour")).orderBy("hour")
+    return long.select("event_type", "le", "hour", F.sum("n").over(w).alias("counter"))
+
+
+def _rate_quantile_sql(q: float) -> str:
+    parts, prev_le, prev_c = [], "0.0", "0"
+    for i, le in enumerate(RATE_LES):
+        c = f'"c_{le_label(le)}"'
+        if le == float("inf"):
+            val = str(RATE_LES[i - 1])
+        else:
+            val = f"{prev_le} + CASE WHEN {c} <> {prev_c} THEN ({le} - {prev_le}) * ({q} * total - {prev_c}) / ({c} - {prev_c}) END"
+        parts.append(f"WHEN {c} >= {q} * total THEN {val}")
+        prev_le, prev_c = str(le), c
+    return f"CASE WHEN total > 0 THEN CASE {' '.join(parts)} END END"
+
+
+@query(
+    "histogram_rates",
+    f"""
+WITH b AS (SELECT event_type, make_timestamp((epoch_us(ts) // {HOUR_US}) * {HOUR_US}) AS hour, le, lim
+           FROM events, (VALUES ('50', 50.0), ('100', 100.0), ('200', 200.0), ('+Inf', 'inf'::DOUBLE)) l(le, lim)
+           WHERE value IS NOT NULL AND ts IS NOT NULL GROUP BY ALL),
+h AS (SELECT b.event_type, b.hour, b.le, COUNT(*) FILTER (WHERE e.value <= b.lim) AS n
+      FROM b JOIN events e ON e.event_type IS NOT DISTINCT FROM b.event_type
+       AND make_timestamp((epoch_us(e.ts) // {HOUR_US}) * {HOUR_US}) = b.hour AND e.value IS NOT NULL
+      GROUP BY 1, 2, 3),
+c AS (SELECT *, SUM(n) OVER (PARTITION BY event_type, le, hour::DATE ORDER BY hour) AS counter FROM h),
+d AS (SELECT *, lag(counter) OVER (PARTITION BY event_type, le ORDER BY hour) AS prev FROM c),
+i AS (SELECT event_type, le, make_timestamp((epoch_us(hour) // {6 * HOUR_US}) * {6 * HOUR_US}) AS bucket,
+             SUM(CASE WHEN prev IS NULL THEN NULL WHEN counter >= prev THEN counter - prev ELSE counter END) AS inc
+      FROM d GROUP BY 1, 2, 3),
+p AS (SELECT bucket, event_type, coalesce(SUM(inc) FILTER (WHERE le = '50'), 0) AS "c_50",
+             coalesce(SUM(inc) FILTER (WHERE le = '100'), 0) AS "c_100",
+             coalesce(SUM(inc) FILTER (WHERE le = '200'), 0) AS "c_200",
+             coalesce(SUM(inc) FILTER (WHERE le = '+Inf'), 0) AS "c_+Inf" FROM i GROUP BY 1, 2),
+t AS (SELECT *, "c_+Inf" AS total FROM p)
+SELECT bucket, event_type, CAST(total AS BIGINT) AS total, R6({_rate_quantile_sql(0.5)}) AS p50,
+       R6({_rate_quantile_sql(0.9)}) AS p90 FROM t
+""",
+)
+def q_histogram_rates(spark: SparkSession, root: str) -> DataFrame:
+    """M8 from counters: value quantiles per event type and 6 hours, from the increases of
+    one daily-restarting counter per bound."""
+    b = counter_buckets(_rate_counters(spark, root), ["event_type"], "le", "hour", "counter", 21600, RATE_LES)
+    return b.select(
+        "bucket", "event_type", F.col("`c_+Inf`").alias("total"),
+        *[r6(histogram_quantile(q, RATE_LES)).alias(f"p{int(q * 100)}") for q in (0.5, 0.9)],
+    )
+
+
 def _bin_sql() -> str:
     parts = []
     for le in LES:
