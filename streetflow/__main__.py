@@ -36,9 +36,15 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("streetflow-" + args.cmd)
     if args.cmd == "speed":
         from streetflow.jobs import run_speed_layer
-
-        r = spark.readStream.format(args.format).options(**_options(args.option))
-        messages = r.load(args.path) if args.path else r.load()
+        from streetflow.streaming.jobs import kafka_source
+
+        options = _options(args.option)
+        if args.format == "kafka":
+            servers, topic = options.pop("kafka.bootstrap.servers"), options.pop("subscribe")
+            messages = kafka_source(spark, servers, topic, **options)
+        else:
+            r = spark.readStream.format(args.format).options(**options)
+            messages = r.load(args.path) if args.path else r.load()
         run_speed_layer(messages, args.lake, args.realtime, args.checkpoints, args.available_now, args.compact_every)
     else:
         from streetflow.jobs import batch_cycle

@@ -1,9 +1,10 @@
 """Latest row per key (R1, R2, Q3) and the null-key guard (P10).
 
 "Latest" is an aggregate, not a window: ``max`` over a struct whose leading
-fields are the order columns.  That plans as a partial + final HashAggregate,
-so a key holding a third of all rows is reduced map-side to one row per task
-before the shuffle, and no task ever sorts a whole key group.
+fields are the order columns.  That plans as a partial + final aggregate, so a
+key holding a third of all rows is reduced map-side to one row per task before
+the shuffle.  Where the winning row holds strings the aggregate is sort-based:
+each task sorts its own input by key (spilling), never a whole key group.
 """
 
 from __future__ import annotations

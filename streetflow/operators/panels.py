@@ -10,7 +10,7 @@ left-semi join so they never pass through the driver.
 from __future__ import annotations
 
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,15 @@ def with_epoch(df: DataFrame, ts_col: str, out: str = "time_epoch") -> DataFrame
     return df.withColumn(out, F.floor(epoch_seconds(F.col(ts_col))).cast("bigint"))
 
 
+def epoch_range(ts: Column, epoch_from: int, epoch_to: int) -> Column:
+    """``$__unixEpochFrom/To`` as bounds on the stored time itself: whole seconds strictly
+    between both are times from one second after the first and before the second.  Unlike
+    bounds on a derived epoch this reaches the scan."""
+    day0 = datetime(1970, 1, 1)
+    low, high = (day0 + timedelta(seconds=s) for s in (epoch_from + 1, epoch_to))
+    return (ts >= F.lit(low.isoformat(" ")).cast("timestamp_ntz")) & (ts < F.lit(high.isoformat(" ")).cast("timestamp_ntz"))
+
+
 def unix_epoch(ts: str | datetime) -> int:
     """Macro value of ``$__unixEpochFrom`` for a UTC wall time."""
     d = datetime.fromisoformat(ts) if isinstance(ts, str) else ts

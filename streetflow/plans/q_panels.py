@@ -15,6 +15,7 @@ from streetflow.operators.panels import (
     annotations,
     instant,
     labelled,
+    epoch_range,
     long_to_wide,
     panel_sql,
     series,
@@ -65,10 +66,11 @@ WHERE epoch_us(ts) // 1000000 > {unix_epoch(EPOCH_FROM)} AND epoch_us(ts) // 100
 )
 def q_panel_epoch_range(spark: SparkSession, root: str) -> DataFrame:
     """Q1 + Q2: integer epoch time column with ``$__unixEpochFrom/To``; ids as a csv list."""
-    t = with_epoch(_traffic(spark, root), "ts")
+    bounds = unix_epoch(EPOCH_FROM), unix_epoch(EPOCH_TO)
+    t = with_epoch(_traffic(spark, root).where(epoch_range(F.col("ts"), *bounds)), "ts")
     return series(
         t, "time_epoch", "avg_speed", "hierarchie", ids="click,view,purchase",
-        time_from=unix_epoch(EPOCH_FROM), time_to=unix_epoch(EPOCH_TO),
+        time_from=bounds[0], time_to=bounds[1],
     )
 
 

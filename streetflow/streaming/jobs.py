@@ -26,14 +26,16 @@ from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import PARTITION
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
-    """One topic, no data-loss failure (offsets may expire between runs)."""
+def kafka_source(spark: SparkSession, servers: str, topic: str, startingOffsets: str = "latest", **options: str) -> DataFrame:
+    """One topic, no data-loss failure (offsets may expire between runs).  The option
+    names are fixed values of the connector."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("startingOffsets", starting)
+        .option("startingOffsets", startingOffsets)
         .option("failOnDataLoss", "false")
+        .options(**options)
         .load()
     )
 
@@ -234,6 +236,7 @@ def alert_stream(
     checkpoint: str,
     order: list[str] | None = None,
     available_now: bool = True,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
     """Q9 live: the last value of every series against a threshold, kept as
     streaming state (one row per series, update mode) and upserted per
@@ -246,6 +249,8 @@ def alert_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact_through(batch.sparkSession, batch.schema, batch_id)
 
     w = states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()

@@ -95,3 +95,8 @@ def test_panel_ids_push_into_scan(spark):
     ev = spark.read.parquet(f"{SMOKE}/events.parquet")
     plan = plan_text(series(ev, "ts", "value", "event_type", ids="click,view"))
     assert any("In(event_type" in p for p in pushed_filters(plan))
+
+
+def test_epoch_bounds_reach_the_scan(spark):
+    plan = plan_text(QUERIES["panel_epoch_range"](spark, SMOKE))
+    assert any("GreaterThanOrEqual(ts" in p and "LessThan(ts" in p for p in pushed_filters(plan))
