@@ -201,7 +201,7 @@ class Pseudonyms:
 
     def card(self, s: str) -> str | None:
         plain = re.sub(r"\D", "", s)
-        if luhn(plain) or len(set(plain)) == 1:
+        if len(plain) < 13 or luhn(plain) or len(set(plain)) == 1:
             return None
         body = f"{self.number(int(plain[:-1]), 10 ** (len(plain) - 1), 'card'):0{len(plain) - 1}d}"
         return self.digits(s, f"{body}{-luhn(body + '0') % 10}")
@@ -235,7 +235,10 @@ class Pseudonyms:
         while m := PATTERN.search(text, pos):
             kind = m.lastgroup if m.lastgroup != "assigned" else "value"
             begin, end = m.span(kind)
-            new = getattr(self, kind)(m[kind])
+            new, value = getattr(self, kind)(m[kind]), m[kind]
+            while new is None and kind in ("card", "iban") and (cut := re.match(r"(.*\w)[ -]+\w", value)):
+                value = cut[1]  # the groups at its end may be other words
+                new, end = getattr(self, kind)(value), begin + len(value)
             if new is None:  # not valid: what begins later may be
                 pos = begin + len(re.match(r"\w+|.", m[0], re.S)[0])
                 continue

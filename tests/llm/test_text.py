@@ -159,6 +159,15 @@ def test_pseudonyms_keep_format_and_validity(kind):
         assert back.text(new)[0] == text
 
 
+def test_values_among_other_numbers_are_found():
+    names = pii.Pseudonyms(b"key")
+    for v, before, after in [("4041894974608795", "", " 47"), ("4041 8949 7460 8795", "12 ", " 3 4"), ("4041894974608795", "", " 4337166598464399"),
+                             ("GB82WEST12345698765432", "", " ABCD 1234"), ("DE89 3704 0044 0532 0130 00", "X ", " 99 AB")]:
+        new, spans = names.text(f"a {before}{v}{after} z")
+        assert v not in new and spans[0][2] in ("card", "iban"), (v, new)
+        assert len(new) == len(f"a {before}{v}{after} z")
+
+
 def test_what_is_not_valid_stays():
     names = pii.Pseudonyms(b"key")
     for t in ["4041894974608796", "300.1.1.1", "2023-02-29", "000-45-6789", "GB83WEST12345698765432", "version 3.0 of 2024", "1111111111111111", "", "x@y", "99/99/2024"]:
