@@ -113,7 +113,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Every text's fingerprint beside that of its edit, whose last quarter of characters
     is replaced by as many (or all) first characters of the next document's text.
 
-    ``(doc_id, n_chars, edited, fingerprint, edited_fingerprint, next_fingerprint)``
+    ``(doc_id, n_chars, edited, fingerprint, next_id, next_fingerprint, edited_fingerprint)``
+
+    Both sides of the last join read the same columns of ``rows``, so one shuffle of the
+    texts serves both.
     """
     order = F.coalesce("doc_id", F.lit(-(2**63)))
     rows = id_and_text(docs, id_col, text_col).select("doc_id", "text", order.alias("k"), F.xxhash64("text").alias("h"))
@@ -129,6 +132,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sent = told.select(
         F.col("to_k").alias("k"),
         F.col("to_h").alias("h"),
+        F.col("doc_id").alias("next_id"),
         F.substring("text", F.lit(1), F.floor(F.col("to_n") / 4).cast("int")).alias("lead"),
         written(tree(F.col("text"))).alias("next_fingerprint"),
     )
@@ -138,6 +142,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         n.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), "lead").alias("edited"),
         "fingerprint",
+        "next_id",
         "next_fingerprint",
     )
     return both.withColumn("edited_fingerprint", written(tree(F.col("edited"))))

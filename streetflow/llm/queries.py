@@ -81,6 +81,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_fingerprint",
         merkle.compare(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         merkle.compare(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        "next_id",
     )
 
 
