@@ -27,6 +27,16 @@ def keep(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of up to four numbers that may be broadcast once counted: some 16 MB.
+BROADCAST_ROWS = 250_000
+
+
+def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a written table of few narrow columns), marked for broadcast if it has at most
+    ``most`` rows; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def column(name: str) -> Column:
     """The column called exactly ``name`` (dots and back-ticks included)."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -45,17 +45,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from streetflow.llm.common import id_and_text, keep, slices
+from streetflow.llm.common import few, id_and_text, keep, slices
 from streetflow.llm.components import components
 from streetflow.llm.shingles import U, digests, shingle_sets
 
 #: Of the hash range, the part whose tokens take part in the shared-token bound.
 EXCHANGED = 3 / 8
 #: Token entries that a task combines at once, and entries that a bucket should get.
-TASK_ENTRIES, BUCKET_ENTRIES, LEAST_BUCKETS = 2_000_000, 1_000_000, 256
+TASK_ENTRIES, BUCKET_ENTRIES, LEAST_BUCKETS = 1_000_000, 1_000_000, 256
 #: Documents above which a token is frequent, i.e. indexed in pairs.
 FREQUENT = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 DOCS = "doc_id long, n int, m int, d1 long, d2 long"
 SENT = "bucket int, tokens binary, sets binary, counted binary, counts binary"
@@ -267,10 +267,14 @@ def index(lists: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of keys whose sets have a Jaccard similarity of 0.75 or more."""
-    left = lists.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = lists.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("ta", "tb")))
+    """The pairs ``(a, b)`` of keys whose sets have a Jaccard similarity of 0.75 or more.
+
+    Each side of the pairs meets its sets alone, so while the pairs are few enough to
+    broadcast, only the sets that they name are shuffled."""
+    pairs = few(keep(pairs, "jaccard-pairs"))
+    left = lists.withColumnsRenamed({"key": "a", "n": "na", "tokens": "ta"}).join(pairs, "a")
+    right = lists.withColumnsRenamed({"key": "b", "n": "nb", "tokens": "tb"}).join(pairs, "b")
+    both = left.join(right, ["a", "b"]).withColumn("i", F.size(F.array_intersect("ta", "tb")))
     return both.filter("100 * i >= 75 * (na + nb - i)").select("a", "b")
 
 
@@ -331,7 +335,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = sets.filter("doc_id IS NOT NULL AND n > 0")
     reps = keep(known.groupBy("d1", "d2", "n", "m").agg(F.min("doc_id").alias("doc_id")), "jaccard-distinct")
     possible = keep(with_possible_partners(docs, reps), "jaccard-possible")
-    lists = keep(token_lists(docs.join(possible, "doc_id")), "jaccard-tokens")
+    lists = keep(token_lists(docs.join(few(possible), "doc_id")), "jaccard-tokens")
     found = components_by_leaders(index(lists), lists)
     # rows that repeat a document id: their sets belong together
     repeated = known.groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("b")).filter("a <> b").select("doc_id", "a")
