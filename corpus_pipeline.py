@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.llm import bpe, jaccard, langid, packing, pii, toxicity
-from streetflow.llm.common import keep, table
+from streetflow.llm.common import few, keep, table
 from streetflow.llm.queries import pii_key
 from streetflow.session import ensure_utc
 
@@ -41,11 +41,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without an id stay; of rows that repeat an id, one stays.
     """
     found = keep(jaccard.jaccard_components(docs), "pipeline-components")
-    ids = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
-    stay = docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    if not ids.filter("times > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id"])
-    return stay.union(docs.filter("doc_id IS NULL"))
+    gone = keep(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
+    stay = docs.join(few(gone), "doc_id", "left_anti").select(docs.columns)
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1")
+    if repeated.isEmpty():
+        return stay
+    return stay.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(stay.filter("doc_id IS NULL"))
 
 
 def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
