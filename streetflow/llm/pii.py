@@ -15,7 +15,10 @@ every document, different values get different ones, and the key's owner can und
 * access keys, and values assigned to a password, secret or token: character by kind.
 
 Defined cases: a null text stays null, an empty one empty; a value that fails its
-validation stays; of overlapping finds the leftmost counts, then the order above;
+validation stays; of overlapping finds the leftmost counts, then the order of
+``PATTERNS``, and a find that fails leaves its position to the kinds after it; a card,
+account or ``+`` number gives up groups at its end that begin a date, address, social
+security or phone number, and a run that begins as a phone number is no card;
 rows come back one by one with all their columns (an output column that clashes gets
 ``_`` in front); an empty table gives no rows.
 """
@@ -39,20 +42,27 @@ ROUNDS = 8
 
 #: Two letters, two check digits and the account; groups of four may be spaced.
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-PATTERN = re.compile(
-    r"(?P<assigned>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\s*[=:]\s*[\"']?(?P<value>[^\s\"']{5,}[^\s\"',.;:!?)]))"
-    r"|(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"
-    r"|\b(?P<akey>A(?:KIA|SIA)[A-Z0-9]{16})\b"
-    r"|\b(?P<iban>" + IBAN + r")\b"
-    r"|(?<![\d.])(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\d]|\.\d)"
-    r"|(?<![\d/.-])(?P<date>\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\d/-])"
-    r"|(?<![\d-])(?P<ssn>\d{3}-\d\d-\d{4})(?![\d-])"
-    r"|(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)"
-    r"|(?<![\d+])(?P<nanp>(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\d)"
-    r"|(?<![\d+])(?P<phone>\+\d(?:[ ().-]{0,2}\d){7,14})(?!\d)"
-)
+#: The finds by kind, in order of precedence at one position.
+PATTERNS = {
+    "value": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)\s*[=:]\s*[\"']?(?P<value>[^\s\"']{5,}[^\s\"',.;:!?)])",
+    "email": r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})",
+    "akey": r"\b(?P<akey>A(?:KIA|SIA)[A-Z0-9]{16})\b",
+    "iban": r"\b(?P<iban>" + IBAN + r")\b",
+    "ip": r"(?<![\d.])(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\d]|\.\d)",
+    "date": r"(?<![\d/.-])(?P<date>\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\d/-])",
+    "ssn": r"(?<![\d-])(?P<ssn>\d{3}-\d\d-\d{4})(?![\d-])",
+    "card": r"(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
+    "nanp": r"(?<![\d+])(?P<nanp>(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\d)",
+    "phone": r"(?<![\d+])(?P<phone>\+\d(?:[ ().-]{0,2}\d){7,14})(?!\d)",
+}
+PATTERN = re.compile("|".join(PATTERNS.values()))
+ALONE = {kind: re.compile(p) for kind, p in PATTERNS.items()}
+#: Kinds whose groups at the end may be other words, and short kinds that these may be part of.
+GROUPED, SHORT = ("card", "iban", "phone"), ("ip", "date", "ssn", "nanp")
+#: More than the longest find of a short kind and what it looks at behind.
+SHORT_REACH = 24
 #: What each kind cannot do without; a text with none of these has no find.
-HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api.?key)")
+HINT = re.compile(r"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|secret|token|api.?key)")
 
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
@@ -226,6 +236,37 @@ class Pseudonyms:
         n = len(plain) - 2
         return self.digits(s, plain[:2] + f"{self.number(int(plain[2:]), 10**n, 'phone' + plain[:2]):0{n}d}")
 
+    def splits(self, text: str, kind: str, begin: int, end: int) -> bool:
+        """Whether a find of a short kind begins in ``text[begin:end]`` and goes on behind it,
+        or for a card is a phone number at its beginning (no card is grouped so)."""
+        if kind == "card" and ALONE["nanp"].match(text, begin):
+            return True
+        for short in SHORT:
+            at = begin
+            while (m := ALONE[short].search(text, at, end + SHORT_REACH)) and m.start() < end:
+                if m.end() > end and getattr(self, short)(m[short]) is not None:
+                    return True
+                at = m.start() + 1
+        return False
+
+    def replaced(self, text: str, kind: str, begin: int, end: int) -> tuple[str, int] | None:
+        """(pseudonym, end) of the find ``text[begin:end]``, less groups at its end that
+        make it invalid or part another find; None if it is not valid."""
+        if kind not in GROUPED:
+            new = getattr(self, kind)(text[begin:end])
+            return None if new is None else (new, end)
+        longest = None
+        while True:
+            new = getattr(self, kind)(text[begin:end])
+            if new is not None:
+                if not self.splits(text, kind, begin, end):
+                    return new, end
+                longest = longest or (new, end)
+            cut = re.match(r"(.*\w)[ ().-]+\w", text[begin:end])
+            if cut is None:
+                return None if kind == "card" else longest
+            end = begin + len(cut[1])
+
     def text(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with its finds replaced, and (start, length, kind) of each."""
         if not HINT.search(text):
@@ -233,21 +274,24 @@ class Pseudonyms:
         out, spans, at = [], [], 0
         pos = 0
         while m := PATTERN.search(text, pos):
-            kind = m.lastgroup if m.lastgroup != "assigned" else "value"
-            begin, end = m.span(kind)
-            new, value = getattr(self, kind)(m[kind]), m[kind]
-            while new is None and kind in ("card", "iban") and (cut := re.match(r"(.*\w)[ -]+\w", value)):
-                value = cut[1]  # the groups at its end may be other words
-                new, end = getattr(self, kind)(value), begin + len(value)
-            if new is None:  # not valid: what begins later may be
-                pos = begin + len(re.match(r"\w+|.", m[0], re.S)[0])
+            kind = m.lastgroup
+            found = self.replaced(text, kind, *m.span(kind))
+            if found is None:  # not valid: a later kind at the same position may be
+                for kind in ORDER[ORDER.index(kind) + 1 :]:
+                    if (n := ALONE[kind].match(text, m.start())) and (found := self.replaced(text, kind, *n.span(kind))):
+                        m = n
+                        break
+            if found is None:
+                pos = m.start() + 1
                 continue
+            begin, (new, end) = m.start(kind), found
             out += [text[at:begin], new]
             spans.append((begin, end - begin, kind))
             at = pos = end
         return "".join(out) + text[at:], spans
 
 
+ORDER = list(PATTERNS)
 KINDS = ["email", "card", "iban", "nanp", "phone", "ip", "ssn", "date", "akey", "value"]
 
 
