@@ -24,7 +24,7 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or whose language is as likely another, go."""
+    """Documents without letters, in mixed languages, or whose language is told by a narrow margin, go."""
     found = langid.identify(docs, langid.dictionaries(docs))
     return found.filter(found.columns[-1]).select(docs.columns)
 

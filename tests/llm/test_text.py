@@ -42,6 +42,36 @@ def test_language_of_unlabelled_and_unlettered_texts(spark, odd, none):
     assert {r["_lang_pred"] for r in langid.identify(odd, {}).collect()} == {"und"}
 
 
+def test_narrow_margins_and_mixed_texts_are_rejected():
+    import zlib
+
+    by = {}
+    for i, t, lang in rows(SMALL, "SELECT doc_id, text, lang FROM documents WHERE length(text) > 600 ORDER BY doc_id"):
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang:
+            by.setdefault(lang, []).append(t)
+    learn = {k: b" ".join(langid.words_only(t[:1024]) for t in v[::2][:128]) for k, v in by.items()}
+    unseen = {k: [t for t in v[1::2] if t not in set(v[::2])][:60] for k, v in by.items()}
+    sizes = lambda langs, share=0.25: langid.Sizes({k: (learn[k], share) for k in langs})
+    kept = lambda s, texts: np.mean([s.classify(t)[2] for t in texts])
+
+    every = sizes(learn)
+    assert kept(every, [t for v in unseen.values() for t in v]) >= 0.97
+    long = [" ".join(v[:40]) for v in unseen.values()]  # margins don't fade with length
+    assert min(map(len, long)) > 15_000 and kept(every, long) == 1
+    mixed = [f"{x[:1500]} {y[:1500]}" for a in unseen for b in unseen if a < b for x, y in zip(unseen[a], unseen[b], strict=False)]
+    assert kept(every, mixed) <= 0.25
+    for lang in learn:  # a language never learned
+        assert kept(sizes(learn.keys() - {lang}), unseen[lang]) <= 0.4, lang
+    rng = random.Random(5)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(300)) for _ in range(30)]
+    assert kept(every, noise) == 0
+    # all sizes equal: a language of most of the rows is not enough
+    skewed = langid.Sizes({k: (v, 0.97 if k == "en" else 0.01) for k, v in learn.items()})
+    assert skewed.classify("日本語のテキスト と 漢字 " * 5)[2] is False
+    alone = sizes(["en"], 1.0)
+    assert kept(alone, unseen["en"]) >= 0.97 and kept(alone, noise) == 0
+
+
 def test_held_out_documents_are_not_learned(spark):
     import zlib
 
