@@ -7,10 +7,11 @@ position is the one vocabulary entry ``t`` ending there for which ``t`` stays
 unmerged beside the last token of the prefix before it.
 
 The distinct words of a batch are inserted into a trie, which is walked depth
-first: each trie node (a prefix) gets its last token and ids once, however many
-words share it.  A word ends with its last letter in end-of-word form, a leaf
-below the node of its other letters.  The walk goes over the sorted words with a
-stack of the current path, so the trie is never held whole.
+first: each trie node (a prefix) gets its last token once, however many words share
+it.  A word ends with its last letter in end-of-word form, a leaf below the node of
+its other letters; its ids are read back from there.  The walk goes over the sorted
+words with a stack of the current path, so the trie is never held whole and a word
+takes memory in proportion to its length.
 
 Defined cases: null or empty text has no ids and decodes to the empty text; null
 and repeated ids are kept row by row; an empty table gives no rows; other columns
@@ -107,11 +108,12 @@ class TrieCoder:
         raise ValueError(f"no token of the vocabulary ends {word[:end]!r}")
 
     def encode(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of each word as little-endian uint32.  ``lasts[d]`` and ``ids[d]`` belong to the node at depth d
-        of the current path; a word keeps the path that it shares with the one before."""
+        """Ids of each word as little-endian uint32.  ``lasts[d]`` and ``lengths[d]`` are the last token and its
+        length of the node at depth d of the current path; a word keeps the path that it shares with the one
+        before, and its ids are read by one walk back from its end."""
         out: dict[str, bytes] = {}
         lasts: list[int] = [-1]
-        ids: list[bytes] = [b""]
+        lengths: list[int] = [0]
         packed = self.packed
         before = ""
         inner, final, inner_lengths, final_lengths, last = self.inner, self.final, self.inner_lengths, self.final_lengths, self.last
@@ -120,13 +122,18 @@ class TrieCoder:
             most, shared = min(len(lasts), size) - 1, 0
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del lasts[shared + 1 :], ids[shared + 1 :]
+            del lasts[shared + 1 :], lengths[shared + 1 :]
             for end in range(shared + 1, size):
                 token, n = last(word, end, lasts, inner, inner_lengths)
                 lasts.append(token)
-                ids.append(ids[end - n] + packed[token])
+                lengths.append(n)
             token, n = last(word, size, lasts, final, final_lengths)
-            out[word] = ids[size - n] + packed[token]
+            ids, at = [packed[token]], size - n
+            while at:
+                ids.append(packed[lasts[at]])
+                at -= lengths[at]
+            ids.reverse()
+            out[word] = b"".join(ids)
             before = word
         return out
 

@@ -66,6 +66,21 @@ def test_counts(spark):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((docs[r.doc_id] or "").encode()), n, n > 2048)
 
 
+def test_a_long_run_of_letters_takes_memory_in_proportion():
+    import tracemalloc
+
+    rng = random.Random(6)
+    run = "".join(rng.choices("etaoinshrdlu", k=200_000))
+    trie = bpe_trie.TrieCoder(WORD)
+    tracemalloc.start()
+    trie.encode({run[:20_000]})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20, peak  # half the square of the letters is 200 MB
+    ids, _ = bpe_trie.coder(WORD).code([run])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == library_ids(WORD, run)
+
+
 def test_trie_query(spark):
     docs, tok = dict(rows(SMOKE, DOCS)), bpe.library(WORD)
     got = queries.QUERIES["op10_bpe"](spark, SMOKE).collect()
