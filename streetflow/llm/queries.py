@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, merkle, packing, pii, token_counts, token_store, toxicity
+from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, lexical, merkle, multi_index, negatives, packing, pii, token_counts, token_store, toxicity
 from streetflow.llm.common import crc32_mod, table
 from streetflow.session import ensure_utc, work_dir
 
@@ -124,3 +124,66 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, by norm buckets over impact vectors."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS terms FROM sizes),
+tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * (SELECT docs FROM total) + 2) / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf GROUP BY term),
+impact AS (
+  SELECT tf.doc_id, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * s.n * t.docs) // t.terms))) AS x
+  FROM tf JOIN w ON tf.term = w.term JOIN sizes s ON tf.doc_id = s.doc_id CROSS JOIN total t),
+scored AS (
+  SELECT q.item_id, i.doc_id, CAST(SUM(i.x) AS BIGINT) AS score
+  FROM q JOIN impact i ON q.term = i.term GROUP BY q.item_id, i.doc_id),
+ranked AS (
+  SELECT item_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest embeddings found of every hundredth one, by an inverted multi-index."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", 10)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every fiftieth embedding, by the threshold algorithm."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""

@@ -14,7 +14,7 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def rows(sf: str, sql: str) -> list[tuple]:
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con.execute(sql).fetchall()
 
