@@ -22,7 +22,6 @@ def main(argv: list[str] | None = None) -> None:
     sp.add_argument("--realtime", required=True)
     sp.add_argument("--checkpoints", required=True)
     sp.add_argument("--available-now", action="store_true")
-    sp.add_argument("--compact-every", type=int, default=100, help="snapshot the realtime table every N batches")
     bp = sub.add_parser("batch", help="one batch cycle over the lake")
     bp.add_argument("--lake", required=True)
     bp.add_argument("--mapping", required=True)
@@ -30,7 +29,6 @@ def main(argv: list[str] | None = None) -> None:
     bp.add_argument("--as-of", required=True)
     bp.add_argument("--cycle", type=int, required=True)
     bp.add_argument("--checkpoints", required=True, help="folder that remembers which lake files earlier cycles have read")
-    bp.add_argument("--compact-every", type=int, default=10, help="snapshot the keyed tables every N cycles")
     args = ap.parse_args(argv)
 
     spark = build_session("streetflow-" + args.cmd)
@@ -45,11 +43,11 @@ def main(argv: list[str] | None = None) -> None:
         else:
             r = spark.readStream.format(args.format).options(**options)
             messages = r.load(args.path) if args.path else r.load()
-        run_speed_layer(messages, args.lake, args.realtime, args.checkpoints, args.available_now, args.compact_every)
+        run_speed_layer(messages, args.lake, args.realtime, args.checkpoints, args.available_now)
     else:
         from streetflow.jobs import batch_cycle
 
-        batch_cycle(spark, args.lake, args.mapping, args.daily, args.as_of, args.cycle, args.compact_every, args.checkpoints)
+        batch_cycle(spark, args.lake, args.mapping, args.daily, args.as_of, args.cycle, args.checkpoints)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.schema import RENAMES, SEQ, WIRE
+from streetflow.schema import ARRIVAL, RENAMES, SEQ, WIRE
 
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -39,15 +39,16 @@ def day_key(date_time: Column) -> Column:
     return F.date_format(to_timestamp_safe(date_time), DAY_FORMAT)
 
 
-def project_archive(parsed: DataFrame, seq: Column | None = None) -> DataFrame:
+def project_archive(parsed: DataFrame, seq: Column | None = None, later: list[Column] | None = None) -> DataFrame:
     """P3 + P4: keep 9 of the 17 wire fields under their archive names and add the day key.
 
-    ``seq`` is the arrival order used for last-write-wins (message offset, file
-    position, ...); it is carried along but is not part of any key.
+    ``seq`` is the arrival order used for last-write-wins (broker time, file position,
+    ...) and ``later`` the further columns of that order, if it has any; they are carried
+    along but are not part of any key.
     """
     cols = [F.col(src).alias(dst) for src, dst in RENAMES]
     if seq is not None:
-        cols.append(seq.cast("bigint").alias(SEQ))
+        cols += [c.cast("bigint").alias(name) for name, c in zip(ARRIVAL, [seq, *(later or [])])]
     out = parsed.select(*cols)
     return out.withColumn("date_partition", day_key(F.col("date_time")))
 
@@ -77,5 +78,17 @@ def store_row(archive: DataFrame) -> DataFrame:
         "hierarchie_dv",
         F.col("max_speed").cast("double").alias("max_speed"),
         "date_partition",
-        *([SEQ] if SEQ in archive.columns else []),
+        *[c for c in ARRIVAL if c in archive.columns],
     )
+
+
+def encode_messages(archive: DataFrame) -> DataFrame:
+    """Archive rows as wire messages ``(key, value)``: UTF-8 JSON with the wire's own
+    field names, the key null."""
+    record = F.struct(
+        F.col("date_time").alias("datetime"),
+        F.col(SEQ).cast("string").alias("predefinedlocationreference"),
+        *[F.col(dst).alias(src) for src, dst in RENAMES if dst != "date_time"],
+    )
+    rest = [c for c in ARRIVAL if c in archive.columns]
+    return archive.select(F.lit(None).cast("binary").alias("key"), F.to_json(record).cast("binary").alias("value"), *rest)

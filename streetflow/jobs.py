@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.operators.analysis import daily_analysis, flatten_points
-from streetflow.schema import DAILY_KEY, MAPPING_KEY, REALTIME_KEY, SEQ
+from streetflow.schema import ARRIVAL, DAILY_KEY, MAPPING_KEY, REALTIME_KEY
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import lake_exists, read_day, read_lake
 from streetflow.streaming.jobs import await_any, incremental_mapping_table, run_to_end, speed_layer
@@ -26,12 +26,12 @@ log = logging.getLogger(__name__)
 
 def realtime_table(path: str) -> KeyedTable:
     part, clus = REALTIME_KEY
-    return KeyedTable(path, part, clus, descending=["date_time"], order=[SEQ])
+    return KeyedTable(path, part, clus, descending=["date_time"], order=ARRIVAL)
 
 
 def mapping_table(path: str) -> KeyedTable:
     part, clus = MAPPING_KEY
-    return KeyedTable(path, part, clus, descending=["date_time"], order=[SEQ])
+    return KeyedTable(path, part, clus, descending=["date_time"], order=ARRIVAL)
 
 
 def daily_table(path: str) -> KeyedTable:
@@ -39,21 +39,12 @@ def daily_table(path: str) -> KeyedTable:
     return KeyedTable(path, part, clus)
 
 
-def run_speed_layer(
-    messages: DataFrame,
-    lake: str,
-    realtime: str,
-    checkpoints: str,
-    available_now: bool = False,
-    compact_every: int | None = 100,
-):
-    """Start both sinks of the speed layer; block until any query ends."""
-    queries = speed_layer(
-        messages, lake, realtime_table(realtime), checkpoints, available_now=available_now, compact_every=compact_every
-    )
+def run_speed_layer(messages: DataFrame, lake: str, realtime: str, checkpoints: str, available_now: bool = False):
+    """Start both sinks of the speed layer and block until any query ends, or, with
+    ``available_now``, until both have; a failure of one stops the other (T3)."""
+    queries = speed_layer(messages, lake, realtime_table(realtime), checkpoints, available_now=available_now)
     if available_now:
-        for q in queries:
-            q.awaitTermination()
+        run_to_end(queries)
     else:
         await_any(messages.sparkSession)
     return queries
@@ -78,7 +69,6 @@ def batch_cycle(
     daily: str,
     as_of: str,
     cycle: int,
-    compact_every: int | None = 10,
     checkpoints: str | None = None,
 ) -> bool:
     """One cycle: both keyed tables upserted.  A failed write raises (the source
@@ -88,7 +78,6 @@ def batch_cycle(
     earlier cycle has read (versions are micro-batches), so a cycle over unchanged data
     writes nothing there; without one every cycle explodes the whole lake anew, as
     version ``cycle``.
-    Every ``compact_every`` cycles both tables are snapshotted (bounded reads).
 
     S4: while the archive does not exist yet the cycle is skipped with a warning
     and ``False`` is returned; the scheduler simply runs the next cycle.
@@ -98,12 +87,18 @@ def batch_cycle(
         return False
     out = batch_outputs(spark, lake, as_of)
     if checkpoints:
-        run_to_end([incremental_mapping_table(spark, lake, mapping_table(mapping), f"{checkpoints}/mapping", compact_every)])
+        run_to_end([incremental_mapping_table(spark, lake, mapping_table(mapping), f"{checkpoints}/mapping")])
         del out["traffic_mapping"]
     tables = {"traffic_mapping": mapping_table(mapping), "traffic_daily_analysis": daily_table(daily)}
     for name, rows in out.items():
-        table = tables[name]
-        table.upsert(rows, cycle)
-        if compact_every and (cycle + 1) % compact_every == 0:
-            table.compact_through(spark, rows.schema, cycle)
+        tables[name].upsert(rows, cycle)
     return True
+
+
+def compact_tables(spark: SparkSession, lake: str, as_of: str, tables: dict[str, tuple[KeyedTable, str]]) -> None:
+    """Copy keyed tables of the batch layer into new folders that hold their current state
+    as one version: ``{output name: (table, new folder)}``.  Readers and writers switch to
+    the new folders afterwards; until then nothing changes for them."""
+    out = batch_outputs(spark, lake, as_of)
+    for name, (table, folder) in tables.items():
+        table.compact(spark, out[name].schema, folder)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.schema import SEQ
+from streetflow.schema import ARRIVAL
 
 
 def flatten_points(archive: DataFrame, keep_seq: bool = True) -> DataFrame:
@@ -17,7 +17,7 @@ def flatten_points(archive: DataFrame, keep_seq: bool = True) -> DataFrame:
     returns null for a short point instead of raising under ANSI.  Narrow: no
     shuffle, and nested column pruning reads only the coordinates.
     """
-    extra = [SEQ] if keep_seq and SEQ in archive.columns else []
+    extra = [c for c in ARRIVAL if keep_seq and c in archive.columns]
     return archive.select(
         "date_time",
         "denomination",

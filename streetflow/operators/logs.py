@@ -147,6 +147,15 @@ def rank_series(stats: DataFrame, by: str, name: str, descending: bool = True) -
     return ranked.withColumn("rank", (F.col("rank") + F.col("_before")).cast("int")).drop("_part", "_before")
 
 
+def values_of(df: DataFrame, label: str, most: int = 64) -> list[str]:
+    """The distinct values of a label, in order, where each is to become a column; raises
+    beyond ``most`` of them, so none is left out without a word."""
+    found = [r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{label} has more than {most} values")
+    return sorted(found)
+
+
 def outer_join_series(frames: dict[str, DataFrame], time_col: str, value: str) -> DataFrame:
     """Full outer join of several series on time (union of timestamps)."""
     out = None

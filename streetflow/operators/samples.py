@@ -9,12 +9,15 @@ every window is partitioned by a series (or bucket) key, never global.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.quantiles import _join, exact_quantiles, qname
+from streetflow.session import written
 
 # --- fixed values: metric-type rules by name ------------------------------------
 COUNTER_SUFFIX = r"_(count|total|sum)$"
@@ -110,33 +113,70 @@ def increase(df: DataFrame, series: list[str], by: list[str], ts: str, value: st
     )
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(duration: str) -> int:
+    """Seconds of a fixed duration such as ``6 hours``."""
+    number, unit = duration.split()
+    return int(number) * _SECONDS[unit.rstrip("s")]
+
+
+def _merged_moment(panes: Column) -> Column:
+    """The squared deviations of several parts ``(n, mean, m2)`` about their common mean."""
+
+    def merge(a: Column, b: Column) -> Column:
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + d * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"),
+        )
+
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(F.filter(panes, lambda p: p["n"] > 0), start, merge)["m2"]
+
+
 def over_time(
     df: DataFrame, series: list[str], ts: str, value: str, range_: str, step: str, order: list[str] | None = None,
     qs: tuple[float, ...] = (0.5,), names: tuple[str, ...] | None = ("median",)
 ) -> DataFrame:
     """M6: ``*_over_time`` folds per series over sliding windows of ``range_`` every ``step``;
-    ``qs`` are the quantiles of ``quantile_over_time``, ``names`` their columns."""
+    ``qs`` are the quantiles of ``quantile_over_time``, ``names`` their columns.
+
+    A sample is folded once, into its pane (the widest that divides every window); the
+    windows then merge the partial folds of their panes.  Only the quantiles, which have
+    no partial form, see each sample in all windows that hold it."""
     last_key = F.struct(F.col(ts), *[F.col(c) for c in (order or [])])
-    windowed = df.select(F.window(ts, range_, step).alias("w"), *series, value, ts, *(order or []))
-    out = exact_quantiles(
-        windowed,
-        ["w", *series],
-        value,
-        list(qs),
-        names=list(names) if names else None,
-        others=[
-            F.avg(value).alias("avg"),
-            F.count(value).alias("count"),
-            F.max_by(value, last_key).alias("last"),
-            F.max(value).alias("max"),
-            F.min(value).alias("min"),
-            F.lit(1).alias("present"),
-            F.stddev_pop(value).alias("stddev"),
-            F.var_pop(value).alias("stdvar"),
-            F.sum(value).alias("sum"),
-        ],
+    pane = math.gcd(_seconds(range_), _seconds(step))
+    panes = df.groupBy(F.window(ts, f"{pane} seconds").start.alias("_pane"), *series).agg(
+        F.count(value).alias("_n"),
+        F.sum(value).alias("_sum"),
+        F.avg(value).alias("_mean"),
+        (F.var_pop(value) * F.count(value)).alias("_m2"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
+        F.max_by(value, last_key).alias("_last"),
+        F.max(last_key).alias("_last_at"),
     )
-    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+    part = F.struct(F.col("_n").alias("n"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"))
+    folds = panes.withColumn("w", F.window("_pane", range_, step)).groupBy("w", *series).agg(
+        F.sum("_sum").alias("sum"),
+        F.sum("_n").alias("count"),
+        F.max_by("_last", "_last_at").alias("last"),
+        F.max("_max").alias("max"),
+        F.min("_min").alias("min"),
+        F.lit(1).alias("present"),
+        F.collect_list(part).alias("_parts"),  # one for each pane of the window
+    )
+    stdvar = F.when(F.col("count") > 0, _merged_moment(F.col("_parts")) / F.col("count"))
+    folds = folds.withColumns({"avg": F.try_divide("sum", "count"), "stdvar": stdvar}).withColumn("stddev", F.sqrt("stdvar"))
+    samples = df.select(F.window(ts, range_, step).alias("w"), *series, value)
+    ranked = exact_quantiles(samples, ["w", *series], value, list(qs), names=list(names) if names else None)
+    out = _join(folds.drop("_parts"), ranked, ["w", *series], "left")
+    kept = ["avg", "count", "last", "max", "min", "present", "stddev", "stdvar", "sum"]
+    found = [c for c in ranked.columns if c not in ("w", *series)]
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *series, *kept, *found)
 
 
 def offset(df: DataFrame, series: list[str], bucket: str, value: str, seconds: int) -> DataFrame:
@@ -204,17 +244,13 @@ def le_bin(value: Column, les: list[float]) -> Column:
 
 
 def matchers(rules: list[tuple[str, str, str]]) -> Column:
-    """Label matchers ``=``, ``!=``, ``=~``, ``!~``; regexes are fully anchored."""
+    """Label matchers ``=``, ``!=``, ``=~``, ``!~``; a missing label is the empty one
+    for all four; regexes are fully anchored."""
     cond = F.lit(True)
     for label, op, pat in rules:
-        c = F.col(label).cast("string")
+        c = F.coalesce(F.col(label).cast("string"), F.lit(""))
         anchored = f"^(?:{pat})$"
-        m = {
-            "=": c == F.lit(pat),
-            "!=": c.isNull() | (c != F.lit(pat)),
-            "=~": F.coalesce(c, F.lit("")).rlike(anchored),
-            "!~": ~F.coalesce(c, F.lit("")).rlike(anchored),
-        }[op]
+        m = {"=": c == F.lit(pat), "!=": c != F.lit(pat), "=~": c.rlike(anchored), "!~": ~c.rlike(anchored)}[op]
         cond = cond & m
     return cond
 
@@ -266,24 +302,42 @@ def name_prefix(name: Column, sep: str = "_") -> Column:
     return F.substring_index(name, sep, 1)
 
 
-def outlier_runs(df: DataFrame, series: str, bucket: str, value: str, k: float = 3.0) -> DataFrame:
-    """Per bucket, median and MAD across series; a sample is an outlier when
-    ``|x - median| > k * 1.4826 * MAD``.  Per series: outlier count and the
-    number of runs of consecutive outlier samples; score = -runs.
-
-    Two grouped passes (each a small per-bucket table joined back on the bucket
-    key) and one lag per series; no pairwise comparison of series.
-    """
+def mad_outliers(df: DataFrame, bucket: str, value: str, k: float = 3.0) -> DataFrame:
+    """``outlier``: whether a sample lies more than ``k * 1.4826 * MAD`` from its bucket's
+    median.  Two grouped passes, each a small per-bucket table joined back on the bucket; the
+    medians are written once, as the second pass reads them several times."""
     # med / mad hold one row per bucket; whether that is small enough to broadcast
     # is for the optimizer to see at run time
-    med = exact_quantiles(df, [bucket], value, [0.5], names=["med"])
+    med = written(exact_quantiles(df, [bucket], value, [0.5], names=["med"]), "medians")
     d = df.join(med, bucket).withColumn("dev", F.abs(F.col(value) - F.col("med")))
     mad = exact_quantiles(d, [bucket], "dev", [0.5], names=["mad"])
-    flagged = d.join(mad, bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
-    prev = F.lag("outlier").over(Window.partitionBy(series).orderBy(bucket))
-    starts = flagged.withColumn("run_start", F.col("outlier") & F.coalesce(~prev, F.lit(True)))
-    return starts.groupBy(series).agg(
-        F.count(F.lit(1)).alias("n_buckets"),
-        F.count_if("outlier").alias("n_outliers"),
-        F.count_if("run_start").alias("n_runs"),
-    ).withColumn("score", -F.col("n_runs"))
+    return d.join(mad, bucket).withColumn("outlier", F.col("dev") > F.lit(k * 1.4826) * F.col("mad"))
+
+
+def flag_runs(flagged: DataFrame, series: str, bucket: str, flag: str, slice_: Column) -> DataFrame:
+    """Per series the number of buckets, of flagged ones, and of runs of consecutive
+    flagged ones; score = -runs, the source's order by outliers.
+
+    ``slice_`` cuts time into ordered pieces (a day, a month).  Runs are counted within a
+    piece, and a piece is summed up as (first flag, last flag, runs); these few summaries
+    merge into the series' runs, so no task sorts the history of a series."""
+    in_slice = Window.partitionBy(series, "_slice").orderBy(bucket)
+    sliced = flagged.withColumn("_slice", slice_).withColumn("_flag", F.coalesce(flag, F.lit(False)))
+    starts = sliced.withColumn("_start", F.col("_flag") & ~F.coalesce(F.lag("_flag").over(in_slice), F.lit(False)))
+    pieces = starts.groupBy(series, "_slice").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("_flag").alias("flags"),
+        F.count_if("_start").alias("runs"),
+        F.min_by("_flag", bucket).alias("first"),
+        F.max_by("_flag", bucket).alias("last"),
+    )
+    summary = F.array_sort(F.collect_list(F.struct("_slice", "first", "last", "runs")))
+    merged = pieces.groupBy(series).agg(F.sum("n").alias("n_buckets"), F.sum("flags").alias("n_outliers"), summary.alias("_pieces"))
+
+    def merge(a: Column, p: Column) -> Column:
+        going_on = (a["last"] & p["first"]).cast("bigint")
+        return F.struct((a["runs"] + p["runs"] - going_on).alias("runs"), p["last"].alias("last"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("runs"), F.lit(False).alias("last"))
+    runs = F.aggregate("_pieces", start, merge)["runs"]
+    return merged.withColumn("n_runs", runs).drop("_pieces").withColumn("score", -F.col("n_runs"))

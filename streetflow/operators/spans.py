@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.quantiles import exact_quantiles
-from streetflow.session import work_dir, written
+from streetflow.session import written
 
 
 def red(spans: DataFrame, attribute: str, bucket_s: int, qs=(0.5, 0.9)) -> DataFrame:
@@ -92,35 +92,90 @@ def _largest_trace(spans: DataFrame) -> int:
     return spans.groupBy("trace_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
+#: Rounds of pointer jumping after which a walk looks how many its longest trace can need.
+PATIENCE = 6
+
+
+def _still_going(spans: DataFrame, rounds: int) -> None:
+    """Pointers reach twice as far every round: more rounds than the largest trace has
+    binary digits mean a cycle of parents."""
+    if rounds > PATIENCE and rounds > _largest_trace(spans).bit_length() + 1:
+        raise ValueError("spans have a cycle of parents")
+
+
+def nearest_ancestor(spans: DataFrame, hit: Column) -> DataFrame:
+    """``(trace_id, span_id, up)``: every span's nearest proper ancestor that matches
+    ``hit``; null if none does.
+
+    By pointer jumping: a span points at its parent and, while that one doesn't match,
+    takes over the parent's own pointer, which reaches twice as far every round.  The
+    rounds grow with the logarithm of the depth; each is an equi-join on the pointer,
+    written to the shared folder.  Raises on a cycle of parents without a match.
+    """
+    parent = F.when(F.col("parent_id") >= 0, F.col("parent_id"))
+    nodes = spans.select("trace_id", "span_id", parent.alias("up"), F.coalesce(hit, F.lit(False)).alias("hit"))
+    above = nodes.select("trace_id", F.col("span_id").alias("up"), F.col("hit").alias("_hit"))
+    first = nodes.join(above, ["trace_id", "up"], "left")  # a parent that is missing is no pointer
+    state = written(
+        first.select(
+            "trace_id",
+            "span_id",
+            F.when(F.col("_hit").isNotNull(), F.col("up")).alias("up"),
+            F.coalesce("_hit", F.lit(True)).alias("done"),
+        ),
+        "nearest",
+    )
+    rounds = 0
+    while not state.where("NOT done").isEmpty():
+        rounds += 1
+        _still_going(spans, rounds)
+        above = state.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("done").alias("_done"))
+        moved = state.where("NOT done").join(above, ["trace_id", "up"])
+        moved = moved.select("trace_id", "span_id", F.col("_up").alias("up"), F.col("_done").alias("done"))
+        state = written(state.where("done").unionByName(moved), "nearest")
+    return state.select("trace_id", "span_id", "up")
+
+
 def structural_match(spans: DataFrame, ancestor: Column, descendant: Column) -> DataFrame:
     """X5 (``A &>> B``): descendant spans matching B under an ancestor matching A,
     one row for each such pair (``ancestor_id`` and the descendant's columns).
 
-    Starts from the spans that match B and walks up the parents of those alone, one
-    equi-join per level, until none has a further parent; only steps that land on
-    a match of A are kept.  Each level is written to the shared folder, so a deep
-    tree never carries a growing lineage.  Raises on a cycle of parents.
+    Only traces with matches of both sides take part.  The matches of A form a forest
+    of their own by ``nearest_ancestor``; in it, tables of jumps over 1, 2, 4, ... nodes
+    and the number of nodes above are made by doubling.  A descendant with k ancestors
+    gets k rows, and the row for the i-th follows the jumps that the binary digits of i
+    name.  So the rounds grow with the logarithm of the depth, the rows with the
+    result, and every join is an equi-join on a node, which AQE can split where many
+    spans share a parent.  Raises on a cycle of parents.
     """
-    spark = spans.sparkSession
-    nodes = spans.select("trace_id", F.col("span_id").alias("at"), F.col("parent_id").alias("up"), ancestor.alias("hit"))
-    start = spans.where(descendant).where(F.col("parent_id") >= 0)
-    walk = written(start.select("trace_id", "span_id", F.col("parent_id").alias("at")), "walk")
-    most, folder, level = _largest_trace(spans), work_dir(spark, "matches"), 0
-    schema = None
-    while not walk.isEmpty():
-        level += 1
-        if level > most:
-            raise ValueError("spans have a cycle of parents")
-        step = written(walk.join(nodes, ["trace_id", "at"]), "walk")
-        found = step.where("hit").select("trace_id", F.col("at").alias("ancestor_id"), "span_id")
-        found.write.parquet(f"{folder}/level={level}")
-        schema = found.schema
-        walk = step.where(F.col("up") >= 0).select("trace_id", "span_id", F.col("up").alias("at"))
-    if schema is None:
-        pairs = spans.where(F.lit(False)).select("trace_id", F.col("span_id").alias("ancestor_id"), "span_id")
-    else:
-        pairs = spark.read.schema(schema).parquet(f"{folder}/level=*")
-    return pairs.join(spans.where(descendant), ["trace_id", "span_id"])
+    traces = spans.groupBy("trace_id").agg(F.max(F.coalesce(ancestor, F.lit(False))).alias("a"), F.max(F.coalesce(descendant, F.lit(False))).alias("b"))
+    nodes = spans.select("trace_id", "span_id", "parent_id", ancestor.alias("_a"), descendant.alias("_b"))
+    nodes = written(nodes.join(traces.where("a AND b").select("trace_id"), "trace_id", "left_semi"), "match-nodes")
+    nearest = nearest_ancestor(nodes, F.col("_a")).where("up IS NOT NULL")
+    start = nodes.where("_b").select("trace_id", "span_id").join(nearest, ["trace_id", "span_id"])
+    start = start.select("trace_id", "span_id", F.col("up").alias("ancestor_id"))
+
+    forest = nodes.where("_a").select("trace_id", "span_id").join(nearest, ["trace_id", "span_id"], "left")
+    state = written(forest.withColumn("above", F.col("up").isNotNull().cast("long")), "jumps")
+    jumps, all_above = [], state
+    while not (linked := state.where("up IS NOT NULL")).isEmpty():
+        jumps.append(linked.select("trace_id", F.col("span_id").alias("ancestor_id"), F.col("up").alias("_next")))
+        _still_going(spans, len(jumps))
+        upper = state.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("above").alias("_above"))
+        state = state.join(upper, ["trace_id", "up"], "left")
+        state = state.select("trace_id", "span_id", F.col("_up").alias("up"), (F.col("above") + F.coalesce("_above", F.lit(0))).alias("above"))
+        state = all_above = written(state, "jumps")
+    if jumps:
+        above = all_above.select("trace_id", F.col("span_id").alias("ancestor_id"), "above")
+        pairs = start.join(above, ["trace_id", "ancestor_id"])
+        pairs = pairs.select("trace_id", "span_id", "ancestor_id", F.explode(F.expr("sequence(0L, above)")).alias("steps"))
+        for digit, table in enumerate(jumps):
+            jumping = pairs.withColumn("_jumps", F.expr(f"(steps >> {digit}) & 1 = 1"))
+            moved = jumping.where("_jumps").join(table, ["trace_id", "ancestor_id"])
+            moved = moved.select("trace_id", "span_id", F.col("_next").alias("ancestor_id"), "steps")
+            pairs = written(jumping.where("NOT _jumps").drop("_jumps").unionByName(moved), "matches")
+        start = pairs.drop("steps")
+    return start.join(spans.where(descendant), ["trace_id", "span_id"])
 
 
 def name_paths(spans: DataFrame) -> DataFrame:
@@ -129,10 +184,10 @@ def name_paths(spans: DataFrame) -> DataFrame:
     By doubling: each span holds the path from below some ancestor down to itself,
     and a round puts the ancestor's own path in front and takes over its ancestor,
     so the rounds grow with the logarithm of the depth, whatever the depth.  A span
-    whose parent is missing begins a path.  Raises on a cycle of parents.
+    whose parent is missing begins a path; a null name is an empty step.  Raises on a cycle of parents.
     """
     up = F.when(F.col("parent_id") >= 0, F.col("parent_id"))
-    paths = spans.select("trace_id", "span_id", up.alias("up"), F.col("name").alias("path"), F.lit(0).alias("depth"))
+    paths = spans.select("trace_id", "span_id", up.alias("up"), F.coalesce("name", F.lit("")).alias("path"), F.lit(0).alias("depth"))
     most = _largest_trace(spans).bit_length() + 1
     for _ in range(most + 1):
         above = paths.select(
@@ -146,13 +201,13 @@ def name_paths(spans: DataFrame) -> DataFrame:
                 "trace_id",
                 "span_id",
                 F.col("_up").alias("up"),
-                F.when(found, F.concat_ws("/", "_path", "path")).otherwise(F.col("path")).alias("path"),
+                F.when(found, F.concat("_path", F.lit("/"), "path")).otherwise(F.col("path")).alias("path"),
                 F.when(found, F.col("depth") + F.col("_depth") + 1).otherwise(F.col("depth")).alias("depth"),
             ),
             "paths",
         )
         if paths.where("up IS NOT NULL").isEmpty():
-            return spans.join(paths.select("trace_id", "span_id", F.coalesce("path", F.lit("")).alias("path"), "depth"), ["trace_id", "span_id"])
+            return spans.join(paths.select("trace_id", "span_id", "path", "depth"), ["trace_id", "span_id"])
     raise ValueError("spans have a cycle of parents")
 
 

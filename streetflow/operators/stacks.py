@@ -54,16 +54,18 @@ def flame_diff(frames: DataFrame, sample: str, frame: str, side: Column, weight:
     def of(name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("_side") == name, F.col("weight"))), F.lit(0))
 
+    def share(name: str) -> Column:
+        return F.max(F.when(F.col("_side") == name, F.try_divide(F.col("_w"), F.col("_all")))).alias(f"{name}_share")
+
     tagged = frames.withColumn("_side", side)
     per_fn = tagged.groupBy(sample, frame, "_side").agg(_weight(weight).alias("weight"))
     per_fn = per_fn.groupBy(F.col(frame).alias("function")).agg(of("left").alias("left"), of("right").alias("right"))
     sides = tagged.groupBy(sample, "_side").agg(_weight(weight).alias("weight"))
-    sides = sides.agg(of("left").alias("nl"), of("right").alias("nr"))
-    nl = sides.select("nl").scalar()
-    nr = sides.select("nr").scalar()
-    return per_fn.withColumns(
-        {"left_share": F.try_divide(F.col("left"), nl), "right_share": F.try_divide(F.col("right"), nr)}
-    ).withColumn("diff", F.col("right_share") - F.col("left_share"))
+    sides = sides.where(F.col("_side").isin("left", "right")).groupBy("_side").agg(F.sum("weight").alias("_all"))  # two rows
+    by_side = F.explode(F.array(*[F.struct(F.lit(n).alias("_side"), F.col(n).alias("_w")) for n in ("left", "right")])).alias("s")
+    shares = per_fn.select("function", "left", "right", by_side).select("function", "left", "right", "s.*").join(sides, "_side", "left")
+    out = shares.groupBy("function", "left", "right").agg(share("left"), share("right"))
+    return out.withColumn("diff", F.col("right_share") - F.col("left_share"))
 
 
 def profile_totals(

@@ -29,6 +29,7 @@ from streetflow.operators.logs import (
     series_stats,
     split_lines,
     unwrap_avg,
+    values_of,
     volume,
 )
 from streetflow.registry import query
@@ -198,7 +199,7 @@ def q_series_outer_join(spark: SparkSession, root: str) -> DataFrame:
     dl = doc_lines(spark, root)
     frames = {
         lang: dl.where(F.col("level") == lang).groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-        for lang in ("de", "en", "es", "fr")
+        for lang in values_of(read_table(spark, root, "documents"), "lang")
     }
     return outer_join_series(frames, "block", "n")
 

@@ -20,17 +20,18 @@ from streetflow.operators.samples import (
     counter_buckets,
     cumulative_buckets,
     finite,
+    flag_runs,
     histogram_quantile,
     increase,
     label_join,
     label_replace,
     le_bin,
     le_label,
+    mad_outliers,
     matchers,
     metric_type,
     name_prefix,
     offset,
-    outlier_runs,
     over_time,
     quantiles,
     set_and,
@@ -573,4 +574,4 @@ def q_outlier_series(spark: SparkSession, root: str) -> DataFrame:
     """Users ranked by runs of days far from the cross-user median (MAD rule)."""
     g = gauges(spark, root)
     x = g.groupBy("user_id", day_of(F.col("ts")).alias("day")).agg(F.avg("value").alias("v"))
-    return outlier_runs(x, "user_id", "day", "v", k=3.0)
+    return flag_runs(mad_outliers(x, "day", "v", k=3.0), "user_id", "day", "outlier", F.substring("day", 1, 7))

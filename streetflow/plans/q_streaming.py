@@ -15,7 +15,7 @@ from streetflow.operators.analysis import flatten_points
 from streetflow.plans.q_traffic import ARCHIVE_COLS, MAPPING_COLS, MAPPING_TABLE_SQL, PROJECT_SQL
 from streetflow.plans.sqlparts import POINTS, SHAPES, TRAFFIC, with_
 from streetflow.registry import query
-from streetflow.schema import ARCHIVE, SEQ
+from streetflow.schema import ARCHIVE, ARRIVAL, SEQ
 from streetflow.session import work_dir
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import read_lake, write_lake
@@ -56,7 +56,7 @@ def _messages_stream(spark: SparkSession, root: str, path: str | None = None) ->
 
 def _realtime_table(spark: SparkSession) -> KeyedTable:
     return KeyedTable(
-        work_dir(spark, "traffic_realtime"), ["denomination"], ["date_time"], descending=["date_time"], order=[SEQ]
+        work_dir(spark, "traffic_realtime"), ["denomination"], ["date_time"], descending=["date_time"], order=ARRIVAL
     )
 
 
@@ -71,7 +71,7 @@ def _run_speed_layer(spark: SparkSession, root: str):
 def _run_realtime_only(spark: SparkSession, root: str) -> KeyedTable:
     table = _realtime_table(spark)
     rows = parse_stream(_messages_stream(spark, root))
-    run_to_end([keyed_sink(rows, table, work_dir(spark, "checkpoints"), prepare=realtime_rows, compact_every=100)])
+    run_to_end([keyed_sink(rows, table, work_dir(spark, "checkpoints"), prepare=realtime_rows)])
     return table
 
 

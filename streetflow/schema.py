@@ -83,7 +83,9 @@ KEPT_WIRE = StructType(
 
 # Arrival order is not part of the source record; we carry it so "last write
 # wins" has a total order.
+# Kafka's order needs three columns: the broker's time (as ``seq``), then offset and partition.
 SEQ = "seq"
+ARRIVAL = [SEQ, "seq_offset", "seq_partition"]
 
 ARCHIVE = StructType(
     [
@@ -96,7 +98,7 @@ ARCHIVE = StructType(
         StructField("hierarchie", StringType()),
         StructField("hierarchie_dv", StringType()),
         StructField("max_speed", IntegerType()),
-        StructField(SEQ, LongType()),
+        *[StructField(c, LongType()) for c in ARRIVAL],
         StructField("date_partition", StringType()),
     ]
 )

@@ -1,22 +1,15 @@
 """Keyed tables with last-write-wins upsert semantics (K2, K3, K5), on Parquet.
 
-A keyed store's append is an upsert.  Without a store we keep every write as
-an immutable *version* folder (``batches/version=<n>``) and define the table as
-the latest row per key over the versions (R1), ordered by version, then the
-given order columns, then every other column.
+A keyed store's append is an upsert.  Here every write is a partition
+``version=<n>`` of an ordinary Parquet table, and the table's state is the latest
+row per key over its versions (R1), by version, then the given order columns, then
+every other column.
 
 * Replay-safe: writing batch ``n`` again overwrites ``version=<n>`` only, so a
-  re-run micro-batch or a re-run batch cycle cannot duplicate or reorder rows.
-* Torn snapshots don't count: a snapshot is used only once its writer's commit
-  marker is there.
-* Bounded reads: ``compact_through(n)`` writes the table state through version
-  ``n`` as ``snapshots/through=<n>`` (one row per key, deterministic, so a
-  replay rewrites the same snapshot).  A read takes the newest snapshot plus
-  only the versions after it -- both partition-pruned -- so its cost is bounded
-  by the number of keys plus the writes since the snapshot, not by history.
+  re-run micro-batch or batch cycle cannot duplicate or reorder rows.
 * Rows with a null key part are not storable (P10); ``upsert`` leaves them out.
-* ``compact`` copies the current state into a *new* folder; the folder being
-  read is never overwritten.
+* ``compact`` is a job like any other: it copies the state into a *new* folder, as
+  the one version there; the folder being read is never overwritten.
 """
 
 from __future__ import annotations
@@ -31,16 +24,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from streetflow.operators.latest import latest_per_key, split_null_keys
 
 VERSION = "version"
-THROUGH = "through"
-
-
-def _read_or_none(spark: SparkSession, schema: StructType, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
 
 
 @dataclass
@@ -59,10 +42,6 @@ class KeyedTable:
     def batches(self) -> str:
         return f"{self.path}/batches"
 
-    @property
-    def snapshots(self) -> str:
-        return f"{self.path}/snapshots"
-
     def _clustered(self, df: DataFrame) -> DataFrame:
         """K5: rows of a partition key in one file, in clustering order inside.
 
@@ -82,47 +61,16 @@ class KeyedTable:
         ok, _ = split_null_keys(df, self.key)
         self._clustered(ok).write.mode("overwrite").parquet(f"{self.batches}/{VERSION}={int(version)}")
 
-    def snapshot_ids(self, spark: SparkSession) -> list[int]:
-        """Ids of the committed snapshots, by a listing of their folder.
-
-        A folder without the writer's ``_SUCCESS`` marker is torn (a crash, or a
-        write still going on) and doesn't count."""
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        base = hadoop.Path(self.snapshots)
-        fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(base):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(base)]
-        ids = [int(n.removeprefix(f"{THROUGH}=")) for n in names if n.startswith(f"{THROUGH}=")]
-        return sorted(i for i in ids if fs.exists(hadoop.Path(f"{self.snapshots}/{THROUGH}={i}/_SUCCESS")))
-
-    def latest_snapshot(self, spark: SparkSession, schema: StructType | None = None) -> int | None:
-        """Id of the newest committed snapshot."""
-        return max(self.snapshot_ids(spark), default=None)
-
     def read_versions(self, spark: SparkSession, schema: StructType, through: int | None = None) -> DataFrame:
-        """The newest snapshot (as version ``n``) plus the batch versions after it."""
-        full = StructType(list(schema.fields) + [StructField(VERSION, IntegerType())])
-        snap_id = self.latest_snapshot(spark, schema)
-        if snap_id is not None and through is not None and snap_id > through:
-            snap_id = None  # an older state was asked for; rebuild it from the batches
-        parts = []
-        if snap_id is not None:
-            snap = spark.read.schema(schema).parquet(f"{self.snapshots}/{THROUGH}={snap_id}")
-            parts.append(snap.withColumn(VERSION, F.lit(snap_id)))
-        batches = _read_or_none(spark, full, self.batches)
-        if batches is not None:
-            if snap_id is not None:
-                batches = batches.where(F.col(VERSION) > snap_id)
-            if through is not None:
-                batches = batches.where(F.col(VERSION) <= through)
-            parts.append(batches)
-        if not parts:
+        """All versions (up to ``through``, a partition filter); none while nothing was written."""
+        full = StructType([*schema.fields, StructField(VERSION, IntegerType())])
+        try:
+            rows = spark.read.schema(full).parquet(self.batches)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
             return spark.createDataFrame([], full)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return rows if through is None else rows.where(F.col(VERSION) <= through)
 
     def read(self, spark: SparkSession, schema: StructType, through: int | None = None) -> DataFrame:
         """Current table state (or the state through version ``through``): one row
@@ -130,16 +78,6 @@ class KeyedTable:
         v = self.read_versions(spark, schema, through)
         return latest_per_key(v, self.key, [VERSION] + self.order).drop(VERSION)
 
-    def compact_through(self, spark: SparkSession, schema: StructType, version: int) -> None:
-        """Write the state through ``version`` as a snapshot; later reads start there.
-
-        Idempotent: a committed snapshot is the same state and is kept (never read
-        and overwritten in one job); a torn one is written anew."""
-        if version in self.snapshot_ids(spark):
-            return
-        state = self.read(spark, schema, through=version)
-        self._clustered(state).write.mode("overwrite").parquet(f"{self.snapshots}/{THROUGH}={int(version)}")
-
     def compact(self, spark: SparkSession, schema: StructType, new_path: str) -> KeyedTable:
         """Copy the current state into a new table folder (as its version 0)."""
         self._clustered(self.read(spark, schema)).write.mode("errorifexists").parquet(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streetflow.functions.parse import encode_messages
 from streetflow.schema import GEO_SHAPE, SEQ
 from streetflow.sources.tables import read_table
 
@@ -112,29 +113,12 @@ def traffic_messages(
 
 
 def messages_from_archive(a: DataFrame, corrupt_every: int | None = 97) -> DataFrame:
-    """Encode archive rows as wire JSON (UTF-8); the message key stays null."""
-    record = F.struct(
-        F.col("date_time").alias("datetime"),
-        F.col(SEQ).cast("string").alias("predefinedlocationreference"),
-        F.col("avg_speed").alias("averagevehiclespeed"),
-        F.col("travel_time").alias("traveltime"),
-        F.col("traffic_status").alias("trafficstatus"),
-        F.col("geo_shape"),
-        F.col("hierarchie"),
-        F.col("hierarchie_dv"),
-        F.col("denomination"),
-        F.col("max_speed").alias("vitesse_maxi"),
-    )
-    payload = F.to_json(record)
-    if corrupt_every:
-        payload = F.when(
-            F.pmod(F.col(SEQ), F.lit(corrupt_every)) == 0, F.concat(F.lit("corrupt:"), F.col(SEQ).cast("string"))
-        ).otherwise(payload)
-    return a.select(
-        F.lit(None).cast("binary").alias("key"),
-        payload.cast("binary").alias("value"),
-        F.col(SEQ),
-    )
+    """Archive rows as wire messages, every ``corrupt_every``-th of them replaced by a non-JSON payload."""
+    sent = encode_messages(a)
+    if not corrupt_every:
+        return sent
+    corrupt = F.concat(F.lit("corrupt:"), F.col(SEQ).cast("string")).cast("binary")
+    return sent.withColumn("value", F.when(F.pmod(F.col(SEQ), F.lit(corrupt_every)) == 0, corrupt).otherwise(F.col("value")))
 
 
 def spans(spark: SparkSession, root: str) -> DataFrame:

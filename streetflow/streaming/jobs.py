@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from streetflow.functions.parse import expand, project_archive, store_row
 from streetflow.operators.analysis import flatten_points, tumbling_average
 from streetflow.operators.latest import latest_per_key
-from streetflow.schema import ARCHIVE, KEPT_WIRE, SEQ
+from streetflow.schema import ARCHIVE, ARRIVAL, KEPT_WIRE, SEQ
 from streetflow.sources.keyed import KeyedTable
 from streetflow.sources.lake import PARTITION
 
@@ -48,29 +48,33 @@ def landing_source(spark: SparkSession, path: str, fmt: str = "text", max_files:
     return r.load(path)
 
 
-def kafka_order() -> Column:
-    """Arrival order of Kafka rows as one number: the broker's time in milliseconds,
-    then the offset, then the partition.  Offsets count per partition, so time comes
-    first; within one millisecond the low 14 bits of the offset and 6 bits of the
-    partition decide (until the year 2248)."""
-    millis = F.unix_millis("timestamp")
-    low = F.col("offset").bitwiseAND(F.lit((1 << 14) - 1)) * 64 + F.col("partition").bitwiseAND(F.lit(63))
-    return (millis * (1 << 20) + low).cast("bigint")
+def kafka_order() -> list[Column]:
+    """Arrival order of Kafka rows: the broker's time, then the offset, then the partition
+    (offsets count per partition, so time comes first)."""
+    return [F.unix_micros("timestamp"), F.col("offset"), F.col("partition")]
 
 
 def parse_stream(messages: DataFrame, seq_col: str = SEQ) -> DataFrame:
-    """P1-P4 on a stream: value -> archive rows.
+    """P1-P4 on a stream: value -> archive rows with the columns of ``ARRIVAL``.
 
-    The arrival order is the source's own column when it has one, Kafka's time,
-    partition and offset when those are there, else the record's location reference
-    as written by the sender (null for a message that does not parse).
+    The arrival order is the source's own column when it has one, Kafka's time, offset
+    and partition when those are there, else the record's location reference as written
+    by the sender (null for a message that does not parse).
     """
-    if seq_col not in messages.columns and {"timestamp", "partition", "offset"} <= set(messages.columns):
-        messages = messages.withColumn(seq_col, kafka_order())
+    none = F.lit(None)
     if seq_col in messages.columns:
-        return project_archive(expand(messages, keep=[seq_col], schema=KEPT_WIRE), seq=F.col(seq_col))
-    parsed = expand(messages, schema=KEPT_WIRE)
-    return project_archive(parsed, seq=F.col("predefinedlocationreference").try_cast("bigint"))
+        order = [F.col(seq_col), none, none]
+    elif {"timestamp", "partition", "offset"} <= set(messages.columns):
+        order = kafka_order()
+    else:
+        parsed = expand(messages, schema=KEPT_WIRE)
+        return project_archive(parsed, F.col("predefinedlocationreference").try_cast("bigint"), [none, none])
+    messages = messages.select("value", *[c.cast("bigint").alias(name) for name, c in zip(ARRIVAL, order, strict=True)])
+    return project_archive(expand(messages, keep=ARRIVAL, schema=KEPT_WIRE), *_first_and_rest(ARRIVAL))
+
+
+def _first_and_rest(names: list[str]) -> tuple[Column, list[Column]]:
+    return F.col(names[0]), [F.col(c) for c in names[1:]]
 
 
 def kafka_sink(
@@ -89,11 +93,16 @@ def kafka_sink(
 
 
 def lake_sink(
-    rows: DataFrame, path: str, checkpoint: str, available_now: bool = True, name: str | None = None
+    rows: DataFrame, path: str, checkpoint: str, available_now: bool = True, name: str | None = None, files_per_day: int = 4
 ) -> StreamingQuery:
-    """K1 + T1: append archive rows to the day-partitioned lake (exactly once via the sink log)."""
+    """K1 + T1: append archive rows to the day-partitioned lake (exactly once via the sink log).
+
+    The rows of a day are dealt to ``files_per_day`` tasks, so a micro-batch writes at
+    most that many files into a day, however many tasks read it, and a hot day is shared."""
+    part = F.pmod(F.xxhash64("date_time", "denomination", *ARRIVAL), F.lit(files_per_day))
     w = (
-        rows.writeStream.format("parquet")
+        rows.repartition(F.col(PARTITION), part)
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -111,23 +120,18 @@ def keyed_sink(
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     available_now: bool = True,
-    compact_every: int | None = None,
 ) -> StreamingQuery:
     """K2: upsert each micro-batch into a keyed table, version = batch id.
 
     A batch re-run after a failure rewrites the same version, so the table never
     holds a batch twice.  Inside a batch, rows are first reduced to the latest
-    per key (an aggregate with map-side combine).  Every ``compact_every``
-    batches the state is snapshotted, so reads stay bounded however long the
-    stream runs.
+    per key (an aggregate with map-side combine).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = prepare(batch) if prepare else batch
         b = latest_per_key(b, table.key, table.order) if table.order else b
         table.upsert(b, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact_through(batch.sparkSession, b.schema, batch_id)
 
     w = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -175,14 +179,10 @@ def speed_layer(
     realtime: KeyedTable,
     checkpoint_root: str,
     available_now: bool = True,
-    compact_every: int | None = 100,
 ) -> list[StreamingQuery]:
     """K4: one parsed stream, two independent sinks with separate checkpoints."""
     rows = parse_stream(messages)
-    q1 = keyed_sink(
-        rows, realtime, f"{checkpoint_root}/realtime", prepare=realtime_rows, available_now=available_now,
-        compact_every=compact_every,
-    )
+    q1 = keyed_sink(rows, realtime, f"{checkpoint_root}/realtime", prepare=realtime_rows, available_now=available_now)
     q2 = lake_sink(rows, lake_path, f"{checkpoint_root}/lake", available_now=available_now)
     return [q1, q2]
 
@@ -217,13 +217,11 @@ def mapping_rows(points: DataFrame) -> DataFrame:
     return points.withColumn("date_time", F.try_to_timestamp("date_time").cast("timestamp_ntz"))
 
 
-def incremental_mapping_table(
-    spark: SparkSession, lake_path: str, table: KeyedTable, checkpoint: str, compact_every: int | None = 10
-) -> StreamingQuery:
+def incremental_mapping_table(spark: SparkSession, lake_path: str, table: KeyedTable, checkpoint: str) -> StreamingQuery:
     """T4 + K3: each cycle explodes only the new lake files and upserts their
     points into the keyed mapping table (version = micro-batch id)."""
     lake = spark.readStream.schema(ARCHIVE).parquet(lake_path)
-    return keyed_sink(flatten_points(lake), table, checkpoint, prepare=mapping_rows, compact_every=compact_every)
+    return keyed_sink(flatten_points(lake), table, checkpoint, prepare=mapping_rows)
 
 
 def alert_stream(
@@ -236,7 +234,6 @@ def alert_stream(
     checkpoint: str,
     order: list[str] | None = None,
     available_now: bool = True,
-    compact_every: int | None = 100,
 ) -> StreamingQuery:
     """Q9 live: the last value of every series against a threshold, kept as
     streaming state (one row per series, update mode) and upserted per
@@ -249,8 +246,6 @@ def alert_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact_through(batch.sparkSession, batch.schema, batch_id)
 
     w = states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()

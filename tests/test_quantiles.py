@@ -18,9 +18,9 @@ def _cmp(a, b, keys):
             assert ra[k][c] == pytest.approx(rb[k][c], rel=1e-12, abs=1e-9), (k, c)
 
 
-@pytest.mark.parametrize("bits", [1, 14])
-def test_refined_equals_percentile(spark, monkeypatch, bits):
-    monkeypatch.setattr("streetflow.operators.quantiles.CELL_BITS", bits)
+@pytest.mark.parametrize("grid", [1, 2, 4096])
+def test_refined_equals_percentile(spark, monkeypatch, grid):
+    monkeypatch.setattr("streetflow.operators.quantiles.GRID", grid)
     li = spark.read.parquet(f"{SMALL}/lineitem.parquet").withColumn("flag", F.col("l_returnflag"))
     # null keys, duplicate-heavy values and a hot group all present
     li = li.withColumn("flag", F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("flag")))
@@ -67,3 +67,21 @@ def test_refined_with_struct_window_key(spark):
     b = {(r.w.start, r.event_type): r.q50 for r in want.collect()}
     assert a.keys() == b.keys()
     assert all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+
+
+def test_a_million_seconds_of_a_day_are_not_ranked_together(spark, monkeypatch):
+    """The narrowest realistic range: every ranking window stays tiny, whatever the group's size."""
+    from streetflow.operators import quantiles
+
+    joined, join = [], quantiles._join
+    monkeypatch.setattr(quantiles, "_join", lambda *a, **k: joined.append(join(*a, **k)) or joined[-1])
+    day = 1_705_276_800
+    df = spark.range(1_000_000).selectExpr("'hot' AS g", f"{day} + (id * 7919 % 1000000) * 0.0864D AS v")
+    got = exact_quantiles(df, ["g"], "v", [0.5, 0.99], names=["a", "b"]).first()
+    want = sorted(day + (i * 7919 % 1_000_000) * 0.0864 for i in range(1_000_000))
+    assert got.a == pytest.approx((want[499_999] + want[500_000]) / 2, rel=1e-12)
+    at = 0.99 * 999_999
+    assert got.b == pytest.approx(want[int(at)] + (at - int(at)) * (want[int(at) + 1] - want[int(at)]), rel=1e-12)
+    ranked = next(d for d in joined if "_part" in d.columns and "_v" in d.columns and "_before" in d.columns)
+    assert ranked.groupBy("_cell", "_part").count().agg(F.max("count")).first()[0] <= 8
+    assert ranked.count() <= 32

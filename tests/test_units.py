@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from streetflow.functions.rounding import rnd
 from streetflow.operators.panels import alias_column, expand_macros, macro_values, parse_ids
 from streetflow.operators.samples import histogram_quantile, metric_type
+from streetflow.plans.inspect import partition_filters, plan_text
 from streetflow.session import work_dir
 from streetflow.sources.keyed import KeyedTable
 
@@ -87,24 +88,20 @@ def test_parsed_fields_json_then_logfmt(spark):
     assert masked.select(mask_pattern(F.col("l"))).first()[0] == "id <num> token <hex>"
 
 
-def test_keyed_snapshots_bound_reads_and_keep_state(spark):
+def test_keyed_versions_keep_every_state(spark):
     schema = "k string, v double, seq long"
-    t = KeyedTable(work_dir(spark, "kt-snap"), ["k"], order=["seq"])
+    t = KeyedTable(work_dir(spark, "kt-versions"), ["k"], order=["seq"])
+    assert t.read(spark, spark.createDataFrame([], schema).schema).count() == 0
     states = []
-    for version in range(6):
+    for version in range(4):
         rows = spark.createDataFrame([("a", float(version), version), (f"k{version}", 1.0, version)], schema)
         t.upsert(rows, version)
-        if version == 3:
-            t.compact_through(spark, rows.schema, 3)
-            t.compact_through(spark, rows.schema, 3)  # idempotent
+        t.upsert(rows, version)  # a replay
         states.append(sorted(map(tuple, t.read(spark, rows.schema).collect())))
-    assert t.latest_snapshot(spark, rows.schema) == 3
-    assert states[-1] == sorted([("a", 5.0, 5)] + [(f"k{i}", 1.0, i) for i in range(6)])
-    # a read after the snapshot touches only the snapshot and versions 4..5
-    plan = t.read_versions(spark, rows.schema)._jdf.queryExecution().optimizedPlan().toString()
-    assert "version" in plan and "> 3" in plan
-    # an older state is rebuilt from the batches
-    assert sorted(map(tuple, t.read(spark, rows.schema, through=2).collect())) == states[2]
+    assert states[-1] == sorted([("a", 3.0, 3)] + [(f"k{i}", 1.0, i) for i in range(4)])
+    old = t.read(spark, rows.schema, through=1)
+    assert sorted(map(tuple, old.collect())) == states[1]
+    assert any("version" in p for p in partition_filters(plan_text(old)))
 
 
 def test_pow2_ceiling_exact_at_powers_of_two(spark):
@@ -168,44 +165,59 @@ def test_a_chain_of_a_hundred_spans_and_cycles(spark):
     assert {r.depth: r.path for r in name_paths(chain).collect()} == {d: "/".join("x" * (d + 1)) for d in range(100)}
     assert path_rollup(chain).count() == 100
     assert structural_match(chain, F.lit(True), F.lit(True)).count() == 4950
+    named = spark.createDataFrame([(0, 0, -1, "a"), (0, 1, 0, None), (0, 2, 1, "c")], chain.schema)
+    assert [r.path for r in name_paths(named).orderBy("span_id").collect()] == ["a", "a/", "a//c"]
     cycle = spark.createDataFrame([(0, 0, 1, "a"), (0, 1, 0, "b"), (1, 0, -1, "c")], chain.schema)
     with pytest.raises(ValueError, match="cycle"):
         name_paths(cycle)
     with pytest.raises(ValueError, match="cycle"):
         structural_match(cycle, F.lit(True), F.lit(True))
+    below = spark.createDataFrame([(0, 7, 0, "c")], chain.schema).union(cycle)
+    with pytest.raises(ValueError, match="cycle"):
+        structural_match(below, F.col("name") == "c", F.lit(True))
     orphan = spark.createDataFrame([(0, 5, 3, "a"), (0, 6, 5, "b")], chain.schema)
     assert sorted((r.span_id, r.path, r.depth) for r in name_paths(orphan).collect()) == [(5, "a", 0), (6, "a/b", 1)]
 
 
+def test_a_chain_of_a_thousand_spans_takes_a_logarithm_of_rounds(spark, monkeypatch):
+    """The n-th ancestor of every span, over a chain in which every third span matches."""
+    from streetflow.operators import spans as op
+
+    names, write = [], op.written
+    monkeypatch.setattr(op, "written", lambda df, name: names.append(name) or write(df, name))
+    chain = spark.range(1000).selectExpr("0 AS trace_id", "id AS span_id", "id - 1 AS parent_id", "IF(id % 3 = 0, 'a', 'b') AS name")
+    got = op.structural_match(chain, F.col("name") == "a", F.col("span_id") >= 990)
+    assert sorted((r.span_id, r.ancestor_id) for r in got.collect()) == [(d, a) for d in range(990, 1000) for a in range(0, d, 3)]
+    assert len(names) <= 2 + 2 + 2 * 10
+    star = spark.range(3000).selectExpr("1 AS trace_id", "id AS span_id", "IF(id = 0, -1, IF(id < 5, id - 1, 4)) AS parent_id", "'x' AS name")
+    assert op.structural_match(star, F.col("span_id") <= 4, F.col("span_id") > 4).count() == 5 * 2995
+    assert op.structural_match(star, F.col("span_id") > 4, F.col("span_id") <= 4).count() == 0
+
+
 def test_kafka_rows_keep_arrival_order(spark):
-    """A Kafka-shaped frame: last write wins by broker time, then offset, then partition."""
+    """Kafka-shaped frames: last write wins by broker time, then offset, then partition,
+    however far apart partitions and offsets lie."""
     import datetime as dt
 
-    from streetflow.streaming.jobs import kafka_order
+    from streetflow.functions.parse import encode_messages
+    from streetflow.operators.latest import latest_per_key
+    from streetflow.schema import ARRIVAL
+    from streetflow.streaming.jobs import kafka_order, parse_stream
 
     t = dt.datetime(2024, 1, 15, 10, 0, 0)
     ms = dt.timedelta(milliseconds=1)
-    rows = [(0, 900, t), (1, 5, t + ms), (0, 901, t + ms), (0, 902, t + 2 * ms), (1, 6, t + 2 * ms)]
+    rows = [(0, 900, t), (1, 5, t + ms), (0, 16_383, t + ms), (0, 16_384, t + ms), (64, 16_384, t + ms), (1, 6, t + 2 * ms)]
     df = spark.createDataFrame([(p, o, at, i) for i, (p, o, at) in enumerate(rows)], "partition int, offset long, timestamp timestamp, i int")
-    got = [r.i for r in df.orderBy(kafka_order()).collect()]
-    assert got == [0, 1, 2, 4, 3]
-    assert df.select(kafka_order().alias("k")).distinct().count() == len(rows)
-
-
-def test_a_torn_snapshot_is_ignored_and_rebuilt(spark, tmp_path):
-    import os
-
-    from streetflow.sources.keyed import KeyedTable
-
-    t = KeyedTable(str(tmp_path / "t"), ["k"])
-    rows = spark.createDataFrame([(f"k{i}", i) for i in range(10)], "k string, v int")
-    t.upsert(rows, 0)
-    rows.limit(3).write.parquet(f"{t.snapshots}/through=0")
-    os.remove(f"{t.snapshots}/through=0/_SUCCESS")
-    assert t.latest_snapshot(spark) is None
-    assert t.read(spark, rows.schema).count() == 10
-    t.compact_through(spark, rows.schema, 0)
-    assert t.latest_snapshot(spark) == 0 and t.read(spark, rows.schema).count() == 10
+    assert [r.i for r in df.orderBy(*kafka_order()).collect()] == list(range(6))
+    sent = df.selectExpr("*", "'2024-01-15T10:00:00' AS date_time", "'s' AS denomination", "CAST(i AS DOUBLE) AS avg_speed", "1 AS travel_time",
+                         "'ok' AS traffic_status", "CAST(NULL AS STRING) AS geo_shape", "'h' AS hierarchie", "'h' AS hierarchie_dv", "50 AS max_speed", "i AS seq")
+    wire = df.join(encode_messages(sent).selectExpr("value", "seq AS i"), "i").drop("i")
+    archived = parse_stream(wire)
+    assert set(ARRIVAL) <= set(archived.columns)
+    assert [r.avg_speed for r in archived.orderBy(*ARRIVAL).collect()] == [float(i) for i in range(6)]
+    assert latest_per_key(archived.drop("geo_shape"), ["denomination", "date_time"], ARRIVAL).first().avg_speed == 5.0
+    early = archived.drop("geo_shape").where("avg_speed < 5")
+    assert latest_per_key(early, ["denomination", "date_time"], ARRIVAL).first().avg_speed == 4.0
 
 
 def test_a_key_lies_in_one_file(spark, tmp_path):
@@ -243,3 +255,48 @@ def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_missing_labels_are_empty_ones(spark):
+    from streetflow.operators.samples import matchers
+
+    df = spark.createDataFrame([(0, None), (1, ""), (2, "x")], "i int, l string")
+    got = {op + pat: [r.i for r in df.where(matchers([("l", op, pat)])).orderBy("i").collect()] for op in ("=", "!=", "=~", "!~") for pat in ("", "x")}
+    assert got == {"=": [0, 1], "=x": [2], "!=": [2], "!=x": [0, 1], "=~": [0, 1], "=~x": [2], "!~": [2], "!~x": [0, 1]}
+
+
+def test_label_values_become_columns_or_raise(spark):
+    from streetflow.operators.logs import values_of
+
+    df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "a"]], "l string")
+    assert values_of(df, "l") == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="more than 2 values"):
+        values_of(df, "l", 2)
+
+
+def test_runs_across_slices(spark):
+    """Runs of flags, whatever the slices: against a plain loop."""
+    import random
+
+    from streetflow.operators.samples import flag_runs
+
+    rng = random.Random(9)
+    rows = [(s, t, rng.choice([True, False, None])) for s in ("a", "b", None) for t in rng.sample(range(60), 40)]
+    rows += [("c", t, True) for t in range(30)] + [("d", 1, False)]
+    df = spark.createDataFrame(rows, "s string, t int, f boolean")
+    want = {}
+    for s in {r[0] for r in rows}:
+        flags = [bool(f) for _, _, f in sorted((r for r in rows if r[0] == s), key=lambda r: r[1])]
+        runs = sum(f and not p for p, f in zip([False, *flags], flags))
+        want[s] = (len(flags), sum(flags), runs, -runs)
+    for width in (1, 7, 100):
+        got = flag_runs(df, "s", "t", "f", F.floor(F.col("t") / width)).collect()
+        assert {r.s: (r.n_buckets, r.n_outliers, r.n_runs, r.score) for r in got} == want
+
+
+def test_flame_sides_without_stacks(spark):
+    from streetflow.operators.stacks import flame_diff
+
+    df = spark.createDataFrame([(1, "f", "left"), (1, "g", "left"), (2, "f", "left")], "s int, f string, side string")
+    got = sorted((r.function, r.left, r.right, r.left_share, r.right_share) for r in flame_diff(df, "s", "f", F.col("side")).collect())
+    assert got == [("f", 2, 0, 1.0, None), ("g", 1, 0, 0.5, None)]
