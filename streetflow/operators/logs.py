@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streetflow.operators.quantiles import _join
 from streetflow.session import written
 
 
@@ -55,8 +56,9 @@ def logfmt_pairs(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(LOGFMT_PAIR), 0)
 
 
-def parsed_fields(df: DataFrame, ids: list[str], line: str = "line") -> DataFrame:
-    """L3: one row per parsed field, ``(ids..., parser, key, value)``.
+def parsed_fields(df: DataFrame, ids: list[str], line: str = "line", nth: bool = False) -> DataFrame:
+    """L3: one row per parsed field, ``(ids..., parser, key, value)``, and with ``nth`` the
+    field's number among those of its line that have its key.
 
     JSON lines give their top-level fields; other lines their logfmt pairs.
     A line with no field (or that fails to parse) is kept once with nulls --
@@ -78,7 +80,13 @@ def parsed_fields(df: DataFrame, ids: list[str], line: str = "line") -> DataFram
         lambda e: F.struct(F.lit("json").alias("parser"), e["key"].alias("key"), e["value"].alias("value")),
     )
     fields = F.when(j.isNotNull(), from_json_).otherwise(pairs)
-    return df.select(*ids, F.explode_outer(fields).alias("f")).select(*ids, "f.parser", "f.key", "f.value")
+    if not nth:
+        return df.select(*ids, F.explode_outer(fields).alias("f")).select(*ids, "f.parser", "f.key", "f.value")
+    keys = F.transform(F.col("fs"), lambda f: f["key"])
+    numbered = F.transform(F.col("fs"), lambda f, i: F.struct(f["parser"].alias("parser"), f["key"].alias("key"), f["value"].alias("value"),
+                           F.size(F.filter(F.slice(keys, 1, i + 1), lambda k: k == f["key"])).alias("nth")))
+    rows = df.select(*ids, fields.alias("fs")).select(*ids, F.explode_outer(numbered).alias("f"))
+    return rows.select(*ids, "f.parser", "f.key", "f.value", "f.nth")
 
 
 def unwrap_avg(df: DataFrame, keys: list[Column | str], value: Column) -> DataFrame:
@@ -130,6 +138,41 @@ def series_stats(df: DataFrame, series: str, value: str) -> DataFrame:
     )
 
 
+def change_points(df: DataFrame, series: str, bucket: str, value: str, slice_: Column) -> DataFrame:
+    """L6 "most relevant": per series how far its mean shifts at the best place to cut it in
+    two, and that place.
+
+    With S_k the sum of the first k of n values, the score is the largest
+    ``|S_k - S_n k / n|`` over the standard deviation times sqrt(n), 0 for a constant series,
+    and ``changed_at`` the bucket after the (first) largest.  ``slice_`` cuts time into
+    ordered pieces: sums run within a piece and go on from the sums of the pieces before,
+    one row each, so no task sorts the history of a series."""
+    rows = df.where(F.col(value).isNotNull()).withColumn("_slice", slice_)
+    pieces = rows.groupBy(series, "_slice").agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    past = Window.partitionBy(series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = pieces.select(series, "_slice", *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"{c}_before") for c in ("_sum", "_n")])
+    whole = df.groupBy(series).agg(F.sum(value).alias("total"), F.count(value).alias("n"), F.stddev_pop(value).alias("sd"))
+    in_slice = Window.partitionBy(series, "_slice").orderBy(bucket)
+    running = _join(rows, before, [series, "_slice"]).select(
+        series,
+        bucket,
+        (F.row_number().over(in_slice) + F.col("_n_before")).alias("k"),
+        (F.sum(value).over(in_slice) + F.col("_sum_before") - F.col(value)).alias("s_past"),
+    )
+    placed = _join(running, whole, [series])
+    # the cut before this row: k - 1 values on the left
+    shift = F.abs(F.col("s_past") * F.col("n") - F.col("total") * (F.col("k") - 1)).cast("double")
+    cut = placed.where("k > 1").groupBy(series).agg(F.max(F.struct(shift.alias("shift"), (-F.col("k")).alias("k"), F.col(bucket).alias("at"))).alias("cut"))
+    out = _join(whole, cut, [series], "left")
+    score = F.col("cut.shift") / F.col("n") / (F.col("sd") * F.sqrt(F.col("n").cast("double")))
+    return out.select(
+        series,
+        "n",
+        F.when(F.col("sd") > 0, score).otherwise(F.lit(0.0)).alias("score"),
+        F.when(F.col("sd") > 0, F.col("cut.at")).alias("changed_at"),
+    )
+
+
 def rank_series(stats: DataFrame, by: str, name: str, descending: bool = True) -> DataFrame:
     """L6 ordering (desc by default, ties by name), without putting all series into one
     task: the series are range-partitioned in that order and written; a rank is the
@@ -217,6 +260,21 @@ def _type_of(is_int: Column, is_num: Column) -> Column:
     return F.when(F.every(is_int), F.lit("int")).when(F.every(is_num), F.lit("float")).otherwise(F.lit("string"))
 
 
+def cardinality_sketches(fields: DataFrame, day: Column) -> DataFrame:
+    """L10, mergeable: ``(day, key, values, lines)`` with a distinct sketch (HyperLogLog, 12 bits)
+    of the values of every field and day.  Stored once, the sketches of any range of days
+    merge without another look at the lines."""
+    named = fields.where(F.col("key").isNotNull())
+    return named.groupBy(day.alias("day"), "key").agg(F.hll_sketch_agg("value", 12).alias("values"), F.count(F.lit(1)).alias("n_fields"))
+
+
+def merged_cardinality(sketches: DataFrame) -> DataFrame:
+    """Distinct values of each field over the days of ``sketches``, by merging; the standard
+    error of 2^12 registers is about 1.3 %."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("values"))
+    return sketches.groupBy("key").agg(merged.alias("n_values"), F.sum("n_fields").alias("n_fields"), F.count(F.lit(1)).alias("n_days"))
+
+
 def label_profile(labels: DataFrame, n_lines: DataFrame) -> DataFrame:
     """L10 + L11 for stream labels: ``labels`` = ``(key, value, weight)`` with one
     row per labelled unit (an event, a document) and ``weight`` = its lines.
@@ -235,15 +293,21 @@ def field_profile(fields: DataFrame, line_id: list[str], n_lines: DataFrame) ->
     """L10 + L11: per field name: distinct values, inferred type, parsers that found it,
     lines carrying it and their share of all lines.
 
-    ``fields`` = ``(line_id..., parser, key, value)`` rows; ``n_lines`` a one-row,
-    one-column DataFrame with the line total, used as a scalar subquery.
+    ``fields`` = ``(line_id..., parser, key, value)`` rows, with ``nth`` (the field's number among
+    its line's fields of that key, as ``parsed_fields`` gives it) unless it is to be found by
+    a window; ``n_lines`` a one-row, one-column DataFrame with the line total, used as a
+    scalar subquery.
     """
     is_int, is_num = infer_type(F.col("value"))
     f = fields.where(F.col("key").isNotNull()).withColumns({"_i": is_int, "_n": is_num})
+    # a line counts for the first of its fields of a key, so one distinct is left, over values
+    once = Window.partitionBy(*line_id, "key").orderBy(F.lit(1))
+    if "nth" not in f.columns:
+        f = f.withColumn("nth", F.row_number().over(once))
     prof = f.groupBy("key").agg(
         F.count_distinct("value").alias("n_values"),
         _type_of(F.col("_i"), F.col("_n")).alias("type"),
         F.array_join(F.array_sort(F.collect_set("parser")), ",").alias("parsers"),
-        F.count_distinct(*[F.col(c) for c in line_id]).alias("n_lines"),
+        F.count_if(F.col("nth") == 1).alias("n_lines"),
     )
     return prof.withColumn("pct_lines", F.try_divide(F.col("n_lines") * 100.0, n_lines.scalar()))

@@ -16,11 +16,14 @@ from streetflow.functions.timeutil import bucket_start
 from streetflow.operators.logs import (
     LOGFMT_PAIR,
     bytes_volume,
+    cardinality_sketches,
+    change_points,
     field_profile,
     label_profile,
     label_volumes,
     line_filter,
     line_format,
+    merged_cardinality,
     outer_join_series,
     parsed_fields,
     pattern_samples,
@@ -32,7 +35,9 @@ from streetflow.operators.logs import (
     values_of,
     volume,
 )
+from streetflow.operators.templates import template_rollup
 from streetflow.registry import query
+from streetflow.session import written
 from streetflow.sources.tables import read_table
 
 HOUR_US = 3_600_000_000
@@ -85,11 +90,11 @@ def q_label_volume_topk(spark: SparkSession, root: str) -> DataFrame:
     return label_volumes(event_logs(spark, root), ["level", "user_id"], limit=5000)
 
 
-def _all_fields(spark: SparkSession, root: str) -> DataFrame:
+def _all_fields(spark: SparkSession, root: str, nth: bool = False) -> DataFrame:
     el = event_logs(spark, root).withColumn("line_id", F.col("event_id").cast("string"))
     dl = doc_lines(spark, root).withColumn("line_id", F.concat_ws(":", "doc_id", "line_no"))
-    a = parsed_fields(el.withColumn("stream", F.lit("events")), ["stream", "line_id"])
-    b = parsed_fields(dl.withColumn("stream", F.lit("documents")), ["stream", "line_id"])
+    a = parsed_fields(el.withColumn("stream", F.lit("events")), ["stream", "line_id"], nth=nth)
+    b = parsed_fields(dl.withColumn("stream", F.lit("documents")), ["stream", "line_id"], nth=nth)
     return a.unionByName(b)
 
 
@@ -279,9 +284,9 @@ def q_field_profile(spark: SparkSession, root: str) -> DataFrame:
         .select("kv.key", "kv.value", "weight")
     )
     total = ev.select(one.alias("w")).unionByName(docs.select(F.col("w").cast("bigint"))).agg(F.sum("w"))
-    fields = _all_fields(spark, root).withColumn("line", F.concat_ws("|", "stream", "line_id"))
+    fields = _all_fields(spark, root, nth=True)
     out = label_profile(labels, total).withColumn("kind", F.lit("label")).unionByName(
-        field_profile(fields, ["line"], total).withColumn("kind", F.lit("field"))
+        field_profile(fields, ["stream", "line_id"], total).withColumn("kind", F.lit("field"))
     )
     return out.select("kind", "key", "n_values", "type", "parsers", "n_lines", rnd("pct_lines").alias("pct_lines"))
 
@@ -299,3 +304,101 @@ def q_log_volume_rollup(spark: SparkSession, root: str) -> DataFrame:
     el = event_logs(spark, root).withColumn("count", F.get_json_object("line", "$.k").try_cast("int"))
     fine = el.groupBy(bucket_start(F.col("ts"), 600).alias("b10"), "level").agg(F.sum("count").alias("c"))
     return fine.groupBy(bucket_start(F.col("b10"), 3600).alias("bucket"), "level").agg(F.sum("c").alias("volume"))
+
+
+TEMPLATE_RULE = {"min_lines": 5, "share": 0.002, "depth": 3}
+
+
+def _merge_level(at: int) -> str:
+    """Prefix-tree level ``at`` (from 0) of the templates, as a CTE over the level before."""
+    return f"""
+t{at + 1} AS (
+  SELECT size, tokens, n, support,
+         CASE WHEN SUM(n) OVER (PARTITION BY size, list_slice(template, 1, {at + 1})) < support AND size > {at}
+              THEN list_concat(list_concat(list_slice(template, 1, {at}), ['<*>']), list_slice(template, {at + 2}, size))
+              ELSE template END AS template
+  FROM t{at})"""
+
+
+@query(
+    "log_templates",
+    "WITH "
+    + DL
+    + f""",
+m AS (SELECT *, regexp_replace(regexp_replace(line, '[0-9a-fA-F]{{16,}}', '<hex>', 'g'), '[0-9]+', '<num>', 'g') AS pattern
+      FROM dl),
+p AS (SELECT pattern, COUNT(*) AS n, string_split(pattern, ' ') AS words, len(string_split(pattern, ' ')) AS size
+      FROM m GROUP BY pattern),
+s AS (SELECT size, greatest({TEMPLATE_RULE["min_lines"]}, CAST(ceil(SUM(n) * {TEMPLATE_RULE["share"]}::DOUBLE) AS BIGINT)) AS support
+      FROM p GROUP BY size),
+w AS (SELECT pattern, size, n, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM p),
+f AS (SELECT size, pos, word FROM w JOIN s USING (size) GROUP BY size, pos, word, support HAVING SUM(n) >= support),
+a AS (SELECT w.pattern, w.size, w.n, list(CASE WHEN f.word IS NULL THEN '<*>' ELSE w.word END ORDER BY w.pos) AS tokens
+      FROM w LEFT JOIN f ON f.size = w.size AND f.pos = w.pos AND f.word = w.word GROUP BY 1, 2, 3),
+t0 AS (SELECT size, tokens, SUM(n) AS n, support, tokens AS template FROM a JOIN s USING (size) GROUP BY size, tokens, support),
+"""
+    + ",".join(_merge_level(at) for at in range(TEMPLATE_RULE["depth"]))
+    + f""",
+r AS (SELECT a.pattern, array_to_string(t.template, ' ') AS template
+      FROM a JOIN t{TEMPLATE_RULE["depth"]} t ON t.size = a.size AND t.tokens = a.tokens)
+SELECT r.template, COUNT(*) AS total, COUNT(DISTINCT block) AS n_buckets,
+       array_to_string(list_sort(list_distinct(list(level))), ',') AS levels, COUNT(DISTINCT m.pattern) AS n_patterns
+FROM m JOIN r ON r.pattern = m.pattern GROUP BY r.template
+""",
+)
+def q_log_templates(spark: SparkSession, root: str) -> DataFrame:
+    """Templates mined from all lines, with their lines, patterns, blocks and levels."""
+    out = template_rollup(doc_lines(spark, root), "line", "block", "level", **TEMPLATE_RULE)
+    return out.select("template", "total", "n_buckets", "levels", "n_patterns")
+
+
+@query(
+    "changepoint_sort",
+    "WITH "
+    + DL
+    + """,
+c AS (SELECT source, block, CAST(COUNT(*) AS BIGINT) AS v FROM dl GROUP BY 1, 2),
+w AS (SELECT source, CAST(SUM(v) AS BIGINT) AS total, COUNT(*) AS n, STDDEV_POP(v) AS sd FROM c GROUP BY 1),
+r AS (SELECT source, block, CAST(SUM(v) OVER o AS BIGINT) - v AS s_past, row_number() OVER o AS k
+      FROM c WINDOW o AS (PARTITION BY source ORDER BY block)),
+x AS (SELECT r.source, r.block, r.k, abs(s_past * n - total * (k - 1)) AS shift
+      FROM r JOIN w ON w.source IS NOT DISTINCT FROM r.source WHERE k > 1
+      QUALIFY row_number() OVER (PARTITION BY r.source ORDER BY abs(s_past * n - total * (k - 1)) DESC, k) = 1),
+z AS (SELECT w.source, n, CASE WHEN sd > 0 THEN shift::DOUBLE / n / (sd * sqrt(n)) ELSE 0.0 END AS score,
+             CASE WHEN sd > 0 THEN x.block END AS changed_at
+      FROM w LEFT JOIN x ON w.source IS NOT DISTINCT FROM x.source)
+SELECT source, n, R6(score) AS score, changed_at, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, source) AS INTEGER) AS rank
+FROM z
+""",
+)
+def q_changepoint_sort(spark: SparkSession, root: str) -> DataFrame:
+    """Per-source line-count series, those whose mean shifts most first."""
+    c = doc_lines(spark, root).groupBy("source", "block").agg(F.count(F.lit(1)).alias("n_lines"))
+    found = change_points(c, "source", "block", "n_lines", F.expr("block div 16"))
+    return rank_series(found, "score", "source").withColumn("score", rnd("score"))
+
+
+@query(
+    "field_cardinality",
+    f"""
+WITH f AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS day, key, json_extract_string(props, '$."' || key || '"') AS value
+  FROM (SELECT ts, props, unnest(json_keys(props)) AS key FROM events)
+  UNION ALL SELECT strftime(ts, '%Y-%m-%d'), 'user_id', CAST(user_id AS VARCHAR) FROM events
+)
+SELECT key, COUNT(*) AS n_fields, COUNT(DISTINCT day) AS n_days, COUNT(DISTINCT value) AS n_values, true AS within_bound
+FROM f WHERE day >= '2024-01-05' AND day < '2024-01-20' GROUP BY key
+""",
+)
+def q_field_cardinality(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct values of every field over a range of days, exactly, and whether the merged
+    daily sketches agree within 5 % (about four standard errors)."""
+    el = event_logs(spark, root).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    json = parsed_fields(el, ["day"]).select("day", "key", "value")
+    fields = json.unionByName(el.select("day", F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value")))
+    stored = written(cardinality_sketches(fields, F.col("day")), "field-sketches")
+    in_range = (F.col("day") >= "2024-01-05") & (F.col("day") < "2024-01-20")
+    merged = merged_cardinality(stored.where(in_range)).withColumnRenamed("n_values", "estimate")
+    exact = fields.where(in_range & F.col("key").isNotNull()).groupBy("key").agg(F.count_distinct("value").alias("n_values"))
+    bound = F.abs(F.col("estimate") - F.col("n_values")) <= 0.05 * F.col("n_values")
+    return merged.join(exact, "key").select("key", "n_fields", "n_days", "n_values", bound.alias("within_bound"))

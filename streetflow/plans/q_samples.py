@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from streetflow.functions.rounding import rnd
 from streetflow.functions.timeutil import bucket_start, day_of, epoch_micros
+from streetflow.operators.density import density_clusters
 from streetflow.operators.samples import (
     aggregate,
     aggregate_without,
@@ -575,3 +576,52 @@ def q_outlier_series(spark: SparkSession, root: str) -> DataFrame:
     g = gauges(spark, root)
     x = g.groupBy("user_id", day_of(F.col("ts")).alias("day")).agg(F.avg("value").alias("v"))
     return flag_runs(mad_outliers(x, "day", "v", k=3.0), "user_id", "day", "outlier", F.substring("day", 1, 7))
+
+
+DENSITY_EPS, DENSITY_POINTS = 6.0, 4
+DENSITY_SQL = f"""
+WITH x AS (SELECT user_id, {DAY_SQL} AS day, MAX(value) AS v FROM events GROUP BY 1, 2),
+c AS (SELECT a.user_id, a.day, a.v, COUNT(*) AS near
+      FROM x a JOIN x b ON a.day = b.day AND abs(a.v - b.v) <= {DENSITY_EPS}::DOUBLE GROUP BY 1, 2, 3),
+k AS (SELECT day, v, CASE WHEN v - lag(v) OVER (PARTITION BY day ORDER BY v) > {DENSITY_EPS}::DOUBLE THEN 1 ELSE 0 END AS gap
+      FROM (SELECT DISTINCT day, v FROM c WHERE near >= {DENSITY_POINTS})),
+n AS (SELECT day, v AS core, CAST(SUM(gap) OVER (PARTITION BY day ORDER BY v) AS INTEGER) AS cluster FROM k),
+p AS (SELECT x.user_id, x.day, x.v, n.cluster
+      FROM x LEFT JOIN n ON n.day = x.day AND abs(x.v - n.core) <= {DENSITY_EPS}::DOUBLE
+      QUALIFY row_number() OVER (PARTITION BY x.user_id, x.day ORDER BY abs(x.v - n.core) NULLS LAST, n.core) = 1)"""
+
+
+def _clustered_days(spark: SparkSession, root: str) -> DataFrame:
+    g = gauges(spark, root)
+    x = g.groupBy("user_id", day_of(F.col("ts")).alias("day")).agg(F.max("value").alias("v"))
+    return density_clusters(x, ["day"], "v", DENSITY_EPS, DENSITY_POINTS)
+
+
+@query(
+    "density_clusters",
+    DENSITY_SQL
+    + """
+SELECT day, cluster, COUNT(*) AS n, MIN(v) AS least, MAX(v) AS most FROM p WHERE v IS NOT NULL GROUP BY 1, 2
+""",
+)
+def q_density_clusters(spark: SparkSession, root: str) -> DataFrame:
+    """Density clusters of the users' values of each day (null: noise)."""
+    d = _clustered_days(spark, root).where("v IS NOT NULL")
+    return d.groupBy("day", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+
+
+@query(
+    "density_outliers",
+    DENSITY_SQL
+    + """,
+g AS (SELECT user_id, day, v IS NOT NULL AND cluster IS NULL AS o,
+             lag(v IS NOT NULL AND cluster IS NULL) OVER (PARTITION BY user_id ORDER BY day) AS before FROM p)
+SELECT user_id, COUNT(*) AS n_buckets, COUNT(*) FILTER (WHERE o) AS n_outliers,
+       COUNT(*) FILTER (WHERE o AND coalesce(NOT before, true)) AS n_runs,
+       -COUNT(*) FILTER (WHERE o AND coalesce(NOT before, true)) AS score
+FROM g GROUP BY 1
+""",
+)
+def q_density_outliers(spark: SparkSession, root: str) -> DataFrame:
+    """Users by runs of days on which their value lies in no density cluster."""
+    return flag_runs(_clustered_days(spark, root), "user_id", "day", "outlier", F.substring("day", 1, 7))

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from streetflow.functions.rounding import rnd
 from streetflow.operators.samples import matchers
-from streetflow.operators.stacks import flame_diff, flame_table, profile_totals, stack_summary
+from streetflow.operators.stacks import OTHER, flame_diff, flame_table, flame_tree, profile_totals, recorded_totals, stack_summary
 from streetflow.registry import query
+from streetflow.session import work_dir
 from streetflow.sources.tables import read_table
+from streetflow.streaming.jobs import file_sink, run_to_end
 
 SHORT_DEPTH = 4  # stacks of at most this many frames form the "short" selection
 FUNCTION = "system"
@@ -150,3 +152,98 @@ def q_flame_diff_weighted(spark: SparkSession, root: str) -> DataFrame:
     side = F.when(F.col("depth") <= SHORT_DEPTH, F.lit("left")).otherwise(F.lit("right"))
     out = flame_diff(_weighted_frames(spark, root), "conv_id", "role", side, weight=F.col("weight"))
     return out.withColumns({c: rnd(c) for c in ["left_share", "right_share", "diff"]})
+
+
+MAX_TREE_NODES = 6
+TREE_SQL = "WITH RECURSIVE " + WEIGHT_SQL + """,
+fr AS (SELECT conv_id, coalesce(role, '') AS f, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS depth,
+              COUNT(*) OVER (PARTITION BY conv_id) AS size FROM conversations),
+walk AS (
+  SELECT conv_id, md5('/' || f) AS id, '' AS parent, depth, f, size FROM fr WHERE depth = 1
+  UNION ALL
+  SELECT fr.conv_id, md5(walk.id || '/' || fr.f), walk.id, fr.depth, fr.f, fr.size
+  FROM walk JOIN fr ON fr.conv_id = walk.conv_id AND fr.depth = walk.depth + 1
+),
+nodes AS (
+  SELECT id, parent, CAST(depth AS INTEGER) AS depth, f AS function,
+         CAST(coalesce(SUM(weight) FILTER (WHERE depth = size), 0) AS BIGINT) AS self, CAST(SUM(weight) AS BIGINT) AS total
+  FROM walk JOIN w ON w.conv_id = walk.conv_id GROUP BY 1, 2, 3, 4
+)"""
+
+
+@query("flame_tree", TREE_SQL + "\nSELECT * FROM nodes")
+def q_flame_tree(spark: SparkSession, root: str) -> DataFrame:
+    """The whole call tree, weighted by text length."""
+    return flame_tree(_weighted_frames(spark, root), "conv_id", "turn", "role", weight=F.col("weight"))
+
+
+@query(
+    "flame_tree_limited",
+    TREE_SQL
+    + f""",
+kept AS (SELECT * FROM nodes ORDER BY total DESC, depth, id LIMIT {MAX_TREE_NODES}),
+cut AS (SELECT * FROM nodes WHERE id NOT IN (SELECT id FROM kept)),
+top AS (SELECT id, depth + 1 AS below FROM kept UNION ALL SELECT '', 1)
+SELECT id, parent, depth, function, self, total FROM kept
+UNION ALL
+SELECT CAST(NULL AS VARCHAR), parent, CAST(top.below AS INTEGER), '{OTHER}', CAST(SUM(total) AS BIGINT), CAST(SUM(total) AS BIGINT)
+FROM cut JOIN top ON top.id = cut.parent GROUP BY parent, top.below
+""",
+)
+def q_flame_tree_limited(spark: SparkSession, root: str) -> DataFrame:
+    """The call tree cut to its heaviest nodes, the rest kept as one row under each."""
+    return flame_tree(_weighted_frames(spark, root), "conv_id", "turn", "role", weight=F.col("weight"), max_nodes=MAX_TREE_NODES)
+
+
+@query(
+    "profile_totals_over_time",
+    "WITH " + LEAF_SQL + f"""
+SELECT conv_id // 16 AS bucket, CASE WHEN depth <= {SHORT_DEPTH} THEN 'short' ELSE 'long' END AS size, leaf,
+       CAST(COUNT(*) AS BIGINT) AS samples, R6(AVG(depth)) AS depth
+FROM s WHERE regexp_full_match(coalesce(leaf, ''), 'user|assistant') GROUP BY 1, 2, 3
+""",
+)
+def q_profile_totals_over_time(spark: SparkSession, root: str) -> DataFrame:
+    """Profile totals per time bucket and label set (conversations carry no time, so blocks
+    of 16 ids are the time axis)."""
+    s = stack_summary(frames(spark, root), "conv_id", "turn", "role").withColumns(
+        {"size": F.when(F.col("depth") <= SHORT_DEPTH, "short").otherwise("long"), "w": F.lit(1).cast("bigint")}
+    ).where(matchers(SELECTOR))
+    kinds = {"samples": ("w", "cumulative"), "depth": ("depth", "instant")}
+    return profile_totals(s, ["size", "leaf"], kinds, bucket=F.expr("conv_id div 16")).withColumn("depth", rnd("depth"))
+
+
+def _timed_frames(df: DataFrame) -> DataFrame:
+    """Frames with a time (a minute an id) and a weight of their sample's own."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("conv_id") * 60)
+    return df.select("conv_id", "role", at.alias("at"), (F.col("conv_id") % 7 + 1).alias("weight"))
+
+
+RECORDED_SQL = """
+WITH f AS (SELECT DISTINCT conv_id, role AS function FROM conversations),
+e AS (SELECT function, conv_id // 30 AS half_hour, conv_id % 7 + 1 AS weight FROM f)
+SELECT make_timestamp((1704067200 + half_hour * 1800) * 1000000) AS window_start, function, COUNT(*) AS samples, CAST(SUM(weight) AS BIGINT) AS total
+FROM e
+"""
+
+
+@query("profile_recording_rule", RECORDED_SQL + "GROUP BY 1, 2")
+def q_profile_recording_rule(spark: SparkSession, root: str) -> DataFrame:
+    """The recording rule over all samples at once."""
+    return recorded_totals(_timed_frames(read_table(spark, root, "conversations")), "conv_id", "role", "at", "weight", "30 minutes")
+
+
+@query(
+    "stream_recording_rule",
+    RECORDED_SQL
+    + "WHERE (1704067200 + (half_hour + 1) * 1800) <= 1704067200 + (SELECT MAX(conv_id) FROM conversations) * 60 - 600\nGROUP BY 1, 2",
+)
+def q_stream_recording_rule(spark: SparkSession, root: str) -> DataFrame:
+    """Y5 as a stream: the windows that the watermark has closed, equal to the batch's."""
+    schema = read_table(spark, root, "conversations").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
+    source = reader.option("pathGlobFilter", "conversations.parquet").parquet(root)
+    rows = recorded_totals(_timed_frames(source), "conv_id", "role", "at", "weight", "30 minutes", "10 minutes")
+    out = work_dir(spark, "recorded")
+    run_to_end([file_sink(rows, out, work_dir(spark, "checkpoints"))])
+    return spark.read.schema(rows.schema).parquet(out)

@@ -23,13 +23,13 @@ QUERIES = dict(registry.QUERIES)  # the optional subpackage has its own tests
 # queries that run sinks (streams, lake or keyed-table writes) when called
 SIDE_EFFECTS = {
     "stream_ingest_lake", "stream_realtime_table", "stream_restart", "stream_tumbling", "stream_alerts",
-    "incremental_mapping", "incremental_mapping_table", "day_slice", "mapping_table", "daily_analysis_table",
+    "incremental_mapping", "incremental_mapping_table", "day_slice", "mapping_table", "daily_analysis_table", "stream_recording_rule",
 }
 # results that are global on purpose: top-N / ordered reports, ungrouped totals,
 # ranks over a list of attributes given as a parameter, scalar subqueries
 GLOBAL_OK = {
     "panel_table", "label_volume_topk", "log_patterns", "baseline_compare",
-    "recent_errors", "flame_table", "profile_totals", "field_profile", "flame_diff", "null_key_rejects",
+    "recent_errors", "flame_table", "profile_totals", "field_profile", "null_key_rejects",
 }
 PURE = sorted(set(QUERIES) - SIDE_EFFECTS)
 
