@@ -19,10 +19,10 @@ Jaccard similarity of their sets is at least 0.75.  Steps, each over all documen
    entry.  (Class counts follow the size level of the sets; a document also takes part
    in the level above if a partner may lie there.)  A set too small to extend that far
    is indexed in a second family by the usual single-token prefix, for others like it.
-4. *Verification by leaders.*  In every index group, one member (then 4, then 16, ...) is
+4. *Verification by leaders.*  In every index group, one member (then 16, then 256, ...) is
    compared exactly with those members of other components that the sizes and the
    numbers of shared tokens allow, until the group is one component or all its members
-   have led.  Groups of near copies thus take links in
+   have led.  A round's links join components, and only these joints are looked at.  Groups of near copies thus take links in
    proportion to their size, not its square, and no connection is lost.
 
 The result is exact up to 64-bit hashing of shingles.
@@ -296,36 +296,49 @@ def _leaders(members: DataFrame, count: int, turn: int) -> DataFrame:
 MAY_LINK = "c <> lead_c AND 175 * least(s, lead_s) >= 75 * (n + lead_n)"
 
 
+#: Leaders of a group in the first round, and how many times more in each further one.
+FIRST_LEADERS, MORE_LEADERS = 1, 16
+
+
 def components_by_leaders(entries: DataFrame, lists: DataFrame) -> DataFrame:
     """``(v, m)``: components of the linked sets among the index groups.
 
-    A member that has led was compared with all the others of its group and leaves it;
-    a group whose members lie in one component is done.
+    ``c`` names the component of a member as far as it is known.  The links of a round join
+    names, and only these joints are made into components, not all links anew.  A member
+    that has led was compared with all the others of its group and leaves it; a group whose
+    members bear one name is done.
     """
     entries = keep(entries, "jaccard-entries")
     several = entries.groupBy("entry").agg(F.count("*").alias("size")).filter("size > 1").select("entry")
     members = keep(entries.join(several, "entry").withColumn("c", F.col("key")), "jaccard-groups")
-    found = members.sparkSession.createDataFrame([], "v long, m long")
-    count, turn = 1, 0
+    names = members.sparkSession.createDataFrame([], "v long, m long")
+    count, turn = FIRST_LEADERS, 0
     while not members.isEmpty():
         lead = keep(_leaders(members, count, turn), "jaccard-leaders")
         pairs = (
-            members.join(lead, "entry")
+            members.join(few(lead), "entry")
             .filter(MAY_LINK)
             .select(F.least("key", "lead_key").alias("a"), F.greatest("key", "lead_key").alias("b"))
             .distinct()
         )
-        found = components(linked(pairs, lists).union(found), "jaccard")
-        led = lead.select("entry", F.col("lead_key").alias("key"))
-        members = (
-            members.join(led, ["entry", "key"], "left_anti")
-            .join(found, F.col("key") == F.col("v"), "left")
-            .select("entry", "key", "n", "s", F.coalesce("m", "key").alias("c"))
-        )
-        undone = members.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-        members = keep(members.join(undone.select("entry"), "entry"), "jaccard-groups")
-        count, turn = count * 4, turn + 1
-    return found
+        names = keep(_names(names, linked(pairs, lists)), "jaccard-names")
+        led = few(lead.select("entry", F.col("lead_key").alias("key")))
+        rest = members.drop("c").join(led, ["entry", "key"], "left_anti").join(few(names), F.col("key") == F.col("v"), "left")
+        members = keep(rest.select("entry", "key", "n", "s", F.coalesce("m", "key").alias("c")), "jaccard-members")
+        undone = members.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("entry")
+        members = keep(members.join(undone, "entry"), "jaccard-groups")
+        count, turn = count * MORE_LEADERS, turn + 1
+    return names
+
+
+def _names(names: DataFrame, links: DataFrame) -> DataFrame:
+    """``(v, m)``: sets with the least set of their component, but for these least ones
+    themselves, once more links are known."""
+    one, two = (names.toDF(x, f"m{x}") for x in ("a", "b"))
+    joints = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"))
+    joined = few(components(joints, "jaccard"))
+    renamed = names.join(joined.toDF("m", "_m"), "m", "left").select("v", F.coalesce("_m", "m").alias("m"))
+    return renamed.union(joined)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -196,19 +196,61 @@ def test_fingerprint_query(spark):
     assert all(len(p) == 1 for p in prints.values()) and len({p for s in prints.values() for p in s}) == len(prints)
 
 
+def plain_fingerprint(text):
+    """root, and (section digest, [(paragraph digest, number of leaves)]) of every section."""
+    import hashlib
+
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    sections, run = [], []
+    for line in text.split("\n"):
+        run.append((sha(line), -(-min(len(line), 24) // 6) + -(-max(0, len(line) - 24) // 24)))
+        if run[-1][0].endswith("0"):
+            sections.append(run)
+            run = []
+    sections += [run] if run else []
+    digests = [sha(",".join(d for d, _ in s)) for s in sections]
+    return sha(",".join(digests)), [(d[:16], [(p[:16], n) for p, n in s]) for d, s in zip(digests, sections, strict=True)]
+
+
+def test_fingerprints_are_the_written_tree(spark, odd):
+    for r in merkle.fingerprints(odd).join(odd.select("doc_id", "text"), "doc_id").collect():
+        if r.doc_id == 3:  # an id with two texts
+            continue
+        top, sections = plain_fingerprint(r.text or "")
+        assert r.fingerprint.split("|")[0] == top
+        written = [s.split("=") for s in r.fingerprint.split("|")[1].split(";")]
+        assert [(d, [(p.split(":")[0], len(p.split(":")[1]) // 5) for p in ps.split(",")]) for d, ps in written] == sections
+
+
 def test_differing_branches_locate_an_edit(spark):
     lines = [f"line {i} of the text with enough words to tell it from others" for i in range(200)]
     other = [*lines[:120], "another line", *lines[121:]]
     df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(other))], "doc_id long, text string")
     a, b = (r.fingerprint for r in merkle.fingerprints(df).orderBy("doc_id").collect())
     pair = spark.createDataFrame([(a, b)], "a string, b string")
-    found = pair.select(merkle.branches(F.col("a"), F.col("b")).alias("x"), merkle.compare(F.col("a"), F.col("b")).alias("c")).first()
+    found = pair.select(
+        merkle.branches(F.col("a"), F.col("b")).alias("x"), merkle.paragraphs(F.col("a"), F.col("b")).alias("p"), merkle.compare(F.col("a"), F.col("b")).alias("c"),
+        merkle.compare(F.col("b"), F.col("a")).alias("back"), merkle.compare(F.col("a"), F.col("a")).alias("same"),
+    ).first()
+    assert found.p == [120] and found.same == 1.0 and found.c == found.back
     sections = a.split("|")[1].split(";")
     assert len(found.x) == 1 and 0.9 < found.c < 1
     before = sum(s.count(",") + 1 for s in sections[: found.x[0]])
     assert before <= 120 <= before + sections[found.x[0]].count(",") + 1
 
 
+def test_likeness_goes_down_to_the_leaves(spark):
+    """One long paragraph without line breaks, its end replaced: neither section nor paragraph agrees."""
+    text = " ".join(f"word{i}" for i in range(400))
+    half = text[: len(text) // 2] + "".join(chr(0x4E00 + i) for i in range(len(text) // 2))
+    df = spark.createDataFrame([(1, text), (2, half), (3, ""), (4, text + "\n" + text)], "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in merkle.fingerprints(df).collect()}
+    pairs = spark.createDataFrame([(i, j, prints[i], prints[j]) for i in prints for j in prints], "i int, j int, a string, b string")
+    got = {(r.i, r.j): r.c for r in pairs.select("i", "j", merkle.compare(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert 0.45 < got[1, 2] < 0.55 and got[1, 3] == 0 and 0.45 < got[1, 4] <= 0.5 and got[3, 3] == 1
+    assert all(got[i, j] == got[j, i] for i, j in got)
+
+
 def test_fingerprints_have_no_python(spark):
     df = spark.createDataFrame([(1, "a\nb"), (2, "c")], "doc_id long, text string")
     plan = merkle.edited_fingerprints(df)._jdf.queryExecution().toString()
@@ -223,3 +265,54 @@ def test_fingerprint_odd_rows(odd, none):
     assert merkle.edited_fingerprints(none).count() == 0
     one = merkle.edited_fingerprints(odd.filter("doc_id = 8")).collect()
     assert len(one) == 1 and one[0].next_fingerprint == one[0].fingerprint
+
+
+def test_lattice_group_of_equal_vectors(spark, monkeypatch):
+    """A third and more of the rows equal: representatives alone meet, and every link is counted."""
+    met = []
+    compare = lattice.file_vectors
+    monkeypatch.setattr(lattice, "file_vectors", lambda units, *a: met.append(units.count()) or compare(units, *a))
+    rng = np.random.default_rng(3)
+    other = rng.normal(size=(50, 16))
+    values = ", ".join(f"array({', '.join(f'{x:.6f}D' for x in v)})" for v in other)
+    rows_ = spark.range(100_000).selectExpr("id AS vec_id", f"element_at(array({values}), IF(id < 60000, 1, CAST(2 + id % 49 AS INT))) AS embedding")
+    got = {r.component_id: (r.n, r.lo, r.hi) for r in lattice.near_duplicates(rows_).groupBy("component_id").agg(
+        F.count("*").alias("n"), F.min("n_links").alias("lo"), F.max("n_links").alias("hi")).collect()}
+    assert met == [50]
+    assert got[0] == (60_000, 59_999, 59_999) and len(got) == 50
+    assert all(n - 1 == lo == hi for n, lo, hi in got.values())
+
+
+def test_lattice_settings_follow_the_table():
+    scale, tables = lattice.settings(1000, 64, 0.95)
+    assert (scale, tables) == (lattice.SCALE, lattice.TABLES)
+    scale, tables = lattice.settings(10**9, 64, 0.95)
+    assert scale > 2 * lattice.SCALE and tables > lattice.TABLES
+
+
+def test_jaccard_rounds_over_near_copies(spark, monkeypatch):
+    """A large group of near copies: few rounds, and the result is brute force's."""
+    written = []
+    keep = jaccard.keep
+    monkeypatch.setattr(jaccard, "keep", lambda df, name, **o: written.append(name) or keep(df, name, **o))
+    words = [f"w{i}" for i in range(300)]
+    texts = near_copies(11, 300, 60, 9, words) + [" ".join(random.Random(i).choices(words, k=40)) for i in range(100)]
+    docs = list(enumerate(texts, 1))
+    got = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(docs)
+    assert written.count("jaccard-names") <= 4
+
+
+def test_components_by_one_task_and_by_stars(spark, monkeypatch):
+    from streetflow.llm import components as module
+
+    rng = random.Random(1)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (2000, 3000), (3000, 2000)]
+    comps = brute.Union({x for p in links for x in p})
+    for a, b in links:
+        comps.join(a, b)
+    want = {x: comps.find(x) for x in comps.up if comps.find(x) != x}
+    df = spark.createDataFrame(links, "a long, b long").repartition(4)
+    for most in (250_000, 0):
+        monkeypatch.setattr(module, "FEW_LINKS", most)
+        assert {r.v: r.m for r in module.components(df).collect()} == want
