@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.llm import bpe, jaccard, langid, packing, pii, toxicity
-from streetflow.llm.common import few, keep, table
+from streetflow.llm.common import few, fresh, keep, table
 from streetflow.llm.queries import pii_key
 from streetflow.session import ensure_utc
 
@@ -38,15 +38,26 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of documents linked by shingle similarity, the one of least id stays.
 
-    Documents without an id stay; of rows that repeat an id, one stays.
+    Documents without an id stay.  Where ids repeat, every row is a document of its own, and
+    of a component's rows of least id one stays.
     """
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1")
+    if not repeated.isEmpty():
+        return _near_duplicate_rows(docs)
     found = keep(jaccard.jaccard_components(docs), "pipeline-components")
     gone = keep(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-gone")
-    stay = docs.join(few(gone), "doc_id", "left_anti").select(docs.columns)
-    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1")
-    if repeated.isEmpty():
-        return stay
-    return stay.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(stay.filter("doc_id IS NULL"))
+    return docs.join(few(gone), "doc_id", "left_anti").select(docs.columns)
+
+
+def _near_duplicate_rows(docs: DataFrame) -> DataFrame:
+    row = fresh("row", docs.columns)
+    rows = keep(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    found = jaccard.jaccard_components(rows.filter("doc_id IS NOT NULL"), id_col=row)
+    found = keep(found.select(F.col("doc_id").alias(row), "component_id"), "pipeline-components")
+    order = F.min_by(row, F.struct("doc_id", row)).alias(row)
+    first = rows.join(found, row).groupBy("component_id").agg(order).select(row)
+    kept = rows.join(first, row, "left_semi").unionByName(rows.filter("doc_id IS NULL"))
+    return kept.select(docs.columns)
 
 
 def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
