@@ -14,6 +14,8 @@ import re
 from array import array
 from functools import lru_cache
 
+from streetflow.llm.common import held
+
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -24,8 +26,10 @@ SPACES = "\t-\r \x85\xa0"
 #: Control characters that Python's str.split() takes for white space and the files don't.
 NOT_SPACES = "\x1c\x1d\x1e\x1f"
 
-#: Entries of a worker's piece cache (about 200 bytes each); at the limit it starts anew.
-CACHE_ENTRIES = 400_000
+#: Bytes of each of a worker's two piece caches; at the limit it starts anew.
+CACHE_BYTES = 48 << 20
+#: What an entry takes beside its letters and ids.
+ENTRY_BYTES = 160
 
 
 def public_path(name: str) -> str:
@@ -34,7 +38,7 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def library(path: str):
     """The file's tokenizer with truncation and padding off; one per process."""
     import os
@@ -73,21 +77,24 @@ def byte_letters() -> list[str]:
 class _Pieces(dict):
     """piece -> ids as little-endian uint16 bytes, filled on a miss."""
 
-    def __init__(self, encode, entries: int):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.entries = encode, entries
+        self.encode, self.most, self.size = encode, most, 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.entries:
+        ids = self.encode(piece)
+        self.size += len(piece) + len(ids) + ENTRY_BYTES
+        if self.size > self.most:
             self.clear()
-        ids = self[piece] = self.encode(piece)
+            self.size = len(piece) + len(ids) + ENTRY_BYTES
+        self[piece] = ids
         return ids
 
 
 class Encoder:
     """``ids16(text)``: the library's ids as uint16 bytes; vocabularies under 65,536 ids."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.path = path
         self.tok = library(path)
         if self.tok.get_vocab_size() > 65_536:
@@ -95,8 +102,8 @@ class Encoder:
         self.marks = tuple(specials(path))
         self.model = self.tok.model
         self.spelling = byte_letters()
-        self.words = _Pieces(self._word, entries)
-        self.pieces = _Pieces(self._split, entries)
+        self.words = _Pieces(self._word, cache_bytes)
+        self.pieces = _Pieces(self._split, cache_bytes)
 
     def _library(self, text: str) -> bytes:
         return array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -169,17 +176,19 @@ class ByteEncoder(Encoder):
         return b"".join(map(self.words.__getitem__, self._words.findall(piece)))
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, entries: int = CACHE_ENTRIES) -> Encoder:
-    """One encoder per process and file: its caches last over the tasks of a worker.
+def encoder(path: str) -> Encoder:
+    """One encoder per process and file: its caches last over the tasks of a worker's stage."""
+    return held("bpe", path, lambda: new_encoder(path))
+
 
-    The split is chosen by the file's own pre-tokenizer; another layout is refused.
+def new_encoder(path: str) -> Encoder:
+    """The split is chosen by the file's own pre-tokenizer; another layout is refused.
     """
     import json
 
     pre = json.loads(library(path).to_str())["pre_tokenizer"]
     if pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
-        return ByteEncoder(path, entries)
+        return ByteEncoder(path)
     if pre["type"] == "Sequence" and [p["type"] for p in pre["pretokenizers"]] == ["Split", "ByteLevel"]:
-        return WordEncoder(path, entries)
+        return WordEncoder(path)
     raise ValueError(f"{path}: unknown pre-tokenizer")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -99,6 +102,43 @@ def string_bytes(arr: pa.Array):
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
+#: What this worker process keeps between tasks: the stage it serves, and that stage's objects by key.
+_HELD: tuple[str, dict] = ("", {})
+
+
+def held(stage: str, key, make: Callable):
+    """An object that a worker keeps over the tasks of one stage (a tokenizer with its caches,
+    a model unpacked for use).
+
+    Workers are used again by later stages: when a task of another stage asks, everything kept
+    for the former one is dropped and the freed memory goes back to the system.  ``key`` tells
+    apart what one stage may hold at once; a key made by ``fresh_key`` belongs to one broadcast."""
+    global _HELD
+    if _HELD[0] != stage:
+        _HELD = (stage, {})
+        release()
+    if key not in _HELD[1]:
+        if len(_HELD[1]) >= 4:
+            _HELD[1].clear()
+        _HELD[1][key] = make()
+        release()
+    return _HELD[1][key]
+
+
+def fresh_key() -> str:
+    """A key for what is made of one broadcast value, drawn on the driver."""
+    return uuid.uuid4().hex
+
+
+def release() -> None:
+    """Give memory that is free inside the process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 

@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from streetflow.llm.common import column, crc32_mod, fresh
+from streetflow.llm.common import column, crc32_mod, fresh, fresh_key, held, slices
 
 UNDETERMINED = "und"
 #: Bounds of the training sample for each language: documents, and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 128, 1024
 LEVEL = 9
-#: Bytes of text compressed at once.
-PIECE = 1024
+#: Bytes of text compressed at once, and that a task turns into Python objects at once.
+PIECE, SLICE_BYTES = 1024, 4 << 20
 #: Limits of accepted texts as parts of their size; of training rows, 96 to 99 in 100 stay.
 MIN_MARGIN, MAX_MIXED = 0.06, 0.05
 
@@ -114,9 +114,6 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text[:64])) or any(map(str.isalpha, text[64:]))
 
 
-_SIZES: dict[int, Sizes] = {}
-
-
 def identify(
     docs: DataFrame, dicts: dict[str, tuple[bytes, float]], text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "accepted")
 ) -> DataFrame:
@@ -128,12 +125,11 @@ def identify(
         fields.append(StructField(fresh(name, taken), kind))
         taken.append(fields[-1].name)
 
+    key = fresh_key()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _SIZES:
-            _SIZES.clear()
-            _SIZES[id(shared.value)] = Sizes(shared.value)
-        sizes = _SIZES[id(shared.value)]
-        for batch in batches:
+        sizes = held("langid", key, lambda: Sizes(shared.value))
+        for batch in (part for whole in batches for part in slices(whole, text_col, SLICE_BYTES)):
             found = [sizes.classify(t) for t in batch.column(at).to_pylist()]
             more = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *(f.name for f in fields)])

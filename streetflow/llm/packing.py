@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetflow.llm.bpe import encoder
-from streetflow.llm.common import id_and_text, keep
+from streetflow.llm.common import id_and_text, keep, slices
 
+#: Bytes of texts or ids that a task turns into Python objects at once.
+SLICE_BYTES = 4 << 20
 ENCODED = "part int, local long, doc_id long, n long, ids binary"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -36,14 +38,15 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [enc.ids16(t) + end for t in batch.column(1).to_pylist()]
-            n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
-            local = before + np.cumsum(n) - n
-            before += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), part, np.int32)), pa.array(local), batch.column(0), pa.array(n), pa.array(ids, pa.binary())],
-                names=["part", "local", "doc_id", "n", "ids"],
-            )
+            for rows in slices(batch, "text", SLICE_BYTES):
+                ids = [enc.ids16(t) + end for t in rows.column(1).to_pylist()]
+                n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
+                local = before + np.cumsum(n) - n
+                before += int(n.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), part, np.int32)), pa.array(local), rows.column(0), pa.array(n), pa.array(ids, pa.binary())],
+                    names=["part", "local", "doc_id", "n", "ids"],
+                )
 
     return docs.mapInArrow(run, ENCODED)
 
@@ -66,7 +69,7 @@ def cut(placed: DataFrame, size: int) -> DataFrame:
     """Pieces of documents with a global offset (``at``), cut at multiples of ``size``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "ids", SLICE_BYTES)):
             out: list[list] = [[], [], [], [], [], [], []]
             for doc, at, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 ids = np.frombuffer(raw, "<u2").astype("<u4")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from streetflow.llm.common import fresh
+from streetflow.llm.common import fresh, held, slices
 
 ROUNDS = 8
 
@@ -292,6 +292,8 @@ class Pseudonyms:
 
 
 ORDER = list(PATTERNS)
+#: Bytes of text that a task turns into Python objects at once.
+SLICE_BYTES = 4 << 20
 KINDS = ["email", "card", "iban", "nanp", "phone", "ip", "ssn", "date", "akey", "value"]
 
 
@@ -307,8 +309,8 @@ def pseudonymize(
         taken.append(fields[-1].name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Pseudonyms(key)
-        for batch in batches:
+        names = held("pii", key, lambda: Pseudonyms(key))
+        for batch in (part for whole in batches for part in slices(whole, text_col, SLICE_BYTES)):
             texts, n, kinds = [], [], []
             for text in batch.column(at).to_pylist():
                 new, spans = names.text(text) if text else (text, [])

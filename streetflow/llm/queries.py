@@ -6,6 +6,7 @@ operator's own output.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from streetflow.llm import bpe, bpe_trie, jaccard, langid, lattice, lexical, mer
 from streetflow.llm.common import crc32_mod, table
 from streetflow.session import ensure_utc, work_dir
 
+log = logging.getLogger(__name__)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,8 +26,14 @@ TOKEN_LIMIT = 2048
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    """The key of the pseudonyms: a secret of the deployment; the default serves tests only."""
-    return spark.conf.get("spark.streetflow.pii.key", "a key for tests").encode()
+    """The key of the pseudonyms, a secret of the deployment; ``spark.streetflow.pii.key`` must
+    be set for data of one's own.  Unset, a public key serves the synthetic tables of tests,
+    with a warning, as its pseudonyms can be undone by anyone."""
+    key = spark.conf.get("spark.streetflow.pii.key", None)
+    if key is None:
+        log.warning("spark.streetflow.pii.key is not set: pseudonyms use a public key and hide nothing")
+        key = "a key for tests"
+    return key.encode()
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

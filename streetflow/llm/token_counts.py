@@ -20,13 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streetflow.llm.bpe import encoder
-from streetflow.llm.common import id_and_text
+from streetflow.llm.bpe import CACHE_BYTES, ENTRY_BYTES, encoder
+from streetflow.llm.common import fresh_key, held, id_and_text, slices
 
 #: Pre-tokens in the broadcast table: about 100 bytes each in a worker.
 TABLE_SIZE = 100_000
 #: Pre-tokens a task counts at once, and pre-tokens a task passes on.
 TASK_ENTRIES, TASK_SENDS = 300_000, 60_000
+#: Longest pre-token of the table, so it has at most TABLE_SIZE * TABLE_PIECE letters; longer ones are misses.
+TABLE_PIECE = 64
+#: Bytes of text that a task turns into Python objects at once.
+SLICE_BYTES = 4 << 20
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
@@ -36,9 +40,9 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, table_size: int = TABLE_SI
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seen = encoder(tokenizer), Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(enc.cut(text) or ())
+        for part in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+            for text in part.column(0).to_pylist():
+                seen.update(p for p in enc.cut(text) or () if len(p) <= TABLE_PIECE)
             if len(seen) > TASK_ENTRIES:  # lossy counting: what is rare here goes
                 seen = Counter(dict(seen.most_common(TASK_ENTRIES // 2)))
         top = seen.most_common(TASK_SENDS)
@@ -58,29 +62,19 @@ class _Lengths(dict):
 
     def __init__(self, frequent: dict[str, int], enc):
         super().__init__(frequent)
-        self.enc, self.misses = enc, {}
+        self.enc, self.misses, self.size = enc, {}, 0
 
     def __missing__(self, piece: str) -> int:
         n = self.misses.get(piece)
         if n is None:
-            if len(self.misses) >= self.enc.pieces.entries:
+            self.size += len(piece) + ENTRY_BYTES
+            if self.size > CACHE_BYTES:
                 self.misses.clear()
+                self.size = 0
             n = self.misses[piece] = len(self.enc._split(piece)) // 2
         return n
 
 
-_TIERS: dict[tuple[str, int], _Lengths] = {}
-
-
-def _tiers(tokenizer: str, shared) -> _Lengths:
-    """One lookup per worker and broadcast table; its cache lasts over the worker's tasks."""
-    key = (tokenizer, id(shared.value))
-    if key not in _TIERS:
-        _TIERS.clear()
-        _TIERS[key] = _Lengths(shared.value, encoder(tokenizer))
-    return _TIERS[key]
-
-
 def token_counts(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", table_size: int = TABLE_SIZE
 ) -> DataFrame:
@@ -88,9 +82,12 @@ def token_counts(
     docs = id_and_text(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, table_size))
 
+    key = fresh_key()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, look = encoder(tokenizer), _tiers(tokenizer, shared)
-        for batch in batches:
+        enc = encoder(tokenizer)
+        look = held("bpe", key, lambda: _Lengths(shared.value, enc))
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
             n_bytes, n_tokens = [], []
             for text in batch.column(1).to_pylist():
                 n_bytes.append(len(text) if text.isascii() else len(text.encode()))

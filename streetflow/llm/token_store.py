@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetflow.llm.bpe import encoder
-from streetflow.llm.common import id_and_text
+from streetflow.llm.common import id_and_text, slices
 
 BLOCK, SEGMENT = 2048, 1 << 22
 MAGIC = b"TIDS\x01"
 
+#: Bytes of text that a task turns into Python objects at once.
+SLICE_BYTES = 4 << 20
 SEGMENTS = "part int, segment int, before long, n_ids long, doc_ids array<long>, doc_tokens array<long>, data binary"
 DECODED = "doc_id long, start long, n_tokens long, ids binary"
 
@@ -238,7 +240,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         held, texts, size, number, before = [], [], 0, 0, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = enc.ids16(text) + end
                 if texts and size + len(ids) // 2 > SEGMENT:

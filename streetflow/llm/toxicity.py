@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from streetflow.llm.common import column, crc32_mod, fresh, slices, string_bytes
+from streetflow.llm.common import column, crc32_mod, fresh, fresh_key, held, slices, string_bytes
 from streetflow.llm.shingles import U, mix, series, word_hashes
 
 BITS = 20
@@ -122,7 +122,10 @@ def train(
     return weights["at"].to_numpy(np.int64), weights["w"].to_numpy(np.float64)
 
 
-_DENSE: dict[int, np.ndarray] = {}
+def _dense(model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    dense = np.zeros((1 << BITS) + 1)
+    dense[model[0]] = model[1]
+    return dense
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text", name: str = "score") -> DataFrame:
@@ -131,13 +134,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
     at = docs.columns.index(text_col)
     field = StructField(fresh(name, docs.columns), DoubleType())
 
+    key = fresh_key()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _DENSE:
-            _DENSE.clear()
-            dense = np.zeros((1 << BITS) + 1)
-            dense[shared.value[0]] = shared.value[1]
-            _DENSE[id(shared.value)] = dense
-        dense = _DENSE[id(shared.value)]
+        dense = held("toxicity", key, lambda: _dense(shared.value))
         for batch in batches:
             for part in slices(batch, text_col, SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_scores(part.column(at), dense))], names=[*part.schema.names, field.name])

@@ -46,7 +46,17 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd, none):
         assert stage(spark, none, SMALL).count() == 0
     assert cp.packed(spark, none, SMALL).count() == 0
     stay = cp.near_duplicates(spark, odd, SMALL).collect()
-    assert sorted(r.doc_id for r in stay if r.doc_id is not None) == [0, 1, 2, 3, 4, 6, 9, 10, 11, 12, 13, 14, 15, 16, 18]
+    # rows that repeat an id are documents of their own: both wordless rows of 2 stay, and of 3 one "word" and the other text
+    assert sorted(r.doc_id for r in stay if r.doc_id is not None) == [0, 1, 2, 2, 3, 3, 4, 6, 9, 10, 11, 12, 13, 14, 15, 16, 18]
+    assert sorted(r.text for r in stay if r.doc_id == 3) == ["another text under the same id here", "word"]
     assert sum(r.doc_id is None for r in stay) == 2
     changed = {r.doc_id: r for r in cp.private_values(spark, odd, SMALL).collect()}
     assert changed[15].text != "" and changed[15].n_chars == len(changed[15].text) and changed[0].n_chars == 0
+
+
+def test_a_repeated_id_loses_only_texts_with_a_kept_copy(spark):
+    words = [f"word{i}" for i in range(60)]
+    one, two, three = " ".join(words[:30]), " ".join(words[30:]), " ".join(words[::2])
+    docs = spark.createDataFrame([(1, one), (7, one + " more"), (7, two), (7, two), (9, three), (None, one)], "doc_id long, text string")
+    got = sorted([(r.doc_id or 0, r.text) for r in cp.near_duplicates(spark, docs, SMALL).collect()])
+    assert got == sorted([(1, one), (7, two), (9, three), (0, one)])

@@ -259,3 +259,62 @@ def test_pii_query_and_odd_rows(spark, odd, none):
     assert [r.kinds for r in out if r.doc_id == 15] == ["email:1,nanp:1"]
     assert all(r.text is None for r in out if r.doc_id == 0)
     assert pii.pseudonymize(none, b"k").count() == 0
+
+
+def test_languages_are_those_of_a_plain_compressor_loop(spark):
+    """Every language's dictionary and every document, compressed one by one."""
+    import collections
+    import math
+
+    import zstandard
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    dicts = langid.dictionaries(docs)
+    made = {lang: zstandard.ZstdCompressionDict(learned, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for lang, (learned, _) in dicts.items()}
+    learned = collections.Counter(r.lang for r in docs.filter("lang IS NOT NULL AND crc32(CAST(doc_id AS STRING)) % 4 <> 2 AND length(text) > 0").collect())
+    got = {r.doc_id: r for r in langid.identify(docs.select("doc_id", "text"), dicts).collect()}
+    for doc, text in rows(SMALL, "SELECT doc_id, text FROM documents"):
+        if not any(c.isalpha() for c in text or ""):
+            assert got[doc].lang_pred == "und"
+            continue
+        letters = re.sub(rb"[\x00-@\[-`{-\x7f]+", b" ", text.lower().encode()).strip()
+        sizes = {}
+        for lang, d in made.items():
+            coder = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False)
+            bits = 8 * sum(len(coder.compress(letters[i : i + langid.PIECE])) for i in range(0, len(letters), langid.PIECE))
+            sizes[lang] = bits - math.log2(learned[lang] / learned.total())
+        assert got[doc].lang_pred == min(sorted(sizes), key=sizes.get)
+
+
+def test_weights_are_those_of_plain_ftrl():
+    """One coordinate at a time, in plain Python, over the same rows in the same order."""
+    import math
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 12))) for _ in range(120)]
+    labels = [int("w1" in t.split() or rng.random() < 0.1) for t in texts]
+    order = sorted(range(len(texts)), key=lambda i: ((i * 37) % 101 / 101, texts[i]))
+    table = pa.table({"u": [(i * 37) % 101 / 101 for i in range(len(texts))], "text": texts, "label": pa.array(labels, pa.int32())})
+    learned = toxicity._train(table)
+    z, n, bias = {}, {}, 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == bias else toxicity.L1
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    sets = [[*toxicity.feature_sets(pa.array([texts[i]]))[0].tolist(), bias] for i in order]
+    for epoch in range(toxicity.EPOCHS):
+        for k in np.random.default_rng(epoch).permutation(len(sets)):
+            w = {i: weight(i) for i in sets[k]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[order[k]]
+            for i in sets[k]:
+                before = math.sqrt(n.get(i, 0.0))
+                n[i] = n.get(i, 0.0) + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - before) / toxicity.ALPHA * w[i]
+    want = {i: weight(i) for i in z if weight(i)}
+    got = dict(zip(learned["at"].to_pylist(), learned["w"].to_pylist(), strict=True))
+    assert got.keys() == want.keys() and len(want) > 3
+    assert all(got[i] == pytest.approx(w, rel=1e-9) for i, w in want.items())
