@@ -23,17 +23,18 @@ from __future__ import annotations
 import gc
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from streetflow.llm.bpe import WordEncoder, library, specials
-from streetflow.llm.common import id_and_text, slices
+from streetflow.llm.common import held, id_and_text, slices
 
 CODED = "doc_id long, n_tokens long, ids binary, decoded string"
-#: Bytes of text whose distinct words are walked at once; words and pairs kept per worker.
-WALK_BYTES, WORDS, PAIRS = 8 << 20, 400_000, 500_000
+#: Bytes of text whose distinct words are walked at once; bytes of pieces and number of pairs kept per worker.
+WALK_BYTES, HELD_BYTES, PAIRS = 4 << 20, 96 << 20, 400_000
+#: What an entry of a dictionary takes beside its strings.
+ENTRY_BYTES = 300
 SHORT = [2, 1]
 
 
@@ -151,8 +152,10 @@ class Coder:
         self.words = WordEncoder(path, 1)
         self.trie = TrieCoder(path)
         self.special = specials(path)
-        #: piece of text -> (ids as uint32 bytes, token strings)
-        self.known: dict[str, tuple[bytes, str]] = {}
+        #: By whether the piece is a plain one or a word as the library spells it:
+        #: piece -> (ids as uint32 bytes, token strings)
+        self.known: dict[bool, dict[str, tuple[bytes, str]]] = {True: {}, False: {}}
+        self.held = 0
 
     def units(self, text: str) -> tuple[list[str], bool]:
         """The text's pieces; False if they are words as the library's own stages spell them."""
@@ -177,7 +180,8 @@ class Coder:
         walked = self.trie.encode({w for ws in words.values() for w in ws} - marks.keys()) | marks
         for p, ws in words.items():
             ids = b"".join(map(walked.__getitem__, ws)) if len(ws) != 1 else walked[ws[0]]
-            self.known[p if plain else "\0" + p] = (ids, self.trie.decode(ids))
+            found = self.known[plain][p] = (ids, self.trie.decode(ids))
+            self.held += len(p) + len(ids) + len(found[1]) + ENTRY_BYTES
 
     def code(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian uint32, decoded text) of each text.
@@ -192,23 +196,19 @@ class Coder:
 
     def _code(self, texts: list[str]) -> list[tuple[bytes, str]]:
         cuts = [self.units(t) for t in texts]
-        used: set[str] = set()
-        for plain in (True, False):
-            keys = {p if plain else "\0" + p for cut, how in cuts if how is plain for p in cut}
-            self.learn({k if plain else k[1:] for k in keys if k not in self.known}, plain)
-            used |= keys
+        for plain, known in self.known.items():
+            self.learn({p for cut, how in cuts if how is plain for p in cut if p not in known}, plain)
         out = []
         for cut, plain in cuts:
-            found = list(map(self.known.__getitem__, cut if plain else ["\0" + p for p in cut]))
+            found = list(map(self.known[plain].__getitem__, cut))
             out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found])))
-        if len(self.known) > WORDS:  # keep what these texts used, mostly frequent pieces
-            self.known = {k: self.known[k] for k in used}
+        if self.held > HELD_BYTES:  # start anew: frequent pieces come back with the next texts
+            self.known, self.held = {True: {}, False: {}}, 0
         return out
 
 
-@lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
-    return Coder(path)
+    return held("bpe_trie", path, lambda: Coder(path))
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

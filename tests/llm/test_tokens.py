@@ -41,10 +41,36 @@ def test_every_latin1_character_is_split_as_the_library_does():
 
 
 def test_a_full_cache_starts_anew():
-    enc = bpe.WordEncoder(WORD, 3)
+    enc = bpe.WordEncoder(WORD, 3 * (bpe.ENTRY_BYTES + 20))
     text = "a few more words than the cache can hold at once"
     assert np.frombuffer(enc.ids16(text), "<u2").tolist() == library_ids(WORD, text)
-    assert len(enc.pieces) <= 3
+    assert 0 < len(enc.pieces) <= 4
+
+
+def test_pieces_of_both_spellings_that_look_alike(monkeypatch):
+    """A plain piece may begin with any character, NUL included, and equal a word of the library's spelling."""
+    for texts in (["\0abc hello", "日本 abc"], ["日本 abc", "\0abc hello"], ["abc \0", "é abc \0 日", "\0\0abc", "日\0abc"]):
+        coder = bpe_trie.Coder(WORD)
+        for most in (bpe_trie.HELD_BYTES, 0):
+            monkeypatch.setattr(bpe_trie, "HELD_BYTES", most)
+            for text, (ids, _) in zip(texts, coder.code(texts), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == library_ids(WORD, text)
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab \0é日本'1\n") for _ in range(rng.randrange(12))) for _ in range(4000)]
+    for text, (ids, _) in zip(texts, bpe_trie.Coder(WORD).code(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library_ids(WORD, text)
+
+
+def test_a_stage_drops_what_another_kept():
+    from streetflow.llm.common import fresh_key, held
+
+    made = []
+    make = lambda: made.append(1) or object()
+    first = held("one", "a", make)
+    assert held("one", "a", make) is first and held("one", "b", make) is not first
+    held("two", "a", make)
+    assert held("one", "a", make) is not first and len(made) == 4
+    assert fresh_key() != fresh_key()
 
 
 @settings(max_examples=300, deadline=None)
