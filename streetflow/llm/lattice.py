@@ -10,9 +10,15 @@ only the number of links and the local component of each vector, never pairs.  A
 of more than ``BLOCK`` vectors is dealt into blocks, and each pair of blocks is one
 group, so no task holds a whole hot cell.
 
-With these settings a pair of cosine 0.95 in 64 dimensions meets in one table with
-probability 0.86, in one of four with more than 0.99; closer pairs more often.  For
-many more vectors raise ``SCALE`` (smaller cells) and ``TABLES`` together.
+Equal vectors are one representative with the number of its rows; representatives are
+filed and linked, and their numbers count the links, so a vector repeated in a third of
+all rows costs one entry a cell.
+
+``SCALE`` holds for up to ``SCALE_ROWS`` representatives; beyond, the scale grows with the
+eighth root of their number, so that cells don't fill up with the table.  How likely a
+pair at the threshold meets in one table is measured on ``TRIALS`` drawn pairs (at SCALE, 64
+dimensions and cosine 0.95: 0.86), and there are as many tables as make a miss in all of
+them rarer than ``MISSED``, ``TABLES`` at least.
 
 Defined cases: vectors that are null, empty or zero, or hold a null or a non-finite
 component, link with nothing, as do those of different dimensions; rows that repeat an
@@ -22,6 +28,7 @@ component, and is kept; an empty table gives no rows; other columns are not read
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations, product
@@ -36,11 +43,13 @@ from streetflow.llm.components import components
 from streetflow.llm.shingles import U, mix, series
 
 TABLES, PROBES, SCALE = 4, 2, 5.0
+SCALE_ROWS, TRIALS, MISSED = 100_000, 2048, 0.005
 BLOCK = 2048
 #: Rows that a group of small cells should get.
 GROUP_ROWS, LEAST_GROUPS = 10_000, 256
 
-FILED = "vec_id long, vector binary, cells array<long>"
+UNITS = "vec_id long, vector binary"
+FILED = "vec_id long, vector binary, n long, cells array<long>"
 FOUND = "vec_id long, links long, root long"
 
 
@@ -78,19 +87,19 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 def _projection(table: int, dims: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng([table, dims])
     basis = np.linalg.qr(rng.normal(size=(dims, dims)))[0][:, :8]
-    return basis * SCALE * np.sqrt(dims / 64.0), rng.uniform(0, 1, 8)
+    return basis * np.sqrt(dims / 64.0), rng.uniform(0, 1, 8)
 
 
-def cells(unit: np.ndarray) -> np.ndarray:
-    """Cell numbers of unit vectors: one row each, ``TABLES * (1 + PROBES)`` columns."""
+def cells(unit: np.ndarray, scale: float, tables: int) -> np.ndarray:
+    """Cell numbers of unit vectors: one row each, ``tables * (1 + PROBES)`` columns."""
     n, dims = unit.shape
     if dims < 8:
         unit, dims = np.pad(unit, ((0, 0), (0, 8 - dims))), 8
     place = series(71, 8)
     out = []
-    for t in range(TABLES):
+    for t in range(tables):
         basis, offset = _projection(t, dims)
-        x = unit @ basis + offset
+        x = unit @ (basis * scale) + offset
         own = nearest_e8(x)
         nearness = (x - own) @ minimal_vectors().T
         order = np.argsort(-nearness, axis=1, kind="stable")[:, :PROBES]
@@ -102,8 +111,20 @@ def cells(unit: np.ndarray) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def file_vectors(rows: DataFrame) -> DataFrame:
-    """``(vec_id, vector, cells)`` of the usable vectors of ``rows`` (vec_id, embedding)."""
+def settings(rows: int, dims: int, least: float) -> tuple[float, int]:
+    """(scale, number of tables) for so many representatives."""
+    scale = SCALE * max(1.0, rows / SCALE_ROWS) ** 0.125
+    rng = np.random.default_rng(dims)
+    a = _unit(rng.normal(size=(TRIALS, max(dims, 2))))
+    off = rng.normal(size=a.shape)
+    off = _unit(off - (off * a).sum(1, keepdims=True) * a)
+    one, two = cells(a, scale, 1), cells(least * a + np.sqrt(max(0.0, 1 - least * least)) * off, scale, 1)
+    met = (one[:, :, None] == two[:, None, :]).any((1, 2)).mean()
+    return scale, max(TABLES, math.ceil(math.log(MISSED) / math.log(max(1e-9, 1 - met))))
+
+
+def unit_vectors(rows: DataFrame) -> DataFrame:
+    """``(vec_id, vector)``: the usable vectors of ``rows`` (vec_id, embedding) at length 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,12 +141,39 @@ def file_vectors(rows: DataFrame) -> DataFrame:
                     held[1].append(x)
             for at, vectors in by_size.values():
                 unit = _unit(np.array(vectors))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at], pa.int64()), pa.array([v.tobytes() for v in unit], pa.binary()), pa.array(list(cells(unit)), pa.list_(pa.int64()))],
-                    names=["vec_id", "vector", "cells"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array([v.tobytes() for v in unit], pa.binary())], names=["vec_id", "vector"])
+
+    return rows.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").mapInArrow(run, UNITS)
 
-    return rows.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").mapInArrow(run, FILED)
+
+def representatives(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``(vec_id, vector, n)``: one row for equal vectors, with the least id and the number of
+    rows; ``(vec_id, member)``: the rows behind each).  Rows whose id repeats stand for
+    themselves, as rows of one id don't link with each other."""
+    repeated = units.groupBy("vec_id").agg(F.count("*").alias("times")).filter("times > 1").select("vec_id", F.lit(True).alias("alone"))
+    marked = units.join(repeated, "vec_id", "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
+    marked = keep(marked.withColumn("same", F.sha2("vector", 256)), "lattice-units")
+    one = marked.filter("NOT alone").groupBy("same").agg(F.min("vec_id").alias("vec_id"), F.first("vector").alias("vector"), F.count("*").alias("n"))
+    one = keep(one, "lattice-representatives")
+    lone = marked.filter("alone").select("vec_id", "vector", F.lit(1).cast("long").alias("n"))
+    members = marked.filter("NOT alone").select(F.col("vec_id").alias("member"), "same").join(one.select("same", "vec_id"), "same")
+    return one.select("vec_id", "vector", "n").union(lone), members.select("vec_id", "member")
+
+
+def file_vectors(units: DataFrame, scale: float, tables: int) -> DataFrame:
+    """``(vec_id, vector, n, cells)``: the cells of each representative."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(1).to_pylist()
+            sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                unit = np.frombuffer(b"".join([raw[i] for i in at])).reshape(len(at), -1)
+                part = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(cells(unit, scale, tables)), pa.list_(pa.int64()))], names=["vec_id", "vector", "n", "cells"])
+
+    return units.mapInArrow(run, FILED)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -167,7 +215,7 @@ def link_cells(least: float):
         cell, i, j, block = (table.column(c).to_numpy() for c in ("cell", "i", "j", "block"))
         ids = table.column("vec_id").to_numpy()
         raw = table.column("vector").to_pylist()
-        filed = np.array(table.column("cells").to_pylist(), np.int64)
+        filed, times = np.array(table.column("cells").to_pylist(), np.int64), table.column("n").to_numpy()
         order = np.lexsort((ids, j, i, cell))
         new = np.flatnonzero(np.append(True, (cell[order][1:] != cell[order][:-1]) | (i[order][1:] != i[order][:-1]) | (j[order][1:] != j[order][:-1])))
         out_id, out_n, out_root = [], [], []
@@ -181,7 +229,9 @@ def link_cells(least: float):
             right = left if one else np.flatnonzero(block[rows] == j[rows[0]])
             a, b, counts = _compare(mine, unit, filed[rows], cell[rows[0]], left, right, one, least)
             if len(a):
-                n = np.bincount(a[counts], minlength=len(rows)) + np.bincount(b[counts], minlength=len(rows))
+                n, mult = np.zeros(len(rows), np.int64), times[rows]
+                np.add.at(n, a[counts], mult[b[counts]])
+                np.add.at(n, b[counts], mult[a[counts]])
                 met = np.unique(np.concatenate([a, b]))
                 out_id.append(mine[met])
                 out_n.append(n[met])
@@ -195,27 +245,34 @@ def link_cells(least: float):
 def near_duplicates(rows: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row of ``rows``."""
     rows = rows.select(column(id_col).cast("long").alias("vec_id"), column(vector_col).alias("embedding"))
-    filed = keep(file_vectors(rows), "lattice-filed")
-    in_cells = filed.select("vec_id", "vector", "cells", F.explode("cells").alias("cell"))
-    sizes = in_cells.groupBy("cell").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > BLOCK).select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    units, members = representatives(unit_vectors(rows))
+    size = units.agg(F.count("*").alias("rows"), F.max(F.octet_length("vector")).alias("bytes")).first()
+    scale, tables = settings(size.rows, (size.bytes or 64) // 8, least)
+    filed = keep(file_vectors(units, scale, tables), "lattice-filed")
+    in_cells = filed.select("vec_id", "vector", "n", "cells", F.explode("cells").alias("cell"))
+    sizes = in_cells.groupBy("cell").agg(F.count("*").alias("size"))
+    large = sizes.filter(F.col("size") > BLOCK).select("cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     dealt = in_cells.join(large, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
     met = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     met = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    groups = max(LEAST_GROUPS, filed.count() * TABLES * (1 + PROBES) // GROUP_ROWS)
+    groups = max(LEAST_GROUPS, size.rows * tables * (1 + PROBES) // GROUP_ROWS)
     group = F.when(F.col("blocks") > 1, F.xxhash64("cell", "i", "j")).otherwise(F.pmod("cell", F.lit(groups)))
-    found = keep(
-        met.select("vec_id", "vector", "cells", "cell", "i", "j", "block", group.alias("g")).groupBy("g").applyInArrow(link_cells(least), FOUND),
-        "lattice-found",
-    )
+    met = met.select("vec_id", "vector", "n", "cells", "cell", "i", "j", "block", group.alias("g"))
+    found = keep(met.groupBy("g").applyInArrow(link_cells(least), FOUND), "lattice-found")
+
+    # from representatives to rows: equal rows link with each other and share all links
     links = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
-    joined = components(found.select("vec_id", "root"), "lattice").select(F.col("v").alias("vec_id"), F.col("m").alias("root"))
-    out = rows.select("vec_id").join(links, "vec_id", "left").join(joined, "vec_id", "left")
+    roots = components(found.select("vec_id", "root"), "lattice").select(F.col("v").alias("vec_id"), F.col("m").alias("root"))
+    classes = units.groupBy("vec_id").agg(F.max("n").alias("n")).join(links, "vec_id", "left").join(roots, "vec_id", "left")
+    classes = classes.select("vec_id", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "vec_id").alias("root"))
+    alone = units.join(members.select("vec_id").distinct(), "vec_id", "left_anti").select("vec_id", F.col("vec_id").alias("member")).distinct()
+    by_row = members.union(alone).join(classes, "vec_id").select(F.col("member").alias("vec_id"), "n_links", "root")
+    out = rows.select("vec_id").join(by_row, "vec_id", "left")
     component = F.coalesce("root", "vec_id")
     return out.select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
