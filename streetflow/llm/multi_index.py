@@ -120,8 +120,8 @@ class Index:
         filed = rows.select("vec_id", "embedding").mapInArrow(cells, "cell int, vec_id long, embedding array<double>")
         self.entries = keep(filed.repartitionByRange("cell", "vec_id").sortWithinPartitions("cell", "vec_id"), "multi-index")
         self.sizes = np.zeros(len(one) * width, np.int64)
-        for r in self.entries.groupBy("cell").count().collect():  # at most MOST_CENTROIDS ** 2 cells
-            self.sizes[r["cell"]] = r["count"]
+        filled = self.entries.groupBy("cell").count().toArrow()  # two numbers for each of at most MOST_CENTROIDS ** 2 cells
+        self.sizes[filled["cell"].to_numpy()] = filled["count"].to_numpy()
         self.depth = self._measured_depth()
 
     def _sums(self, x: np.ndarray) -> np.ndarray:
