@@ -32,7 +32,7 @@ from streetflow.llm.common import held, id_and_text, slices
 
 CODED = "doc_id long, n_tokens long, ids binary, decoded string"
 #: Bytes of text whose distinct words are walked at once; bytes of pieces and number of pairs kept per worker.
-WALK_BYTES, HELD_BYTES, PAIRS = 4 << 20, 96 << 20, 400_000
+WALK_BYTES, HELD_BYTES, PAIRS = 8 << 20, 160 << 20, 500_000
 #: What an entry of a dictionary takes beside its strings.
 ENTRY_BYTES = 300
 SHORT = [2, 1]
@@ -202,8 +202,10 @@ class Coder:
         for cut, plain in cuts:
             found = list(map(self.known[plain].__getitem__, cut))
             out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found])))
-        if self.held > HELD_BYTES:  # start anew: frequent pieces come back with the next texts
-            self.known, self.held = {True: {}, False: {}}, 0
+        if self.held > HELD_BYTES:  # keep what these texts used, mostly frequent pieces
+            used = {plain: {p for cut, how in cuts if how is plain for p in cut} for plain in self.known}
+            self.known = {plain: {p: known[p] for p in used[plain]} for plain, known in self.known.items()}
+            self.held = sum(len(p) + len(ids) + len(t) + ENTRY_BYTES for known in self.known.values() for p, (ids, t) in known.items())
         return out
 
 
