@@ -4,14 +4,17 @@ A text's paragraphs are its lines.  A paragraph's digest is the SHA-256 of its t
 section is a run of paragraphs that ends after one whose digest ends in ``0`` (so a
 section's limits depend on its own text alone), its digest the SHA-256 of its
 paragraphs' digests; the root is the SHA-256 of the sections' digests.  Below each
-paragraph lie short digests of its pieces, of 6 characters each up to the 24th and of
-24 from there on.  The fingerprint reads
+paragraph lie leaves, short digests of its pieces, of 6 characters each up to the 24th
+and of 24 from there on.  The fingerprint is the tree, written as
 
-    root | piece digests of a paragraph (five hex digits each) , or ; after it ...
+    root | section ; section ; ...        a section:    digest = paragraph , paragraph ...
+                                          a paragraph:  digest : leaves
 
-with ``;`` where a section ends.  Equal roots mean equal texts.  Where roots differ,
-:func:`compare` tells how much of two fingerprints agrees and :func:`branches` which
-sections of one are missing in the other.
+with 16 hex digits of section and paragraph digests and five of a leaf.  Equal roots mean
+equal texts.  Where roots differ, :func:`branches` names the sections of one tree that the
+other lacks, :func:`paragraphs` the paragraphs below them, and :func:`compare` goes down
+both trees: what lies under a common section agrees as a whole, of the other sections
+what lies under a common paragraph, and of the other paragraphs the common leaves.
 
 Edits are made from the next document in ascending (id, hash of the text).  The order
 is found on ids alone, range-partitioned; texts are shuffled once by key, and only the
@@ -53,39 +56,110 @@ def tree(text: Column) -> Column:
     )
 
 
-def _close(digest: Column) -> Column:
-    return F.when(F.endswith(digest, F.lit("0")), ";").otherwise(",")
+def _short(digest: Column) -> Column:
+    return F.substring(digest, 1, 16)
 
 
-def root(paragraphs: Column) -> Column:
-    """The Merkle root of a :func:`tree` column."""
-    digests = F.array_join(F.transform(paragraphs, lambda p: F.concat(p["digest"], _close(p["digest"]))), "")
-    return _sha(F.array_join(F.transform(F.split(digests, ";", -1), _sha), ","))
+def _sections(paragraphs: Column) -> Column:
+    """Runs of paragraphs, each up to one whose digest ends in 0:
+    ``array<struct<digest, below>>`` of a section's digest and its written paragraphs."""
+
+    def closed(p: Column) -> Column:
+        mark = F.when(F.endswith(p["digest"], F.lit("0")), ";").otherwise(",")
+        return F.concat(p["digest"], F.lit(":"), F.array_join(p["pieces"], ""), mark)
+
+    runs = F.filter(F.split(F.array_join(F.transform(paragraphs, closed), ""), ";", -1), lambda r: r != "")
+    split = F.transform(runs, lambda r: F.filter(F.split(r, ",", -1), lambda p: p != ""))
+    return F.transform(
+        split,
+        lambda ps: F.struct(
+            _sha(F.array_join(F.transform(ps, lambda p: F.substring(p, 1, 64)), ",")).alias("digest"),
+            F.array_join(F.transform(ps, lambda p: F.concat(_short(p), F.substring(p, 65, 1 << 30))), ",").alias("below"),
+        ),
+    )
 
 
 def written(paragraphs: Column) -> Column:
     """The fingerprint string of a :func:`tree` column."""
-    below = F.transform(paragraphs, lambda p: F.concat(F.array_join(p["pieces"], ""), _close(p["digest"])))
-    return F.concat(root(paragraphs), F.lit("|"), F.array_join(below, ""))
+    sections = F.transform(F.array(_sections(paragraphs)), lambda s: F.struct(
+        _sha(F.array_join(F.transform(s, lambda x: x["digest"]), ",")).alias("root"),
+        F.array_join(F.transform(s, lambda x: F.concat(_short(x["digest"]), F.lit("="), x["below"])), ";").alias("below"),
+    ))
+    return F.concat(sections[0]["root"], F.lit("|"), sections[0]["below"])
+
+
+def root(fingerprint: Column) -> Column:
+    """The Merkle root in a fingerprint."""
+    return F.substring_index(fingerprint, "|", 1)
+
+
+def _written_sections(fingerprint: Column) -> Column:
+    return F.split(F.substring_index(fingerprint, "|", -1), ";", -1)
+
+
+def _below_sections(sections: Column) -> Column:
+    """The written paragraphs of written sections."""
+    return F.flatten(F.transform(sections, lambda s: F.split(F.substring(s, 18, 1 << 30), ",", -1)))
+
+
+def _digest(branch: Column) -> Column:
+    return F.substring(branch, 1, 16)
 
 
-def pieces(fingerprint: Column) -> Column:
-    """The distinct piece digests in a fingerprint."""
-    return F.array_distinct(F.regexp_extract_all(F.substring_index(fingerprint, "|", -1), F.lit("[0-9a-f]{5}"), F.lit(0)))
+def _leaves(paragraphs: Column) -> Column:
+    """The leaves of written paragraphs, five digits each, in one string."""
+    return F.array_join(F.transform(paragraphs, lambda p: F.substring(p, 18, 1 << 30)), "")
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def compare(a: Column, b: Column) -> Column:
-    """Likeness of two fingerprints from 0 to 1: 1 for equal roots, else the share of
-    distinct pieces in common, of the larger number of them."""
-    pa, pb = pieces(a), pieces(b)
-    share = F.size(F.array_intersect(pa, pb)) / F.greatest(F.size(pa), F.size(pb), F.lit(1))
-    return F.when(F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1), 1.0).otherwise(share.cast("double"))
+    """Likeness of two fingerprints from 0 to 1: 1 for equal roots, else the part of the leaves
+    on which the trees agree, of the tree that has more leaves (a repeated paragraph agrees once).
+
+    The leaves under common sections and paragraphs agree; those under the paragraphs that
+    one tree alone has agree as far as their distinct digests lie under such paragraphs of
+    the other."""
+
+    def lost(x: Column, y: Column) -> Column:
+        # branches of one digest are written alike, so sets of written branches do
+        return _leaves(F.array_except(_below_sections(F.array_except(x["s"], y["s"])), _below_sections(F.array_except(y["s"], x["s"]))))
+
+    def one(f: Column) -> Column:
+        sections = _written_sections(f)
+        below = _below_sections(sections)
+        return F.struct(sections.alias("s"), F.length(_leaves(F.array_distinct(below))).alias("n"), F.length(_leaves(below)).alias("all"))
+
+    def share(t: Column) -> Column:
+        mine, theirs = (F.array_distinct(F.regexp_extract_all(t[x], F.lit("[0-9a-f]{5}"), F.lit(0))) for x in ("la", "lb"))
+        return _bound(F.struct(mine.alias("a"), theirs.alias("b"), F.size(F.array_intersect(mine, theirs)).alias("both")), lambda d: agreed(t, d))
+
+    def agreed(t: Column, d: Column) -> Column:
+        of = [t[n] - F.length(t[lost_]) * (1 - F.coalesce(F.try_divide(d["both"], F.size(d[x])), F.lit(1.0))) for n, lost_, x in (("na", "la", "a"), ("nb", "lb", "b"))]
+        return F.least(*of) / F.greatest(t["all"], F.lit(1))
+
+    trees = F.struct(one(a).alias("a"), one(b).alias("b"))
+    lists = _bound(trees, lambda t: F.struct(lost(t["a"], t["b"]).alias("la"), lost(t["b"], t["a"]).alias("lb"), t["a"]["n"].alias("na"), t["b"]["n"].alias("nb"), F.greatest(t["a"]["all"], t["b"]["all"]).alias("all")))
+    return F.when(root(a) == root(b), 1.0).otherwise(_bound(lists, share).cast("double"))
+
+
+def _positions(mine: Column, other: Column) -> Column:
+    known = F.transform(other, _digest)
+    at = F.transform(mine, lambda x, i: F.when(~F.array_contains(known, _digest(x)), i))
+    return F.filter(at, lambda i: i.isNotNull())
 
 
 def branches(a: Column, b: Column) -> Column:
     """Positions (from 0) of the sections of ``a`` that ``b`` hasn't: where an edit lies."""
-    sa, sb = (F.split(F.substring_index(x, "|", -1), ";", -1) for x in (a, b))
-    return F.filter(F.transform(sa, lambda s, i: F.when(~F.array_contains(sb, s), i)), lambda i: i.isNotNull())
+    return _positions(_written_sections(a), _written_sections(b))
+
+
+def paragraphs(a: Column, b: Column) -> Column:
+    """Positions (from 0) of the paragraphs of ``a`` that ``b`` hasn't: the lines that were edited."""
+    return _positions(_below_sections(_written_sections(a)), _below_sections(_written_sections(b)))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
