@@ -87,6 +87,13 @@ def compare(spans: DataFrame, selection: Column, attributes: list[str]) -> DataF
     return shares.join(largest.withColumn("attr_rank", rank), "attribute")
 
 
+def _by_node(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a sort-merge join.  Tables of nodes are written with long runs of
+    ids, so their files are many times smaller than their rows: by file size Spark would
+    broadcast a table that fills the driver and every task."""
+    return df.hint("merge")
+
+
 def _largest_trace(spans: DataFrame) -> int:
     """Spans of the largest trace: more steps up than that mean a cycle of parents."""
     return spans.groupBy("trace_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
@@ -115,7 +122,7 @@ def nearest_ancestor(spans: DataFrame, hit: Column) -> DataFrame:
     parent = F.when(F.col("parent_id") >= 0, F.col("parent_id"))
     nodes = spans.select("trace_id", "span_id", parent.alias("up"), F.coalesce(hit, F.lit(False)).alias("hit"))
     above = nodes.select("trace_id", F.col("span_id").alias("up"), F.col("hit").alias("_hit"))
-    first = nodes.join(above, ["trace_id", "up"], "left")  # a parent that is missing is no pointer
+    first = nodes.join(_by_node(above), ["trace_id", "up"], "left")  # a parent that is missing is no pointer
     state = written(
         first.select(
             "trace_id",
@@ -130,7 +137,7 @@ def nearest_ancestor(spans: DataFrame, hit: Column) -> DataFrame:
         rounds += 1
         _still_going(spans, rounds)
         above = state.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("done").alias("_done"))
-        moved = state.where("NOT done").join(above, ["trace_id", "up"])
+        moved = state.where("NOT done").join(_by_node(above), ["trace_id", "up"])
         moved = moved.select("trace_id", "span_id", F.col("_up").alias("up"), F.col("_done").alias("done"))
         state = written(state.where("done").unionByName(moved), "nearest")
     return state.select("trace_id", "span_id", "up")
@@ -150,8 +157,8 @@ def structural_match(spans: DataFrame, ancestor: Column, descendant: Column) ->
     """
     traces = spans.groupBy("trace_id").agg(F.max(F.coalesce(ancestor, F.lit(False))).alias("a"), F.max(F.coalesce(descendant, F.lit(False))).alias("b"))
     nodes = spans.select("trace_id", "span_id", "parent_id", ancestor.alias("_a"), descendant.alias("_b"))
-    nodes = written(nodes.join(traces.where("a AND b").select("trace_id"), "trace_id", "left_semi"), "match-nodes")
-    nearest = nearest_ancestor(nodes, F.col("_a")).where("up IS NOT NULL")
+    nodes = written(nodes.join(_by_node(traces.where("a AND b").select("trace_id")), "trace_id", "left_semi"), "match-nodes")
+    nearest = _by_node(nearest_ancestor(nodes, F.col("_a")).where("up IS NOT NULL"))
     start = nodes.where("_b").select("trace_id", "span_id").join(nearest, ["trace_id", "span_id"])
     start = start.select("trace_id", "span_id", F.col("up").alias("ancestor_id"))
 
@@ -162,20 +169,20 @@ def structural_match(spans: DataFrame, ancestor: Column, descendant: Column) ->
         jumps.append(linked.select("trace_id", F.col("span_id").alias("ancestor_id"), F.col("up").alias("_next")))
         _still_going(spans, len(jumps))
         upper = state.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up"), F.col("above").alias("_above"))
-        state = state.join(upper, ["trace_id", "up"], "left")
+        state = state.join(_by_node(upper), ["trace_id", "up"], "left")
         state = state.select("trace_id", "span_id", F.col("_up").alias("up"), (F.col("above") + F.coalesce("_above", F.lit(0))).alias("above"))
         state = all_above = written(state, "jumps")
     if jumps:
         above = all_above.select("trace_id", F.col("span_id").alias("ancestor_id"), "above")
-        pairs = start.join(above, ["trace_id", "ancestor_id"])
+        pairs = start.join(_by_node(above), ["trace_id", "ancestor_id"])
         pairs = pairs.select("trace_id", "span_id", "ancestor_id", F.explode(F.expr("sequence(0L, above)")).alias("steps"))
         for digit, table in enumerate(jumps):
             jumping = pairs.withColumn("_jumps", F.expr(f"(steps >> {digit}) & 1 = 1"))
-            moved = jumping.where("_jumps").join(table, ["trace_id", "ancestor_id"])
+            moved = jumping.where("_jumps").join(_by_node(table), ["trace_id", "ancestor_id"])
             moved = moved.select("trace_id", "span_id", F.col("_next").alias("ancestor_id"), "steps")
             pairs = written(jumping.where("NOT _jumps").drop("_jumps").unionByName(moved), "matches")
         start = pairs.drop("steps")
-    return start.join(spans.where(descendant), ["trace_id", "span_id"])
+    return start.join(_by_node(spans.where(descendant)), ["trace_id", "span_id"])
 
 
 def name_paths(spans: DataFrame) -> DataFrame:

@@ -194,6 +194,25 @@ def test_a_chain_of_a_thousand_spans_takes_a_logarithm_of_rounds(spark, monkeypa
     assert op.structural_match(star, F.col("span_id") > 4, F.col("span_id") <= 4).count() == 0
 
 
+def _plans_of_tree_walk(spark, monkeypatch, walk):
+    """The plans of all tables that a walk over 20 traces writes, and of its result."""
+    from streetflow.operators import spans as op
+    from streetflow.plans.inspect import plan_text
+
+    plans, write = [], op.written
+    monkeypatch.setattr(op, "written", lambda df, name: plans.append(plan_text(df)) or write(df, name))
+    chains = write(spark.range(400).selectExpr("id DIV 20 AS trace_id", "id % 20 AS span_id", "id % 20 - 1 AS parent_id", "IF(id % 3 = 0, 'a', 'b') AS name"), "chains")
+    result = plan_text(walk(chains))
+    return [*plans, result]
+
+
+def test_ancestor_matches_are_not_broadcast_by_the_size_of_files(spark, monkeypatch):
+    from streetflow.operators.spans import structural_match
+
+    plans = _plans_of_tree_walk(spark, monkeypatch, lambda s: structural_match(s, F.col("name") == "a", F.col("name") == "b"))
+    assert len(plans) > 8 and not any("Broadcast" in p for p in plans)
+
+
 def test_kafka_rows_keep_arrival_order(spark):
     """Kafka-shaped frames: last write wins by broker time, then offset, then partition,
     however far apart partitions and offsets lie."""
