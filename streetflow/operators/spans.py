@@ -202,7 +202,7 @@ def name_paths(spans: DataFrame) -> DataFrame:
             F.col("depth").alias("_depth"),
         )
         found = F.col("_depth").isNotNull()
-        joined = paths.join(above, ["trace_id", "up"], "left")
+        joined = paths.join(_by_node(above), ["trace_id", "up"], "left")
         paths = written(
             joined.select(
                 "trace_id",
@@ -214,7 +214,7 @@ def name_paths(spans: DataFrame) -> DataFrame:
             "paths",
         )
         if paths.where("up IS NOT NULL").isEmpty():
-            return spans.join(paths.select("trace_id", "span_id", "path", "depth"), ["trace_id", "span_id"])
+            return spans.join(_by_node(paths.select("trace_id", "span_id", "path", "depth")), ["trace_id", "span_id"])
     raise ValueError("spans have a cycle of parents")
 
 

@@ -213,6 +213,13 @@ def test_ancestor_matches_are_not_broadcast_by_the_size_of_files(spark, monkeypa
     assert len(plans) > 8 and not any("Broadcast" in p for p in plans)
 
 
+def test_name_paths_are_not_broadcast_by_the_size_of_files(spark, monkeypatch):
+    from streetflow.operators.spans import path_rollup
+
+    plans = _plans_of_tree_walk(spark, monkeypatch, path_rollup)
+    assert len(plans) > 5 and not any("Broadcast" in p for p in plans)
+
+
 def test_kafka_rows_keep_arrival_order(spark):
     """Kafka-shaped frames: last write wins by broker time, then offset, then partition,
     however far apart partitions and offsets lie."""
