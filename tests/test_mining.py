@@ -82,6 +82,42 @@ def test_rare_branches_merge_into_the_wildcard(spark):
     assert flat["b y"] == "b y"
 
 
+def _templates_by_hand(lines, min_lines, share, depth):
+    """line -> template, over all lines at once."""
+    of_size = collections.defaultdict(list)
+    for line in lines:
+        of_size[len(line.split(" "))].append(line.split(" "))
+    found = {}
+    for rows in of_size.values():
+        support = max(min_lines, math.ceil(len(rows) * share))
+        seen = collections.Counter((i, t) for row in rows for i, t in enumerate(row))
+        rows = [(row, [t if seen[i, t] >= support else "<*>" for i, t in enumerate(row)]) for row in rows]
+        for at in range(depth):
+            taken = collections.Counter(tuple(t[: at + 1]) for _, t in rows)
+            rows = [(row, [*t[:at], "<*>", *t[at + 1 :]] if at < len(t) and taken[tuple(t[: at + 1])] < support else t) for row, t in rows]
+        found.update((" ".join(row), " ".join(t)) for row, t in rows)
+    return found
+
+
+@pytest.mark.parametrize("part_bytes,sorted_tokens", [(24 << 20, 1 << 20), (64, 8)])
+def test_templates_move_lines_whole_and_equal_brute_force(spark, monkeypatch, part_bytes, sorted_tokens):
+    from streetflow.operators import templates
+    from streetflow.plans.inspect import plan_text
+
+    monkeypatch.setattr(templates, "PART_BYTES", part_bytes)  # one part a length, or many
+    monkeypatch.setattr(templates, "SORTED_TOKENS", sorted_tokens)
+    plans, write = [], templates.written
+    monkeypatch.setattr(templates, "written", lambda df, name: plans.append(plan_text(df)) or write(df, name))
+    rng = random.Random(7)
+    lines = [" ".join(rng.choices(["a", "b", "é", "", "<*>"], [8, 4, 1, 1, 1], k=rng.choice([1, 2, 3, 5]))) for _ in range(600)]
+    lines += [f"{rng.choice('xyz')} only once {chr(97 + i)}" for i in range(20)] + ["", "", "seen once in a length of eight tokens"]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = templates.mine_templates(df, "line", min_lines=4, share=0.05, depth=2).collect()
+    assert len(found) == len(set(lines))
+    assert {r.pattern: r.template for r in found} == _templates_by_hand(lines, 4, 0.05, 2)
+    assert plans and not any("posexplode" in p for p in plans)  # a row for each token would carry the line as often
+
+
 def test_change_points_find_the_planted_shift(spark):
     from streetflow.operators.logs import change_points
 
