@@ -55,10 +55,13 @@ class Zero:
     def __init__(self, symbols: np.ndarray, sizes: np.ndarray):
         self.symbols, self.sizes = symbols, sizes
         top = int(symbols[-1]) + 1
-        self.size, self.first = np.zeros(top, U), np.zeros(top, U)
+        self.size, self.first = np.zeros(top, np.int32), np.zeros(top, np.int32)
         self.size[symbols] = sizes
         self.first[symbols] = np.cumsum(sizes) - sizes
-        self.at = np.repeat(symbols, sizes)
+
+    def at(self) -> np.ndarray:
+        """The id at each place of the scale."""
+        return np.repeat(self.symbols.astype(np.uint16), self.sizes)
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Zero:
@@ -78,44 +81,120 @@ class Zero:
 
 
 class Mixer:
-    """The models of many blocks: one row each, all taking a step at once."""
+    """The models of many blocks: one row each, all taking a step at once.
 
-    def __init__(self, lanes: int):
+    The arrays of a step are kept and written over: a step makes no new ones.
+    """
+
+    def __init__(self, lanes: int, zero: Zero):
+        self.zero = zero
         self.row1, self.row2, self.rows = (np.arange(lanes) * k for k in (SLOTS_1, SLOTS_2, STATES))
         self.one, self.two = np.zeros(lanes * SLOTS_1, np.int32), np.zeros(lanes * SLOTS_2, np.int32)
         self.share2, self.share1 = np.full(lanes * STATES, 1 << 12, np.int32), np.full(lanes * STATES, 1 << 12, np.int32)
-        self.last, self.ago = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.slot1, self.slot2, self.state, self.x, self.last, self.mix1, self.mix2 = np.zeros((7, lanes), np.int64)
+        self.e1, self.e2, self.id1, self.id2, self.s1, self.s2, self.f1, self.f2, self.f12, self.rest = np.zeros((10, lanes), np.int32)
+        self.first, self.size, self.part, self.new, self.up = np.zeros((5, lanes), np.int32)
+        self.mask = np.zeros(lanes, bool)
 
     def predict(self) -> None:
         """Order 2's and order 1's ids, and the parts of the mixing scale that they get."""
-        self.slot1 = self.row1 + ((self.last * 40503 >> 5) & (SLOTS_1 - 1))
-        self.slot2 = self.row2 + ((self.last * 40503 + self.ago * 30011 >> 5) & (SLOTS_2 - 1))
-        e1, e2 = self.one[self.slot1], self.two[self.slot2]
-        self.c1, self.c2, self.id1, self.id2 = e1 >> 16, e2 >> 16, e1 & 0xFFFF, e2 & 0xFFFF
-        self.state = self.rows + (self.c2 << 2) + self.c1
-        self.s2, self.s1 = self.share2[self.state], self.share1[self.state]
-        self.f2 = 1 + (self.s2 * 999 >> 16)
-        f1 = 1 + ((1015 - self.f2) * self.s1 >> 16)
-        self.f1 = np.where(self.id1 == self.id2, 1, f1)
-        self.rest = (1 << MIX_BITS) - self.f2 - self.f1
+        np.copyto(self.slot1, self.mix1)
+        np.add(self.mix1, self.mix2, out=self.slot2)
+        for table, slot, row, top, entry, known in (
+            (self.one, self.slot1, self.row1, SLOTS_1 - 1, self.e1, self.id1),
+            (self.two, self.slot2, self.row2, SLOTS_2 - 1, self.e2, self.id2),
+        ):
+            slot >>= 5
+            slot &= top
+            slot += row
+            table.take(slot, out=entry, mode="clip")
+            np.bitwise_and(entry, 0xFFFF, out=known)
+        np.right_shift(self.e2, 16, out=self.new)
+        self.new <<= 2
+        np.right_shift(self.e1, 16, out=self.up)
+        self.new += self.up
+        np.add(self.rows, self.new, out=self.state)
+        self.share2.take(self.state, out=self.s2, mode="clip")
+        self.share1.take(self.state, out=self.s1, mode="clip")
+        f1, f2 = self.f1, self.f2
+        np.multiply(self.s2, 999, out=f2)
+        f2 >>= 16
+        f2 += 1
+        np.subtract(1015, f2, out=f1)
+        f1 *= self.s1
+        f1 >>= 16
+        f1 += 1
+        np.putmask(f1, np.equal(self.id1, self.id2, out=self.mask), 1)
+        np.add(f2, f1, out=self.f12)
+        np.subtract(1 << MIX_BITS, self.f12, out=self.rest)
+
+    def interval(self, ids: np.ndarray, hit2: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids lie on the whole scale, and their sizes; ``hit``: order 2 or order 1 was right."""
+        np.copyto(self.x, ids)
+        first, size, part = self.first, self.size, self.part
+        self.zero.first.take(self.x, out=first, mode="clip")
+        self.zero.size.take(self.x, out=size, mode="clip")
+        first *= self.rest
+        size *= self.rest
+        np.left_shift(self.f12, ZERO_BITS, out=part)
+        first += part
+        np.left_shift(self.f1, ZERO_BITS, out=part)
+        np.putmask(size, hit, part)
+        np.left_shift(self.f2, ZERO_BITS, out=part)
+        np.putmask(first, hit, part)
+        np.putmask(size, hit2, part)
+        np.putmask(first, hit2, 0)
+        return first, size
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """Take the ids that came; ``hit1``: order 1 was right, whether order 2 was or not."""
-        self.share2[self.state] = self.s2 + ((hit2 * 65535 - self.s2) >> RATE)
-        self.share1[self.state] = np.where(hit2, self.s1, self.s1 + ((hit1 * 65535 - self.s1) >> RATE))
-        for table, slot, known, sure, hit in ((self.two, self.slot2, self.id2, self.c2, hit2), (self.one, self.slot1, self.id1, self.c1, hit1)):
-            sure = np.minimum(sure + (hit << 1) - 1, 3)  # one up or down
-            table[slot] = np.where(sure > 0, known + (sure << 16), ids + 65536)
-        self.ago, self.last = self.last, ids.astype(np.int64)
+        """Take the ids that ``interval`` had; ``hit1``: order 1 was right, whether order 2 was or not."""
+        new, up, mask = self.new, self.up, self.mask
+        for shares, share, hit in ((self.share2, self.s2, hit2), (self.share1, self.s1, hit1)):
+            np.copyto(new, hit)
+            new *= 65535
+            new -= share
+            new >>= RATE
+            new += share
+            if hit is hit1:  # order 1 isn't asked where order 2 was right
+                np.putmask(new, hit2, share)
+            shares[self.state] = new
+        fresh = np.add(ids, 1 << 16, out=self.part)
+        for table, slot, entry, hit in ((self.two, self.slot2, self.e2, hit2), (self.one, self.slot1, self.e1, hit1)):
+            np.subtract(entry, 1 << 16, out=new)  # one down; at 0 another id
+            np.putmask(new, np.less(entry, 2 << 16, out=mask), fresh)
+            np.add(entry, 1 << 16, out=up)  # one up, to 3
+            np.putmask(up, np.greater_equal(up, 4 << 16, out=mask), entry)
+            np.putmask(new, hit, up)
+            table[slot] = new
+        np.multiply(self.last, 30011, out=self.mix2)
+        self.x, self.last = self.last, self.x
+        np.multiply(self.last, 40503, out=self.mix1)
+
+
+class Range:
+    """The intervals of many range coders."""
 
-
-def _settled(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a word is put out, and the spans: the top words agree, or the span is too short and is cut."""
-    same = (low ^ (low + span)) < U(1 << 32)
-    short = ~same & (span < U(1 << 32))
-    if short.any():
-        span = np.where(short, (U(0) - low) & U(0xFFFFFFFF), span)
-    return np.flatnonzero(same | short), span
+    def __init__(self, lanes: int):
+        self.low, self.span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
+        self.unit, self.wide, self.mask = np.zeros(lanes, U), np.zeros(lanes, U), np.zeros(lanes, bool)
+
+    def units(self) -> np.ndarray:
+        return np.right_shift(self.span, U(TOTAL_BITS), out=self.unit)
+
+    def narrow(self, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Go to the part of the interval, by ``units``; the lanes that put out a word, and their words."""
+        np.copyto(self.wide, first, casting="unsafe")
+        self.wide *= self.unit
+        self.low += self.wide
+        np.copyto(self.wide, size, casting="unsafe")
+        np.multiply(self.wide, self.unit, out=self.span)
+        out = np.flatnonzero(np.less(self.span, U(1 << 32), out=self.mask))
+        low, span = self.low[out], self.span[out]
+        cut = (low ^ (low + span)) >= U(1 << 32)  # the top words differ though the span is short: it ends where they do
+        np.putmask(span, cut, (U(0) - low) & U(0xFFFFFFFF))
+        self.low[out] = low << U(32)
+        self.span[out] = span << U(32)
+        return out, low >> U(32)
 
 
 def encode_segment(ids: np.ndarray) -> bytes:
@@ -126,34 +205,25 @@ def encode_segment(ids: np.ndarray) -> bytes:
     grid = np.full(lanes * BLOCK if lanes > 1 else steps, ids[-1], np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, -1).T)
-    model = Mixer(lanes)
-    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    words, sent = np.zeros((lanes, steps + 2), "<u4"), np.zeros(lanes, np.int64)
+    model, coder = Mixer(lanes, zero), Range(lanes)
+    words, sent = np.zeros((lanes, steps + 2), "<u4"), np.arange(lanes) * (steps + 2)
+    flat, start = words.reshape(-1), sent.copy()
+    hit2, hit1, hit = np.zeros((3, lanes), bool)
     with np.errstate(over="ignore"):
-        for t in range(steps):
-            x = grid[t]
+        for x in grid:
             model.predict()
-            hit2, hit1 = x == model.id2, x == model.id1
-            rest = model.rest.astype(U)
-            first = (model.f2 + model.f1 << ZERO_BITS).astype(U) + zero.first[x] * rest
-            size = zero.size[x] * rest
-            only1 = hit1 & ~hit2
-            f2 = model.f2 << ZERO_BITS
-            first = np.where(hit2, U(0), np.where(only1, f2.astype(U), first))
-            size = np.where(hit2, f2.astype(U), np.where(only1, (model.f1 << ZERO_BITS).astype(U), size))
-            unit = span >> U(TOTAL_BITS)
-            low = low + unit * first
-            out, span = _settled(low, unit * size)
-            if len(out):
-                words[out, sent[out]] = low[out] >> U(32)
-                sent[out] += 1
-                low[out] <<= U(32)
-                span[out] <<= U(32)
+            np.equal(x, model.id2, out=hit2)
+            np.equal(x, model.id1, out=hit1)
+            first, size = model.interval(x, hit2, np.logical_or(hit2, hit1, out=hit))
+            coder.units()
+            out, word = coder.narrow(first, size)
+            at = sent[out]
+            flat[at] = word
+            sent[out] = at + 1
             model.learn(x, hit2, hit1)
-    lane = np.arange(lanes)
-    words[lane, sent] = low >> U(32)
-    words[lane, sent + 1] = low & U(0xFFFFFFFF)
-    sent += 2
+    flat[sent] = coder.low >> U(32)
+    flat[sent + 1] = coder.low & U(0xFFFFFFFF)
+    sent += 2 - start
     raw, table = ids.astype("<u2"), zero.packed()
     coded = [words[i, : sent[i]].tobytes() for i in range(lanes)]
     index = [(sent[i], zlib.crc32(coded[i]), zlib.crc32(raw[i * BLOCK : (i + 1) * BLOCK].tobytes())) for i in range(lanes)]
@@ -191,36 +261,37 @@ def decode_segment(data: bytes, blocks: slice = slice(None)) -> np.ndarray:
 
 def _decode(words: np.ndarray, begin: np.ndarray, steps: int, zero: Zero) -> np.ndarray:
     lanes = len(begin)
-    model = Mixer(lanes)
-    low, span = np.zeros(lanes, U), np.full(lanes, 2**64 - 1, U)
-    words = np.append(words, np.zeros(2, "<u4")).astype(U)
-    code = (words[begin] << U(32)) | words[begin + 1]
+    model, coder, ids_at = Mixer(lanes, zero), Range(lanes), zero.at()
+    words = np.append(words, np.zeros(2, "<u4"))
+    code = (words[begin].astype(U) << U(32)) | words[begin + 1]
     at = begin + 2
     grid = np.zeros((steps, lanes), np.int32)
     last = U((1 << TOTAL_BITS) - 1)
+    above, where, bound, place = np.zeros(lanes, U), np.zeros(lanes, np.int32), np.zeros(lanes, np.int32), np.zeros(lanes, np.int64)
+    rare, (hit2, hit1, hit) = np.zeros(lanes, np.uint16), np.zeros((3, lanes), bool)
     with np.errstate(over="ignore"):
-        for t in range(steps):
+        for x in grid:
             model.predict()
-            unit = span >> U(TOTAL_BITS)
-            where = np.minimum((code - low) // unit, last)
-            f2, f12 = model.f2 << ZERO_BITS, model.f2 + model.f1 << ZERO_BITS
-            signed = where.astype(np.int64)
-            hit2 = signed < f2
-            only1 = ~hit2 & (signed < f12)
-            slot = (np.maximum(signed - f12, 0) / model.rest).astype(np.int64)
-            x = np.where(hit2, model.id2, np.where(only1, model.id1, zero.at[slot])).astype(np.int32)
-            rest = model.rest.astype(U)
-            first = np.where(hit2, U(0), np.where(only1, f2.astype(U), f12.astype(U) + zero.first[np.where(hit2 | only1, zero.symbols[0], x)] * rest))
-            size = np.where(hit2, f2.astype(U), np.where(only1, (model.f1 << ZERO_BITS).astype(U), zero.size[np.where(hit2 | only1, zero.symbols[0], x)] * rest))
-            low = low + unit * first
-            out, span = _settled(low, unit * size)
-            if len(out):
-                low[out] <<= U(32)
-                span[out] <<= U(32)
-                code[out] = (code[out] << U(32)) | words[at[out]]
-                at[out] += 1
-            model.learn(x, hit2, x == model.id1)
-            grid[t] = x
+            np.subtract(code, coder.low, out=above)
+            above //= coder.units()
+            np.minimum(above, last, out=above)
+            np.copyto(where, above, casting="unsafe")
+            np.less(where, np.left_shift(model.f2, ZERO_BITS, out=bound), out=hit2)
+            np.less(where, np.left_shift(model.f12, ZERO_BITS, out=bound), out=hit)
+            where -= bound
+            np.maximum(where, 0, out=where)
+            where //= model.rest
+            np.copyto(place, where)
+            ids_at.take(place, out=rare, mode="clip")
+            np.copyto(x, rare)
+            np.putmask(x, hit, model.id1)
+            np.putmask(x, hit2, model.id2)
+            first, size = model.interval(x, hit2, hit)
+            out, _ = coder.narrow(first, size)
+            next_at = at[out]
+            code[out] = (code[out] << U(32)) | words[next_at]
+            at[out] = next_at + 1
+            model.learn(x, hit2, np.equal(x, model.id1, out=hit1))
     return grid
 
 

@@ -181,6 +181,41 @@ def test_coder_blocks_decode_alone_and_damage_is_seen():
         token_store.decode_segment(data[:-4])
 
 
+def test_coder_steps_write_over_their_arrays():
+    import tracemalloc
+
+    lanes = 100_000
+    ids = np.random.default_rng(4).integers(0, 50, lanes).astype(np.int32)
+    model, coder = token_store.Mixer(lanes, token_store.Zero.of(ids)), token_store.Range(lanes)
+    hit2, hit1, hit = np.zeros((3, lanes), bool)
+    tracemalloc.start()
+    model.predict()
+    np.logical_or(np.equal(ids, model.id2, out=hit2), np.equal(ids, model.id1, out=hit1), out=hit)
+    coder.units()
+    first, size = model.interval(ids, hit2, hit)
+    model.learn(ids, hit2, hit1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < lanes, peak  # the smallest array of the lanes has a byte each
+
+
+STEPS = np.arange(9000)
+CODES = [
+    ((STEPS * STEPS % 977).astype("<u2"), 904840805),
+    ((STEPS * 7919 % 50257 * (STEPS % 3 > 0)).astype("<u2"), 1772278915),
+    (np.full(3, 65535, "<u2"), 2312083363),
+]
+
+
+def test_coder_keeps_the_format():
+    """The code of files that were written before, checked by its sum; their tables are packed by zlib."""
+    for ids, want in CODES:
+        data = token_store.encode_segment(ids)
+        n_table = int.from_bytes(data[21:25], "little")
+        assert zlib.crc32(data[25 + n_table :]) == want
+        assert (token_store.decode_segment(data) == ids).all()
+
+
 def test_repetition_is_coded_short():
     x = np.tile(np.arange(50, dtype="<u2"), 400)
     assert len(token_store.encode_segment(x)) < len(x) * 2 / 10
